@@ -35,4 +35,4 @@ def load_all() -> None:
         importlib.import_module(f"{__package__}.{mod}")
 
 
-PLAN_MODULES = ("q_groupstats",)
+PLAN_MODULES = ("q_groupstats", "q_reshape", "q_features")
