@@ -188,18 +188,22 @@ def _merge(a: dict, b: dict) -> dict:
             "pk": a["pk"] + b["pk"] + pk, "tr": a["tr"] + b["tr"] + tr}
 
 
-def _batch_segments(pdf: pd.DataFrame, keys: list[str]) -> list[tuple[tuple, dict]]:
-    """Vectorised summaries of the key segments of one sorted Arrow batch."""
+_STATE = ("fv", "lv", "fs", "ls", "ns", "pk", "tr")
+
+
+def _batch_segments(pdf: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
+    """Vectorised summaries of the key segments of one sorted Arrow batch.
+
+    One output row per run of equal keys: keys, first/last value, first/last
+    non-zero direction, number of directions and interior (+,−)/(−,+) pairs.
+    """
     n = len(pdf)
-    if n == 0:
-        return []
     v = pdf[_V].to_numpy(dtype="float64")
-    kv = pdf[keys]
     new_seg = np.ones(n, dtype=bool)
     if n > 1:
         same = np.ones(n - 1, dtype=bool)
         for k in keys:
-            col = kv[k].to_numpy()
+            col = pdf[k].to_numpy()
             same &= col[1:] == col[:-1]
         new_seg[1:] = ~same
     seg = np.cumsum(new_seg) - 1
@@ -208,31 +212,27 @@ def _batch_segments(pdf: pd.DataFrame, keys: list[str]) -> list[tuple[tuple, dic
     nseg = len(starts)
     # directions of change inside each segment, zeros dropped
     d = np.sign(v[1:] - v[:-1])
-    inside = seg[1:] == seg[:-1]
-    keep = inside & (d != 0)
+    keep = (seg[1:] == seg[:-1]) & (d != 0)
     ds = d[keep].astype(np.int64)
     dseg = seg[1:][keep]
     fs = np.zeros(nseg, dtype=np.int64)
     ls = np.zeros(nseg, dtype=np.int64)
     pk = np.zeros(nseg, dtype=np.int64)
     tr = np.zeros(nseg, dtype=np.int64)
-    ns = np.bincount(dseg, minlength=nseg) if len(ds) else np.zeros(nseg, dtype=np.int64)
+    ns = np.bincount(dseg, minlength=nseg).astype(np.int64)
     if len(ds):
         first_idx = np.flatnonzero(np.r_[True, dseg[1:] != dseg[:-1]])
         last_idx = np.r_[first_idx[1:] - 1, len(ds) - 1]
         fs[dseg[first_idx]] = ds[first_idx]
         ls[dseg[last_idx]] = ds[last_idx]
         pair = dseg[1:] == dseg[:-1]
-        up_down = pair & (ds[:-1] > 0) & (ds[1:] < 0)
-        down_up = pair & (ds[:-1] < 0) & (ds[1:] > 0)
-        pk = np.bincount(dseg[1:][up_down], minlength=nseg)
-        tr = np.bincount(dseg[1:][down_up], minlength=nseg)
-    key_rows = kv.iloc[starts].itertuples(index=False, name=None)
-    return [
-        (tuple(kr), {"fv": float(v[starts[i]]), "lv": float(v[ends[i]]), "fs": int(fs[i]),
-                     "ls": int(ls[i]), "ns": int(ns[i]), "pk": int(pk[i]), "tr": int(tr[i])})
-        for i, kr in enumerate(key_rows)
-    ]
+        pk = np.bincount(dseg[1:][pair & (ds[:-1] > 0) & (ds[1:] < 0)], minlength=nseg)
+        tr = np.bincount(dseg[1:][pair & (ds[:-1] < 0) & (ds[1:] > 0)], minlength=nseg)
+    out = pdf[keys].iloc[starts].reset_index(drop=True)
+    out["fv"], out["lv"] = v[starts], v[ends]
+    out["fs"], out["ls"], out["ns"] = fs, ls, ns
+    out["pk"], out["tr"] = pk.astype(np.int64), tr.astype(np.int64)
+    return out
 
 
 _SUMMARY = (("_pid", T.LongType()), ("fv", T.DoubleType()), ("lv", T.DoubleType()),
@@ -241,32 +241,41 @@ _SUMMARY = (("_pid", T.LongType()), ("fv", T.DoubleType()), ("lv", T.DoubleType(
 
 
 def _partition_summaries(ranged: DataFrame, keys: list[str]) -> DataFrame:
-    """One summary row per (group, range partition) from a sorted partition scan."""
+    """One summary row per (group, range partition) from a sorted partition scan.
+
+    Each Arrow batch is summarised with numpy; only the segment that continues
+    from the previous batch is merged in Python (one row per batch).
+    """
     key_fields = [ranged.schema[k] for k in keys]
     schema = T.StructType(key_fields + [T.StructField(n, t) for n, t in _SUMMARY])
     names = schema.fieldNames()
 
-    def emit(key, sm, pid):
-        return (*key, pid, sm["fv"], sm["lv"], sm["fs"], sm["ls"], sm["ns"], sm["pk"], sm["tr"])
+    def finish(frame: pd.DataFrame, pid: int) -> pd.DataFrame:
+        frame = frame.copy()
+        frame["_pid"] = pid
+        return frame[names].astype({"fs": "int32", "ls": "int32"})
 
     def summarise(batches):
         pid = TaskContext.get().partitionId()
-        open_key, open_sum, rows = None, None, []
+        carry = None  # last segment of the previous batch (may continue)
         for pdf in batches:
-            for key, summ in _batch_segments(pdf, keys):
-                if open_key is not None and key == open_key:
-                    open_sum = _merge(open_sum, summ)
-                    continue
-                if open_key is not None:
-                    rows.append(emit(open_key, open_sum, pid))
-                open_key, open_sum = key, summ
-            if len(rows) >= 10000:
-                yield pd.DataFrame(rows, columns=names)
-                rows = []
-        if open_key is not None:
-            rows.append(emit(open_key, open_sum, pid))
-        if rows:
-            yield pd.DataFrame(rows, columns=names)
+            if len(pdf) == 0:
+                continue
+            segs = _batch_segments(pdf, keys)
+            if carry is not None:
+                same_key = all(carry.iloc[0][k] == segs.iloc[0][k] for k in keys)
+                if same_key:
+                    merged = _merge({c: carry.iloc[0][c] for c in _STATE},
+                                    {c: segs.iloc[0][c] for c in _STATE})
+                    for c in _STATE:
+                        segs.at[0, c] = merged[c]
+                else:
+                    yield finish(carry, pid)
+            if len(segs) > 1:
+                yield finish(segs.iloc[:-1], pid)
+            carry = segs.iloc[-1:].reset_index(drop=True)
+        if carry is not None:
+            yield finish(carry, pid)
 
     return ranged.mapInPandas(summarise, schema=schema)
 
@@ -296,27 +305,30 @@ def peaks_troughs(df: DataFrame, keys: str | Sequence[str], value: str,
     w = Window.partitionBy(*keys).orderBy("_pid")
     segs = segs.withColumn("_seam", F.signum(F.col("fv") - F.lag("lv").over(w)).cast("int"))
     # Boundary tokens in order: seam direction, first direction, last direction
-    # (the last only when it is a different change than the first).
+    # (the last only when it is a different change than the first). Interior
+    # counts ride on the seam token so the summaries are read once.
+    nz = lambda c: F.when(c != 0, c)
     tokens = segs.select(*keys, "_pid", F.explode(F.array(
-        F.struct(F.lit(0).alias("pos"), F.col("_seam").alias("tok")),
-        F.struct(F.lit(1).alias("pos"), F.when(F.col("ns") >= 1, F.col("fs")).alias("tok")),
-        F.struct(F.lit(2).alias("pos"), F.when(F.col("ns") >= 2, F.col("ls")).alias("tok")),
-    )).alias("t")).select(*keys, "_pid", "t.pos", "t.tok").where(
-        F.col("tok").isNotNull() & (F.col("tok") != 0))
-    wt = Window.partitionBy(*keys).orderBy("_pid", "pos")
-    tokens = tokens.select(
-        *keys, "tok", F.lag("tok").over(wt).alias("ptok"),
-        # first and last direction of one partition are not neighbours
-        ((F.lag("_pid").over(wt) == F.col("_pid")) & (F.lag("pos").over(wt) == 1)
-         & (F.col("pos") == 2)).alias("internal"))
-    cross = tokens.where(F.col("ptok").isNotNull() & ~F.col("internal")).groupBy(*keys).agg(
-        F.count(F.when((F.col("ptok") > 0) & (F.col("tok") < 0), 1)).alias("_xp"),
-        F.count(F.when((F.col("ptok") < 0) & (F.col("tok") > 0), 1)).alias("_xt"))
-    inner = segs.groupBy(*keys).agg(F.sum("pk").alias("_pk"), F.sum("tr").alias("_tr"))
-    return inner.join(cross, keys, "left").select(
-        *keys,
-        (F.col("_pk") + F.coalesce("_xp", F.lit(0))).alias("peaks"),
-        (F.col("_tr") + F.coalesce("_xt", F.lit(0))).alias("troughs"))
+        F.struct(F.lit(0).alias("pos"), nz(F.col("_seam")).alias("tok"),
+                 F.col("pk").alias("ipk"), F.col("tr").alias("itr")),
+        F.struct(F.lit(1).alias("pos"), nz(F.when(F.col("ns") >= 1, F.col("fs"))).alias("tok"),
+                 F.lit(0).cast("long").alias("ipk"), F.lit(0).cast("long").alias("itr")),
+        F.struct(F.lit(2).alias("pos"), nz(F.when(F.col("ns") >= 2, F.col("ls"))).alias("tok"),
+                 F.lit(0).cast("long").alias("ipk"), F.lit(0).cast("long").alias("itr")),
+    )).alias("t")).select(*keys, "_pid", "t.pos", "t.tok", "t.ipk", "t.itr")
+    before = Window.partitionBy(*keys).orderBy("_pid", "pos") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    prev = F.last(F.when(F.col("tok").isNotNull(), F.struct("_pid", "pos", "tok")),
+                  ignorenulls=True).over(before)
+    tokens = tokens.withColumn("_prev", prev)
+    # first and last direction of one partition's slice are not neighbours
+    internal = (F.col("_prev._pid") == F.col("_pid")) & (F.col("_prev.pos") == 1) & (F.col("pos") == 2)
+    cross = F.col("tok").isNotNull() & F.col("_prev").isNotNull() & ~internal
+    return tokens.groupBy(*keys).agg(
+        (F.sum("ipk") + F.count(F.when(cross & (F.col("_prev.tok") > 0) & (F.col("tok") < 0), 1)))
+        .alias("peaks"),
+        (F.sum("itr") + F.count(F.when(cross & (F.col("_prev.tok") < 0) & (F.col("tok") > 0), 1)))
+        .alias("troughs"))
 
 
 # --------------------------------------------------------------------------
