@@ -107,7 +107,7 @@ def order_free_stats(df: DataFrame, keys: str | Sequence[str], value: str) -> Da
         .withColumn("_before", F.coalesce(F.sum(cn).over(w_before), F.lit(0)))
     )
     n, s, before = F.col("_n"), F.col("_sum"), F.col("_before")
-    mean = s / n
+    mean = F.try_divide(s, n)
     dev = v - mean
     nf = F.max(n).cast("double")
     m2 = F.sum(F.when(nn, c * dev * dev))
@@ -124,11 +124,11 @@ def order_free_stats(df: DataFrame, keys: str | Sequence[str], value: str) -> Da
         _quantile(0.25, n, v, c, before).alias("_q25"),
         _quantile(0.75, n, v, c, before).alias("_q75"),
         *[_quantile(q, n, v, c, before).alias(name) for name, q in QUINTILES],
-        (F.sum(F.when(nn, c * F.abs(dev))) / nf).alias("mad"),
+        F.try_divide(F.sum(F.when(nn, c * F.abs(dev))), nf).alias("mad"),
         tot.alias("_tot"),
         F.sum(F.when(nn, v * c * (2 * before + c - n))).alias("_gini_num"),
         (-F.sum(F.when(nn, (c / n) * F.log(c / n)))).alias("entropy"),
-        F.sum(F.when(nn, c / v)).alias("_inv"),
+        F.sum(F.when(nn & (v != 0), c / v)).alias("_inv"),
         F.sum(F.when(nn, c * F.log(F.when(v > 0, v)))).alias("_logsum"),
         F.sum(F.when(~nn, c).otherwise(F.lit(0))).alias("_nulls"),
     )
