@@ -178,3 +178,25 @@ def score_scenarios(spark, sf_dir):
     scored = model.transform(mo.prepare_inputs(encoded_features(rows), NUMERIC, CATEGORICAL))
     return scored.groupBy("feature_category", "year").agg(
         F.count(F.lit(1)).alias("n"), F.avg("prediction").alias("mean_predicted"))
+
+
+@register("stream_score_scenarios")
+def stream_score_scenarios(spark, sf_dir):
+    """Scenario rows written as files, scored by a file-source stream, summarised per scenario."""
+    from ..streaming.scoring import score_files
+    lab = fixture(spark, sf_dir, "f_labels")
+    raw = fixture(spark, sf_dir, "f_features")
+    train = mo.prepare_inputs(lab.join(encoded_features(raw), "uid", "left")
+                              .withColumn("label", F.col("composite_score")), NUMERIC, CATEGORICAL)
+    stages, _ = mo.assembler_stages(train, NUMERIC, CATEGORICAL)
+    model = mo.fit_pipeline(train, stages, mo.make_regressor("forest", {"numTrees": 10}, 42))
+    cat = sc.filter_catalogue(sc.catalogue(raw.select("uid", "glob_hlth_12", "edu_gru_12"), "uid"), ("age",), 100)
+    scen = lab.select("uid", "year").join(sc.override(raw, sc.scenarios_from(cat)), "uid")
+    base = f"{ensure_checkpoint_dir(spark)}/stream/{uuid.uuid4().hex}"
+    scen.write.mode("overwrite").partitionBy("feature_category").parquet(f"{base}/in")
+    schema = spark.read.parquet(f"{base}/in").schema
+    score_files(spark, f"{base}/in", schema, model, KEYS, f"{base}/out", f"{base}/_ckpt",
+                prepare=lambda d: mo.prepare_inputs(encoded_features(d), NUMERIC, CATEGORICAL))
+    out = spark.read.parquet(f"{base}/out")
+    return out.groupBy("feature_category", "year").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("predicted_score").alias("mean_predicted"))
