@@ -72,8 +72,12 @@ REGRESSORS = ("gbt_deep", "gbt_shallow", "forest", "lasso")
 
 
 def make_regressor(kind: str, params: dict | None = None, seed: int = 42, label: str = "label",
-                   weight: str | None = None):
-    """One factory for the three tree families and the L1 stack."""
+                   weight: str | None = None, validation: str | None = None, validation_tol: float = 0.01):
+    """One factory for the three tree families and the L1 stack.
+
+    ``validation`` names a boolean column marking held-out rows: boosted trees
+    then stop early when the validation error stops improving (M17).
+    """
     p = dict(params or {})
     if kind == "gbt_deep":
         est = GBTRegressor(labelCol=label, featuresCol=FEATURES, seed=seed,
@@ -93,6 +97,10 @@ def make_regressor(kind: str, params: dict | None = None, seed: int = 42, label:
         raise ValueError(f"unsupported regressor: {kind}")
     if weight is not None:
         est.setWeightCol(weight)
+    if validation is not None:
+        if not isinstance(est, GBTRegressor):
+            raise ValueError("validation-based early stopping needs a boosted-tree regressor")
+        est.setParams(validationIndicatorCol=validation, validationTol=validation_tol)
     return est
 
 

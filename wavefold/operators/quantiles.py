@@ -20,6 +20,8 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
+import numpy as np
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,3 +64,59 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[flo
                     values[r] = x
             pos += c
     return [values[lo] + (values[hi] - values[lo]) * frac for lo, hi, frac in ranks]
+
+
+def prefix_sums(df: DataFrame, order: str, cols: list[str], keys: list[str] | None = None,
+                descending: bool = False, suffix: str = "_cum") -> DataFrame:
+    """Inclusive running sums of ``cols`` along ``order`` within ``keys``, without a
+    single-task window.
+
+    Range-partition on ``(keys, order)`` and sort; a vectorised pass per partition
+    computes the local running sums and emits them with the partition id; the
+    per-(key, partition) totals — at most one row per partition and key — give each
+    partition's offset, which is joined back.
+    """
+    import pandas as pd
+    from pyspark import TaskContext
+    from pyspark.sql import Window
+    from pyspark.sql import types as T
+
+    keys = list(keys or [])
+    o = F.col(order).desc() if descending else F.col(order).asc()
+    nparts = shuffle_partitions(df.sparkSession)
+    ranged = df.repartitionByRange(nparts, *keys, o).sortWithinPartitions(*keys, o)
+    out_fields = list(df.schema.fields) + [T.StructField("_p", T.IntegerType())] + [
+        T.StructField(f"{c}_local", T.DoubleType()) for c in cols]
+    schema = T.StructType(out_fields)
+
+    def run(batches):
+        pid = TaskContext.get().partitionId()
+        carry_key, carry = None, {}
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            pdf = pdf.copy()
+            grp = [pdf[k] for k in keys] if keys else [pd.Series(0, index=pdf.index)]
+            kt = list(zip(*[pdf[k] for k in keys])) if keys else [()] * len(pdf)
+            # rows are sorted by key: only the batch's leading key can continue
+            cont = np.array([t == carry_key for t in kt]) if carry_key is not None else None
+            for c in cols:
+                local = pdf[c].astype("float64").fillna(0.0).groupby(grp, sort=False).cumsum().to_numpy()
+                if cont is not None:
+                    local = local + np.where(cont, carry.get(c, 0.0), 0.0)
+                pdf[f"{c}_local"] = local
+            carry_key = kt[-1]
+            carry = {c: float(pdf[f"{c}_local"].iloc[-1]) for c in cols}
+            pdf["_p"] = pid
+            yield pdf[[f.name for f in out_fields]]
+
+    local = checkpoint(ranged.mapInPandas(run, schema=schema))
+    # the running sum at the end of a (key, partition) slice is the slice's plain sum
+    totals = local.groupBy(*keys, "_p").agg(
+        *[F.sum(F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias(f"{c}_tot") for c in cols])
+    w = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offs = totals.select(*keys, "_p", *[F.coalesce(F.sum(f"{c}_tot").over(w), F.lit(0.0)).alias(f"{c}_off")
+                                        for c in cols])
+    res = local.join(offs, [*keys, "_p"], "left")
+    return res.select(*df.columns, *[(F.col(f"{c}_local") + F.col(f"{c}_off")).alias(f"{c}{suffix}")
+                                     for c in cols])

@@ -210,3 +210,49 @@ def score_histogram(df: DataFrame, cols: Sequence[str], lo: float, hi: float, bi
 def year_flags(df: DataFrame, years_col: str, years: Sequence[int]) -> DataFrame:
     """``has_{y}`` 0/1 flags from an array of years."""
     return df.withColumns({f"has_{y}": F.array_contains(F.col(years_col), y).cast("int") for y in years})
+
+
+def average_precision(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """Average precision ``Σ (R_n − R_{n−1}) P_n`` over distinct score thresholds.
+
+    Rows are compressed to ``(by, score, positives, count)``; the running counts
+    along descending score come from a distributed prefix sum.
+    """
+    from .quantiles import prefix_sums
+    d = df.where(F.col(score).isNotNull()).groupBy(*by, score).agg(
+        F.sum(F.col(label).cast("double")).alias("_pos"), F.count(F.lit(1)).cast("double").alias("_cnt"))
+    c = prefix_sums(d, score, ["_pos", "_cnt"], keys=list(by), descending=True)
+    return c.groupBy(*by).agg(
+        (F.sum(F.col("_pos") * F.col("_pos_cum") / F.col("_cnt_cum")) / F.sum("_pos")).alias("average_precision"))
+
+
+def participation_years(features: DataFrame, labels: DataFrame, first_wave_col: str, key: str = "uid",
+                        first_year: int = 2003, second_year: int = 2012) -> DataFrame:
+    """``(key, years, pattern)``: waves from a null test on a first-wave column ∪ label years."""
+    waves = F.when(F.col(first_wave_col).isNull(), F.array(F.lit(second_year))) \
+        .otherwise(F.array(F.lit(first_year), F.lit(second_year)))
+    ly = labels.groupBy(key).agg(F.collect_list(F.col("year").cast("int")).alias("_ly"))
+    x = features.select(key, waves.alias("_fy")).join(ly, key, "left")
+    years = F.array_sort(F.concat("_fy", F.coalesce("_ly", F.array().cast("array<int>"))))
+    return x.select(key, years.alias("years")).withColumn(
+        "pattern", F.concat(F.lit("["), F.array_join("years", ", "), F.lit("]")))
+
+
+def effect_table(df: DataFrame, value: str, feature: str, category: str, treated, control,
+                 row_id: Sequence[str], years: Sequence[int], year: str = "year",
+                 n_boot: int = 200, seed: int = 42) -> DataFrame:
+    """Treated − control effect per feature with ±1 SE bands, wide by year.
+
+    The SE is scaled by ``sqrt(n_t / (n_t + n_c))`` and the band is scaled again
+    around its centre by the same factor, as in the reference (Q14).
+    """
+    t = bootstrap_difference(df, value, [feature, year], category, treated, control, row_id, n_boot, seed)
+    total = F.col("n_treated") + F.col("n_control")
+    se = scale_se("se_diff", "n_treated", total)
+    lo, hi = scale_interval(F.col("mean_diff") - se, F.col("mean_diff") + se, "n_treated", total)
+    t = t.select(feature, year, "mean_diff", lo.alias("lower_bound_diff"), hi.alias("upper_bound_diff"))
+    wide = t.groupBy(feature).pivot(year, list(years)).agg(
+        F.first("mean_diff").alias("mean_diff"), F.first("lower_bound_diff").alias("lower_bound_diff"),
+        F.first("upper_bound_diff").alias("upper_bound_diff"))
+    return wide.withColumnsRenamed({f"{y}_{m}": f"{m}_{y}" for y in years
+                                    for m in ("mean_diff", "lower_bound_diff", "upper_bound_diff")})

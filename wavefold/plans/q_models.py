@@ -200,3 +200,32 @@ def stream_score_scenarios(spark, sf_dir):
     out = spark.read.parquet(f"{base}/out")
     return out.groupBy("feature_category", "year").agg(
         F.count(F.lit(1)).alias("n"), F.avg("predicted_score").alias("mean_predicted"))
+
+
+@register("fold_average_unseen")
+def fold_average_unseen(spark, sf_dir):
+    """Mean of the k fold models' predictions for customers without labels."""
+    from .q_specs import fixture_inputs
+    x, _ = model_table(spark, sf_dir)
+    _, _, test_f, test_keys = fixture_inputs(spark, sf_dir)
+    unseen = test_keys.join(encoded_features(test_f), "uid")
+    unseen = mo.prepare_inputs(unseen, NUMERIC, CATEGORICAL)
+    stages, _ = mo.assembler_stages(unseen, NUMERIC, CATEGORICAL)
+    from pyspark.ml import Pipeline
+    # the assembler's imputation medians come from the training rows
+    prep = Pipeline(stages=stages).fit(mo.prepare_inputs(
+        fixture(spark, sf_dir, "f_labels").join(encoded_features(fixture(spark, sf_dir, "f_features")), "uid", "left"),
+        NUMERIC, CATEGORICAL))
+    est = mo.make_regressor("forest", {"numTrees": 10}, 42)
+    return mo.fold_average_predict(x, prep.transform(unseen), est, "fold", KEYS)
+
+
+@register("gbt_early_stopping")
+def gbt_early_stopping(spark, sf_dir):
+    """Boosting with one fold as validation set and early stopping."""
+    x, _ = model_table(spark, sf_dir)
+    x = x.withColumn("is_valid", F.col("fold") == 5)
+    est = mo.make_regressor("gbt_deep", {"maxIter": 40, "stepSize": 0.3}, 42, validation="is_valid")
+    m = est.fit(x)
+    return m.transform(x).select(*KEYS, "is_valid", F.col("prediction").alias("predicted_score"),
+                                 F.lit(m.getNumTrees).alias("n_trees"))

@@ -234,3 +234,76 @@ SELECT model, series, CAST(CASE WHEN x < 0 THEN 0 WHEN x >= 2000 THEN 21 ELSE fl
 def score_histogram(spark, sf_dir):
     p = fixture(spark, sf_dir, "f_predictions")
     return rp.score_histogram(p, ["predicted_score", "composite_score"], 0.0, 2000.0, 20, ["model"])
+
+
+@register("average_precision", with_fixtures("""
+WITH d AS (SELECT model, predicted_score AS s, sum(CASE WHEN composite_score > 1000 THEN 1 ELSE 0 END) AS pos,
+                  count(*) AS cnt FROM f_predictions GROUP BY model, predicted_score),
+c AS (SELECT model, pos, sum(pos) OVER (PARTITION BY model ORDER BY s DESC) AS tp,
+             sum(cnt) OVER (PARTITION BY model ORDER BY s DESC) AS n FROM d)
+SELECT model, round(sum(pos * tp / n) / sum(pos), 6) AS average_precision FROM c GROUP BY model""",
+                                             "f_predictions"))
+def average_precision(spark, sf_dir):
+    p = fixture(spark, sf_dir, "f_predictions").withColumn(
+        "high", (F.col("composite_score") > 1000).cast("int"))
+    return round_doubles(rp.average_precision(p, "high", "predicted_score", ["model"]))
+
+
+@register("rmse_by_participation", with_fixtures("""
+WITH fy AS (SELECT uid, CASE WHEN glob_hlth_03 IS NULL THEN [2012] ELSE [2003, 2012] END AS fyears FROM f_features),
+ly AS (SELECT uid, list(year) AS lyears FROM f_labels GROUP BY uid),
+pat AS (SELECT fy.uid, list_sort(list_concat(fy.fyears, coalesce(ly.lyears, []))) AS years
+        FROM fy LEFT JOIN ly ON fy.uid = ly.uid),
+p AS (SELECT p.*, '[' || array_to_string(pat.years, ', ') || ']' AS pattern,
+             CAST(list_contains(pat.years, 2003) AS INTEGER) AS has_2003,
+             CAST(list_contains(pat.years, 2016) AS INTEGER) AS has_2016,
+             CAST(list_contains(pat.years, 2021) AS INTEGER) AS has_2021
+      FROM f_predictions p JOIN pat ON p.uid = pat.uid WHERE p.model = 'm_a')
+SELECT pattern, has_2003, has_2016, has_2021,
+       round(sqrt(avg((predicted_score - composite_score) ^ 2)), 6) AS rmse, count(*) AS num_samples
+FROM p GROUP BY pattern, has_2003, has_2016, has_2021""", "f_predictions", "f_features", "f_labels"))
+def rmse_by_participation(spark, sf_dir):
+    """RMSE by participation pattern with presence flags."""
+    pat = rp.participation_years(fixture(spark, sf_dir, "f_features"), fixture(spark, sf_dir, "f_labels"),
+                                 "glob_hlth_03")
+    pat = rp.year_flags(pat, "years", [2003, 2016, 2021])
+    p = fixture(spark, sf_dir, "f_predictions").where(F.col("model") == "m_a").join(pat, "uid")
+    return round_doubles(rp.rmse(p, ["pattern", "has_2003", "has_2016", "has_2021"]))
+
+
+def _normalized_preds(spark, sf_dir):
+    p = fixture(spark, sf_dir, "f_predictions")
+    base = fixture(spark, sf_dir, "f_labels").groupBy("year").agg(F.avg("composite_score").alias("_b"))
+    # one row per label year
+    p = p.join(F.broadcast(base), "year")
+    return p.withColumn("predicted_score", rp.percent_change("predicted_score", "_b")).withColumn(
+        "category", F.when(F.col("seed") == 1, F.lit("1_0")).otherwise(F.lit("0_0")))
+
+
+@register("activity_effect_table", with_fixtures(f"""
+WITH b AS (SELECT year, avg(composite_score) AS bb FROM f_labels GROUP BY year),
+np AS (SELECT p.uid, p.year, p.model, p.seed, (p.predicted_score - b.bb) / b.bb * 100 AS predicted_score
+       FROM f_predictions p JOIN b ON p.year = b.year),
+{_boot_sql(['model', 'year', 'seed']).replace('FROM f_predictions,', 'FROM np,')},
+d AS (SELECT model, year, b, max(CASE WHEN seed = 1 THEN mean_b END) - max(CASE WHEN seed = 0 THEN mean_b END) AS d
+      FROM reps GROUP BY model, year, b),
+se AS (SELECT model, year, stddev_samp(d) AS se_diff FROM d GROUP BY model, year),
+base AS (SELECT model, year, count(CASE WHEN seed = 1 THEN 1 END) AS nt, count(CASE WHEN seed = 0 THEN 1 END) AS nc,
+                avg(CASE WHEN seed = 1 THEN predicted_score END) - avg(CASE WHEN seed = 0 THEN predicted_score END) AS md
+         FROM np GROUP BY model, year),
+t AS (SELECT model, year, md, md - se_diff * sqrt(nt / (nt + nc)) AS lo, md + se_diff * sqrt(nt / (nt + nc)) AS hi,
+             sqrt(nt / (nt + nc)) AS f FROM base JOIN se USING (model, year)),
+t2 AS (SELECT model, year, md, (hi + lo) / 2 - (hi - lo) / 2 * f AS lo2, (hi + lo) / 2 + (hi - lo) / 2 * f AS hi2 FROM t)
+SELECT model,
+       round(max(CASE WHEN year = 2016 THEN md END), 6) AS mean_diff_2016,
+       round(max(CASE WHEN year = 2016 THEN lo2 END), 6) AS lower_bound_diff_2016,
+       round(max(CASE WHEN year = 2016 THEN hi2 END), 6) AS upper_bound_diff_2016,
+       round(max(CASE WHEN year = 2021 THEN md END), 6) AS mean_diff_2021,
+       round(max(CASE WHEN year = 2021 THEN lo2 END), 6) AS lower_bound_diff_2021,
+       round(max(CASE WHEN year = 2021 THEN hi2 END), 6) AS upper_bound_diff_2021
+FROM t2 GROUP BY model""", "f_predictions", "f_labels"))
+def activity_effect_table(spark, sf_dir):
+    """Category ``1_0`` vs ``0_0`` effect in % of the yearly baseline, wide by year."""
+    p = _normalized_preds(spark, sf_dir)
+    return round_doubles(rp.effect_table(p, "predicted_score", "model", "category", "1_0", "0_0",
+                                         ["uid", "seed"], [2016, 2021], "year", N_BOOT, 42))
