@@ -161,6 +161,8 @@ def with_fixtures(body: str, *names: str) -> str:
     body = body.strip()
     if not ctes:
         return body
+    if body.upper().startswith("WITH RECURSIVE "):
+        return "WITH RECURSIVE " + ",\n".join(ctes) + ",\n" + body[15:]
     if body.upper().startswith("WITH "):
         return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
     return "WITH " + ",\n".join(ctes) + "\n" + body

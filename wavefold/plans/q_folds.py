@@ -44,7 +44,22 @@ def combined_fold(spark, sf_dir):
     return fo.combined_fold(lab, f1, "uid", 5, 42)
 
 
-@register("group_kfold")
+GROUP_KFOLD_SQL = """
+WITH RECURSIVE g AS (
+  SELECT bmi_12, count(*) AS n,
+         row_number() OVER (ORDER BY count(*) DESC, CAST(bmi_12 AS VARCHAR)) AS rn
+  FROM f_features GROUP BY bmi_12),
+r(rn, loads, bmi_12, fold) AS (
+  SELECT 0, [0, 0, 0, 0, 0]::BIGINT[], NULL::INTEGER, NULL::INTEGER
+  UNION ALL
+  SELECT g.rn,
+         list_transform(r.loads, lambda x, i: CASE WHEN i = list_position(r.loads, list_min(r.loads)) THEN x + g.n ELSE x END),
+         g.bmi_12, CAST(list_position(r.loads, list_min(r.loads)) AS INTEGER)
+  FROM r JOIN g ON g.rn = r.rn + 1)
+SELECT f.uid, f.bmi_12, r.fold FROM f_features f JOIN r ON f.bmi_12 = r.bmi_12"""
+
+
+@register("group_kfold", with_fixtures(GROUP_KFOLD_SQL, "f_features"))
 def group_kfold(spark, sf_dir):
     """Whole nations per fold, greedy size balance (checked by invariants in tests)."""
     f = fixture(spark, sf_dir, "f_features").select("uid", "bmi_12")
