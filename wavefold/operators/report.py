@@ -17,7 +17,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import col_or, md5_unit
+from ..functions.exprs import col_or
 
 
 def sq_err(pred: str = "predicted_score", truth: str = "composite_score") -> Column:
@@ -149,6 +149,25 @@ def poisson_weight(u: Column, kmax: int = 12) -> Column:
     return expr.otherwise(F.lit(kmax))
 
 
+HASH_PRIME = 2147483647  # 2^31 − 1
+
+
+def replicate_hashes(*row_id: str, seed: int = 42) -> list[Column]:
+    """Two 32-bit integers from one md5 of ``(row id…, seed)`` per row."""
+    h = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in row_id], F.lit(str(seed))))
+    return [F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint").alias("_h1"),
+            F.conv(F.substring(h, 9, 8), 16, 10).cast("bigint").alias("_h2")]
+
+
+def replicate_uniform(h1: str, h2: str, b: str) -> Column:
+    """Uniform for replicate ``b`` by double hashing: ``((h1 + b·h2) mod p) / p``.
+
+    For a fixed replicate the values are independent across rows, so every
+    replicate is a valid Poisson bootstrap; only one md5 per row is computed.
+    """
+    return F.pmod(F.col(h1) + F.col(b).cast("bigint") * F.col(h2), F.lit(HASH_PRIME)) / F.lit(float(HASH_PRIME))
+
+
 def bootstrap_replicates(df: DataFrame, value: str, by: Sequence[str], row_id: Sequence[str],
                          n_boot: int = 200, seed: int = 42) -> DataFrame:
     """``(by…, b, mean_b)``: replicate means with Poisson(1) weights.
@@ -156,10 +175,9 @@ def bootstrap_replicates(df: DataFrame, value: str, by: Sequence[str], row_id: S
     The replicate explode is pipelined into the partial aggregate, so each task
     emits at most ``groups × n_boot`` rows to the shuffle.
     """
-    x = df.select(*by, *row_id, value).select(
+    x = df.select(*by, value, *replicate_hashes(*row_id, seed=seed)).select(
         "*", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("b"))
-    w = poisson_weight(md5_unit(*row_id, "b", F.lit(seed)))
-    x = x.withColumn("_w", w)
+    x = x.withColumn("_w", poisson_weight(replicate_uniform("_h1", "_h2", "b")))
     return x.groupBy(*by, "b").agg(
         (F.sum(F.col("_w") * F.col(value)) / F.sum("_w")).alias("mean_b"))
 

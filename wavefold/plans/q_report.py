@@ -151,11 +151,13 @@ def _poisson_case(u: str) -> str:
 
 def _boot_sql(by: list[str], extra_where: str = "") -> str:
     k = ", ".join(by)
-    u = "(('0x' || substr(md5(concat_ws('|', uid, seed, b, 42)), 1, 8))::BIGINT / 4294967296.0)"
+    u = f"((h1 + b * h2) % {rp.HASH_PRIME}) / {float(rp.HASH_PRIME)!r}"
     return f"""
 reps AS (SELECT {k}, b, sum(w * predicted_score) / sum(w) AS mean_b FROM (
            SELECT {k}, predicted_score, b, {_poisson_case(u)} AS w
-           FROM f_predictions, range(0, {N_BOOT}) r(b) {extra_where}) GROUP BY {k}, b)"""
+           FROM (SELECT *, ('0x' || substr(md5(concat_ws('|', uid, seed, 42)), 1, 8))::BIGINT AS h1,
+                           ('0x' || substr(md5(concat_ws('|', uid, seed, 42)), 9, 8))::BIGINT AS h2
+                 FROM f_predictions), range(0, {N_BOOT}) r(b) {extra_where}) GROUP BY {k}, b)"""
 
 
 @register("poisson_bootstrap_se", with_fixtures(f"""
@@ -284,7 +286,7 @@ def _normalized_preds(spark, sf_dir):
 WITH b AS (SELECT year, avg(composite_score) AS bb FROM f_labels GROUP BY year),
 np AS (SELECT p.uid, p.year, p.model, p.seed, (p.predicted_score - b.bb) / b.bb * 100 AS predicted_score
        FROM f_predictions p JOIN b ON p.year = b.year),
-{_boot_sql(['model', 'year', 'seed']).replace('FROM f_predictions,', 'FROM np,')},
+{_boot_sql(['model', 'year', 'seed']).replace('FROM f_predictions)', 'FROM np)')},
 d AS (SELECT model, year, b, max(CASE WHEN seed = 1 THEN mean_b END) - max(CASE WHEN seed = 0 THEN mean_b END) AS d
       FROM reps GROUP BY model, year, b),
 se AS (SELECT model, year, stddev_samp(d) AS se_diff FROM d GROUP BY model, year),
