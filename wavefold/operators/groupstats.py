@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shuffle_partitions
+from ..session import checkpoint, shuffle_partitions
 
 # The statistic names and quintile labels of the reference's
 # group-statistics block, in its order.
@@ -383,20 +383,26 @@ def group_stats_multi(df: DataFrame, group_vars: Sequence[str], value: str = "co
 
 
 def join_group_stats(df: DataFrame, stats_long: DataFrame, group_vars: Sequence[str],
-                     stats: Sequence[str] | None = None) -> DataFrame:
+                     stats: Sequence[str] | None = None, max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Left-join long statistics back to rows, one block per group variable.
 
     Column names are ``{group_var}__{stat}`` (never positional suffixes). The
-    statistics table has one row per distinct group value; the join strategy is
-    left to AQE, which broadcasts it when its runtime size is under the
-    threshold and sort-merges otherwise.
+    statistics table has one row per distinct group value; it is materialised
+    once and its row count checked: under ``max_broadcast_rows`` every block is
+    broadcast (all joins run map-side in one stage), above it the joins are
+    left to the planner (sort-merge), so a high-cardinality key never lands in
+    executor memory.
     """
     stats = list(stats or [c for c in stats_long.columns if c not in ("group_var", "group_value")])
+    present = [g for g in group_vars if g in df.columns]
+    st = checkpoint(stats_long.where(F.col("group_var").isin(present)))
+    small = st.count() <= max_broadcast_rows
     out = df
-    for g in [g for g in group_vars if g in df.columns]:
-        block = stats_long.where(F.col("group_var") == g).select(
+    for g in present:
+        block = st.where(F.col("group_var") == g).select(
             F.col("group_value").alias(f"_{g}__key"),
             *[F.col(s).alias(f"{g}__{s}") for s in stats])
+        block = F.broadcast(block) if small else block
         out = out.join(block, out[g].cast("string") == block[f"_{g}__key"], "left") \
             .drop(f"_{g}__key")
     return out
