@@ -116,7 +116,8 @@ def oof_predict(df: DataFrame, estimator, fold: str, keys: Sequence[str], label:
     """Each row predicted by the model fitted on the other folds (M1).
 
     Output ``(keys…, fold, label, out)``. The input is persisted once; each fold
-    fit is an independent distributed job.
+    fit is an independent distributed job, and up to ``parallelism`` of them are
+    submitted at once so small fits share the executors instead of queueing.
     """
     df = df.persist()
     folds = _fold_values(df, fold)

@@ -18,7 +18,7 @@ from ..operators import folds as fo
 from ..operators import models as mo
 from ..operators import reshape as rs
 from ..operators import scenarios as sc
-from ..session import ensure_checkpoint_dir
+from ..session import checkpoint, ensure_checkpoint_dir
 from .fixtures import fixture
 from .q_features import AGE_BANDS, PRIORITY_ORDER
 from .registry import register
@@ -43,7 +43,9 @@ def model_table(spark, sf_dir) -> tuple[DataFrame, list]:
     f = encoded_features(fixture(spark, sf_dir, "f_features"))
     x = lab.join(f, "uid", "left").withColumn("label", F.col("composite_score"))
     x = fo.kfold(x, "uid", 5, 42, out="fold")
-    x = mo.prepare_inputs(x, NUMERIC, CATEGORICAL)
+    # materialise the joined rows once: the imputer, the indexer and every fold
+    # fit read this table instead of re-running the joins
+    x = checkpoint(mo.prepare_inputs(x, NUMERIC, CATEGORICAL))
     stages, slots = mo.assembler_stages(x, NUMERIC, CATEGORICAL)
     from pyspark.ml import Pipeline
     prep = Pipeline(stages=stages).fit(x)
