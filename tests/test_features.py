@@ -117,3 +117,11 @@ def test_value_counts_long_nan_label(spark):
     df = spark.createDataFrame([("a", 1), (None, 1), ("a", None)], "s string, n int")
     got = {(r["Feature"], r["Categories"]): r["N"] for r in fe.value_counts_long(df, ["s", "n"]).collect()}
     assert got == {("s", "a"): 2, ("s", "nan"): 1, ("n", "1"): 2, ("n", "nan"): 1}
+
+
+def test_exact_quantiles_recursive_path(spark):
+    vals = np.random.default_rng(2).normal(size=3000)
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    probs = [0.1, 0.5, 0.9]
+    got = exact_quantiles(df, "x", probs, max_collect=50)     # forces re-partitioning of big partitions
+    assert np.allclose(got, np.quantile(vals, probs), rtol=0, atol=1e-12)

@@ -139,3 +139,14 @@ def test_join_group_stats_prefixes(spark):
     st = gs.group_stats_multi(df, ["g"], "x")
     out = {r["uid"]: r for r in gs.join_group_stats(df, st, ["g"], ["mean"]).collect()}
     assert out[1]["g__mean"] == 2.0 and out[3]["g__mean"] is None
+
+
+def test_rank_methods_agree(spark, frame):
+    rows = frame + [("cont", i, float(np.sin(i) * 100)) for i in range(300)]   # many distinct values
+    df = spark.createDataFrame(rows, "g string, o int, x double")
+    a = {r["g"]: r for r in gs.order_free_stats(df, ["g"], "x", rank_method="prefix").collect()}
+    b = {r["g"]: r for r in gs.order_free_stats(df, ["g"], "x", rank_method="window").collect()}
+    assert set(a) == set(b)
+    for g in a:
+        for k in gs.ORDER_FREE:
+            assert close(a[g][k], b[g][k]), (g, k)

@@ -90,22 +90,43 @@ def _quantile(q: float, n: Column, v: Column, c: Column, before: Column) -> Colu
     return v_lo + (v_hi - v_lo) * F.max(frac)
 
 
-def order_free_stats(df: DataFrame, keys: str | Sequence[str], value: str) -> DataFrame:
-    """Every statistic except peaks/troughs, one row per non-null key."""
+def order_free_stats(df: DataFrame, keys: str | Sequence[str], value: str,
+                     rank_method: str = "prefix") -> DataFrame:
+    """Every statistic except peaks/troughs, one row per non-null key.
+
+    ``rank_method`` chooses how each distinct value learns how many smaller
+    values its group has: ``"prefix"`` (default) uses a range-partitioned
+    prefix sum, so a group with very many distinct values is still spread over
+    many tasks; ``"window"`` uses ``Window.partitionBy(keys)`` over the
+    compressed table — fewer jobs, fine when distinct values per group are
+    bounded (e.g. integer scores).
+    """
     keys = _as_list(keys)
     vc = value_counts(df, keys, value)
     v, c = F.col(_V), F.col(_C)
     nn = v.isNotNull()
-    cn = F.when(nn, c).otherwise(F.lit(0))
-    w_all = Window.partitionBy(*keys)
-    # Values below the current one (nulls sort first and are excluded via cn).
-    w_before = Window.partitionBy(*keys).orderBy(F.col(_V).asc_nulls_first()) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    vc = (
-        vc.withColumn("_n", F.sum(cn).over(w_all))
-        .withColumn("_sum", F.sum(F.when(nn, c * v)).over(w_all))
-        .withColumn("_before", F.coalesce(F.sum(cn).over(w_before), F.lit(0)))
-    )
+    if rank_method == "window":
+        w_all = Window.partitionBy(*keys)
+        w_before = Window.partitionBy(*keys).orderBy(F.col(_V).asc_nulls_first()) \
+            .rowsBetween(Window.unboundedPreceding, -1)
+        cn = F.when(nn, c).otherwise(F.lit(0))
+        vc = (
+            vc.withColumn("_n", F.sum(cn).over(w_all))
+            .withColumn("_sum", F.sum(F.when(nn, c * v)).over(w_all))
+            .withColumn("_before", F.coalesce(F.sum(cn).over(w_before), F.lit(0)))
+        )
+    elif rank_method == "prefix":
+        from .quantiles import prefix_sums
+        # per-group totals: one row per group
+        tot = vc.groupBy(*keys).agg(
+            F.sum(F.when(nn, c).otherwise(F.lit(0))).alias("_n"),
+            F.sum(F.when(nn, c * v)).alias("_sum"))
+        cum = prefix_sums(vc.where(nn), _V, [_C], keys=keys)
+        cum = cum.withColumn("_before", (F.col(f"{_C}_cum") - F.col(_C)).cast("long")).drop(f"{_C}_cum")
+        nulls = vc.where(~nn).select(*keys, _V, _C, F.lit(0).cast("long").alias("_before"))
+        vc = cum.unionByName(nulls).join(tot, keys)
+    else:
+        raise ValueError(f"unknown rank_method {rank_method}")
     n, s, before = F.col("_n"), F.col("_sum"), F.col("_before")
     mean = F.try_divide(s, n)
     dev = v - mean

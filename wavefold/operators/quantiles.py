@@ -10,7 +10,8 @@ distinct value. Here the work is split:
    partition bounds are fixed and each partition holds a contiguous value range;
 3. one small aggregate returns per-partition counts (≤ number of partitions
    rows) to the driver, which locates the partition holding each needed rank;
-4. only those partitions' compressed rows are read back and sorted.
+4. only those partitions' compressed rows are read back and sorted; a partition
+   holding more than ``max_collect`` distinct values is range-partitioned again.
 
 The result equals pandas' default linear interpolation.
 """
@@ -28,41 +29,55 @@ from pyspark.sql import functions as F
 from ..session import checkpoint, shuffle_partitions
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float | None]:
-    vc = (df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
-          .groupBy("x").agg(F.count(F.lit(1)).alias("c")))
-    nparts = shuffle_partitions(df.sparkSession)
-    ranged = checkpoint(vc.repartitionByRange(nparts, "x").withColumn(
-        "p", F.spark_partition_id()))
-    parts = sorted((r["p"], r["n"]) for r in
-                   ranged.groupBy("p").agg(F.sum("c").alias("n")).collect())
-    total = sum(n for _, n in parts)
-    if total == 0:
-        return [None for _ in probs]
+def _values_at_ranks(vc: DataFrame, ranks: set[int], max_collect: int, depth: int = 0) -> dict[int, float]:
+    """Values at the given 0-based ranks of a compressed ``(x, c)`` table.
+
+    Range-partition and checkpoint, locate each rank's partition from one row of
+    counts per partition, then either read that partition (when it holds at most
+    ``max_collect`` distinct values) or recurse into it.
+    """
+    nparts = shuffle_partitions(vc.sparkSession)
+    ranged = checkpoint(vc.repartitionByRange(nparts, "x").withColumn("p", F.spark_partition_id()))
+    parts = sorted((r["p"], r["n"], r["k"]) for r in ranged.groupBy("p").agg(
+        F.sum("c").alias("n"), F.count(F.lit(1)).alias("k")).collect())
     starts, acc = {}, 0
-    for p, n in parts:
+    for p, n, _ in parts:
         starts[p] = acc
         acc += n
     need: dict[int, set[int]] = {}
-    ranks = []
-    for q in probs:
-        h = (total - 1) * q
-        lo = int(math.floor(h))
-        hi = min(lo + 1, total - 1)
-        ranks.append((lo, hi, h - lo))
-        for r in (lo, hi):
-            p = max(pp for pp, _ in parts if starts[pp] <= r)
-            need.setdefault(p, set()).add(r)
+    for r in ranks:
+        p = max(pp for pp, _, _ in parts if starts[pp] <= r)
+        need.setdefault(p, set()).add(r)
+    distinct = {p: k for p, _, k in parts}
     values: dict[int, float] = {}
     for p, rs in need.items():
-        rows = sorted((r["x"], r["c"]) for r in
-                      ranged.where(F.col("p") == p).select("x", "c").collect())
+        sub = ranged.where(F.col("p") == p).select("x", "c")
+        if distinct[p] > max_collect and len(parts) > 1 and depth < 8:
+            local = _values_at_ranks(sub, {r - starts[p] for r in rs}, max_collect, depth + 1)
+            values.update({r: local[r - starts[p]] for r in rs})
+            continue
         pos = starts[p]
-        for x, c in rows:
+        for x, c in sorted((row["x"], row["c"]) for row in sub.collect()):
             for r in rs:
                 if pos <= r < pos + c:
                     values[r] = x
             pos += c
+    return values
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
+                    max_collect: int = 200_000) -> list[float | None]:
+    vc = (df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
+          .groupBy("x").agg(F.count(F.lit(1)).alias("c")))
+    total = vc.agg(F.sum("c")).first()[0] or 0
+    if total == 0:
+        return [None for _ in probs]
+    ranks = []
+    for q in probs:
+        h = (total - 1) * q
+        lo = int(math.floor(h))
+        ranks.append((lo, min(lo + 1, total - 1), h - lo))
+    values = _values_at_ranks(vc, {r for lo, hi, _ in ranks for r in (lo, hi)}, max_collect)
     return [values[lo] + (values[hi] - values[lo]) * frac for lo, hi, frac in ranks]
 
 
