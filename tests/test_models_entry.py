@@ -72,3 +72,13 @@ def test_some_oracles_match_at_smallest_scale(spark):
         d = sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in
                    con.sql(f"SELECT {', '.join(chr(34) + c + chr(34) for c in cols)} FROM ({orc[name]})").fetchall())
         assert s == d, name
+
+
+def test_survey_csv_inferred_types(spark):
+    d = tempfile.mkdtemp(prefix="wavefold-test-", dir="/tmp")
+    path = os.path.join(d, "g.csv")
+    with open(path, "w") as fh:
+        fh.write("uid,n,x,s\na1,1,1.5,u\na2,NA,2,v\na3,3,nan,\n")
+    df = io.read_survey_csv(spark, path)
+    assert dict(df.dtypes) == {"uid": "string", "n": "bigint", "x": "double", "s": "string"}
+    assert sorted(tuple(r) for r in df.collect()) == [("a1", 1, 1.5, "u"), ("a2", None, 2.0, "v"), ("a3", 3, None, None)]
