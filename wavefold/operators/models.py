@@ -220,6 +220,21 @@ def select_features(importance: DataFrame, threshold: float = 0.6) -> list[str]:
 
 # ------------------------------------------------------ class probabilities
 
+def class_labels(df: DataFrame, target: str, n_classes: int) -> DataFrame:
+    """Target → ``n`` equal-frequency classes 0..n−1 in a double ``_class`` column."""
+    return qcut(df, target, n_classes, out="_class").withColumn("_class", F.col("_class").cast("double"))
+
+
+def make_classifier(seed: int = 42):
+    return RandomForestClassifier(labelCol="_class", featuresCol=FEATURES, seed=seed, numTrees=30, maxDepth=6)
+
+
+def probability_columns(model_output: DataFrame, keys: Sequence[str], n_classes: int) -> DataFrame:
+    """``quantile_{i}_{n}`` columns from MLlib's probability vector."""
+    arr = vector_to_array("probability")
+    return model_output.select(*keys, *[arr[i].alias(f"quantile_{i}_{n_classes}") for i in range(n_classes)])
+
+
 def class_probabilities(df: DataFrame, target: str, n_classes: int, fold: str, keys: Sequence[str],
                         seed: int = 42, unseen: DataFrame | None = None) -> DataFrame:
     """Target → ``n`` equal-frequency classes; OOF class probabilities (M6).
@@ -227,19 +242,13 @@ def class_probabilities(df: DataFrame, target: str, n_classes: int, fold: str, k
     Columns ``quantile_{i}_{n}``; rows of ``unseen`` are scored by the model
     fitted on all training rows.
     """
-    x = qcut(df, target, n_classes, out="_class").withColumn("_class", F.col("_class").cast("double"))
-    clf = RandomForestClassifier(labelCol="_class", featuresCol=FEATURES, seed=seed, numTrees=30, maxDepth=6)
-    cols = [f"quantile_{i}_{n_classes}" for i in range(n_classes)]
-
-    def probs(t: DataFrame) -> DataFrame:
-        arr = vector_to_array("probability")
-        return t.select(*keys, *[arr[i].alias(c) for i, c in enumerate(cols)])
-
-    x = x.persist()
-    parts = [probs(clf.fit(x.where(F.col(fold) != k)).transform(x.where(F.col(fold) == k)))
+    x = class_labels(df, target, n_classes).persist()
+    clf = make_classifier(seed)
+    parts = [probability_columns(clf.fit(x.where(F.col(fold) != k)).transform(x.where(F.col(fold) == k)),
+                                 keys, n_classes)
              for k in _fold_values(x, fold)]
     if unseen is not None:
-        parts.append(probs(clf.fit(x).transform(unseen)))
+        parts.append(probability_columns(clf.fit(x).transform(unseen), keys, n_classes))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -252,12 +261,16 @@ def fit_pipeline(df: DataFrame, stages: list, estimator) -> PipelineModel:
     return Pipeline(stages=[*stages, estimator]).fit(df)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model, path: str) -> None:
+    """Save any fitted MLlib model; single models are wrapped in a ``PipelineModel``
+    so ``load_model`` needs no class name."""
+    pm = model if isinstance(model, PipelineModel) else PipelineModel(stages=[model])
+    pm.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str, unwrap: bool = False):
+    pm = PipelineModel.load(path)
+    return pm.stages[0] if unwrap else pm
 
 
 def predict(model: PipelineModel, df: DataFrame, keys: Sequence[str], out: str = "predicted_score") -> DataFrame:

@@ -80,31 +80,63 @@ def _numeric_columns(df: DataFrame, exclude: Sequence[str]) -> list[str]:
     return [c for c, t in df.dtypes if t in num and c not in set(exclude)]
 
 
-def preprocess(raw: DataFrame, cfg: SurveyConfig, spec: FeatureSpec) -> DataFrame:
-    """Wide → encoded wide, on train and test features together (reference order)."""
+def _waves_first_second(cols: Sequence[str]) -> tuple[list[str], list[str]]:
+    return [c for c in cols if c.endswith("_03")], [c for c in cols if c.endswith("_12")]
+
+
+@dataclass
+class Prep:
+    """Fitted preprocessing: caps, dropped columns and the one-hot vocabulary."""
+    caps: cl.Caps | None
+    dropped: list
+    onehot: rs.OneHot
+
+
+def fit_preprocess(raw: DataFrame, cfg: SurveyConfig, spec: FeatureSpec) -> Prep:
+    """Fit on train and test features together, as the reference does."""
     x = raw
-    first = [c for c in x.columns if c.endswith("_03")]
-    second = [c for c in x.columns if c.endswith("_12")]
     if spec.drop_sparse:
-        x = cl.drop_sparse_rows(x, first, second)
-    if spec.winsorize:
-        x = cl.winsorize(x, [c for c in cfg.income if c in x.columns], 0.99)
+        x = cl.drop_sparse_rows(x, *_waves_first_second(x.columns))
+    caps = cl.fit_caps(x, [c for c in cfg.income if c in x.columns], 0.99) if spec.winsorize else None
+    dropped = []
     if spec.drop_fraction:
-        x = cl.sample_columns(x, spec.drop_fraction, keep=cfg.essential, seed=42)
+        kept = cl.sample_columns(x, spec.drop_fraction, keep=cfg.essential, seed=42).columns
+        dropped = [c for c in x.columns if c not in kept]
+    x = x.drop(*dropped)
+    if cfg.age_columns and all(c in x.columns for c in cfg.age_columns):
+        x = cl.narrow_age(x, *cfg.age_columns, cfg.age_ranges)
+    x = cl.recode_bands(cl.ordinal_encode(x, cfg.ordinal), cfg.bands)
+    return Prep(caps, dropped, rs.fit_onehot(x, [c for c in cfg.onehot if c in x.columns], null_flag=True))
+
+
+def apply_preprocess(raw: DataFrame, prep: Prep, cfg: SurveyConfig, spec: FeatureSpec) -> DataFrame:
+    """Wide → encoded wide (reference order); the schema follows the fitted vocabulary."""
+    x = raw
+    if spec.drop_sparse:
+        x = cl.drop_sparse_rows(x, *_waves_first_second(x.columns))
+    if prep.caps is not None:
+        x = prep.caps.apply(x)
+    x = x.drop(*[c for c in prep.dropped if c in x.columns])
     if cfg.age_columns and all(c in x.columns for c in cfg.age_columns):
         x = cl.narrow_age(x, *cfg.age_columns, cfg.age_ranges)
-    x = cl.ordinal_encode(x, cfg.ordinal)
-    x = cl.recode_bands(x, cfg.bands)
-    oh = rs.fit_onehot(x, [c for c in cfg.onehot if c in x.columns], null_flag=True)
-    x = oh.apply(x)
-    return fe.wave_differences(x, key=cfg.key)
+    x = cl.recode_bands(cl.ordinal_encode(x, cfg.ordinal), cfg.bands)
+    return fe.wave_differences(prep.onehot.apply(x), key=cfg.key)
+
+
+def preprocess(raw: DataFrame, cfg: SurveyConfig, spec: FeatureSpec) -> DataFrame:
+    return apply_preprocess(raw, fit_preprocess(raw, cfg, spec), cfg, spec)
 
 
-def _assemble(train: DataFrame, others: Sequence[DataFrame], cols: Sequence[str]):
+def _fit_assembler(train: DataFrame, cols: Sequence[str]):
     tr = mo.prepare_inputs(train, cols)
-    stages, slots = mo.assembler_stages(tr, cols)
-    prep = Pipeline(stages=stages).fit(tr)
-    return prep.transform(tr), [prep.transform(mo.prepare_inputs(o, cols)) for o in others]
+    stages, _ = mo.assembler_stages(tr, cols)
+    return Pipeline(stages=stages).fit(tr)
+
+
+def _assemble_with(prep, df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    present = set(df.columns)
+    x = df.withColumns({c: F.lit(None).cast("double") for c in cols if c not in present})
+    return prep.transform(mo.prepare_inputs(x, cols))
 
 
 def _long(df: DataFrame, dataset: str, model: str, seed, col: str = "predicted_score") -> DataFrame:
@@ -112,127 +144,276 @@ def _long(df: DataFrame, dataset: str, model: str, seed, col: str = "predicted_s
                      F.lit(seed).cast("int").alias("seed"), F.col(col).cast("double").alias("predicted_score"))
 
 
-def run_spec(spark: SparkSession, train_features: DataFrame, train_labels: DataFrame,
-             test_features: DataFrame, test_keys: DataFrame, cfg: SurveyConfig,
-             spec: FeatureSpec) -> DataFrame:
+def _finish(parts: list[DataFrame], key: str, spec: FeatureSpec) -> DataFrame:
+    long = rs.union_all(parts)
+    final = bl.finalize(long.where(F.col("model") == "blended"), ("dataset", key, "year"), "predicted_score",
+                        out="predicted_score")
+    final = final.select("dataset", key, "year", F.lit("final").alias("model"),
+                         F.lit(None).cast("int").alias("seed"), "predicted_score")
+    return long.unionByName(final).withColumn("spec", F.lit(spec.name))
+
+
+@dataclass
+class SpecModel:
+    """Everything fitted on train that scoring new rows needs.
+
+    Scoring reruns the row-wise preprocessing with the fitted vocabulary, caps,
+    participation codes and group statistics, then the saved models, stack,
+    category vocabulary and blend weights.
+    """
+    cfg: SurveyConfig
+    spec: FeatureSpec
+    prep: Prep
+    patterns: DataFrame                 # (pattern, year_participation)
+    stats: DataFrame | None             # long group statistics
+    change: tuple | None                # (assembler, model, cols)
+    classes: tuple | None               # (assembler, model, cols)
+    base_prep: object
+    base_cols: list
+    base: dict                          # (kind, seed) → model
+    stack: dict                         # seed → (model, fills)
+    topk: fe.TopK
+    category_source: str
+    weights: dict                       # seed → (category, model, weight)
+
+    def matrix(self, features: DataFrame, keys: DataFrame) -> DataFrame:
+        """Scoring rows ``(uid, year)`` with every feature family of the spec."""
+        cfg, spec, key = self.cfg, self.spec, self.cfg.key
+        enc = apply_preprocess(features, self.prep, cfg, spec)
+        long_new = rs.wide_to_long(features, key, cfg.waves).select(key, "year")
+        pats = pa.year_patterns(long_new, keys.select(key, "year"), key)
+        enc = enc.join(pa.PatternVocab(self.patterns).apply(pats, key), key, "left")
+        x = keys.select(key, "year").join(enc, key, "left")
+        x = fe.age_interactions(fe.log_columns(x))
+        if self.stats is not None:
+            gv = [g for g in cfg.group_vars if g in x.columns]
+            x = gs.join_group_stats(x, self.stats, gv)
+        if self.change is not None:
+            asm, model, cols = self.change
+            wide = _assemble_with(asm, enc, cols)
+            diff = model.transform(wide).select(key, F.col("prediction").alias("composite_score_diff_pred"))
+            x = x.join(diff, key, "left")
+        if self.classes is not None:
+            asm, model, cols = self.classes
+            probs = mo.probability_columns(model.transform(_assemble_with(asm, x, cols)), [key, "year"],
+                                           self.spec.n_classes)
+            x = x.join(probs, [key, "year"], "left")
+        return x
+
+    def score(self, features: DataFrame, keys: DataFrame, dataset: str = "test") -> DataFrame:
+        """Long predictions for new rows: base models, stack, blend, final."""
+        key, spec = self.cfg.key, self.spec
+        x = checkpoint(self.matrix(features, keys))
+        xv = checkpoint(_assemble_with(self.base_prep, x, self.base_cols))
+        cats = self.topk.apply(x.select(key, "year", F.col(self.category_source).cast("string").alias("category")),
+                               out="category")
+        parts, base = [], {}
+        for (kind, seed), model in self.base.items():
+            base[(kind, seed)] = model.transform(xv).select(
+                key, "year", bl.directed_round("prediction").alias("predicted_score"))
+            parts.append(_long(base[(kind, seed)], dataset, kind, seed))
+        for seed, (lasso, fills) in self.stack.items():
+            lin = _stack_apply(lasso, fills, base, spec, seed, key)
+            parts.append(_long(lin, dataset, "linear1", seed))
+            p = rs.union_all([_long(base[(k, seed)], dataset, k, seed) for k in spec.models]
+                             + [_long(lin, dataset, "linear1", seed)]).join(cats, [key, "year"])
+            b = bl.blend(p, self.weights[seed]).withColumn("seed", F.lit(seed))
+            parts.append(_long(b, dataset, "blended", seed, "blended_score"))
+        return _finish(parts, key, spec)
+
+    # ------------------------------------------------------------ persistence
+    def save(self, path: str) -> None:
+        from ..sources import io
+        spark = self.patterns.sparkSession
+        root = path.rstrip("/")
+        tables = {"patterns": self.patterns}
+        if self.stats is not None:
+            tables["stats"] = self.stats
+        for seed, w in self.weights.items():
+            tables[f"weights_{seed}"] = w
+        params = {
+            "spec": {k: v for k, v in self.spec.__dict__.items()},
+            "cfg": {k: (list(v) if isinstance(v, tuple) else v) for k, v in self.cfg.__dict__.items()},
+            "prep": {"caps": self.prep.caps.values if self.prep.caps else None, "dropped": self.prep.dropped,
+                     "onehot": self.prep.onehot.values, "null_flag": self.prep.onehot.null_flag},
+            "base_cols": self.base_cols, "base": [[k, s] for k, s in self.base],
+            "stack": {str(s): f for s, (_, f) in self.stack.items()},
+            "topk": {"col": self.topk.col, "values": self.topk.values, "other": self.topk.other},
+            "category_source": self.category_source,
+            "change_cols": self.change[2] if self.change else None,
+            "class_cols": self.classes[2] if self.classes else None,
+        }
+        io.write_bundle(tables, params, root, spark)
+        mo.save_model(self.base_prep, f"{root}/models/base_prep")
+        for (kind, seed), m in self.base.items():
+            mo.save_model(m, f"{root}/models/base_{kind}_{seed}")
+        for seed, (m, _) in self.stack.items():
+            mo.save_model(m, f"{root}/models/stack_{seed}")
+        for name, part in (("change", self.change), ("classes", self.classes)):
+            if part is not None:
+                mo.save_model(part[0], f"{root}/models/{name}_prep")
+                mo.save_model(part[1], f"{root}/models/{name}")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "SpecModel":
+        from ..sources import io
+        root = path.rstrip("/")
+        _, p = io.read_bundle(spark, root, [])
+        spec = FeatureSpec(**p["spec"])
+        cfg_d = dict(p["cfg"])
+        if cfg_d.get("age_columns") is not None:
+            cfg_d["age_columns"] = tuple(cfg_d["age_columns"])
+        cfg_d["age_ranges"] = {k: tuple(v) for k, v in cfg_d.get("age_ranges", {}).items()}
+        cfg = SurveyConfig(**cfg_d)
+        names = ["patterns"] + (["stats"] if spec.group_stats else []) + \
+            [f"weights_{s}" for s in range(spec.n_seeds)]
+        tables, _ = io.read_bundle(spark, root, names)
+        pp = p["prep"]
+        prep = Prep(cl.Caps(pp["caps"]) if pp["caps"] else None, pp["dropped"],
+                    rs.OneHot(pp["onehot"], pp["null_flag"]))
+        load = lambda n: mo.load_model(f"{root}/models/{n}", unwrap=True)
+        part = lambda n, cols: (mo.load_model(f"{root}/models/{n}_prep"), load(n), cols) if cols else None
+        return cls(
+            cfg=cfg, spec=spec, prep=prep, patterns=tables["patterns"], stats=tables.get("stats"),
+            change=part("change", p["change_cols"]), classes=part("classes", p["class_cols"]),
+            base_prep=mo.load_model(f"{root}/models/base_prep"), base_cols=p["base_cols"],
+            base={(k, s): load(f"base_{k}_{s}") for k, s in p["base"]},
+            stack={int(s): (load(f"stack_{s}"), f) for s, f in p["stack"].items()},
+            topk=fe.TopK(**p["topk"]), category_source=p["category_source"],
+            weights={s: tables[f"weights_{s}"] for s in range(spec.n_seeds)})
+
+
+def _stack_apply(lasso, fills: dict, base: dict, spec: FeatureSpec, seed: int, key: str) -> DataFrame:
+    names = [f"composite_score_{kind}" for kind in spec.models]
+    w = None
+    for kind, name in zip(spec.models, names):
+        b = base[(kind, seed)].select(key, "year", F.col("predicted_score").alias(name))
+        w = b if w is None else w.join(b, [key, "year"])
+    va = VectorAssembler(inputCols=names, outputCol=mo.FEATURES, handleInvalid="keep")
+    return lasso.transform(va.transform(cl.fill_values(w, fills))).select(
+        key, "year", bl.directed_round("prediction").alias("predicted_score"))
+
+
+def fit_spec(spark: SparkSession, train_features: DataFrame, train_labels: DataFrame,
+             cfg: SurveyConfig, spec: FeatureSpec, vocab_features: DataFrame | None = None,
+             vocab_keys: DataFrame | None = None) -> tuple[DataFrame, SpecModel]:
+    """Fit every stage on train; return train predictions (out of fold) and the model.
+
+    ``vocab_features`` / ``vocab_keys`` (e.g. the test features) join the train
+    rows where the reference fits on train and test together: the one-hot
+    vocabulary, the caps and the column sample.
+    """
     key = cfg.key
-    raw = rs.union_all([train_features, test_features])
-    prep = preprocess(raw, cfg, spec)
+    raw = rs.union_all([train_features] + ([vocab_features] if vocab_features is not None else []))
+    prep_fit = fit_preprocess(raw, cfg, spec)
+    enc = apply_preprocess(train_features, prep_fit, cfg, spec)
 
-    # participation codes from the raw waves (train vocabulary)
     long_tr = rs.wide_to_long(train_features, key, cfg.waves).select(key, "year")
-    long_te = rs.wide_to_long(test_features, key, cfg.waves).select(key, "year")
-    codes = pa.participation_codes(long_tr, train_labels.select(key, "year"), long_te,
-                                   test_keys.select(key, "year"), key)
+    pats_tr = pa.year_patterns(long_tr, train_labels.select(key, "year"), key)
+    vocab = pa.fit_pattern_vocab(pats_tr)
+    patterns = checkpoint(vocab.table)
     # stage boundary (the reference pickles here): cut the lineage once
-    prep = checkpoint(prep.join(codes, key, "left"))
+    enc = checkpoint(enc.join(pa.PatternVocab(patterns).apply(pats_tr, key), key, "left"))
 
-    train = train_labels.select(key, "year", "composite_score").join(prep, key, "left")
-    test = test_keys.select(key, "year").join(prep, key, "left")
+    train = train_labels.select(key, "year", "composite_score").join(enc, key, "left")
     train = fe.age_interactions(fe.log_columns(train))
-    test = fe.age_interactions(fe.log_columns(test))
 
+    stats = None
     if spec.group_stats:
         gv = [g for g in cfg.group_vars if g in train.columns]
         if gv:
-            stats = gs.group_stats_multi(train, gv, "composite_score", [key, "year"])
+            stats = checkpoint(gs.group_stats_multi(train, gv, "composite_score", [key, "year"]))
             train = gs.join_group_stats(train, stats, gv)
-            test = gs.join_group_stats(test, stats, gv)
 
-    # key-level folds of complete label pairs (fold1) and the relative-change model
     pairs = cl.complete_pairs(train_labels, key)
     fold1 = fo.kfold(pairs, key, spec.k, 42, out="fold1")
+    change = None
     if spec.change:
         target = rs.pivot_change(train_labels, key).select(key, F.col("composite_score_diff").alias("label"))
-        wide_cols = _numeric_columns(prep, [key])
-        wtrain = fo.kfold(cl.semi_join(prep, pairs, key).join(target, key).where(F.col("label").isNotNull()),
+        wide_cols = _numeric_columns(enc, [key])
+        wtrain = fo.kfold(cl.semi_join(enc, pairs, key).join(target, key).where(F.col("label").isNotNull()),
                           key, spec.k, 42, out="fold1")
-        rest = cl.anti_join(prep, wtrain.select(key), key)
-        wtrain_v, (rest_v,) = _assemble(wtrain, [rest], wide_cols)
+        asm = _fit_assembler(wtrain, wide_cols)
+        wtrain_v = checkpoint(_assemble_with(asm, wtrain, wide_cols))
         est = mo.make_regressor("gbt_shallow", spec.model_params, 42)
         oof = mo.oof_predict(wtrain_v, est, "fold1", [key], out="composite_score_diff_pred")
-        full = est.fit(wtrain_v).transform(rest_v).select(key, F.col("prediction").alias("composite_score_diff_pred"))
+        full_model = est.fit(wtrain_v)
+        rest = _assemble_with(asm, cl.anti_join(enc, wtrain.select(key), key), wide_cols)
+        full = full_model.transform(rest).select(key, F.col("prediction").alias("composite_score_diff_pred"))
         diff = checkpoint(oof.select(key, "composite_score_diff_pred").unionByName(full))
         train = train.join(diff, key, "left")
-        test = test.join(diff, key, "left")
+        change = (asm, full_model, wide_cols)
     train = checkpoint(fo.combined_fold(train, fold1, key, spec.k, 42, row_keys=(key, "year")))
-    test = checkpoint(test)
     train = fo.group_kfold(train, "combined_fold", spec.k, out="gfold")
 
     exclude = [key, "composite_score", "fold1", "gfold", "label"]
+    classes = None
     if spec.class_probs:
         cols0 = _numeric_columns(train, exclude + ["year"])
-        tr_v, (te_v,) = _assemble(train, [test], cols0)
-        tr_v = fo.kfold(tr_v, [key, "year"], spec.k, 42, out="rfold")
-        probs = mo.class_probabilities(tr_v, "composite_score", spec.n_classes, "rfold", [key, "year"], 42, unseen=te_v)
-        probs = checkpoint(probs)
+        asm0 = _fit_assembler(train, cols0)
+        tr_v = fo.kfold(_assemble_with(asm0, train, cols0), [key, "year"], spec.k, 42, out="rfold")
+        probs = checkpoint(mo.class_probabilities(tr_v, "composite_score", spec.n_classes, "rfold",
+                                                  [key, "year"], 42))
+        clf = mo.make_classifier(42).fit(mo.class_labels(tr_v, "composite_score", spec.n_classes))
         train = train.join(probs, [key, "year"], "left")
-        test = test.join(probs, [key, "year"], "left")
+        classes = (asm0, clf, cols0)
 
     cols = _numeric_columns(train, exclude)
-    train_v, (test_v,) = _assemble(train.withColumn("label", F.col("composite_score")), [test], cols)
-    train_v, test_v = checkpoint(train_v), checkpoint(test_v)
+    base_prep = _fit_assembler(train, cols)
+    train_v = checkpoint(_assemble_with(base_prep, train.withColumn("label", F.col("composite_score")), cols))
 
-    parts = []
-    base_tr, base_te = {}, {}
+    parts, base_tr, base_models = [], {}, {}
     for kind in spec.models:
         for seed in range(spec.n_seeds):
             est = mo.make_regressor(kind, spec.model_params, seed)
             oof = mo.oof_predict(train_v, est, "gfold", [key, "year"])
-            oof = checkpoint(oof.withColumn("predicted_score", bl.directed_round("predicted_score")))
-            te = checkpoint(est.fit(train_v).transform(test_v).select(
-                key, "year", bl.directed_round("prediction").alias("predicted_score")))
-            base_tr[(kind, seed)], base_te[(kind, seed)] = oof, te
-            parts += [_long(oof, "train", kind, seed), _long(te, "test", kind, seed)]
+            base_tr[(kind, seed)] = checkpoint(oof.withColumn("predicted_score",
+                                                              bl.directed_round("predicted_score")))
+            base_models[(kind, seed)] = est.fit(train_v)
+            parts.append(_long(base_tr[(kind, seed)], "train", kind, seed))
 
     cat_src = cfg.category if cfg.category in train.columns else "year"
     cats_tr = train.select(key, "year", F.col(cat_src).cast("string").alias("category"))
-    cats_te = test.select(key, "year", F.col(cat_src).cast("string").alias("category"))
     topk = fe.fit_top_k(cats_tr, "category", spec.top_k)
-    cats_tr, cats_te = topk.apply(cats_tr), topk.apply(cats_te)
+    cats_tr = topk.apply(cats_tr, out="category")
+    truth = train.select(key, "year", "composite_score")
 
+    stack, weights = {}, {}
     for seed in range(spec.n_seeds):
         # L1 stack over this seed's base predictions; in-sample on train (Q5)
         names = [f"composite_score_{kind}" for kind in spec.models]
-
-        def wide(base, ds):
-            w = None
-            for kind, name in zip(spec.models, names):
-                b = base[(kind, seed)].select(key, "year", F.col("predicted_score").alias(name))
-                w = b if w is None else w.join(b, [key, "year"])
-            return w
-
-        wtr = wide(base_tr, "train").join(train.select(key, "year", F.col("composite_score").alias("label")),
-                                          [key, "year"])
-        wte = wide(base_te, "test")
-        fills = cl.fit_fill_quantile(wtr, names, 0.5)
+        w = None
+        for kind, name in zip(spec.models, names):
+            b = base_tr[(kind, seed)].select(key, "year", F.col("predicted_score").alias(name))
+            w = b if w is None else w.join(b, [key, "year"])
+        w = w.join(truth.withColumnRenamed("composite_score", "label"), [key, "year"])
+        fills = cl.fit_fill_quantile(w, names, 0.5)
         va = VectorAssembler(inputCols=names, outputCol=mo.FEATURES, handleInvalid="keep")
-        wtr_v = va.transform(cl.fill_values(wtr, fills))
-        wte_v = va.transform(cl.fill_values(wte, fills))
-        lasso = mo.make_regressor("lasso", {"regParam": 0.1}, 5).fit(wtr_v)
-        lin_tr = lasso.transform(wtr_v).withColumn("predicted_score", bl.directed_round("prediction"))
-        lin_te = lasso.transform(wte_v).withColumn("predicted_score", bl.directed_round("prediction"))
-        parts += [_long(lin_tr, "train", "linear1", seed), _long(lin_te, "test", "linear1", seed)]
-
+        lasso = mo.make_regressor("lasso", {"regParam": 0.1}, 5).fit(va.transform(cl.fill_values(w, fills)))
+        stack[seed] = (lasso, fills)
+        lin_tr = _stack_apply(lasso, fills, base_tr, spec, seed, key)
+        parts.append(_long(lin_tr, "train", "linear1", seed))
         # per-category softmax blend of base models and the stack
         ptr = rs.union_all([_long(base_tr[(k, seed)], "train", k, seed) for k in spec.models]
                            + [_long(lin_tr, "train", "linear1", seed)])
-        pte = rs.union_all([_long(base_te[(k, seed)], "test", k, seed) for k in spec.models]
-                           + [_long(lin_te, "test", "linear1", seed)])
-        ptr = ptr.join(cats_tr, [key, "year"]).join(
-            train.select(key, "year", "composite_score"), [key, "year"])
-        pte = pte.join(cats_te, [key, "year"])
-        weights = bl.group_rmse_weights(ptr)
-        for ds, p in (("train", ptr), ("test", pte)):
-            b = bl.blend(p, weights).withColumn("seed", F.lit(seed))
-            parts.append(_long(b, ds, "blended", seed, "blended_score"))
+        ptr = ptr.join(cats_tr, [key, "year"]).join(truth, [key, "year"])
+        weights[seed] = checkpoint(bl.group_rmse_weights(ptr))
+        b = bl.blend(ptr, weights[seed]).withColumn("seed", F.lit(seed))
+        parts.append(_long(b, "train", "blended", seed, "blended_score"))
 
-    long = rs.union_all(parts)
-    final = bl.finalize(long.where(F.col("model") == "blended"), ("dataset", key, "year"), "predicted_score",
-                        out="predicted_score")
-    final = final.select("dataset", key, "year", F.lit("final").alias("model"),
-                         F.lit(None).cast("int").alias("seed"), "predicted_score")
-    return long.unionByName(final).withColumn("spec", F.lit(spec.name))
+    model = SpecModel(cfg=cfg, spec=spec, prep=prep_fit, patterns=patterns, stats=stats, change=change,
+                      classes=classes, base_prep=base_prep, base_cols=cols, base=base_models, stack=stack,
+                      topk=topk, category_source=cat_src, weights=weights)
+    return _finish(parts, key, spec), model
+
+
+def run_spec(spark: SparkSession, train_features: DataFrame, train_labels: DataFrame,
+             test_features: DataFrame, test_keys: DataFrame, cfg: SurveyConfig,
+             spec: FeatureSpec) -> DataFrame:
+    """Train (out-of-fold) and test predictions of one specification, long."""
+    train_pred, model = fit_spec(spark, train_features, train_labels, cfg, spec,
+                                 vocab_features=test_features)
+    return train_pred.unionByName(model.score(test_features, test_keys))
 
 
 def run_specs(spark: SparkSession, specs: Sequence[FeatureSpec], *args, **kwargs) -> DataFrame:
@@ -254,3 +435,23 @@ def specification_list() -> list[FeatureSpec]:
             replace(full, name="replace_outliers", winsorize=True),
             replace(full, name="remove_na_obs", drop_sparse=True),
             full]
+
+
+def score_scenarios(model: SpecModel, scenario_features: DataFrame, keys: DataFrame,
+                    scenario: str = "feature_category") -> DataFrame:
+    """Score a long scenario table with one fitted bundle in one pass.
+
+    The scenario id is folded into a surrogate key, so every join of the scoring
+    flow stays a plain key join; the id is split off again at the end.
+    """
+    key = model.cfg.key
+    sep = "#"
+    comp = F.concat_ws(sep, F.col(scenario), F.col(key).cast("string"))
+    feats = scenario_features.withColumn(key, comp).drop(scenario)
+    ks = scenario_features.select(scenario, key).join(keys.select(key, "year"), key) \
+        .select(comp.alias(key), "year")
+    pred = model.score(feats, ks, dataset="scenario")
+    parts = F.split(F.col(key), sep, 2)
+    key_type = dict(scenario_features.dtypes)[key]
+    return pred.select(parts.getItem(0).alias(scenario), parts.getItem(1).cast(key_type).alias(key),
+                       *[c for c in pred.columns if c != key])
