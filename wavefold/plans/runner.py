@@ -176,6 +176,10 @@ class SpecModel:
     category_source: str
     weights: dict                       # seed → (category, model, weight)
 
+    @property
+    def n_patterns(self) -> int:
+        return self.patterns.count()
+
     def matrix(self, features: DataFrame, keys: DataFrame) -> DataFrame:
         """Scoring rows ``(uid, year)`` with every feature family of the spec."""
         cfg, spec, key = self.cfg, self.spec, self.cfg.key
@@ -183,6 +187,7 @@ class SpecModel:
         long_new = rs.wide_to_long(features, key, cfg.waves).select(key, "year")
         pats = pa.year_patterns(long_new, keys.select(key, "year"), key)
         enc = enc.join(pa.PatternVocab(self.patterns).apply(pats, key), key, "left")
+        enc = pa.participation_onehot(enc, self.n_patterns)
         x = keys.select(key, "year").join(enc, key, "left")
         x = fe.age_interactions(fe.log_columns(x))
         if self.stats is not None:
@@ -313,7 +318,10 @@ def fit_spec(spark: SparkSession, train_features: DataFrame, train_labels: DataF
     vocab = pa.fit_pattern_vocab(pats_tr)
     patterns = checkpoint(vocab.table)
     # stage boundary (the reference pickles here): cut the lineage once
-    enc = checkpoint(enc.join(pa.PatternVocab(patterns).apply(pats_tr, key), key, "left"))
+    n_patterns = patterns.count()   # a handful of year combinations
+    enc = enc.join(pa.PatternVocab(patterns).apply(pats_tr, key), key, "left")
+    # the code is kept next to its one-hot columns, as in the reference (K3)
+    enc = checkpoint(pa.participation_onehot(enc, n_patterns))
 
     train = train_labels.select(key, "year", "composite_score").join(enc, key, "left")
     train = fe.age_interactions(fe.log_columns(train))
