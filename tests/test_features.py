@@ -3,7 +3,6 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from wavefold.operators import clean as cl
 from wavefold.operators import features as fe

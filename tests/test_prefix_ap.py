@@ -1,7 +1,6 @@
 """Distributed prefix sums and average precision against brute force."""
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from wavefold.operators.quantiles import prefix_sums
 from wavefold.operators.report import average_precision
