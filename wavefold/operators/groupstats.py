@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint, shuffle_partitions
+from ..session import checkpoint
 
 # The statistic names and quintile labels of the reference's
 # group-statistics block, in its order.
@@ -319,8 +319,8 @@ def peaks_troughs(df: DataFrame, keys: str | Sequence[str], value: str,
     order_by = _as_list(order_by)
     base = df.where(_not_null(keys) & F.col(value).isNotNull()).select(
         *keys, *order_by, F.col(value).cast("double").alias(_V))
-    nparts = shuffle_partitions(df.sparkSession)
-    ranged = base.repartitionByRange(nparts, *keys, *order_by) \
+    # no fixed count: AQE may merge small neighbouring ranges, which keeps their order
+    ranged = base.repartitionByRange(*keys, *order_by) \
         .sortWithinPartitions(*keys, *order_by)
     segs = _partition_summaries(ranged, keys)
     w = Window.partitionBy(*keys).orderBy("_pid")

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint, shuffle_partitions
+from ..session import checkpoint
 from .reshape import OneHot
 
 
@@ -78,8 +78,8 @@ def dense_index(df: DataFrame, order: list[str], name: str = "idx") -> DataFrame
     per partition (one small row per partition), and add each partition's
     offset to the row's position inside it.
     """
-    nparts = shuffle_partitions(df.sparkSession)
-    r = (df.repartitionByRange(nparts, *order).sortWithinPartitions(*order)
+    # no fixed count: AQE may merge small neighbouring ranges, which keeps their order
+    r = (df.repartitionByRange(*order).sortWithinPartitions(*order)
          .withColumn("_p", F.spark_partition_id())
          .withColumn("_m", F.monotonically_increasing_id()))
     r = checkpoint(r)

@@ -98,8 +98,8 @@ def prefix_sums(df: DataFrame, order: str, cols: list[str], keys: list[str] | No
 
     keys = list(keys or [])
     o = F.col(order).desc() if descending else F.col(order).asc()
-    nparts = shuffle_partitions(df.sparkSession)
-    ranged = df.repartitionByRange(nparts, *keys, o).sortWithinPartitions(*keys, o)
+    # no fixed count: AQE may merge small neighbouring ranges, which keeps their order
+    ranged = df.repartitionByRange(*keys, o).sortWithinPartitions(*keys, o)
     out_fields = list(df.schema.fields) + [T.StructField("_p", T.IntegerType())] + [
         T.StructField(f"{c}_local", T.DoubleType()) for c in cols]
     schema = T.StructType(out_fields)
