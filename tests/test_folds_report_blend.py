@@ -98,3 +98,13 @@ def test_catalogue_counts(spark):
            for r in sc.catalogue(df).collect()}
     assert got == {("f", "a"): (True, True, 1, 2, None), ("f", "b"): (True, True, 1, 0, None),
                    ("st", "s"): (False, False, 0, 0, 1)}
+
+
+def test_zero_denominators_give_null(spark):
+    # one-row group: some Poisson replicates draw it zero times
+    df = spark.createDataFrame([(1, 5.0, "g")], "id int, v double, g string")
+    r = rp.bootstrap_se(df, "v", ["g"], ["id"], n_boot=30, seed=3).first()
+    assert r["mean"] == 5.0 and (r["se"] is None or r["se"] == 0.0)
+    z = spark.createDataFrame([("a", 0.0, 0.0, "m")], "group string, predicted_score double, composite_score double, model string")
+    assert rp.fairness(rp.rmse_by_groups(z, ["group"])).first()["fairness"] is None
+    assert spark.range(1).select(rp.percent_change(F.lit(1.0), F.lit(0.0)).alias("p")).first()["p"] is None

@@ -69,7 +69,7 @@ def fairness(rmse_table: DataFrame, by: Sequence[str] = ("group_var", "model"),
     """
     t = rmse_table if null_groups else rmse_table.where(F.col("group").isNotNull())
     return t.groupBy(*by).agg(
-        (1 - (F.max("rmse") - F.min("rmse")) / F.max("rmse")).alias("fairness"))
+        (1 - F.try_divide(F.max("rmse") - F.min("rmse"), F.max("rmse"))).alias("fairness"))
 
 
 def fold_stability(df: DataFrame, fold: str = "combined_fold") -> DataFrame:
@@ -115,19 +115,19 @@ def top_bottom(df: DataFrame, col: str, n: int = 5) -> DataFrame:
 def percent_change(value: str | Column, baseline: str | Column) -> Column:
     """``(x − b) / b · 100``."""
     x, b = col_or(value), col_or(baseline)
-    return (x - b) / b * 100
+    return F.try_divide(x - b, b) * 100
 
 
 def scale_se(se: str | Column, n: str | Column, total: str | Column) -> Column:
     """``se · sqrt(n / total)``."""
-    return col_or(se) * F.sqrt(col_or(n).cast("double") / col_or(total))
+    return col_or(se) * F.sqrt(F.try_divide(col_or(n).cast("double"), col_or(total)))
 
 
 def scale_interval(lower: str | Column, upper: str | Column, n: str | Column,
                    total: str | Column) -> tuple[Column, Column]:
     """Shrink an interval around its centre by ``sqrt(n / total)``."""
     lo, hi = col_or(lower), col_or(upper)
-    mid, half = (hi + lo) / 2, (hi - lo) / 2 * F.sqrt(col_or(n).cast("double") / col_or(total))
+    mid, half = (hi + lo) / 2, (hi - lo) / 2 * F.sqrt(F.try_divide(col_or(n).cast("double"), col_or(total)))
     return mid - half, mid + half
 
 
@@ -179,7 +179,8 @@ def bootstrap_replicates(df: DataFrame, value: str, by: Sequence[str], row_id: S
         "*", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("b"))
     x = x.withColumn("_w", poisson_weight(replicate_uniform("_h1", "_h2", "b")))
     return x.groupBy(*by, "b").agg(
-        (F.sum(F.col("_w") * F.col(value)) / F.sum("_w")).alias("mean_b"))
+        # a replicate that drew no row of a small group has no mean (NULL, skipped by the SE)
+        F.try_divide(F.sum(F.col("_w") * F.col(value)), F.sum("_w")).alias("mean_b"))
 
 
 def bootstrap_se(df: DataFrame, value: str, by: Sequence[str], row_id: Sequence[str],
@@ -241,7 +242,8 @@ def average_precision(df: DataFrame, label: str, score: str, by: Sequence[str] =
         F.sum(F.col(label).cast("double")).alias("_pos"), F.count(F.lit(1)).cast("double").alias("_cnt"))
     c = prefix_sums(d, score, ["_pos", "_cnt"], keys=list(by), descending=True)
     return c.groupBy(*by).agg(
-        (F.sum(F.col("_pos") * F.col("_pos_cum") / F.col("_cnt_cum")) / F.sum("_pos")).alias("average_precision"))
+        F.try_divide(F.sum(F.col("_pos") * F.col("_pos_cum") / F.col("_cnt_cum")), F.sum("_pos"))
+        .alias("average_precision"))
 
 
 def participation_years(features: DataFrame, labels: DataFrame, first_wave_col: str, key: str = "uid",
