@@ -29,17 +29,24 @@ from pyspark.sql import functions as F
 from ..session import checkpoint, shuffle_partitions
 
 
-def _values_at_ranks(vc: DataFrame, ranks: set[int], max_collect: int, depth: int = 0) -> dict[int, float]:
-    """Values at the given 0-based ranks of a compressed ``(x, c)`` table.
-
-    Range-partition and checkpoint, locate each rank's partition from one row of
-    counts per partition, then either read that partition (when it holds at most
-    ``max_collect`` distinct values) or recurse into it.
-    """
+def _ranged(vc: DataFrame) -> tuple[DataFrame, list[tuple[int, int, int]]]:
+    """Range-partition a compressed ``(x, c)`` table, checkpoint it, and return it
+    with ``(partition, rows represented, distinct values)`` per partition."""
     nparts = shuffle_partitions(vc.sparkSession)
     ranged = checkpoint(vc.repartitionByRange(nparts, "x").withColumn("p", F.spark_partition_id()))
     parts = sorted((r["p"], r["n"], r["k"]) for r in ranged.groupBy("p").agg(
         F.sum("c").alias("n"), F.count(F.lit(1)).alias("k")).collect())
+    return ranged, parts
+
+
+def _values_at_ranks(ranged: DataFrame, parts: list, ranks: set[int], max_collect: int,
+                     depth: int = 0) -> dict[int, float]:
+    """Values at the given 0-based ranks of a range-partitioned compressed table.
+
+    Each rank's partition is located from one row of counts per partition; that
+    partition is read when it holds at most ``max_collect`` distinct values,
+    otherwise it is range-partitioned again.
+    """
     starts, acc = {}, 0
     for p, n, _ in parts:
         starts[p] = acc
@@ -53,7 +60,8 @@ def _values_at_ranks(vc: DataFrame, ranks: set[int], max_collect: int, depth: in
     for p, rs in need.items():
         sub = ranged.where(F.col("p") == p).select("x", "c")
         if distinct[p] > max_collect and len(parts) > 1 and depth < 8:
-            local = _values_at_ranks(sub, {r - starts[p] for r in rs}, max_collect, depth + 1)
+            sub_ranged, sub_parts = _ranged(sub)
+            local = _values_at_ranks(sub_ranged, sub_parts, {r - starts[p] for r in rs}, max_collect, depth + 1)
             values.update({r: local[r - starts[p]] for r in rs})
             continue
         pos = starts[p]
@@ -69,7 +77,8 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                     max_collect: int = 200_000) -> list[float | None]:
     vc = (df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
           .groupBy("x").agg(F.count(F.lit(1)).alias("c")))
-    total = vc.agg(F.sum("c")).first()[0] or 0
+    ranged, parts = _ranged(vc)
+    total = sum(n for _, n, _ in parts)
     if total == 0:
         return [None for _ in probs]
     ranks = []
@@ -77,7 +86,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
         h = (total - 1) * q
         lo = int(math.floor(h))
         ranks.append((lo, min(lo + 1, total - 1), h - lo))
-    values = _values_at_ranks(vc, {r for lo, hi, _ in ranks for r in (lo, hi)}, max_collect)
+    values = _values_at_ranks(ranged, parts, {r for lo, hi, _ in ranks for r in (lo, hi)}, max_collect)
     return [values[lo] + (values[hi] - values[lo]) * frac for lo, hi, frac in ranks]
 
 
