@@ -150,3 +150,13 @@ def test_rank_methods_agree(spark, frame):
     for g in a:
         for k in gs.ORDER_FREE:
             assert close(a[g][k], b[g][k]), (g, k)
+
+
+def test_auto_rank_method_switches(spark):
+    rows = [("a", i, float(i % 50)) for i in range(500)] + [("b", i, float(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, o int, x double")
+    small = {r["g"]: r for r in gs.order_free_stats(df, ["g"], "x", window_max_values=10).collect()}
+    big = {r["g"]: r for r in gs.order_free_stats(df, ["g"], "x").collect()}
+    for g in small:
+        for k in gs.ORDER_FREE:
+            assert close(small[g][k], big[g][k]), (g, k)

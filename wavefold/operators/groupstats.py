@@ -91,20 +91,25 @@ def _quantile(q: float, n: Column, v: Column, c: Column, before: Column) -> Colu
 
 
 def order_free_stats(df: DataFrame, keys: str | Sequence[str], value: str,
-                     rank_method: str = "prefix") -> DataFrame:
+                     rank_method: str = "auto", window_max_values: int = 1_000_000) -> DataFrame:
     """Every statistic except peaks/troughs, one row per non-null key.
 
     ``rank_method`` chooses how each distinct value learns how many smaller
-    values its group has: ``"prefix"`` (default) uses a range-partitioned
-    prefix sum, so a group with very many distinct values is still spread over
-    many tasks; ``"window"`` uses ``Window.partitionBy(keys)`` over the
-    compressed table — fewer jobs, fine when distinct values per group are
-    bounded (e.g. integer scores).
+    values its group has: ``"prefix"`` uses a range-partitioned prefix sum, so a
+    group with very many distinct values is still spread over many tasks;
+    ``"window"`` uses ``Window.partitionBy(keys)`` over the compressed table —
+    fewer jobs, one task per group. ``"auto"`` materialises the compressed
+    table, checks its largest group and takes the window only when no group has
+    more than ``window_max_values`` distinct values.
     """
     keys = _as_list(keys)
     vc = value_counts(df, keys, value)
     v, c = F.col(_V), F.col(_C)
     nn = v.isNotNull()
+    if rank_method == "auto":
+        vc = checkpoint(vc)
+        largest = vc.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        rank_method = "window" if largest <= window_max_values else "prefix"
     if rank_method == "window":
         w_all = Window.partitionBy(*keys)
         w_before = Window.partitionBy(*keys).orderBy(F.col(_V).asc_nulls_first()) \
