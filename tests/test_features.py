@@ -124,3 +124,16 @@ def test_exact_quantiles_recursive_path(spark):
     probs = [0.1, 0.5, 0.9]
     got = exact_quantiles(df, "x", probs, max_collect=50)     # forces re-partitioning of big partitions
     assert np.allclose(got, np.quantile(vals, probs), rtol=0, atol=1e-12)
+
+
+def test_exact_quantiles_many_columns(spark):
+    from wavefold.operators.quantiles import exact_quantiles_many
+    rng = np.random.default_rng(9)
+    a, b = rng.normal(size=800), rng.integers(0, 5, size=800).astype(float)
+    rows = [(float(x), float(y) if i % 7 else None) for i, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(rows, "a double, b double")
+    probs = [0.0, 0.3, 0.5, 0.99, 1.0]
+    got = exact_quantiles_many(df, ["a", "b"], probs, max_collect=40)
+    bb = np.array([r[1] for r in rows if r[1] is not None])
+    assert np.allclose(got["a"], np.quantile(a, probs), atol=1e-12)
+    assert np.allclose(got["b"], np.quantile(bb, probs), atol=1e-12)

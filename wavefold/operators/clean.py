@@ -19,7 +19,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .quantiles import exact_quantiles
+from .quantiles import exact_quantiles_many
 
 
 # ----------------------------------------------------------------- projections
@@ -224,7 +224,7 @@ class Caps:
 def fit_caps(df: DataFrame, cols: Sequence[str], q: float = 0.99) -> Caps:
     """Exact per-column ``q`` quantile over non-null values."""
     cols = [c for c in cols if c in df.columns]
-    return Caps({c: exact_quantiles(df, c, [q])[0] for c in cols})
+    return Caps({c: v[0] for c, v in exact_quantiles_many(df, cols, [q]).items()})
 
 
 def winsorize(df: DataFrame, cols: Sequence[str], q: float = 0.99) -> DataFrame:
@@ -233,8 +233,8 @@ def winsorize(df: DataFrame, cols: Sequence[str], q: float = 0.99) -> DataFrame:
 
 
 def fit_fill_quantile(df: DataFrame, cols: Sequence[str], q: float) -> dict[str, float]:
-    """Per-column quantile fill values computed on ``df``."""
-    return {c: exact_quantiles(df, c, [q])[0] for c in cols if c in df.columns}
+    """Per-column quantile fill values computed on ``df`` in one pass."""
+    return {c: v[0] for c, v in exact_quantiles_many(df, [c for c in cols if c in df.columns], [q]).items()}
 
 
 def fill_values(df: DataFrame, values: Mapping[str, object]) -> DataFrame:

@@ -73,21 +73,46 @@ def _values_at_ranks(ranged: DataFrame, parts: list, ranks: set[int], max_collec
     return values
 
 
+def exact_quantiles_many(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                         max_collect: int = 200_000) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns with one scan of ``df``.
+
+    Columns are stacked to ``(k, x)`` and compressed to value counts once; the
+    range partitioning runs over ``(k, x)`` so each column's values stay in
+    order, and ranks are located per column from one row per (column, partition).
+    """
+    cols = list(cols)
+    if not cols:
+        return {}
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("k"), F.col(c).cast("double").alias("x")) for i, c in enumerate(cols)
+    ])).alias("s")).select("s.k", "s.x").where(F.col("x").isNotNull())
+    vc = stacked.groupBy("k", "x").agg(F.count(F.lit(1)).alias("c"))
+    nparts = shuffle_partitions(df.sparkSession)
+    ranged = checkpoint(vc.repartitionByRange(nparts, "k", "x").withColumn("p", F.spark_partition_id()))
+    per = ranged.groupBy("k", "p").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("d")).collect()
+    out: dict[str, list[float | None]] = {}
+    for i, c in enumerate(cols):
+        parts = sorted((r["p"], r["n"], r["d"]) for r in per if r["k"] == i)
+        total = sum(n for _, n, _ in parts)
+        if total == 0:
+            out[c] = [None for _ in probs]
+            continue
+        ranks = []
+        for q in probs:
+            h = (total - 1) * q
+            lo = int(math.floor(h))
+            ranks.append((lo, min(lo + 1, total - 1), h - lo))
+        sub = ranged.where(F.col("k") == i)
+        values = _values_at_ranks(sub, parts, {r for lo, hi, _ in ranks for r in (lo, hi)}, max_collect)
+        out[c] = [values[lo] + (values[hi] - values[lo]) * frac for lo, hi, frac in ranks]
+    return out
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                     max_collect: int = 200_000) -> list[float | None]:
-    vc = (df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
-          .groupBy("x").agg(F.count(F.lit(1)).alias("c")))
-    ranged, parts = _ranged(vc)
-    total = sum(n for _, n, _ in parts)
-    if total == 0:
-        return [None for _ in probs]
-    ranks = []
-    for q in probs:
-        h = (total - 1) * q
-        lo = int(math.floor(h))
-        ranks.append((lo, min(lo + 1, total - 1), h - lo))
-    values = _values_at_ranks(ranged, parts, {r for lo, hi, _ in ranks for r in (lo, hi)}, max_collect)
-    return [values[lo] + (values[hi] - values[lo]) * frac for lo, hi, frac in ranks]
+    """Exact linear-interpolated quantiles of one column (pandas' default)."""
+    return exact_quantiles_many(df, [col], probs, max_collect)[col]
 
 
 def prefix_sums(df: DataFrame, order: str, cols: list[str], keys: list[str] | None = None,

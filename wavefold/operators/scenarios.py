@@ -15,7 +15,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .quantiles import exact_quantiles
+from .quantiles import exact_quantiles_many
 
 # The reference's numeric survey features (excluded from the
 # category catalogue) and the income features shifted by their median.
@@ -121,7 +121,7 @@ def override(df: DataFrame, scenarios: Sequence[Scenario], only_12: bool = False
 def median_shift(df: DataFrame, features: Sequence[str] = INCOME_FEATURES) -> DataFrame:
     """One scenario per feature: both waves shifted by their own median (C4)."""
     feats = [f for f in features if f"{f}_03" in df.columns and f"{f}_12" in df.columns]
-    meds = {f"{f}{w}": exact_quantiles(df, f"{f}{w}", [0.5])[0] for f in feats for w in WAVES}
+    meds = {c: v[0] for c, v in exact_quantiles_many(df, [f"{f}{w}" for f in feats for w in WAVES], [0.5]).items()}
     arr = F.array(*[F.lit(f) for f in feats])
     x = df.select("*", F.explode(arr).alias("_f"))
     exprs = {}
