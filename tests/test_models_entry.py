@@ -82,3 +82,20 @@ def test_survey_csv_inferred_types(spark):
     df = io.read_survey_csv(spark, path)
     assert dict(df.dtypes) == {"uid": "string", "n": "bigint", "x": "double", "s": "string"}
     assert sorted(tuple(r) for r in df.collect()) == [("a1", 1, 1.5, "u"), ("a2", None, 2.0, "v"), ("a3", 3, None, None)]
+
+
+def test_names_roundtrip_and_schema_difference(spark):
+    from wavefold.operators import clean as cl
+    from wavefold.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark)}/names-test"
+    io.save_names(spark, ["b", "a", "c"], path)
+    assert io.load_names(spark, path) == ["b", "a", "c"]
+    a = spark.createDataFrame([(1, 2)], "x int, y int")
+    b = spark.createDataFrame([(1, 2)], "x int, z int")
+    got = {(r["column"], r["side"]) for r in cl.schema_difference(spark, a, b).collect()}
+    assert got == {("y", "missing_in_right"), ("z", "missing_in_left")}
+    assert cl.dedupe_column_names(["a", "b", "a"]) == [0, 1]
+    df = spark.createDataFrame([("k",), ("z",)], "c string")
+    keep = [r["c"] for r in cl.lookup(df, "c", {"k": "K"}, keep_unmatched=True).collect()]
+    drop = [r["c"] for r in cl.lookup(df, "c", {"k": "K"}, keep_unmatched=False).collect()]
+    assert keep == ["K", "z"] and drop == ["K", None]
