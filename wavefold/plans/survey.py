@@ -13,23 +13,24 @@ AGE_RANGES = {
     "4. 80+": (80, 100),
 }
 
-_HEALTH = ["1. Excellent", "2. Very good", "3. Good", "4. Fair", "5. Poor"]
-_BMI = ["1. Underweight", "2. Normal weight", "3. Overweight", "4. Obese", "5. Morbidly obese"]
-_RELIGION = ["1.very important", "2.somewhat important", "3.not important"]
-_AGREE = ["1. Agrees", "2. Neither agrees nor disagrees", "3. Disagrees"]
-_DECIDE = ["1. A lot", "2. A little", "3. None"]
-_FREQUENCY = ["1.Almost every day", "2.4 or more times a week", "3.2 or 3 times a week", "4.Once a week",
-              "5.2 or 3 times a month", "6.Once a month", "7.Almost Never, sporadic", "8. Never"]
-
 ORDINAL_COLUMNS = {
-    "glob_hlth_03": _HEALTH, "glob_hlth_12": _HEALTH,
-    "bmi_03": _BMI, "bmi_12": _BMI,
-    "memory_12": _HEALTH,
-    "rrelgimp_03": _RELIGION, "rrelgimp_12": _RELIGION,
-    "satis_ideal_12": _AGREE, "satis_excel_12": _AGREE, "satis_fine_12": _AGREE,
-    "cosas_imp_12": _AGREE, "wouldnt_change_12": _AGREE,
-    "decis_personal_12": _DECIDE,
-    "rrfcntx_m_12": _FREQUENCY, "rsocact_m_12": _FREQUENCY,
+    "glob_hlth_03": ["1. Excellent", "2. Very good", "3. Good", "4. Fair", "5. Poor"],
+    "glob_hlth_12": ["1. Excellent", "2. Very good", "3. Good", "4. Fair", "5. Poor"],
+    "bmi_03": ["1. Underweight", "2. Normal weight", "3. Overweight", "4. Obese", "5. Morbidly obese"],
+    "bmi_12": ["1. Underweight", "2. Normal weight", "3. Overweight", "4. Obese", "5. Morbidly obese"],
+    "memory_12": ["1. Excellent", "2. Very good", "3. Good", "4. Fair", "5. Poor"],
+    "rrelgimp_03": ["1.very important", "2.somewhat important", "3.not important"],
+    "rrelgimp_12": ["1.very important", "2.somewhat important", "3.not important"],
+    "satis_ideal_12": ["1. Agrees", "2. Neither agrees nor disagrees", "3. Disagrees"],
+    "satis_excel_12": ["1. Agrees", "2. Neither agrees nor disagrees", "3. Disagrees"],
+    "satis_fine_12": ["1. Agrees", "2. Neither agrees nor disagrees", "3. Disagrees"],
+    "cosas_imp_12": ["1. Agrees", "2. Neither agrees nor disagrees", "3. Disagrees"],
+    "wouldnt_change_12": ["1. Agrees", "2. Neither agrees nor disagrees", "3. Disagrees"],
+    "decis_personal_12": ["1. A lot", "2. A little", "3. None"],
+    "rrfcntx_m_12": ["1.Almost every day", "2.4 or more times a week", "3.2 or 3 times a week", "4.Once a week",
+                     "5.2 or 3 times a month", "6.Once a month", "7.Almost Never, sporadic", "8. Never"],
+    "rsocact_m_12": ["1.Almost every day", "2.4 or more times a week", "3.2 or 3 times a week", "4.Once a week",
+                     "5.2 or 3 times a month", "6.Once a month", "7.Almost Never, sporadic", "8. Never"],
 }
 
 EDU_CATEGORIES = {"0. No education": 0, "1. 1–5 years": 2, "2. 6 years": 7, "3. 7–9 years": 8, "4. 10+ years": 10}
