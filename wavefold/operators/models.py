@@ -112,12 +112,13 @@ def _fold_values(df: DataFrame, fold: str) -> list:
 
 
 def oof_predict(df: DataFrame, estimator, fold: str, keys: Sequence[str], label: str = "label",
-                out: str = "predicted_score", parallelism: int = 2) -> DataFrame:
+                out: str = "predicted_score", parallelism: int | None = None) -> DataFrame:
     """Each row predicted by the model fitted on the other folds (M1).
 
     Output ``(keys…, fold, label, out)``. The input is persisted once; each fold
-    fit is an independent distributed job, and up to ``parallelism`` of them are
-    submitted at once so small fits share the executors instead of queueing.
+    fit is an independent distributed job, and up to ``parallelism`` of them
+    (default: one per fold, at most 8) are submitted at once so small fits share
+    the executors instead of queueing behind each other's job latency.
     """
     df = df.persist()
     folds = _fold_values(df, fold)
@@ -127,7 +128,8 @@ def oof_predict(df: DataFrame, estimator, fold: str, keys: Sequence[str], label:
         return m.transform(df.where(F.col(fold) == k)).select(
             *keys, fold, label, F.col("prediction").alias(out))
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+    workers = parallelism or min(len(folds), 8)
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as ex:
         parts = list(ex.map(one, folds))
     res = parts[0]
     for p in parts[1:]:
