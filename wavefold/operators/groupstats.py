@@ -327,7 +327,11 @@ def peaks_troughs(df: DataFrame, keys: str | Sequence[str], value: str,
     # no fixed count: AQE may merge small neighbouring ranges, which keeps their order
     ranged = base.repartitionByRange(*keys, *order_by) \
         .sortWithinPartitions(*keys, *order_by)
-    segs = _partition_summaries(ranged, keys)
+    return _resolve_seams(_partition_summaries(ranged, keys), keys)
+
+
+def _resolve_seams(segs: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact peaks/troughs per group from its per-partition summaries (≤ 1 row per partition)."""
     w = Window.partitionBy(*keys).orderBy("_pid")
     segs = segs.withColumn("_seam", F.signum(F.col("fv") - F.lag("lv").over(w)).cast("int"))
     # Boundary tokens in order: seam direction, first direction, last direction
@@ -357,6 +361,53 @@ def peaks_troughs(df: DataFrame, keys: str | Sequence[str], value: str,
         .alias("troughs"))
 
 
+def peaks_troughs_many(df: DataFrame, group_vars: Sequence[str], value: str,
+                       order_by: Sequence[str]) -> DataFrame:
+    """Peaks/troughs for several low-cardinality grouping columns in one sorted pass.
+
+    The rows are range-partitioned and sorted by ``order_by`` only — once, not
+    once per grouping column — and each task keeps a running summary per
+    (grouping column, value) while it scans; the seams between partitions are
+    resolved as in :func:`peaks_troughs`. Task memory grows with the number of
+    distinct group values, so callers route only columns of checked, bounded
+    cardinality here (see :func:`group_stats_multi`).
+    Output ``(group_var, group_value, peaks, troughs)``.
+    """
+    gvars = [g for g in group_vars if g in df.columns]
+    order_by = _as_list(order_by)
+    base = df.where(F.col(value).isNotNull()).select(
+        *[F.col(g).cast("string").alias(f"_g{i}") for i, g in enumerate(gvars)],
+        *order_by, F.col(value).cast("double").alias(_V))
+    ranged = base.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    schema = T.StructType([T.StructField("group_var", T.StringType()),
+                           T.StructField("group_value", T.StringType())]
+                          + [T.StructField(n, t) for n, t in _SUMMARY])
+    names = schema.fieldNames()
+
+    def summarise(batches):
+        pid = TaskContext.get().partitionId()
+        state: dict = {}
+        for pdf in batches:
+            for i, g in enumerate(gvars):
+                col = f"_g{i}"
+                sub = pdf[[col, _V]][pdf[col].notna()]
+                if len(sub) == 0:
+                    continue
+                codes, _ = pd.factorize(sub[col])
+                sub = sub.iloc[np.argsort(codes, kind="stable")].reset_index(drop=True)
+                segs = _batch_segments(sub, [col])
+                for rec in segs.to_dict("records"):
+                    k = (g, rec[col])
+                    cur = {c: rec[c] for c in _STATE}
+                    state[k] = _merge(state[k], cur) if k in state else cur
+        rows = [(g, v, pid, *[sm[c] for c in _STATE]) for (g, v), sm in state.items()]
+        if rows:
+            yield pd.DataFrame(rows, columns=names).astype({"fs": "int32", "ls": "int32"})
+
+    segs = ranged.mapInPandas(summarise, schema=schema)
+    return _resolve_seams(segs, ["group_var", "group_value"])
+
+
 # --------------------------------------------------------------------------
 # public entry points
 
@@ -399,13 +450,32 @@ def stack_group_vars(df: DataFrame, group_vars: Sequence[str], value: str,
 
 
 def group_stats_multi(df: DataFrame, group_vars: Sequence[str], value: str = "composite_score",
-                      order_by: Sequence[str] | None = None) -> DataFrame:
+                      order_by: Sequence[str] | None = None, max_keys_in_task: int = 10_000) -> DataFrame:
     """Statistics for many single-column groupings in one pass.
 
-    Long output ``(group_var, group_value, stats…)``.
+    Long output ``(group_var, group_value, stats…)``. Order-free statistics
+    aggregate the stacked ``(group_var, group_value, value)`` rows once. For
+    peaks/troughs the grouping columns' cardinalities are checked first
+    (``approx_count_distinct``, one scan of those columns): columns with at most
+    ``max_keys_in_task`` values share one sorted pass over the rows; the others
+    are stacked and range-partitioned by (column, value, order).
     """
+    keys = ["group_var", "group_value"]
     stacked = stack_group_vars(df, group_vars, value, order_by or ())
-    return group_stats(stacked, ["group_var", "group_value"], value, order_by)
+    stats = order_free_stats(stacked, keys, value)
+    if not order_by:
+        return stats.select(*keys, *ORDER_FREE)
+    present = [g for g in group_vars if g in df.columns]
+    card = df.agg(*[F.approx_count_distinct(g).alias(g) for g in present]).first().asDict()
+    low = [g for g in present if card[g] <= max_keys_in_task]
+    high = [g for g in present if card[g] > max_keys_in_task]
+    parts = []
+    if low:
+        parts.append(peaks_troughs_many(df, low, value, order_by))
+    if high:
+        parts.append(peaks_troughs(stack_group_vars(df, high, value, order_by), keys, value, order_by))
+    pt = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return stats.join(pt, keys, "left").select(*keys, *STAT_NAMES)
 
 
 def join_group_stats(df: DataFrame, stats_long: DataFrame, group_vars: Sequence[str],
