@@ -246,9 +246,15 @@ def class_probabilities(df: DataFrame, target: str, n_classes: int, fold: str, k
     """
     x = class_labels(df, target, n_classes).persist()
     clf = make_classifier(seed)
-    parts = [probability_columns(clf.fit(x.where(F.col(fold) != k)).transform(x.where(F.col(fold) == k)),
-                                 keys, n_classes)
-             for k in _fold_values(x, fold)]
+    folds = _fold_values(x, fold)
+
+    def one(k):
+        return probability_columns(clf.fit(x.where(F.col(fold) != k)).transform(x.where(F.col(fold) == k)),
+                                   keys, n_classes)
+
+    # fold fits are independent jobs: submit them together
+    with ThreadPoolExecutor(max_workers=max(1, min(len(folds), 8))) as ex:
+        parts = list(ex.map(one, folds))
     if unseen is not None:
         parts.append(probability_columns(clf.fit(x).transform(unseen), keys, n_classes))
     out = parts[0]
