@@ -53,10 +53,11 @@ def group_kfold(df: DataFrame, group: str, k: int = 5, out: str = "fold",
     to an md5 hash of the group, which needs no driver step.
     """
     sizes = df.groupBy(group).count()
-    n = sizes.count()
-    if n > max_groups:
+    # bounded collect: at most max_groups + 1 rows reach the driver
+    got = sizes.limit(max_groups + 1).collect()
+    if len(got) > max_groups:
         return df.withColumn(out, md5_bucket(k, group) + 1)
-    rows = sorted(sizes.collect(), key=lambda r: (-r["count"], str(r[group])))
+    rows = sorted(got, key=lambda r: (-r["count"], str(r[group])))
     load = [0] * k
     assign = []
     for r in rows:

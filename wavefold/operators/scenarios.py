@@ -93,11 +93,10 @@ class Scenario:
 
 def scenarios_from(cat: DataFrame, max_scenarios: int = 10_000) -> list[Scenario]:
     """The filtered catalogue as a scenario list (a bounded metadata table)."""
-    n = cat.count()
-    if n > max_scenarios:
-        raise ValueError(f"{n} scenarios exceed max_scenarios={max_scenarios}")
-    return [Scenario(r["feature_name"], r["category"], bool(r["year_03"]), bool(r["year_12"]))
-            for r in cat.orderBy("feature_name", "category").collect()]
+    rows = cat.orderBy("feature_name", "category").limit(max_scenarios + 1).collect()
+    if len(rows) > max_scenarios:
+        raise ValueError(f"more than max_scenarios={max_scenarios} scenarios")
+    return [Scenario(r["feature_name"], r["category"], bool(r["year_03"]), bool(r["year_12"])) for r in rows]
 
 
 def override(df: DataFrame, scenarios: Sequence[Scenario], only_12: bool = False) -> DataFrame:
