@@ -309,3 +309,14 @@ def activity_effect_table(spark, sf_dir):
     p = _normalized_preds(spark, sf_dir)
     return round_doubles(rp.effect_table(p, "predicted_score", "model", "category", "1_0", "0_0",
                                          ["uid", "seed"], [2016, 2021], "year", N_BOOT, 42))
+
+
+@register("attach_truth", with_fixtures("""
+SELECT p.uid, p.year, p.model, p.seed, round(p.predicted_score, 6) AS predicted_score,
+       round(l.composite_score, 6) AS composite_score
+FROM f_predictions p LEFT JOIN f_labels_nullkey l ON p.uid = l.uid AND p.year = l.year""",
+                                        "f_predictions", "f_labels_nullkey"))
+def attach_truth(spark, sf_dir):
+    """Long predictions without the target, truth attached by key."""
+    p = fixture(spark, sf_dir, "f_predictions").drop("composite_score")
+    return round_doubles(rp.attach_truth(p, fixture(spark, sf_dir, "f_labels_nullkey")))
