@@ -174,6 +174,7 @@ class SpecModel:
     topk: fe.TopK
     category_source: str
     weights: dict                       # seed → (category, model, weight)
+    fallback: dict                      # seed → (model, weight) from all train rows (Q8)
 
     @property
     def n_patterns(self) -> int:
@@ -221,7 +222,7 @@ class SpecModel:
             parts.append(_long(lin, dataset, "linear1", seed))
             p = rs.union_all([_long(base[(k, seed)], dataset, k, seed) for k in spec.models]
                              + [_long(lin, dataset, "linear1", seed)]).join(cats, [key, "year"])
-            b = bl.blend(p, self.weights[seed]).withColumn("seed", F.lit(seed))
+            b = bl.blend(p, self.weights[seed], fallback=self.fallback[seed]).withColumn("seed", F.lit(seed))
             parts.append(_long(b, dataset, "blended", seed, "blended_score"))
         return _finish(parts, key, spec)
 
@@ -235,6 +236,7 @@ class SpecModel:
             tables["stats"] = self.stats
         for seed, w in self.weights.items():
             tables[f"weights_{seed}"] = w
+            tables[f"fallback_{seed}"] = self.fallback[seed]
         params = {
             "spec": {k: v for k, v in self.spec.__dict__.items()},
             "cfg": {k: (list(v) if isinstance(v, tuple) else v) for k, v in self.cfg.__dict__.items()},
@@ -270,7 +272,7 @@ class SpecModel:
         cfg_d["age_ranges"] = {k: tuple(v) for k, v in cfg_d.get("age_ranges", {}).items()}
         cfg = SurveyConfig(**cfg_d)
         names = ["patterns"] + (["stats"] if spec.group_stats else []) + \
-            [f"weights_{s}" for s in range(spec.n_seeds)]
+            [f"weights_{s}" for s in range(spec.n_seeds)] + [f"fallback_{s}" for s in range(spec.n_seeds)]
         tables, _ = io.read_bundle(spark, root, names)
         pp = p["prep"]
         prep = Prep(cl.Caps(pp["caps"]) if pp["caps"] else None, pp["dropped"],
@@ -284,7 +286,8 @@ class SpecModel:
             base={(k, s): load(f"base_{k}_{s}") for k, s in p["base"]},
             stack={int(s): (load(f"stack_{s}"), f) for s, f in p["stack"].items()},
             topk=fe.TopK(**p["topk"]), category_source=p["category_source"],
-            weights={s: tables[f"weights_{s}"] for s in range(spec.n_seeds)})
+            weights={s: tables[f"weights_{s}"] for s in range(spec.n_seeds)},
+            fallback={s: tables[f"fallback_{s}"] for s in range(spec.n_seeds)})
 
 
 def _stack_apply(lasso, fills: dict, base: dict, spec: FeatureSpec, seed: int, key: str) -> DataFrame:
@@ -385,7 +388,7 @@ def fit_spec(spark: SparkSession, train_features: DataFrame, train_labels: DataF
     cats_tr = topk.apply(cats_tr, out="category")
     truth = train.select(key, "year", "composite_score")
 
-    stack, weights = {}, {}
+    stack, weights, fallback = {}, {}, {}
     for seed in range(spec.n_seeds):
         # L1 stack over this seed's base predictions; in-sample on train (Q5)
         names = [f"composite_score_{kind}" for kind in spec.models]
@@ -405,12 +408,15 @@ def fit_spec(spark: SparkSession, train_features: DataFrame, train_labels: DataF
                            + [_long(lin_tr, "train", "linear1", seed)])
         ptr = ptr.join(cats_tr, [key, "year"]).join(truth, [key, "year"])
         weights[seed] = checkpoint(bl.group_rmse_weights(ptr))
-        b = bl.blend(ptr, weights[seed]).withColumn("seed", F.lit(seed))
+        # a category without train rows is blended with weights from all train rows (Q8)
+        fallback[seed] = checkpoint(bl.group_rmse_weights(ptr.withColumn("category", F.lit("all")))
+                                    .select("model", "weight"))
+        b = bl.blend(ptr, weights[seed], fallback=fallback[seed]).withColumn("seed", F.lit(seed))
         parts.append(_long(b, "train", "blended", seed, "blended_score"))
 
     model = SpecModel(cfg=cfg, spec=spec, prep=prep_fit, patterns=patterns, stats=stats, change=change,
                       classes=classes, base_prep=base_prep, base_cols=cols, base=base_models, stack=stack,
-                      topk=topk, category_source=cat_src, weights=weights)
+                      topk=topk, category_source=cat_src, weights=weights, fallback=fallback)
     return _finish(parts, key, spec), model
 
 
