@@ -22,25 +22,45 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
 def wide_to_long(df: DataFrame, key: str = "uid",
                  waves: Mapping[str, int] | None = None) -> DataFrame:
     """One row per key and observed wave.
 
     Columns ending with a wave suffix are renamed to their base name and tagged
-    with the wave's ``year``; a row whose wave columns are all NULL is dropped.
-    Waves with different column sets are unioned by name.
+    with the wave's ``year``; a row whose wave columns are all NULL is dropped;
+    a base column missing from a wave is NULL there. One scan: every row emits
+    one struct per wave through a generator (no union of per-wave scans).
     """
     waves = waves or {"_03": 2003, "_12": 2012}
-    parts = []
-    for suffix, year in waves.items():
-        cols = [c for c in df.columns if c.endswith(suffix) and c != key]
-        if not cols:
-            continue
-        base = [c[: -len(suffix)] for c in cols]
-        part = df.select(key, *[F.col(c).alias(b) for c, b in zip(cols, base)]) \
-            .withColumn("year", F.lit(year))
-        parts.append(part.na.drop("all", subset=base))
-    return union_all(parts)
+    types = dict(df.dtypes)
+    bases: dict[str, dict[str, str]] = {}
+    for suffix in waves:
+        for c in df.columns:
+            if c != key and c.endswith(suffix):
+                bases.setdefault(c[: -len(suffix)], {})[suffix] = c
+    if not bases:
+        raise ValueError("no wave columns")
+
+    def common_type(cols):
+        ts = {types[c] for c in cols}
+        if len(ts) == 1:
+            return ts.pop()
+        return "double" if ts <= set(_NUMERIC) else "string"
+
+    btype = {b: common_type(m.values()) for b, m in bases.items()}
+    present = [s for s in waves if any(s in m for m in bases.values())]
+    structs = []
+    for suffix in present:
+        cols = [F.col(m[suffix]).cast(btype[b]).alias(b) if suffix in m else F.lit(None).cast(btype[b]).alias(b)
+                for b, m in bases.items()]
+        observed = reduce(lambda a, b: a | b,
+                          [F.col(m[suffix]).isNotNull() for m in bases.values() if suffix in m])
+        structs.append(F.struct(F.lit(waves[suffix]).alias("year"), observed.alias("_any"), *cols))
+    long = df.select(key, F.explode(F.array(*structs)).alias("_w")).where(F.col("_w._any"))
+    return long.select(key, *[F.col(f"_w.{b}").alias(b) for b in bases], F.col("_w.year").alias("year"))
 
 
 def pivot_change(df: DataFrame, key: str = "uid", period: str = "year",
@@ -56,7 +76,6 @@ def pivot_change(df: DataFrame, key: str = "uid", period: str = "year",
     agg = df.where(F.col(period).isin(first, second)).groupBy(key).agg(
         F.first(F.when(F.col(period) == first, v), ignorenulls=True).alias(f"{value}_{first}"),
         F.first(F.when(F.col(period) == second, v), ignorenulls=True).alias(f"{value}_{second}"),
-        F.max(F.when(F.col(period) == first, 1).otherwise(0)).alias("_h1"),
         F.sum(F.when(F.col(period) == first, 1).otherwise(0)).alias("_n1"),
         F.sum(F.when(F.col(period) == second, 1).otherwise(0)).alias("_n2"),
     )
