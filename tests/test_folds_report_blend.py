@@ -108,3 +108,10 @@ def test_zero_denominators_give_null(spark):
     z = spark.createDataFrame([("a", 0.0, 0.0, "m")], "group string, predicted_score double, composite_score double, model string")
     assert rp.fairness(rp.rmse_by_groups(z, ["group"])).first()["fairness"] is None
     assert spark.range(1).select(rp.percent_change(F.lit(1.0), F.lit(0.0)).alias("p")).first()["p"] is None
+
+
+def test_no_scenarios_gives_empty_table(spark):
+    df = spark.createDataFrame([(1, "a")], "uid int, f_12 string")
+    out = sc.override(df, [])
+    assert out.count() == 0 and "feature_category" in out.columns
+    assert sc.median_shift(df, ["hincome"]).count() == 0

@@ -101,6 +101,8 @@ def scenarios_from(cat: DataFrame, max_scenarios: int = 10_000) -> list[Scenario
 
 def override(df: DataFrame, scenarios: Sequence[Scenario], only_12: bool = False) -> DataFrame:
     """Row × scenario table: the scenario's feature is set to its category where not NULL."""
+    if not scenarios:   # no scenario passed the catalogue filter: an empty table, same schema
+        return df.where(F.lit(False)).withColumn("feature_category", F.lit(None).cast("string"))
     types = dict(df.dtypes)
     arr = F.array(*[F.struct(F.lit(s.feature).alias("f"), F.lit(s.category).alias("cat"),
                              F.lit(s.year_03 and not only_12).alias("y03"), F.lit(s.year_12).alias("y12"),
@@ -120,6 +122,8 @@ def override(df: DataFrame, scenarios: Sequence[Scenario], only_12: bool = False
 def median_shift(df: DataFrame, features: Sequence[str] = INCOME_FEATURES) -> DataFrame:
     """One scenario per feature: both waves shifted by their own median (C4)."""
     feats = [f for f in features if f"{f}_03" in df.columns and f"{f}_12" in df.columns]
+    if not feats:
+        return df.where(F.lit(False)).withColumn("feature_category", F.lit(None).cast("string"))
     meds = {c: v[0] for c, v in exact_quantiles_many(df, [f"{f}{w}" for f in feats for w in WAVES], [0.5]).items()}
     arr = F.array(*[F.lit(f) for f in feats])
     x = df.select("*", F.explode(arr).alias("_f"))
