@@ -12,6 +12,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import blend as bl
 from ..operators import clean as cl
@@ -195,10 +196,14 @@ def stream_score_scenarios(spark, sf_dir):
     scen = lab.select("uid", "year").join(sc.override(raw, sc.scenarios_from(cat)), "uid")
     base = f"{ensure_checkpoint_dir(spark)}/stream/{uuid.uuid4().hex}"
     scen.write.mode("overwrite").partitionBy("feature_category").parquet(f"{base}/in")
-    schema = spark.read.parquet(f"{base}/in").schema
-    score_files(spark, f"{base}/in", schema, model, KEYS, f"{base}/out", f"{base}/_ckpt",
-                prepare=lambda d: mo.prepare_inputs(encoded_features(d), NUMERIC, CATEGORICAL))
-    out = spark.read.parquet(f"{base}/out")
+    # explicit schemas: an empty scenario list must give an empty result, not a failed inference
+    in_schema = T.StructType([f for f in scen.schema.fields if f.name != "feature_category"]
+                             + [scen.schema["feature_category"]])
+    prepare = lambda d: mo.prepare_inputs(encoded_features(d), NUMERIC, CATEGORICAL)
+    score_files(spark, f"{base}/in", in_schema, model, KEYS, f"{base}/out", f"{base}/_ckpt", prepare=prepare)
+    out_schema = model.transform(prepare(scen.where(F.lit(False)))).select(
+        *KEYS, F.col("prediction").alias("predicted_score"), "feature_category").schema
+    out = spark.read.schema(out_schema).parquet(f"{base}/out")
     return out.groupBy("feature_category", "year").agg(
         F.count(F.lit(1)).alias("n"), F.avg("predicted_score").alias("mean_predicted"))
 
