@@ -179,3 +179,18 @@ def test_peaks_many_equals_stacked(spark):
     a = {(r["group_var"], r["group_value"]): (r["peaks"], r["troughs"])
          for r in gs.group_stats_multi(df, ["a", "b"], "x", ["o"], max_keys_in_task=1).collect()}
     assert a == many
+
+
+def test_hot_key_third_of_rows(spark):
+    """One key holds a third of the rows: results equal pandas, whatever the partitioning."""
+    rng = np.random.default_rng(4)
+    rows = [("hot" if i % 3 == 0 else f"k{i % 97}", i, float(rng.integers(0, 20))) for i in range(6000)]
+    df = spark.createDataFrame(rows, "g string, o int, x double").repartition(11)
+    got = {r["g"]: r for r in gs.group_stats(df, ["g"], "x", ["o"]).collect()}
+    pdf = pd.DataFrame(rows, columns=["g", "o", "x"]).sort_values("o")
+    sub = pdf[pdf["g"] == "hot"]
+    exp = brute_stats(sub["x"].tolist())
+    for k in ("mean", "std", "skew", "median", "iqr", "q4_80", "entropy"):
+        assert close(got["hot"][k], float(exp[k])), k
+    xs = sub["x"].tolist()
+    assert (got["hot"]["peaks"], got["hot"]["troughs"]) == (brute_peaks(xs), brute_peaks([-v for v in xs]))
