@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavefold.llm import byte_bpe, decontaminate, prefix_counts
+from wavefold.llm import byte_bpe, decontaminate, prefix_counts, simhash
 from wavefold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.col(f"fits_{TOKEN_LIMIT}").alias("chars_within_limit"))
 
 
+@query
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, max_bits=2)
+
+
 @query
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
