@@ -29,6 +29,11 @@ def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
@@ -36,7 +41,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     ``spark.checkpoint.dir``.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

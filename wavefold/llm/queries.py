@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavefold.llm import byte_bpe, decontaminate, prefix_counts, simhash
-from wavefold.llm.common import table
+from wavefold.llm import byte_bpe, dac, decontaminate, prefix_counts, simhash
+from wavefold.llm.common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,13 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.col(f"fits_{TOKEN_LIMIT}").alias("chars_within_limit"))
 
 
+@query
+def op3_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = shared_path(spark, "token-codes")
+    dac.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), out, end_id=1)
+    return dac.documents(dac.read(spark, out), digest_only=True)
+
+
 @query
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, max_bits=2)
