@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavefold.llm import byte_bpe, dac, decontaminate, prefix_counts, simhash
+from wavefold.llm import byte_bpe, dac, decontaminate, prefix_counts, quality_rules, simhash
 from wavefold.llm.common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,46 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, max_bits=2)
 
 
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
+    base_failed = ~quality_rules.passes("base")
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "failures",
+                       base_failed.alias("base_failed"),
+                       (~base_failed & quality_rules.passes(quality_rules.CURRENT)).alias("kept"))
+
+
+ORACLES["op8_quality_rules"] = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines
+  FROM documents),
+win AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c
+  FROM (SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS g
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8))),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM win WHERE c > 1) GROUP BY doc_id),
+stut AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, words, unnest(range(2, len(words) + 1)) AS i FROM w)
+         WHERE words[i] = words[i - 1] GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, coalesce(stut.n, 0) AS n_stutter,
+         len(regexp_extract_all(text, '!')) AS n_exclaims
+  FROM w LEFT JOIN rep USING (doc_id) LEFT JOIN stut USING (doc_id)),
+f AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+         CAST(CASE WHEN n_words < 20 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
+         + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 2 * n_exclaims > n_words THEN 8 ELSE 0 END
+         + CASE WHEN 100 * n_stutter > 40 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars < 2 * n_words THEN 32 ELSE 0 END
+         + CASE WHEN word_chars > 20 * n_words THEN 64 ELSE 0 END + CASE WHEN 2 * n_dup_lines > n_lines THEN 128 ELSE 0 END
+         AS BIGINT) AS failures
+  FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures, base_failed, failures = 0 AS kept FROM f
+"""
+
+
 @query
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
