@@ -12,13 +12,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavefold.llm import byte_bpe, dac, decontaminate, prefix_counts, quality_rules, simhash
+from wavefold.llm import byte_bpe, dac, decontaminate, prefix_counts, quality_rules, sharding, simhash
 from wavefold.llm.common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 TOKEN_LIMIT = 512
+SHARDS = 16
 BENCHMARK_WINDOW = 10
 
 
@@ -35,6 +36,13 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.col(f"fits_{TOKEN_LIMIT}").alias("chars_within_limit"))
 
 
+@query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query
 def op3_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shared_path(spark, "token-codes")
@@ -58,8 +66,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op8_quality_rules"] = r"""
 WITH w AS (
-  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS words,
-         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS lines
   FROM documents),
 win AS (
   SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c
