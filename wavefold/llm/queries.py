@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavefold.llm import byte_bpe, dac, decontaminate, prefix_counts, quality_rules, sharding, simhash
+from wavefold.llm import byte_bpe, dac, decontaminate, line_dedup, prefix_counts, quality_rules, sharding, simhash
 from wavefold.llm.common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,13 @@ def op3_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.documents(dac.read(spark, out), digest_only=True)
 
 
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_kept").alias("n_kept"),
+                       F.sha2("text", 256).alias("text_sha256"))
+
+
 @query
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, max_bits=2)
