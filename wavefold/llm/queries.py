@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavefold.llm import byte_bpe, dac, decontaminate, line_dedup, prefix_counts, quality_rules, sharding, simhash
+from wavefold.llm import byte_bpe, dac, decontaminate, line_dedup, prefix_counts, quality_rules, sharding, simhash, toxicity
 from wavefold.llm.common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,26 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("text", 256).alias("text_sha256"))
 
 
+def toxicity_categories(labels: DataFrame) -> dict[str, Column]:
+    """The chain's categories, from the labels at hand: toxic, then toxic junk and toxic prose."""
+    toxic, good = labels["toxic"] == 1, labels["quality"] == 1
+    return {"toxic": toxic, "toxic_junk": toxic & ~good, "toxic_prose": toxic & good}
+
+
+def fitted_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Chain:
+    labels = table(spark, sf_dir, "labels")
+    return toxicity.fit(docs, labels, toxicity_categories(labels))
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    chain = fitted_toxicity(spark, docs, sf_dir)
+    scored = toxicity.score(docs, chain)
+    return scored.select("doc_id", *(F.round(f"p_{n}", 6).alias(f"p_{n}") for n in chain.names),
+                         (F.col("p_toxic") >= toxicity.THRESHOLD).alias("toxic"))
+
+
 @query
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, max_bits=2)
