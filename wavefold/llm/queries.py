@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavefold.llm import byte_bpe, dac, decontaminate, line_dedup, prefix_counts, quality_rules, sharding, simhash, toxicity
+from wavefold.llm import byte_bpe, dac, decontaminate, html_extract, line_dedup, prefix_counts, quality_rules, sharding, simhash, toxicity
 from wavefold.llm.common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("text", 256).alias("text_sha256"))
 
 
+@query
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def toxicity_categories(labels: DataFrame) -> dict[str, Column]:
     """The chain's categories, from the labels at hand: toxic, then toxic junk and toxic prose."""
     toxic, good = labels["toxic"] == 1, labels["quality"] == 1
