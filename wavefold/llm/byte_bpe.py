@@ -8,9 +8,9 @@ not yet agreed on. Reading a byte ends at most one token that is compatible
 with the token before it (a pair is compatible when the merges encode its bytes
 as that pair), drops the places no token can reach any more, and emits the
 tokens on which all places left agree. A token is at most so many bytes long,
-so the look-ahead is bounded and so is the number of states; a state and its
-arrows are made when a text first needs them, and forgotten when there are too
-many (results don't depend on that).
+so the look-ahead is bounded and so is the number of states. A state and its
+arrows are made when a text first needs them; once the table is full, rarer ones
+are made anew each time (results don't depend on that).
 
 Decoding joins the bytes of the tokens and feeds them to an incremental UTF-8
 machine, which keeps the one to three bytes of a character that is not complete
@@ -25,17 +25,19 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import itertools
+import struct
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from wavefold.llm.common import id_text, rows_of, worker_state
+from wavefold.llm.bpe_pairs import Pairs
+from wavefold.llm.common import Memo, id_text, rows_of, worker_state
 
 #: Pieces, arrows of the transducer and judged pairs that a worker remembers; results don't depend on them.
-MEMO_PIECES, MEMO_BYTES, MEMO_ARROWS, MEMO_PAIRS = 250_000, 48, 150_000, 300_000
+MEMO_PIECES, MEMO_BYTES, MEMO_ARROWS, MEMO_PAIRS = 400_000, 48, 400_000, 400_000
 #: Token ids given to the decoder at a time.
 DECODE_IDS = 65_536
 
@@ -53,58 +55,37 @@ class Transducer:
             raise ValueError("every single byte needs a rank")
         self.ranks = ranks
         self.begins = {t[:k] for t in ranks for k in range(1, len(t))}
-        self.fits: dict[tuple[bytes, bytes], bool] = {}
-        self.start: dict = {}
-        self.reset()
-
-    def reset(self) -> None:
-        """Forget all states; the start state is the one place before the first byte."""
+        self.pairs = Pairs(lambda a, b: ranks.get(a + b), MEMO_PAIRS)
         self.states: dict[tuple, dict] = {}
         self.arrows = 0
-        self.start = self._state(((b"", b"", ()),))
+        self.start = self._state(((b"", b"", ()),))  # the one place before the first byte
 
     def _state(self, places: tuple) -> dict:
         """A state is the table of its arrows, byte -> (tokens emitted, next state); None holds its places."""
         return self.states.setdefault(places, {None: places})
 
-    def merged(self, piece: bytes) -> list[bytes]:
-        """Plain BPE of a few bytes: the lowest rank first, the leftmost of equals."""
-        parts = [piece[i:i + 1] for i in range(len(piece))]
-        rank = self.ranks.get
-        while len(parts) > 1:
-            r, at = min((rank(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-            if r == 1 << 60:
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
-
-    def _fit(self, left: bytes, right: bytes) -> bool:
-        """Whether the merges leave this pair as it is; an empty ``left`` is the beginning."""
-        known = self.fits.get((left, right))
-        if known is None:
-            if len(self.fits) > MEMO_PAIRS:
-                self.fits.clear()
-            known = self.fits[left, right] = self.merged(left + right) == ([left, right] if left else [right])
-        return known
-
     def _arrow(self, state: dict, byte: int) -> tuple[tuple[int, ...], dict]:
-        places, ended, made = state[None], None, []
-        for since, last, pending in places:
-            seen = since + bytes((byte,))
-            rank = self.ranks.get(seen)
-            if ended is None and rank is not None and self._fit(last, seen):
-                ended = (b"", seen, (*pending, rank))
-            if seen in self.begins:
+        ended, made, rank_of, begins, fits = None, [], self.ranks.get, self.begins, self.pairs.known.get
+        byte_ = bytes((byte,))
+        for since, last, pending in state[None]:
+            seen = since + byte_
+            if ended is None and (rank := rank_of(seen)) is not None:
+                fit = fits((last, seen))
+                if fit or fit is None and self.pairs.fit(last, seen):
+                    ended = (b"", seen, (*pending, rank))
+            if seen in begins:
                 made.append((seen, last, pending))
         if ended is None:
             raise ValueError("the ranks leave a prefix without an encoding")
         made.append(ended)
-        agreed = 0
-        while all(len(p) > agreed and p[agreed] == made[0][2][agreed] for _, _, p in made):
+        agreed, first, fewest = 0, ended[2], min(len(p) for _, _, p in made)
+        while agreed < fewest and all(p[agreed] == first[agreed] for _, _, p in made):
             agreed += 1
-        emitted = made[0][2][:agreed]
+        places = tuple((s, t, p[agreed:]) for s, t, p in made) if agreed else tuple(made)
+        if self.arrows >= MEMO_ARROWS:  # a full table: what is rare is made anew each time
+            return first[:agreed], {None: places}
         self.arrows += 1
-        arrow = state[byte] = emitted, self._state(tuple((s, t, p[agreed:]) for s, t, p in made))
+        arrow = state[byte] = first[:agreed], self._state(places)
         return arrow
 
     def stream(self, data: Iterable[int]) -> Iterator[int]:
@@ -120,8 +101,6 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
-        if self.arrows > MEMO_ARROWS:
-            self.reset()
         state, out = self.start, []
         for byte in piece:
             emitted, state = state.get(byte) or self._arrow(state, byte)
@@ -138,19 +117,23 @@ class Encoder:
         self.ranks = read_ranks(path)
         self.split = regex.compile(pattern)
         self.transducer = Transducer(self.ranks)
-        self.memo: dict[str, tuple[int, ...]] = {}
-
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        ids = self.transducer.encode(raw := piece.encode())
-        if len(raw) <= MEMO_BYTES:
-            if len(self.memo) >= MEMO_PIECES:
-                self.memo.clear()
-            self.memo[piece] = ids
-        return ids
+        self.memo = Memo(MEMO_PIECES)
+
+    def _piece(self, piece: str) -> bytes:
+        found = self.memo.older.get(piece)
+        if found is None:
+            raw = piece.encode()
+            ids = self.transducer.encode(raw)
+            found = struct.pack(f"<{len(ids)}I", *ids)
+            if len(raw) > MEMO_BYTES:
+                return found
+        self.memo.put(piece, found)
+        return found
 
     def encode(self, text: str) -> list[int]:
-        memo, piece = self.memo, self._piece
-        return list(itertools.chain.from_iterable(memo.get(p) or piece(p) for p in self.split.findall(text)))
+        known, piece = self.memo.known.get, self._piece
+        laid = b"".join([known(p) or piece(p) for p in self.split.findall(text)])
+        return np.frombuffer(laid, "<u4").tolist()
 
 
 class Utf8Stream:
@@ -229,11 +212,12 @@ def decode(encoded: DataFrame, path: str, pattern: str = "") -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id",
+def round_trip(docs: DataFrame, path: str, pattern: str, *, keep_ids: bool = False, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """Encode and decode in one pass: n_tokens, and SHA-256 of the comma-joined ids and of the decoded bytes."""
+    """Encode and decode in one pass: n_tokens, and SHA-256 of the comma-joined ids and of the decoded
+    bytes; with ``keep_ids`` also the ids."""
     fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
-              ("decoded_sha256", pa.string())]
+              ("decoded_sha256", pa.string()), *([("ids", pa.list_(pa.int32()))] if keep_ids else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(path, pattern)
@@ -244,9 +228,9 @@ def round_trip(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_i
                 decoded = hashlib.sha256()
                 for part in decode_chunks(coder.bytes_of, ids):
                     decoded.update(part.encode())
-                rows.append((i, len(ids), hashlib.sha256(",".join(map(coder.digits.__getitem__, ids)).encode()).hexdigest(),
-                             decoded.hexdigest()))
+                digest = hashlib.sha256(",".join(map(coder.digits.__getitem__, ids)).encode())
+                rows.append((i, len(ids), digest.hexdigest(), decoded.hexdigest(), np.array(ids, np.int32) if keep_ids else None))
             yield pa.RecordBatch.from_pydict({n: pa.array([r[k] for r in rows], t) for k, (n, t) in enumerate(fields)})
 
-    return id_text(docs, id_col, text_col).mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
+    return id_text(docs, id_col, text_col).mapInArrow(run, schema)

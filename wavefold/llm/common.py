@@ -62,3 +62,23 @@ def rows_of(batches: Iterator, *names: str) -> Iterator[tuple]:
     """For every Arrow batch: the named columns as Python lists."""
     for batch in batches:
         yield tuple(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names)
+
+
+class Memo:
+    """A bounded memory in two halves: the half in use, and the one before it.
+
+    When the half in use is full it becomes the older one; what is asked for
+    again is moved over, so frequent keys stay. ``known`` is stable: look keys up
+    there first, then in ``older``, and ``put`` what was found or made.
+    """
+
+    def __init__(self, size: int):
+        self.half = size // 2
+        self.known: dict = {}
+        self.older: dict = {}
+
+    def put(self, key, value) -> None:
+        if len(self.known) >= self.half:
+            self.older = self.known.copy()
+            self.known.clear()
+        self.known[key] = value
