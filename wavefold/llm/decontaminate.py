@@ -229,7 +229,7 @@ def remove_spans_from(text: str | None, spans: list) -> str | None:
     if not spans:
         return text
     raw = text.encode()
-    at = [m.span() for m in WORD.finditer(raw)]
+    at = [m.span() for m in WORD.finditer(raw.lower())]
     out, end = [], 0
     for s in spans:
         out.append(raw[end:at[s["start"]][0]])
