@@ -31,12 +31,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from wavefold.llm.common import id_text, rows_of, worker_state
+from wavefold.llm.bpe_pairs import Pairs
+from wavefold.llm.common import Memo, id_text, rows_of, worker_state
 
 # Fixed value: the splitting pattern of this tokenizer family.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces remembered in a worker, the longest that are, and pairs judged; results don't depend on them.
-MEMO_PIECES, MEMO_CHARS, MEMO_PAIRS = 250_000, 40, 300_000
+MEMO_PIECES, MEMO_CHARS, MEMO_PAIRS = 400_000, 40, 400_000
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -61,44 +62,17 @@ class PrefixCounter:
         as_byte = _byte_of_char()
         raw = lambda s: bytes(as_byte[c] for c in s)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        self.rank = {(raw(a), raw(b)): k for k, (a, b) in reversed(list(enumerate(pairs)))}
+        ranks = {(raw(a), raw(b)): k for k, (a, b) in reversed(list(enumerate(pairs)))}
+        self.pairs = Pairs(lambda a, b: ranks.get((a, b)), MEMO_PAIRS)
         # a token in play is one that its own bytes are encoded as
         vocab = {raw(s) for s in model["vocab"]}
-        self.tokens = {t for t in vocab if len(t) == 1 or self._merged(t) == [t]}
+        self.tokens = {t for t in vocab if len(t) == 1 or self.pairs.merged(t) == [t]}
         self.heads = {t[:k] for t in self.tokens for k in range(1, len(t) + 1)}
         self.split = regex.compile(PATTERN)
         specials = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, specials))) if specials else None
-        self.fits: dict[tuple[bytes, bytes], bool] = {}
         self.ends: dict[bytes, tuple] = {}
-        self.memo: dict[str, bytes] = {}
-
-    def _merged(self, piece: bytes) -> list[bytes]:
-        """Plain BPE of a few bytes, for judging pairs of tokens."""
-        parts = [piece[i:i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda i: self.rank.get((parts[i], parts[i + 1]), 1 << 60))
-            pair = (parts[best], parts[best + 1])
-            if pair not in self.rank:
-                break
-            out, i = [], 0
-            while i < len(parts):  # every occurrence of the best pair, from the left
-                if i + 1 < len(parts) and (parts[i], parts[i + 1]) == pair:
-                    out.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return parts
-
-    def _fit(self, left: bytes, right: bytes) -> bool:
-        known = self.fits.get((left, right))
-        if known is None:
-            if len(self.fits) > MEMO_PAIRS:
-                self.fits.clear()
-            known = self.fits[left, right] = self._merged(left + right) == [left, right]
-        return known
+        self.memo = Memo(MEMO_PIECES)
 
     def _ends(self, seen: bytes) -> tuple[bytes, tuple[tuple[bytes, int], ...]]:
         """The longest end of ``seen`` that begins a token, and the tokens that end there, longest first."""
@@ -114,13 +88,13 @@ class PrefixCounter:
         last: list[bytes] = [b""]
         count = [0]
         inside = b""
-        ends, fits = self.ends.get, self.fits.get
+        ends, fits = self.ends.get, self.pairs.known.get
         for end in range(1, len(piece) + 1):
             seen = inside + piece[end - 1:end]
             inside, found = ends(seen) or self._ends(seen)
             for token, n in found:
                 before = last[end - n]
-                if n == end or (f := fits((before, token))) or f is None and self._fit(before, token):
+                if n == end or (f := fits((before, token))) or f is None and self.pairs.fit(before, token):
                     last.append(token)
                     count.append(count[end - n] + 1)
                     break
@@ -141,18 +115,19 @@ class PrefixCounter:
         return [*(counts[k] for k in ends.tolist()), counts[-1]]
 
     def _steps(self, piece: str) -> bytes:
-        counts = self.piece_counts(piece)
-        steps = struct.pack(f"<{len(counts)}h", *map(operator.sub, counts, [0, *counts]))
-        if len(piece) <= MEMO_CHARS:
-            if len(self.memo) >= MEMO_PIECES:
-                self.memo.clear()
-            self.memo[piece] = steps
+        steps = self.memo.older.get(piece)
+        if steps is None:
+            counts = self.piece_counts(piece)
+            steps = struct.pack(f"<{len(counts)}h", *map(operator.sub, counts, [0, *counts]))
+            if len(piece) > MEMO_CHARS:
+                return steps
+        self.memo.put(piece, steps)
         return steps
 
     def _plain(self, text: str) -> np.ndarray:
         """Counts at 0..len(text) for a text without special tokens."""
-        memo, steps = self.memo, self._steps
-        laid = b"".join([memo.get(p) or steps(p) for p in self.split.findall(text)])
+        known, steps = self.memo.known.get, self._steps
+        laid = b"".join([known(p) or steps(p) for p in self.split.findall(text)])
         out = np.zeros(len(text) + 1, np.int64)
         np.cumsum(np.frombuffer(laid, "<i2"), out=out[1:])
         for m in regex.finditer(r"\s{2,}(?=\S)", text):  # a prefix that ends in white space takes all of it as one piece
