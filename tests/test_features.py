@@ -6,7 +6,7 @@ import pytest
 
 from wavefold.operators import clean as cl
 from wavefold.operators import features as fe
-from wavefold.operators.quantiles import exact_quantiles
+from wavefold.operators.quantiles import exact_quantiles, exact_quantiles_many
 
 
 def test_exact_quantiles_match_numpy(spark):
@@ -118,22 +118,45 @@ def test_value_counts_long_nan_label(spark):
     assert got == {("s", "a"): 2, ("s", "nan"): 1, ("n", "1"): 2, ("n", "nan"): 1}
 
 
-def test_exact_quantiles_recursive_path(spark):
-    vals = np.random.default_rng(2).normal(size=3000)
-    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+def test_exact_quantiles_bring_only_the_answer_to_the_driver(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    rng = np.random.default_rng(2)
+    data = {f"c{i}": rng.normal(size=5000) for i in range(6)}
+    rows = [tuple(float(v) for v in r) for r in zip(*data.values())]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in data)).coalesce(1)
+    brought = []
+    for name in ("collect", "toPandas", "first", "head", "take"):
+        def counting(self, *a, f=getattr(DataFrame, name), **k):
+            out = f(self, *a, **k)
+            brought.append(len(out) if hasattr(out, "__len__") and name != "first" else 1)
+            return out
+        monkeypatch.setattr(DataFrame, name, counting)
     probs = [0.1, 0.5, 0.9]
-    got = exact_quantiles(df, "x", probs, max_collect=50)     # forces re-partitioning of big partitions
-    assert np.allclose(got, np.quantile(vals, probs), rtol=0, atol=1e-12)
+    shuffle = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")  # every column in one partition
+    try:
+        got = exact_quantiles_many(df, list(data), probs)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+    assert sum(brought) <= 2 * len(probs) * len(data)
+    for c, v in data.items():
+        assert np.allclose(got[c], np.quantile(v, probs), rtol=0, atol=1e-12)
+
+
+def test_exact_quantiles_without_values(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a double, b double")
+    assert exact_quantiles_many(df, ["a", "b"], [0.5]) == {"a": [None], "b": [1.5]}
+    assert exact_quantiles_many(df.limit(0), ["a", "b"], [0.5]) == {"a": [None], "b": [None]}
 
 
 def test_exact_quantiles_many_columns(spark):
-    from wavefold.operators.quantiles import exact_quantiles_many
     rng = np.random.default_rng(9)
     a, b = rng.normal(size=800), rng.integers(0, 5, size=800).astype(float)
     rows = [(float(x), float(y) if i % 7 else None) for i, (x, y) in enumerate(zip(a, b))]
     df = spark.createDataFrame(rows, "a double, b double")
     probs = [0.0, 0.3, 0.5, 0.99, 1.0]
-    got = exact_quantiles_many(df, ["a", "b"], probs, max_collect=40)
+    got = exact_quantiles_many(df, ["a", "b"], probs)
     bb = np.array([r[1] for r in rows if r[1] is not None])
     assert np.allclose(got["a"], np.quantile(a, probs), atol=1e-12)
     assert np.allclose(got["b"], np.quantile(bb, probs), atol=1e-12)

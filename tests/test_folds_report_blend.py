@@ -21,6 +21,22 @@ def test_kfold_deterministic_and_balanced(spark):
     assert sizes[-1] - sizes[0] <= 1 and sum(sizes) == 997
 
 
+def test_group_kfold_is_greedy_with_a_null_group(spark):
+    rng = np.random.default_rng(3)
+    values = [None, *(f"g{i}" for i in range(40))]
+    rows = [(i, values[min(int(g), 40)]) for i, g in enumerate(rng.exponential(9, size=900))] + [(10_000 + i, f"s{i:03d}") for i in range(100)]
+    got = {r["i"]: r["fold"] for r in fo.group_kfold(spark.createDataFrame(rows, "i int, g string"), "g", 4).collect()}
+    sizes = {}
+    for _, g in rows:
+        sizes[g] = sizes.get(g, 0) + 1
+    loads, want = [0] * 4, {}
+    for g in sorted(sizes, key=lambda g: (-sizes[g], g is not None, g or "")):
+        f = min(range(4), key=lambda x: (loads[x], x))
+        loads[f] += sizes[g]
+        want[g] = f + 1
+    assert got == {i: want[g] for i, g in rows}
+
+
 def test_group_kfold_keeps_groups_whole(spark):
     rows = [(i, g) for g, n in enumerate([30, 20, 10, 10, 5, 5, 3, 2, 1]) for i in range(n)]
     df = spark.createDataFrame(rows, "i int, g int")

@@ -141,44 +141,19 @@ def test_join_group_stats_prefixes(spark):
     assert out[1]["g__mean"] == 2.0 and out[3]["g__mean"] is None
 
 
-def test_rank_methods_agree(spark, frame):
-    rows = frame + [("cont", i, float(np.sin(i) * 100)) for i in range(300)]   # many distinct values
-    df = spark.createDataFrame(rows, "g string, o int, x double")
-    a = {r["g"]: r for r in gs.order_free_stats(df, ["g"], "x", rank_method="prefix").collect()}
-    b = {r["g"]: r for r in gs.order_free_stats(df, ["g"], "x", rank_method="window").collect()}
-    assert set(a) == set(b)
-    for g in a:
-        for k in gs.ORDER_FREE:
-            assert close(a[g][k], b[g][k]), (g, k)
-
-
-def test_auto_rank_method_switches(spark):
-    rows = [("a", i, float(i % 50)) for i in range(500)] + [("b", i, float(i)) for i in range(300)]
-    df = spark.createDataFrame(rows, "g string, o int, x double")
-    small = {r["g"]: r for r in gs.order_free_stats(df, ["g"], "x", window_max_values=10).collect()}
-    big = {r["g"]: r for r in gs.order_free_stats(df, ["g"], "x").collect()}
-    for g in small:
-        for k in gs.ORDER_FREE:
-            assert close(small[g][k], big[g][k]), (g, k)
-
-
-def test_peaks_many_equals_stacked(spark):
+def test_peaks_of_many_columns(spark):
     rng = np.random.default_rng(21)
     n = 3000
     rows = [(int(i), int(rng.integers(0, 4)), str(rng.integers(0, 3)) if i % 11 else None,
              float(rng.integers(0, 5))) for i in range(n)]
     df = spark.createDataFrame(rows, "o int, a int, b string, x double").repartition(7)
     many = {(r["group_var"], r["group_value"]): (r["peaks"], r["troughs"])
-            for r in gs.peaks_troughs_many(df, ["a", "b"], "x", ["o"]).collect()}
+            for r in gs.group_stats_multi(df, ["a", "b"], "x", ["o"]).collect()}
     pdf = pd.DataFrame(rows, columns=["o", "a", "b", "x"]).sort_values("o")
     for g in ("a", "b"):
         for v, sub in pdf[pdf[g].notna()].groupby(g):
             xs = sub["x"].tolist()
             assert many[(g, str(v))] == (brute_peaks(xs), brute_peaks([-t for t in xs])), (g, v)
-    # routing: a tiny key budget sends every column through the stacked path
-    a = {(r["group_var"], r["group_value"]): (r["peaks"], r["troughs"])
-         for r in gs.group_stats_multi(df, ["a", "b"], "x", ["o"], max_keys_in_task=1).collect()}
-    assert a == many
 
 
 def test_hot_key_third_of_rows(spark):

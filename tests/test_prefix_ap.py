@@ -33,6 +33,17 @@ def test_prefix_sums_match_cumsum(spark):
             assert abs(got[(k, o)] - c) < 1e-9
 
 
+def test_prefix_sums_null_keys_are_a_group(spark):
+    rows = [(None if i % 3 == 0 else "ab"[i % 2], None if i % 5 == 0 else i % 4, i, float(i % 7)) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, n int, o int, v double").repartition(6)
+    got = {r["o"]: r["v_cum"] for r in prefix_sums(df, "o", ["v"], keys=["k", "n"]).collect()}
+    for k in {(r[0], r[1]) for r in rows}:
+        total = 0.0
+        for _, _, o, v in (r for r in rows if (r[0], r[1]) == k):
+            total += v
+            assert abs(got[o] - total) < 1e-9
+
+
 def test_prefix_sums_descending_no_keys(spark):
     df = spark.createDataFrame([(i, 1.0) for i in range(500)], "o int, v double")
     got = {r["o"]: r["v_cum"] for r in prefix_sums(df, "o", ["v"], descending=True).collect()}

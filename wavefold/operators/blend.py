@@ -1,9 +1,8 @@
 """Ensemble blending and final scores.
 
 Predictions stay long ``(uid, year, [seed], model, predicted_score)``. Blend
-weights are a tiny ``(category, model, weight)`` table (categories are capped
-by the top-k vocabulary, models by the ensemble), so joining it is a
-broadcast with a structural size bound.
+weights are a ``(category, model, weight)`` table, folded from the predictions
+before it is joined; the planner chooses the join from its size at run time.
 """
 
 from __future__ import annotations
@@ -46,10 +45,10 @@ def blend(preds: DataFrame, weights: DataFrame, keys: Sequence[str] = ("uid", "y
     ``fallback`` ``(model, weight)`` weights (e.g. from all train rows) are given.
     """
     w = weights.select(category, model, "weight")
-    x = preds.join(F.broadcast(w), [category, model], "left")
+    x = preds.join(w, [category, model], "left")
     if fallback is not None:
         fb = fallback.select(model, F.col("weight").alias("_fw"))
-        x = x.join(F.broadcast(fb), model, "left").withColumn(
+        x = x.join(fb, model, "left").withColumn(
             "weight", F.coalesce("weight", "_fw")).drop("_fw")
     return x.groupBy(*keys, category).agg(
         F.coalesce(F.sum(F.col("weight") * F.col(pred)), F.lit(0.0)).alias(out))

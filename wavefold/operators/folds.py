@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import md5_bucket
+from ..session import checkpoint
 from .participation import dense_index
 
 
@@ -43,29 +44,52 @@ def combined_fold(rows: DataFrame, key_folds: DataFrame, key: str = "uid", k: in
                                          F.col("_fold2").cast("string"))).drop("_fold2")
 
 
-def group_kfold(df: DataFrame, group: str, k: int = 5, out: str = "fold",
-                max_groups: int = 100_000) -> DataFrame:
+def _rounds(loads: list[int], size: int, count: int) -> tuple[list[tuple[int, list[int]]], list[int]]:
+    """How ``count`` groups of one size go to the lightest fold each, ties to the smaller fold.
+
+    Fold f takes items when the level reaches its load, its load + size, and so
+    on, so the items go round the folds that have been reached. Returns (first
+    item, folds in turn) for each stretch with the same folds, and the new loads.
+    """
+    k, least = len(loads), min(loads)
+    joins = [(load - least) // size for load in loads]  # the round in which a fold takes its first item
+    order = sorted(range(k), key=lambda f: ((loads[f] - least) % size, f))
+    stretches, loads = [], list(loads)
+    for at in sorted(set(joins)):
+        turn = [f for f in order if joins[f] <= at]
+        first = sum(at - joins[f] for f in turn)
+        if first >= count:
+            break
+        stretches.append((first, turn))
+    for (first, turn), after in zip(stretches, [f for f, _ in stretches[1:]] + [count]):
+        whole, rest = divmod(after - first, len(turn))
+        for i, f in enumerate(turn):
+            loads[f] += size * (whole + (i < rest))
+    return stretches, loads
+
+
+def group_kfold(df: DataFrame, group: str, k: int = 5, out: str = "fold") -> DataFrame:
     """Whole groups per fold, balanced greedily by size (K6, GroupKFold).
 
-    Group sizes (one row per group) go to the driver, which assigns the largest
-    group to the currently lightest fold (ties: smaller fold id; equal sizes by
-    group value). Beyond ``max_groups`` distinct groups the assignment falls back
-    to an md5 hash of the group, which needs no driver step.
+    The largest group goes to the currently lightest fold (ties: smaller fold id;
+    equal sizes in the order of the group as a string, a null group, which is a
+    group like any other, first). Groups of one size go round the folds in a fixed
+    turn, so the driver sees one row per distinct size (their number is below the
+    root of twice the rows), and the groups get their place among those of their
+    size, and their fold, in the cluster.
     """
-    sizes = df.groupBy(group).count()
-    # bounded collect: at most max_groups + 1 rows reach the driver
-    got = sizes.limit(max_groups + 1).collect()
-    if len(got) > max_groups:
-        return df.withColumn(out, md5_bucket(k, group) + 1)
-    rows = sorted(got, key=lambda r: (-r["count"], str(r[group])))
-    load = [0] * k
-    assign = []
-    for r in rows:
-        f = min(range(k), key=lambda i: (load[i], i))
-        load[f] += r["count"]
-        assign.append((r[group], f + 1))
-    spark = df.sparkSession
-    schema = f"{group} {dict(df.dtypes)[group]}, {out} int"
-    table = spark.createDataFrame(assign, schema)
-    # ``table`` has one row per group and at most ``max_groups`` rows.
-    return df.join(F.broadcast(table), group, "left")
+    sizes = df.groupBy(group).count().select(F.col(group).alias("_g"), F.col("count").alias("_size"))
+    placed = dense_index(sizes.withColumn("_less", -F.col("_size")).withColumn("_name", F.col("_g").cast("string")),
+                         ["_less", "_name"], "_i")
+    placed = checkpoint(placed.select("_g", "_size", "_i"))
+    loads, begin, table = [0] * k, 0, []
+    for r in placed.groupBy("_size").count().orderBy(F.col("_size").desc()).collect():
+        stretches, loads = _rounds(loads, r["_size"], r["count"])
+        ends = [f for f, _ in stretches[1:]] + [r["count"]]
+        table += [(r["_size"], begin + f, begin + e, [x + 1 for x in turn]) for (f, turn), e in zip(stretches, ends)]
+        begin += r["count"]
+    turns = df.sparkSession.createDataFrame(table, "_of long, _from long, _to long, _turn array<int>")
+    fold = F.get("_turn", F.pmod(F.col("_i") - F.col("_from"), F.size("_turn")).cast("int"))
+    folds = placed.join(turns, (F.col("_size") == F.col("_of")) & (F.col("_i") >= F.col("_from")) & (F.col("_i") < F.col("_to"))
+                        ).select("_g", fold.alias(out))
+    return df.join(folds, F.col(group).eqNullSafe(F.col("_g")), "left").drop("_g")

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint
+from .quantiles import prefix_sums
 
 # The statistic names and quintile labels of the reference's
 # group-statistics block, in its order.
@@ -90,48 +90,21 @@ def _quantile(q: float, n: Column, v: Column, c: Column, before: Column) -> Colu
     return v_lo + (v_hi - v_lo) * F.max(frac)
 
 
-def order_free_stats(df: DataFrame, keys: str | Sequence[str], value: str,
-                     rank_method: str = "auto", window_max_values: int = 1_000_000) -> DataFrame:
+def order_free_stats(df: DataFrame, keys: str | Sequence[str], value: str) -> DataFrame:
     """Every statistic except peaks/troughs, one row per non-null key.
 
-    ``rank_method`` chooses how each distinct value learns how many smaller
-    values its group has: ``"prefix"`` uses a range-partitioned prefix sum, so a
-    group with very many distinct values is still spread over many tasks;
-    ``"window"`` uses ``Window.partitionBy(keys)`` over the compressed table —
-    fewer jobs, one task per group. ``"auto"`` materialises the compressed
-    table, checks its largest group and takes the window only when no group has
-    more than ``window_max_values`` distinct values.
+    How many smaller values a distinct value has in its group is a running sum of
+    counts over a range partitioning of the compressed table, for groups of any
+    size: a group with very many distinct values is spread over many tasks.
     """
     keys = _as_list(keys)
-    vc = value_counts(df, keys, value)
     v, c = F.col(_V), F.col(_C)
     nn = v.isNotNull()
-    if rank_method == "auto":
-        vc = checkpoint(vc)
-        largest = vc.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        rank_method = "window" if largest <= window_max_values else "prefix"
-    if rank_method == "window":
-        w_all = Window.partitionBy(*keys)
-        w_before = Window.partitionBy(*keys).orderBy(F.col(_V).asc_nulls_first()) \
-            .rowsBetween(Window.unboundedPreceding, -1)
-        cn = F.when(nn, c).otherwise(F.lit(0))
-        vc = (
-            vc.withColumn("_n", F.sum(cn).over(w_all))
-            .withColumn("_sum", F.sum(F.when(nn, c * v)).over(w_all))
-            .withColumn("_before", F.coalesce(F.sum(cn).over(w_before), F.lit(0)))
-        )
-    elif rank_method == "prefix":
-        from .quantiles import prefix_sums
-        # per-group totals: one row per group
-        tot = vc.groupBy(*keys).agg(
-            F.sum(F.when(nn, c).otherwise(F.lit(0))).alias("_n"),
-            F.sum(F.when(nn, c * v)).alias("_sum"))
-        cum = prefix_sums(vc.where(nn), _V, [_C], keys=keys)
-        cum = cum.withColumn("_before", (F.col(f"{_C}_cum") - F.col(_C)).cast("long")).drop(f"{_C}_cum")
-        nulls = vc.where(~nn).select(*keys, _V, _C, F.lit(0).cast("long").alias("_before"))
-        vc = cum.unionByName(nulls).join(tot, keys)
-    else:
-        raise ValueError(f"unknown rank_method {rank_method}")
+    vc = value_counts(df, keys, value).withColumn("_cn", F.when(nn, c).otherwise(F.lit(0)))
+    cum = prefix_sums(vc, _V, ["_cn"], keys=keys)
+    # per-group totals: one row per group
+    tot = cum.groupBy(*keys).agg(F.sum("_cn").alias("_n"), F.sum(F.when(nn, c * v)).alias("_sum"))
+    vc = cum.withColumn("_before", (F.col("_cn_cum") - F.col("_cn")).cast("long")).join(tot, keys)
     n, s, before = F.col("_n"), F.col("_sum"), F.col("_before")
     mean = F.try_divide(s, n)
     dev = v - mean
@@ -361,53 +334,6 @@ def _resolve_seams(segs: DataFrame, keys: list[str]) -> DataFrame:
         .alias("troughs"))
 
 
-def peaks_troughs_many(df: DataFrame, group_vars: Sequence[str], value: str,
-                       order_by: Sequence[str]) -> DataFrame:
-    """Peaks/troughs for several low-cardinality grouping columns in one sorted pass.
-
-    The rows are range-partitioned and sorted by ``order_by`` only — once, not
-    once per grouping column — and each task keeps a running summary per
-    (grouping column, value) while it scans; the seams between partitions are
-    resolved as in :func:`peaks_troughs`. Task memory grows with the number of
-    distinct group values, so callers route only columns of checked, bounded
-    cardinality here (see :func:`group_stats_multi`).
-    Output ``(group_var, group_value, peaks, troughs)``.
-    """
-    gvars = [g for g in group_vars if g in df.columns]
-    order_by = _as_list(order_by)
-    base = df.where(F.col(value).isNotNull()).select(
-        *[F.col(g).cast("string").alias(f"_g{i}") for i, g in enumerate(gvars)],
-        *order_by, F.col(value).cast("double").alias(_V))
-    ranged = base.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    schema = T.StructType([T.StructField("group_var", T.StringType()),
-                           T.StructField("group_value", T.StringType())]
-                          + [T.StructField(n, t) for n, t in _SUMMARY])
-    names = schema.fieldNames()
-
-    def summarise(batches):
-        pid = TaskContext.get().partitionId()
-        state: dict = {}
-        for pdf in batches:
-            for i, g in enumerate(gvars):
-                col = f"_g{i}"
-                sub = pdf[[col, _V]][pdf[col].notna()]
-                if len(sub) == 0:
-                    continue
-                codes, _ = pd.factorize(sub[col])
-                sub = sub.iloc[np.argsort(codes, kind="stable")].reset_index(drop=True)
-                segs = _batch_segments(sub, [col])
-                for rec in segs.to_dict("records"):
-                    k = (g, rec[col])
-                    cur = {c: rec[c] for c in _STATE}
-                    state[k] = _merge(state[k], cur) if k in state else cur
-        rows = [(g, v, pid, *[sm[c] for c in _STATE]) for (g, v), sm in state.items()]
-        if rows:
-            yield pd.DataFrame(rows, columns=names).astype({"fs": "int32", "ls": "int32"})
-
-    segs = ranged.mapInPandas(summarise, schema=schema)
-    return _resolve_seams(segs, ["group_var", "group_value"])
-
-
 # --------------------------------------------------------------------------
 # public entry points
 
@@ -450,55 +376,37 @@ def stack_group_vars(df: DataFrame, group_vars: Sequence[str], value: str,
 
 
 def group_stats_multi(df: DataFrame, group_vars: Sequence[str], value: str = "composite_score",
-                      order_by: Sequence[str] | None = None, max_keys_in_task: int = 10_000) -> DataFrame:
+                      order_by: Sequence[str] | None = None) -> DataFrame:
     """Statistics for many single-column groupings in one pass.
 
-    Long output ``(group_var, group_value, stats…)``. Order-free statistics
-    aggregate the stacked ``(group_var, group_value, value)`` rows once. For
-    peaks/troughs the grouping columns' cardinalities are checked first
-    (``approx_count_distinct``, one scan of those columns): columns with at most
-    ``max_keys_in_task`` values share one sorted pass over the rows; the others
-    are stacked and range-partitioned by (column, value, order).
+    Long output ``(group_var, group_value, stats…)``. Everything aggregates the
+    stacked ``(group_var, group_value, value)`` rows; for peaks/troughs they are
+    range-partitioned by (column, value, order), whatever a column's cardinality.
     """
     keys = ["group_var", "group_value"]
     stacked = stack_group_vars(df, group_vars, value, order_by or ())
     stats = order_free_stats(stacked, keys, value)
     if not order_by:
         return stats.select(*keys, *ORDER_FREE)
-    present = [g for g in group_vars if g in df.columns]
-    card = df.agg(*[F.approx_count_distinct(g).alias(g) for g in present]).first().asDict()
-    low = [g for g in present if card[g] <= max_keys_in_task]
-    high = [g for g in present if card[g] > max_keys_in_task]
-    parts = []
-    if low:
-        parts.append(peaks_troughs_many(df, low, value, order_by))
-    if high:
-        parts.append(peaks_troughs(stack_group_vars(df, high, value, order_by), keys, value, order_by))
-    pt = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    pt = peaks_troughs(stacked, keys, value, order_by)
     return stats.join(pt, keys, "left").select(*keys, *STAT_NAMES)
 
 
 def join_group_stats(df: DataFrame, stats_long: DataFrame, group_vars: Sequence[str],
-                     stats: Sequence[str] | None = None, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                     stats: Sequence[str] | None = None) -> DataFrame:
     """Left-join long statistics back to rows, one block per group variable.
 
     Column names are ``{group_var}__{stat}`` (never positional suffixes). The
-    statistics table has one row per distinct group value; it is materialised
-    once and its row count checked: under ``max_broadcast_rows`` every block is
-    broadcast (all joins run map-side in one stage), above it the joins are
-    left to the planner (sort-merge), so a high-cardinality key never lands in
-    executor memory.
+    statistics table has one row per distinct group value; the planner chooses
+    the join from its size at run time.
     """
     stats = list(stats or [c for c in stats_long.columns if c not in ("group_var", "group_value")])
     present = [g for g in group_vars if g in df.columns]
-    st = checkpoint(stats_long.where(F.col("group_var").isin(present)))
-    small = st.count() <= max_broadcast_rows
     out = df
     for g in present:
-        block = st.where(F.col("group_var") == g).select(
+        block = stats_long.where(F.col("group_var") == g).select(
             F.col("group_value").alias(f"_{g}__key"),
             *[F.col(s).alias(f"{g}__{s}") for s in stats])
-        block = F.broadcast(block) if small else block
         out = out.join(block, out[g].cast("string") == block[f"_{g}__key"], "left") \
             .drop(f"_{g}__key")
     return out

@@ -25,9 +25,12 @@ def year_patterns(long: DataFrame, labels: DataFrame, key: str = "uid", year: st
     """
     both = long.select(key, F.col(year).cast("int").alias(year)).unionByName(
         labels.select(key, F.col(year).cast("int").alias(year)))
-    g = both.groupBy(key).agg(
-        F.count(year).alias("n_years"),
-        F.array_sort(F.collect_list(year)).alias("years"))
+    # one row per key and year before years are listed, so a key with many rows is folded on the map side
+    per_year = both.groupBy(key, year).agg(F.count(F.lit(1)).alias("_n"))
+    listed = F.array_sort(F.collect_list(F.when(F.col(year).isNotNull(), F.struct(F.col(year).alias("y"), F.col("_n").alias("n")))))
+    g = per_year.groupBy(key).agg(
+        F.coalesce(F.sum(F.when(F.col(year).isNotNull(), F.col("_n"))), F.lit(0)).alias("n_years"),
+        F.flatten(F.transform(listed, lambda s: F.array_repeat(s["y"], s["n"].cast("int")))).alias("years"))
     return g.withColumn("pattern", F.concat(F.lit("["), F.array_join(F.col("years"), ", "), F.lit("]")))
 
 
@@ -43,13 +46,11 @@ class PatternVocab:
 def fit_pattern_vocab(patterns: DataFrame) -> PatternVocab:
     """Sorted distinct patterns → 1..k.
 
-    The distinct pattern table is tiny (a handful of year combinations), so the
-    global ``dense_rank`` runs over that table, never over the keys.
+    The distinct patterns are numbered by a distributed index, so their number is
+    free to grow.
     """
-    distinct = patterns.select("pattern").distinct()
-    ranked = distinct.select("pattern", F.dense_rank().over(Window.orderBy("pattern"))
-                             .cast("int").alias("year_participation"))
-    return PatternVocab(ranked)
+    ranked = dense_index(patterns.select("pattern").distinct(), ["pattern"], "_i")
+    return PatternVocab(ranked.select("pattern", (F.col("_i") + 1).cast("int").alias("year_participation")))
 
 
 def participation_codes(train_long: DataFrame, train_labels: DataFrame,
@@ -66,11 +67,16 @@ def participation_codes(train_long: DataFrame, train_labels: DataFrame,
 
 
 def participation_onehot(codes: DataFrame, k: int) -> DataFrame:
-    """One-hot of the code (no null flag), keeping the code itself."""
+    """One-hot of the code (no null flag), keeping the code itself (K3, R8); ``k`` is the
+    size of the fitted vocabulary (see `vocab_size`)."""
     oh = OneHot({"year_participation": list(range(1, k + 1))}, null_flag=False)
     return oh.apply(codes, drop_source=False)
 
 
+def vocab_size(vocab: PatternVocab) -> int:
+    return vocab.table.agg(F.max("year_participation")).first()[0] or 0
+
+
 def dense_index(df: DataFrame, order: list[str], name: str = "idx") -> DataFrame:
     """0..n−1 index following ``order`` without a single-partition window.
 

@@ -87,9 +87,17 @@ def pivot_change(df: DataFrame, key: str = "uid", period: str = "year",
 
 
 def pivot_block(df: DataFrame, key: str, period: str, periods: Sequence, values: Sequence[str]) -> DataFrame:
-    """Pivot several value columns by period, names ``{value}_{period}``."""
-    g = df.groupBy(key).pivot(period, list(periods)).agg(
+    """Pivot several value columns by period, names ``{value}_{period}``.
+
+    A second row for a key and period raises (pandas ``pivot`` does).
+    """
+    one = lambda c: F.when(F.count(F.lit(1)) <= 1, F.first(c, ignorenulls=True)).otherwise(
+        F.raise_error(F.lit("duplicate (key, period) rows in pivot")))
+    once = df.where(F.col(period).isin(list(periods))).groupBy(key, period).agg(*[one(c).alias(c) for c in values])
+    keys = df.select(key).distinct()
+    g = once.groupBy(key).pivot(period, list(periods)).agg(
         *[F.first(c, ignorenulls=True).alias(c) for c in values])
+    g = keys.join(g, keys[key].eqNullSafe(g[key]), "left").drop(g[key])
     ren = {}
     for p in periods:
         for c in values:
@@ -98,13 +106,6 @@ def pivot_block(df: DataFrame, key: str, period: str, periods: Sequence, values:
     return g.withColumnsRenamed(ren)
 
 
-def pivot_table(df: DataFrame, rows: Sequence[str], col: str, values: Sequence, measure: str,
-                agg: str = "first") -> DataFrame:
-    """Generic pivot of a result table with explicit column values."""
-    fn = getattr(F, agg)
-    return df.groupBy(*rows).pivot(col, list(values)).agg(fn(measure))
-
-
 def melt_predictions(df: DataFrame, ids: Sequence[str], value_cols: Sequence[str] | None = None,
                      prefix: str = "composite_score_", seed_sep: str = "_seed_") -> DataFrame:
     """Wide prediction columns → ``(ids…, model, seed, predicted_score)``.
@@ -124,13 +125,6 @@ def melt_predictions(df: DataFrame, ids: Sequence[str], value_cols: Sequence[str
     )
 
 
-def unpivot_long(df: DataFrame, ids: Sequence[str], cols: Sequence[str], var: str = "feature",
-                 val: str = "value") -> DataFrame:
-    """Columns → ``(ids…, var, val)`` with values cast to string (used by catalogues)."""
-    src = df.select(*ids, *[F.col(c).cast("string").alias(c) for c in cols])
-    return src.unpivot(list(ids), list(cols), var, val)
-
-
 @dataclass
 class OneHot:
     """Fitted one-hot vocabulary: column → sorted distinct non-null values."""
@@ -161,12 +155,11 @@ class OneHot:
         return out
 
 
-def fit_onehot(df: DataFrame, cols: Sequence[str], null_flag: bool = True,
-               max_values: int = 1000) -> OneHot:
+def fit_onehot(df: DataFrame, cols: Sequence[str], null_flag: bool = True) -> OneHot:
     """Distinct values per column in one job (stack + distinct), sorted.
 
-    ``max_values`` guards the schema: a column with more distinct values than
-    that is an identifier, not a category, and raises.
+    Every value becomes a column, so the caller names categorical columns; for
+    identifiers use `participation.dense_codes`.
     """
     cols = [c for c in cols if c in df.columns]
     if not cols:
@@ -174,10 +167,6 @@ def fit_onehot(df: DataFrame, cols: Sequence[str], null_flag: bool = True,
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols
     ])).alias("s")).select("s.c", "s.v").where(F.col("v").isNotNull()).distinct()
-    counts = {r["c"]: r["n"] for r in stacked.groupBy("c").count().withColumnRenamed("count", "n").collect()}
-    too_many = {c: n for c, n in counts.items() if n > max_values}
-    if too_many:
-        raise ValueError(f"too many categories for one-hot: {too_many}")
     rows = stacked.collect()
     vals: dict[str, list] = {c: [] for c in cols}
     types = {f.name: f.dataType for f in df.schema.fields}

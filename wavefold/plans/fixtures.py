@@ -24,52 +24,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _year(c: str) -> Column:
-    return F.year(F.col(c))
-
-
-def _in_years(c: str, first: int, last: int) -> Column:
-    """``first <= year(c) <= last`` as a timestamp range Parquet can prune on
+def _before(c: str, year: int) -> Column:
+    """``c`` lies before a year, as a timestamp range Parquet can prune on
     (a predicate on ``year(c)`` is not pushed into the scan)."""
-    lo = F.lit(f"{first}-01-01 00:00:00").cast("timestamp_ntz")
-    hi = F.lit(f"{last + 1}-01-01 00:00:00").cast("timestamp_ntz")
-    return (F.col(c) >= lo) & (F.col(c) < hi)
+    return F.col(c) < F.lit(f"{year}-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(uid bigint, year int, composite_score double)``: 2000 → 2016, 2001 → 2021."""
+    """``(uid bigint, year int, composite_score double)``: orders of 1999 and 2000 → 2016, later ones → 2021."""
     o = table(spark, sf_dir, "orders")
-    y = _year("o_orderdate")
     return (
-        o.where(_in_years("o_orderdate", 2000, 2001))
-        .groupBy(F.col("o_custkey").alias("uid"), y.alias("oy"))
+        o.where(~_before("o_orderdate", 1999))
+        .groupBy(F.col("o_custkey").alias("uid"),
+                 F.when(_before("o_orderdate", 2001), F.lit(2016)).otherwise(F.lit(2021)).alias("year"))
         .agg(F.avg("o_totalprice").alias("avg_price"))
-        .select(
-            "uid",
-            F.when(F.col("oy") == 2000, F.lit(2016)).otherwise(F.lit(2021)).alias("year"),
-            F.floor(F.col("avg_price") / 250).cast("double").alias("composite_score"),
-        )
+        .select("uid", "year", F.floor(F.col("avg_price") / 250).cast("double").alias("composite_score"))
     )
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide waves per customer: 1996 stands for ``_03``, 1998 for ``_12``."""
+    """Wide waves per customer: orders up to 1996 stand for ``_03``, those of 1997 and 1998 for ``_12``."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     o = (
         table(spark, sf_dir, "orders")
         .select("o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice")
-        .where(_in_years("o_orderdate", 1996, 1998) & _year("o_orderdate").isin(1996, 1998))
+        .where(_before("o_orderdate", 1999))
     )
-    y = _year("o_orderdate")
+    w03 = _before("o_orderdate", 1997)
     # Pre-aggregate orders per customer before the join (map-side combine),
     # so the join sees one row per customer instead of one per order.
     per_cust = o.groupBy("o_custkey").agg(
-        F.min(F.when(y == 1996, F.col("o_orderpriority"))).alias("glob_hlth_03"),
-        F.min(F.when(y == 1998, F.col("o_orderpriority"))).alias("glob_hlth_12"),
-        F.max(F.when(y == 1996, F.col("o_totalprice"))).alias("hincome_03"),
-        F.max(F.when(y == 1998, F.col("o_totalprice"))).alias("hincome_12"),
-        F.count(F.when(y == 1996, F.lit(1))).alias("n_orders_03"),
-        F.count(F.when(y == 1998, F.lit(1))).alias("n_orders_12"),
+        F.min(F.when(w03, F.col("o_orderpriority"))).alias("glob_hlth_03"),
+        F.min(F.when(~w03, F.col("o_orderpriority"))).alias("glob_hlth_12"),
+        F.max(F.when(w03, F.col("o_totalprice"))).alias("hincome_03"),
+        F.max(F.when(~w03, F.col("o_totalprice"))).alias("hincome_12"),
+        F.count(F.when(w03, F.lit(1))).alias("n_orders_03"),
+        F.count(F.when(~w03, F.lit(1))).alias("n_orders_12"),
     )
     j = c.join(per_cust, c.c_custkey == per_cust.o_custkey, "left")
     return j.select(
@@ -126,18 +116,18 @@ def labels_nullkey(spark: SparkSession, sf_dir: str) -> DataFrame:
 FIXTURE_SQL = {
     "f_labels": """
 SELECT o_custkey AS uid,
-       CASE year(o_orderdate) WHEN 2000 THEN 2016 ELSE 2021 END AS year,
+       CASE WHEN year(o_orderdate) < 2001 THEN 2016 ELSE 2021 END AS year,
        CAST(floor(avg(o_totalprice) / 250) AS DOUBLE) AS composite_score
-FROM orders WHERE year(o_orderdate) IN (2000, 2001)
-GROUP BY o_custkey, year(o_orderdate)""",
+FROM orders WHERE year(o_orderdate) >= 1999
+GROUP BY o_custkey, CASE WHEN year(o_orderdate) < 2001 THEN 2016 ELSE 2021 END""",
     "f_features": """
 SELECT c.c_custkey AS uid, c.c_mktsegment AS edu_gru_12, c.c_nationkey AS bmi_12,
-       min(CASE WHEN year(o.o_orderdate) = 1996 THEN o.o_orderpriority END) AS glob_hlth_03,
-       min(CASE WHEN year(o.o_orderdate) = 1998 THEN o.o_orderpriority END) AS glob_hlth_12,
-       max(CASE WHEN year(o.o_orderdate) = 1996 THEN o.o_totalprice END) AS hincome_03,
-       max(CASE WHEN year(o.o_orderdate) = 1998 THEN o.o_totalprice END) AS hincome_12,
-       count(CASE WHEN year(o.o_orderdate) = 1996 THEN 1 END) AS n_orders_03,
-       count(CASE WHEN year(o.o_orderdate) = 1998 THEN 1 END) AS n_orders_12
+       min(CASE WHEN year(o.o_orderdate) < 1997 THEN o.o_orderpriority END) AS glob_hlth_03,
+       min(CASE WHEN year(o.o_orderdate) IN (1997, 1998) THEN o.o_orderpriority END) AS glob_hlth_12,
+       max(CASE WHEN year(o.o_orderdate) < 1997 THEN o.o_totalprice END) AS hincome_03,
+       max(CASE WHEN year(o.o_orderdate) IN (1997, 1998) THEN o.o_totalprice END) AS hincome_12,
+       count(CASE WHEN year(o.o_orderdate) < 1997 THEN 1 END) AS n_orders_03,
+       count(CASE WHEN year(o.o_orderdate) IN (1997, 1998) THEN 1 END) AS n_orders_12
 FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey
 GROUP BY c.c_custkey, c.c_mktsegment, c.c_nationkey""",
     "f_predictions": """

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 
+from pyspark.sql import functions as F
+
 from ..operators import clean as cl
 from ..operators import folds as fo
 from .fixtures import fixture, with_fixtures
@@ -44,22 +46,32 @@ def combined_fold(spark, sf_dir):
 
 
 GROUP_KFOLD_SQL = """
-WITH RECURSIVE g AS (
-  SELECT bmi_12, count(*) AS n,
-         row_number() OVER (ORDER BY count(*) DESC, CAST(bmi_12 AS VARCHAR)) AS rn
-  FROM f_features GROUP BY bmi_12),
-r(rn, loads, bmi_12, fold) AS (
-  SELECT 0, [0, 0, 0, 0, 0]::BIGINT[], NULL::INTEGER, NULL::INTEGER
+WITH RECURSIVE f_members AS ({members}),
+g AS (
+  SELECT grp, count(*) AS n,
+         row_number() OVER (ORDER BY count(*) DESC, grp NULLS FIRST) AS rn
+  FROM f_members GROUP BY grp),
+r(rn, loads, grp, fold) AS (
+  SELECT 0, [0, 0, 0, 0, 0]::BIGINT[], NULL::VARCHAR, NULL::INTEGER
   UNION ALL
   SELECT g.rn,
          list_transform(r.loads, lambda x, i: CASE WHEN i = list_position(r.loads, list_min(r.loads)) THEN x + g.n ELSE x END),
-         g.bmi_12, CAST(list_position(r.loads, list_min(r.loads)) AS INTEGER)
+         g.grp, CAST(list_position(r.loads, list_min(r.loads)) AS INTEGER)
   FROM r JOIN g ON g.rn = r.rn + 1)
-SELECT f.uid, f.bmi_12, r.fold FROM f_features f JOIN r ON f.bmi_12 = r.bmi_12"""
+SELECT f.uid, f.grp, r.fold FROM f_members f JOIN r ON r.rn > 0 AND f.grp IS NOT DISTINCT FROM r.grp"""
 
 
-@register("group_kfold", with_fixtures(GROUP_KFOLD_SQL, "f_features"))
+@register("group_kfold", with_fixtures(GROUP_KFOLD_SQL.replace(
+    "{members}", "SELECT uid, CAST(bmi_12 AS VARCHAR) AS grp FROM f_features"), "f_features"))
 def group_kfold(spark, sf_dir):
-    """Whole nations per fold, greedy size balance (checked by invariants in tests)."""
-    f = fixture(spark, sf_dir, "f_features").select("uid", "bmi_12")
-    return fo.group_kfold(f, "bmi_12", 5).select("uid", "bmi_12", "fold")
+    """Whole nations per fold, greedy size balance."""
+    f = fixture(spark, sf_dir, "f_features").select("uid", F.col("bmi_12").cast("string").alias("grp"))
+    return fo.group_kfold(f, "grp", 5).select("uid", "grp", "fold")
+
+
+@register("group_kfold_nullable", with_fixtures(GROUP_KFOLD_SQL.replace(
+    "{members}", "SELECT uid, grp FROM f_labels_nullkey"), "f_labels_nullkey"))
+def group_kfold_nullable(spark, sf_dir):
+    """A nullable grouping column: rows without a group are one group."""
+    f = fixture(spark, sf_dir, "f_labels_nullkey").select("uid", "grp")
+    return fo.group_kfold(f, "grp", 5).select("uid", "grp", "fold")

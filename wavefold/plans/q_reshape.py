@@ -91,20 +91,20 @@ def participation_code(spark, sf_dir):
     return pats.join(vocab.table, "pattern", "left").select("uid", "n_years", "pattern", "year_participation")
 
 
-# Participation patterns seen in the test tables (fixed by the data generator):
-# codes 1..PARTICIPATION_K.
-PARTICIPATION_K = 9
-
-
 @register("participation_onehot", with_fixtures(f"""
 WITH {PATTERN_SQL}
-SELECT pat.uid, voc.year_participation,
-       {", ".join(f"CASE WHEN voc.year_participation = {i} THEN 1 ELSE 0 END AS year_participation__{i}"
-                  for i in range(1, PARTICIPATION_K + 1))}
-FROM pat JOIN voc USING (pattern)""", "f_features", "f_labels"))
+SELECT pat.uid, voc.year_participation, c.code,
+       CASE WHEN voc.year_participation = c.code THEN 1 ELSE 0 END AS flag
+FROM pat JOIN voc USING (pattern) CROSS JOIN (SELECT year_participation AS code FROM voc) c""", "f_features", "f_labels"))
 def participation_onehot(spark, sf_dir):
-    codes = pa.participation_codes(_long(spark, sf_dir), fixture(spark, sf_dir, "f_labels"))
-    return pa.participation_onehot(codes, PARTICIPATION_K)
+    """The one-hot columns in long form, as many as the fitted vocabulary has codes."""
+    pats = pa.year_patterns(_long(spark, sf_dir), fixture(spark, sf_dir, "f_labels"))
+    vocab = pa.fit_pattern_vocab(pats)
+    k = pa.vocab_size(vocab)
+    wide = pa.participation_onehot(vocab.apply(pats), k)
+    flags = F.array(*[F.struct(F.lit(i).alias("code"), F.col(f"year_participation__{i}").alias("flag"))
+                      for i in range(1, k + 1)])
+    return wide.select("uid", "year_participation", F.inline(flags))
 
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
