@@ -72,31 +72,33 @@ def fairness(rmse_table: DataFrame, by: Sequence[str] = ("group_var", "model"),
         (1 - F.try_divide(F.max("rmse") - F.min("rmse"), F.max("rmse"))).alias("fairness"))
 
 
-def fold_stability(df: DataFrame, fold: str = "combined_fold") -> DataFrame:
-    """Mean and sample std of the per-fold RMSE by fold type.
+# The labels of the two fold types in the reference's report.
+TWO_YEARS, ONE_YEAR = "two_year_scores", "one_years_scores"
 
-    The fold type is ``two_year_scores`` when the key-level fold (text before
-    ``_``) is > 0, else ``one_years_scores``.
+
+def fold_stability(df: DataFrame, fold: str = "combined_fold", by: Sequence[str] = ()) -> DataFrame:
+    """Mean and sample std of the per-fold RMSE by fold type (A7), within ``by``.
+
+    The fold type is TWO_YEARS when the key-level fold (text before ``_``) is > 0, else ONE_YEAR.
     """
-    per_fold = rmse(df, [fold])
-    ftype = F.when(F.split(F.col(fold), "_").getItem(0).cast("double") > 0,
-                   F.lit("two_year_scores")).otherwise(F.lit("one_years_scores"))
-    return per_fold.withColumn("fold_type", ftype).groupBy("fold_type").agg(
+    per_fold = rmse(df, [*by, fold])
+    ftype = F.when(F.split(F.col(fold), "_").getItem(0).cast("double") > 0, F.lit(TWO_YEARS)).otherwise(F.lit(ONE_YEAR))
+    return per_fold.withColumn("fold_type", ftype).groupBy(*by, "fold_type").agg(
         F.avg("rmse").alias("rmse"), F.stddev_samp("rmse").alias("std"))
 
 
 def seed_stability(df: DataFrame, key: str = "uid", seed: str = "seed",
-                   pred: str = "predicted_score") -> DataFrame:
-    """Seed stability as ``(metric, value)`` rows.
+                   pred: str = "predicted_score", by: Sequence[str] = ()) -> DataFrame:
+    """Seed stability as ``(by…, metric, value)`` rows.
 
     ``rmse_mean`` / ``rmse_std``: mean and sample std of the per-seed RMSE;
     ``mean_uid_std``: mean over keys of the per-key prediction std.
     """
-    per_seed = rmse(df, [seed])
-    a = per_seed.agg(F.avg("rmse").alias("rmse_mean"), F.stddev_samp("rmse").alias("rmse_std"))
-    b = df.groupBy(key).agg(F.stddev_samp(pred).alias("_s")).agg(F.avg("_s").alias("mean_uid_std"))
-    return (a.unpivot([], ["rmse_mean", "rmse_std"], "metric", "value")
-            .unionByName(b.unpivot([], ["mean_uid_std"], "metric", "value")))
+    by = list(by)
+    a = rmse(df, [*by, seed]).groupBy(*by).agg(F.avg("rmse").alias("rmse_mean"), F.stddev_samp("rmse").alias("rmse_std"))
+    b = df.groupBy(*by, key).agg(F.stddev_samp(pred).alias("_s")).groupBy(*by).agg(F.avg("_s").alias("mean_uid_std"))
+    return (a.unpivot(by, ["rmse_mean", "rmse_std"], "metric", "value")
+            .unionByName(b.unpivot(by, ["mean_uid_std"], "metric", "value")))
 
 
 def pivot_rmse(df: DataFrame, rows: str, cols: str, values: Sequence, pred: str = "predicted_score",
@@ -132,7 +134,11 @@ def scale_interval(lower: str | Column, upper: str | Column, n: str | Column,
 
 
 def poisson1_thresholds(kmax: int = 12) -> list[float]:
-    """Cumulative probabilities of Poisson(1) for k = 0..kmax−1 (inverse-CDF sampling)."""
+    """Cumulative probabilities of Poisson(1) for k = 0..kmax−1 (inverse-CDF sampling).
+
+    The sampler draws at most ``kmax``: the tail beyond, about 6e-11 of the mass at
+    12, is drawn as 12. That is a property of the sampler, stated here.
+    """
     out, acc = [], 0.0
     for k in range(kmax):
         acc += math.exp(-1.0) / math.factorial(k)
@@ -226,6 +232,23 @@ def score_histogram(df: DataFrame, cols: Sequence[str], lo: float, hi: float, bi
     return st.groupBy(*by, "series", b.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def effect_band(df: DataFrame, value: str, scenario: str, row_id: Sequence[str], years: Sequence[int], n_train: int,
+                year: str = "year", n_boot: int = 200, seed: int = 42) -> DataFrame:
+    """Mean effect per scenario with its band, wide by year.
+
+    The bootstrap SE is scaled by ``sqrt(n / (n + n_train))`` and the band once
+    more around its centre by the same factor, as in the reference.
+    """
+    t = bootstrap_se(df, value, [scenario, year], row_id, n_boot, seed)
+    total = F.col("n") + F.lit(n_train)
+    se = scale_se("se", "n", total)
+    lo, hi = scale_interval(F.col("mean") - se, F.col("mean") + se, "n", total)
+    t = t.select(scenario, year, "mean", lo.alias("lower_bound"), hi.alias("upper_bound"))
+    measures = ("mean", "lower_bound", "upper_bound")
+    wide = t.groupBy(scenario).pivot(year, list(years)).agg(*(F.first(m).alias(m) for m in measures))
+    return wide.withColumnsRenamed({f"{y}_{m}": f"{m}_{y}" for y in years for m in measures})
+
+
 def year_flags(df: DataFrame, years_col: str, years: Sequence[int]) -> DataFrame:
     """``has_{y}`` 0/1 flags from an array of years."""
     return df.withColumns({f"has_{y}": F.array_contains(F.col(years_col), y).cast("int") for y in years})

@@ -12,7 +12,8 @@ from .fixtures import fixture, with_fixtures
 from .q_folds import _md5_bucket_sql
 from .registry import register
 
-N_BOOT = 50
+# Fixed value: the number of bootstrap replicates of the reference's report.
+N_BOOT = 1000
 
 
 def _preds_with_group(spark, sf_dir):
@@ -99,7 +100,7 @@ def fairness(spark, sf_dir):
 
 
 def _with_combined_fold(spark, sf_dir):
-    p = fixture(spark, sf_dir, "f_predictions").where((F.col("model") == "m_a") & (F.col("seed") == 0))
+    p = fixture(spark, sf_dir, "f_predictions")
     lab = fixture(spark, sf_dir, "f_labels").select("uid", "year")
     pairs = lab.groupBy("uid").count().where(F.col("count") == 2).select("uid")
     f1 = fo.kfold(pairs, "uid", 5, 42, out="fold1")
@@ -111,26 +112,26 @@ WITH pairs AS (SELECT uid FROM f_labels GROUP BY uid HAVING count(*) = 2),
 f1 AS (SELECT uid, {_md5_bucket_sql(5, 'uid', '42')} AS fold1 FROM pairs),
 p AS (SELECT p.*, CAST(coalesce(f1.fold1, 0) AS VARCHAR) || '_' ||
              CAST({_md5_bucket_sql(5, 'p.uid', 'p.year', '42')} AS VARCHAR) AS combined_fold
-      FROM f_predictions p LEFT JOIN f1 ON p.uid = f1.uid WHERE p.model = 'm_a' AND p.seed = 0),
-r AS (SELECT combined_fold, sqrt(avg((predicted_score - composite_score) ^ 2)) AS rmse FROM p GROUP BY combined_fold)
-SELECT CASE WHEN CAST(split_part(combined_fold, '_', 1) AS DOUBLE) > 0 THEN 'two_year_scores'
+      FROM f_predictions p LEFT JOIN f1 ON p.uid = f1.uid),
+r AS (SELECT model, seed, combined_fold, sqrt(avg((predicted_score - composite_score) ^ 2)) AS rmse FROM p
+      GROUP BY model, seed, combined_fold)
+SELECT model, seed, CASE WHEN CAST(split_part(combined_fold, '_', 1) AS DOUBLE) > 0 THEN 'two_year_scores'
             ELSE 'one_years_scores' END AS fold_type,
        round(avg(rmse), 6) AS rmse, round(stddev_samp(rmse), 6) AS std
-FROM r GROUP BY 1""", "f_predictions", "f_labels"))
+FROM r GROUP BY 1, 2, 3""", "f_predictions", "f_labels"))
 def fold_stability(spark, sf_dir):
-    return round_doubles(rp.fold_stability(_with_combined_fold(spark, sf_dir)))
+    return round_doubles(rp.fold_stability(_with_combined_fold(spark, sf_dir), by=["model", "seed"]))
 
 
 @register("seed_stability", with_fixtures("""
-WITH p AS (SELECT * FROM f_predictions WHERE model = 'm_b'),
-r AS (SELECT seed, sqrt(avg((predicted_score - composite_score) ^ 2)) AS rmse FROM p GROUP BY seed),
-u AS (SELECT uid, stddev_samp(predicted_score) AS s FROM p GROUP BY uid)
-SELECT 'rmse_mean' AS metric, round(avg(rmse), 6) AS value FROM r
-UNION ALL SELECT 'rmse_std', round(stddev_samp(rmse), 6) FROM r
-UNION ALL SELECT 'mean_uid_std', round(avg(s), 6) FROM u""", "f_predictions"))
+WITH p AS (SELECT * FROM f_predictions),
+r AS (SELECT model, seed, sqrt(avg((predicted_score - composite_score) ^ 2)) AS rmse FROM p GROUP BY model, seed),
+u AS (SELECT model, uid, stddev_samp(predicted_score) AS s FROM p GROUP BY model, uid)
+SELECT model, 'rmse_mean' AS metric, round(avg(rmse), 6) AS value FROM r GROUP BY model
+UNION ALL SELECT model, 'rmse_std', round(stddev_samp(rmse), 6) FROM r GROUP BY model
+UNION ALL SELECT model, 'mean_uid_std', round(avg(s), 6) FROM u GROUP BY model""", "f_predictions"))
 def seed_stability(spark, sf_dir):
-    p = fixture(spark, sf_dir, "f_predictions").where(F.col("model") == "m_b")
-    return round_doubles(rp.seed_stability(p))
+    return round_doubles(rp.seed_stability(fixture(spark, sf_dir, "f_predictions"), by=["model"]))
 
 
 @register("mean_by_year", with_fixtures("""
@@ -203,29 +204,36 @@ def bootstrap_difference(spark, sf_dir):
         (F.col("mean_diff") + se_s).alias("upper_bound_diff")))
 
 
-@register("scenario_effect_topn", with_fixtures("""
-WITH s AS (SELECT model || '@' || CAST(seed AS VARCHAR) AS scenario,
-                  avg(CASE WHEN year = 2016 THEN predicted_score END) AS m16,
-                  avg(CASE WHEN year = 2021 THEN predicted_score END) AS m21 FROM f_predictions GROUP BY 1),
-b AS (SELECT avg(CASE WHEN year = 2016 THEN composite_score END) AS b16,
-             avg(CASE WHEN year = 2021 THEN composite_score END) AS b21 FROM f_labels),
-e AS (SELECT scenario, round((m16 - b16) / b16 * 100, 6) AS mean_2016,
-             round((m21 - b21) / b21 * 100, 6) AS mean_2021 FROM s, b)
-(SELECT * FROM e ORDER BY mean_2021 ASC LIMIT 2)
+@register("scenario_effect_topn", with_fixtures(f"""
+WITH bl AS (SELECT year, avg(composite_score) AS bb FROM f_labels GROUP BY year),
+np AS (SELECT p.uid, p.year, p.seed, p.model || '@' || CAST(p.seed AS VARCHAR) AS scenario,
+              (p.predicted_score - bl.bb) / bl.bb * 100 AS predicted_score
+       FROM f_predictions p JOIN bl ON p.year = bl.year),
+{_boot_sql(['scenario', 'year']).replace('FROM f_predictions, range', 'FROM np, range').replace('FROM f_predictions)', 'FROM np)')},
+se AS (SELECT scenario, year, stddev_samp(mean_b) AS se FROM reps GROUP BY scenario, year),
+base AS (SELECT scenario, year, count(*) AS n, avg(predicted_score) AS mean FROM np GROUP BY scenario, year),
+nt AS (SELECT count(*) AS n_train FROM f_labels),
+t AS (SELECT scenario, year, mean, sqrt(n / (n + n_train)) AS f, se FROM base JOIN se USING (scenario, year), nt),
+w AS (SELECT scenario,
+             round(max(CASE WHEN year = 2016 THEN mean END), 6) AS mean_2016,
+             round(max(CASE WHEN year = 2016 THEN mean - se * f * f END), 6) AS lower_bound_2016,
+             round(max(CASE WHEN year = 2016 THEN mean + se * f * f END), 6) AS upper_bound_2016,
+             round(max(CASE WHEN year = 2021 THEN mean END), 6) AS mean_2021,
+             round(max(CASE WHEN year = 2021 THEN mean - se * f * f END), 6) AS lower_bound_2021,
+             round(max(CASE WHEN year = 2021 THEN mean + se * f * f END), 6) AS upper_bound_2021
+      FROM t GROUP BY scenario)
+(SELECT * FROM w ORDER BY mean_2021 ASC LIMIT 5)
 UNION ALL
-(SELECT * FROM e ORDER BY mean_2021 DESC LIMIT 2)""", "f_predictions", "f_labels"))
+(SELECT * FROM w ORDER BY mean_2021 DESC LIMIT 5)""", "f_predictions", "f_labels"))
 def scenario_effect_topn(spark, sf_dir):
-    """Percent change of each scenario's yearly mean to the baseline, bottom/top 2."""
-    p = fixture(spark, sf_dir, "f_predictions")
+    """Percent change of each scenario to the yearly baseline with its band, bottom and top 5."""
+    p = fixture(spark, sf_dir, "f_predictions").withColumn(
+        "scenario", F.concat_ws("@", "model", F.col("seed").cast("string")))
     lab = fixture(spark, sf_dir, "f_labels")
-    s = p.groupBy(F.concat_ws("@", "model", F.col("seed").cast("string")).alias("scenario")).agg(
-        F.avg(F.when(F.col("year") == 2016, F.col("predicted_score"))).alias("m16"),
-        F.avg(F.when(F.col("year") == 2021, F.col("predicted_score"))).alias("m21"))
-    base = lab.groupBy("year").agg(F.avg("composite_score").alias("b")).collect()
-    b = {r["year"]: r["b"] for r in base}  # one row per year
-    e = s.select("scenario", rp.percent_change("m16", F.lit(b[2016])).alias("mean_2016"),
-                 rp.percent_change("m21", F.lit(b[2021])).alias("mean_2021"))
-    return round_doubles(rp.top_bottom(round_doubles(e), "mean_2021", 2))
+    p = p.join(lab.groupBy("year").agg(F.avg("composite_score").alias("_b")), "year").withColumn(
+        "predicted_score", rp.percent_change("predicted_score", "_b"))
+    t = rp.effect_band(p, "predicted_score", "scenario", ["uid", "seed"], [2016, 2021], lab.count(), n_boot=N_BOOT)
+    return rp.top_bottom(round_doubles(t), "mean_2021", 5)
 
 
 @register("score_histogram", with_fixtures("""
@@ -251,6 +259,20 @@ def average_precision(spark, sf_dir):
     return round_doubles(rp.average_precision(p, "high", "predicted_score", ["model"]))
 
 
+@register("average_precision_nullable", with_fixtures(f"""
+WITH {PG_SQL},
+d AS (SELECT grp, predicted_score AS s, sum(CASE WHEN composite_score > 1000 THEN 1 ELSE 0 END) AS pos,
+             count(*) AS cnt FROM pg GROUP BY grp, predicted_score),
+c AS (SELECT grp, pos, sum(pos) OVER (PARTITION BY grp ORDER BY s DESC) AS tp,
+             sum(cnt) OVER (PARTITION BY grp ORDER BY s DESC) AS n FROM d)
+SELECT grp, round(sum(pos * tp / n) / sum(pos), 6) AS average_precision FROM c GROUP BY grp""",
+                                                      "f_predictions", "f_labels_nullkey"))
+def average_precision_nullable(spark, sf_dir):
+    """By a nullable group: rows without a group are a group of their own."""
+    p = _preds_with_group(spark, sf_dir).withColumn("high", (F.col("composite_score") > 1000).cast("int"))
+    return round_doubles(rp.average_precision(p, "high", "predicted_score", ["grp"]))
+
+
 @register("rmse_by_participation", with_fixtures("""
 WITH fy AS (SELECT uid, CASE WHEN glob_hlth_03 IS NULL THEN [2012] ELSE [2003, 2012] END AS fyears FROM f_features),
 ly AS (SELECT uid, list(year) AS lyears FROM f_labels GROUP BY uid),
@@ -258,26 +280,27 @@ pat AS (SELECT fy.uid, list_sort(list_concat(fy.fyears, coalesce(ly.lyears, []))
         FROM fy LEFT JOIN ly ON fy.uid = ly.uid),
 p AS (SELECT p.*, '[' || array_to_string(pat.years, ', ') || ']' AS pattern,
              CAST(list_contains(pat.years, 2003) AS INTEGER) AS has_2003,
+             CAST(list_contains(pat.years, 2012) AS INTEGER) AS has_2012,
              CAST(list_contains(pat.years, 2016) AS INTEGER) AS has_2016,
              CAST(list_contains(pat.years, 2021) AS INTEGER) AS has_2021
-      FROM f_predictions p JOIN pat ON p.uid = pat.uid WHERE p.model = 'm_a')
-SELECT pattern, has_2003, has_2016, has_2021,
+      FROM f_predictions p JOIN pat ON p.uid = pat.uid)
+SELECT model, pattern, has_2003, has_2012, has_2016, has_2021,
        round(sqrt(avg((predicted_score - composite_score) ^ 2)), 6) AS rmse, count(*) AS num_samples
-FROM p GROUP BY pattern, has_2003, has_2016, has_2021""", "f_predictions", "f_features", "f_labels"))
+FROM p GROUP BY model, pattern, has_2003, has_2012, has_2016, has_2021""", "f_predictions", "f_features", "f_labels"))
 def rmse_by_participation(spark, sf_dir):
     """RMSE by participation pattern with presence flags."""
     pat = rp.participation_years(fixture(spark, sf_dir, "f_features"), fixture(spark, sf_dir, "f_labels"),
                                  "glob_hlth_03")
-    pat = rp.year_flags(pat, "years", [2003, 2016, 2021])
-    p = fixture(spark, sf_dir, "f_predictions").where(F.col("model") == "m_a").join(pat, "uid")
-    return round_doubles(rp.rmse(p, ["pattern", "has_2003", "has_2016", "has_2021"]))
+    pat = rp.year_flags(pat, "years", [2003, 2012, 2016, 2021])
+    p = fixture(spark, sf_dir, "f_predictions").join(pat, "uid")
+    return round_doubles(rp.rmse(p, ["model", "pattern", "has_2003", "has_2012", "has_2016", "has_2021"]))
 
 
 def _normalized_preds(spark, sf_dir):
     p = fixture(spark, sf_dir, "f_predictions")
     base = fixture(spark, sf_dir, "f_labels").groupBy("year").agg(F.avg("composite_score").alias("_b"))
     # one row per label year
-    p = p.join(F.broadcast(base), "year")
+    p = p.join(base, "year")
     return p.withColumn("predicted_score", rp.percent_change("predicted_score", "_b")).withColumn(
         "category", F.when(F.col("seed") == 1, F.lit("1_0")).otherwise(F.lit("0_0")))
 
