@@ -126,6 +126,11 @@ def drop_sparse_rows(df: DataFrame, first_wave: Sequence[str], second_wave: Sequ
     return df.where(keep1 & keep2)
 
 
+def drop_any_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows without a null in any of ``cols`` that exist."""
+    return df.dropna("any", subset=[c for c in cols if c in df.columns])
+
+
 def complete_pairs(labels: DataFrame, key: str = "uid", n: int = 2) -> DataFrame:
     """Keys with exactly ``n`` label rows."""
     return labels.groupBy(key).count().where(F.col("count") == n).select(key)

@@ -375,6 +375,11 @@ def stack_group_vars(df: DataFrame, group_vars: Sequence[str], value: str,
         "_gv.group_var", "_gv.group_value", *order_by, value)
 
 
+def missing_group_vars(df: DataFrame, group_vars: Sequence[str]) -> list[str]:
+    """Grouping columns that ``df`` does not have and the statistics skip."""
+    return [g for g in group_vars if g not in df.columns]
+
+
 def group_stats_multi(df: DataFrame, group_vars: Sequence[str], value: str = "composite_score",
                       order_by: Sequence[str] | None = None) -> DataFrame:
     """Statistics for many single-column groupings in one pass.

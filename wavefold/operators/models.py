@@ -68,7 +68,13 @@ def prepare_inputs(df: DataFrame, numeric: Sequence[str], categorical: Sequence[
 
 # ---------------------------------------------------------------- estimators
 
-REGRESSORS = ("gbt_deep", "gbt_shallow", "forest", "lasso")
+#: Model families: the estimator and the parameters it is given unless a caller names others.
+FAMILIES = {
+    "gbt_deep": (GBTRegressor, {"maxDepth": 5, "maxIter": 20, "stepSize": 0.1, "subsamplingRate": 0.8}),
+    "gbt_shallow": (GBTRegressor, {"maxDepth": 3, "maxIter": 30, "stepSize": 0.05, "minInstancesPerNode": 5}),
+    "forest": (RandomForestRegressor, {"numTrees": 30, "maxDepth": 6}),
+    "lasso": (LinearRegression, {"elasticNetParam": 1.0, "regParam": 0.1, "standardization": False}),
+}
 
 
 def make_regressor(kind: str, params: dict | None = None, seed: int = 42, label: str = "label",
@@ -78,23 +84,14 @@ def make_regressor(kind: str, params: dict | None = None, seed: int = 42, label:
     ``validation`` names a boolean column marking held-out rows: boosted trees
     then stop early when the validation error stops improving (M17).
     """
-    p = dict(params or {})
-    if kind == "gbt_deep":
-        est = GBTRegressor(labelCol=label, featuresCol=FEATURES, seed=seed,
-                           maxDepth=p.get("maxDepth", 5), maxIter=p.get("maxIter", 20),
-                           stepSize=p.get("stepSize", 0.1), subsamplingRate=p.get("subsamplingRate", 0.8))
-    elif kind == "gbt_shallow":
-        est = GBTRegressor(labelCol=label, featuresCol=FEATURES, seed=seed,
-                           maxDepth=p.get("maxDepth", 3), maxIter=p.get("maxIter", 30),
-                           stepSize=p.get("stepSize", 0.05), minInstancesPerNode=p.get("minInstancesPerNode", 5))
-    elif kind == "forest":
-        est = RandomForestRegressor(labelCol=label, featuresCol=FEATURES, seed=seed,
-                                    numTrees=p.get("numTrees", 30), maxDepth=p.get("maxDepth", 6))
-    elif kind == "lasso":
-        est = LinearRegression(labelCol=label, featuresCol=FEATURES, elasticNetParam=1.0,
-                               regParam=p.get("regParam", 0.1), standardization=False)
-    else:
-        raise ValueError(f"unsupported regressor: {kind}")
+    try:
+        family, defaults = FAMILIES[kind]
+    except KeyError:
+        raise ValueError(f"unknown model family {kind!r}; there are {', '.join(FAMILIES)}") from None
+    given = {k: v for k, v in (params or {}).items() if k in defaults}
+    est = family(labelCol=label, featuresCol=FEATURES, **(defaults | given))
+    if est.hasParam("seed"):
+        est.set(est.getParam("seed"), seed)
     if weight is not None:
         est.setWeightCol(weight)
     if validation is not None:
@@ -213,11 +210,15 @@ def fold_importance(df: DataFrame, estimator, fold: str, slots: Sequence[str]) -
     return t.groupBy("feature").agg(F.avg("importance").alias("importance")).orderBy(F.desc("importance"))
 
 
+def source_column(slot: str):
+    """The column an input slot was made of."""
+    return F.regexp_replace(F.col(slot), "__(imp|missing|idx)$", "")
+
+
 def select_features(importance: DataFrame, threshold: float = 0.6) -> list[str]:
     """Distinct source column names with importance above ``threshold``."""
-    base = F.regexp_replace(F.col("feature"), "__(imp|missing|idx)$", "")
     return sorted({r[0] for r in importance.where(F.col("importance") > threshold)
-                  .select(base.alias("f")).distinct().collect()})
+                  .select(source_column("feature").alias("f")).distinct().collect()})
 
 
 # ------------------------------------------------------ class probabilities

@@ -112,7 +112,7 @@ def importance_select(spark, sf_dir):
 def random_search(spark, sf_dir):
     x, _ = model_table(spark, sf_dir)
     space = mo.Space(ints={"maxDepth": (2, 4), "maxIter": (5, 10)}, floats={"stepSize": (0.05, 0.3)})
-    _, table = mo.random_search(x, "gbt_shallow", space, "fold", n_trials=3, seed=42)
+    _, table = mo.random_search(x, "gbt_shallow", space, "fold", n_trials=5, seed=42)
     return table
 
 
@@ -145,7 +145,7 @@ def weighted_refit(spark, sf_dir):
     g = oof.join(grp, KEYS).withColumn("model", F.lit("first"))
     w = bl.group_rmse_weights(g, "model", "group", "predicted_score", "label", temperature=10.0, sign=1.0)
     xw = x.withColumn("group", F.coalesce(F.col("edu_gru_12"), F.lit("missing"))) \
-        .join(F.broadcast(w.select("group", F.col("weight").alias("w"))), "group", "left")
+        .join(w.select("group", F.col("weight").alias("w")), "group", "left")
     wm = mo.make_regressor("gbt_shallow", {"maxIter": 8}, 42, weight="w")
     return mo.oof_predict(xw, wm, "fold", KEYS)
 

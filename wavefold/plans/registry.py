@@ -35,4 +35,4 @@ def load_all() -> None:
         importlib.import_module(f"{__package__}.{mod}")
 
 
-PLAN_MODULES = ("q_groupstats", "q_reshape", "q_features", "q_folds", "q_report", "q_blend", "q_scenarios", "q_models", "q_io", "q_specs")
+PLAN_MODULES = ("q_groupstats", "q_reshape", "q_features", "q_folds", "q_report", "q_blend", "q_scenarios", "q_models", "q_io", "q_specs", "q_clean", "q_checks")

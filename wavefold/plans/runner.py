@@ -455,16 +455,18 @@ def score_scenarios(model: SpecModel, scenario_features: DataFrame, keys: DataFr
     """Score a long scenario table with one fitted bundle in one pass.
 
     The scenario id is folded into a surrogate key, so every join of the scoring
-    flow stays a plain key join; the id is split off again at the end.
+    flow stays a plain key join; the id is split off again at the end. The key
+    begins with the id's length, so ids and keys may hold any character.
     """
     key = model.cfg.key
-    sep = "#"
-    comp = F.concat_ws(sep, F.col(scenario), F.col(key).cast("string"))
+    comp = F.concat(F.length(scenario).cast("string"), F.lit(":"), F.col(scenario), F.col(key).cast("string"))
     feats = scenario_features.withColumn(key, comp).drop(scenario)
     ks = scenario_features.select(scenario, key).join(keys.select(key, "year"), key) \
         .select(comp.alias(key), "year")
     pred = model.score(feats, ks, dataset="scenario")
-    parts = F.split(F.col(key), sep, 2)
+    n = F.substring_index(key, ":", 1)
+    begin = F.length(n) + 2
     key_type = dict(scenario_features.dtypes)[key]
-    return pred.select(parts.getItem(0).alias(scenario), parts.getItem(1).cast(key_type).alias(key),
+    return pred.select(F.col(key).substr(begin, n.cast("int")).alias(scenario),
+                       F.col(key).substr(begin + n.cast("int"), F.length(key)).cast(key_type).alias(key),
                        *[c for c in pred.columns if c != key])
