@@ -193,7 +193,7 @@ _SPEC_MODELS = ("('forest', 0), ('gbt_shallow', 0), ('linear1', 0), ('blended',
 @register("check_spec_rows", _spec_rows_sql(_SPEC_MODELS))
 def check_spec_rows(spark, sf_dir):
     """A whole specification: every train and test row under every model."""
-    return qs.spec_full(spark, sf_dir).groupBy("dataset", "year", "model", "seed").agg(F.count(F.lit(1)).alias("n"))
+    return qs.spec_full(spark, sf_dir).groupBy("dataset", F.col("year").cast("int").alias("year"), "model", "seed").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("check_bundle_scenarios", with_fixtures(f"""
@@ -204,4 +204,4 @@ SELECT {_clean_sql("cat.feature_name || '@' || cat.category")} AS feature_catego
 FROM cat, t, (VALUES (2016), (2021)) y(year) GROUP BY 1, 2""", "f_features", "f_labels"))
 def check_bundle_scenarios(spark, sf_dir):
     """A saved and loaded bundle scores every scenario of the test customers."""
-    return qs.spec_bundle_scenarios(spark, sf_dir).select("feature_category", "year", "n")
+    return qs.spec_bundle_scenarios(spark, sf_dir).select("feature_category", F.col("year").cast("int").alias("year"), "n")
