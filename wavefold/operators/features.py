@@ -125,9 +125,10 @@ class TopK:
 
     def apply(self, df: DataFrame, out: str | None = None) -> DataFrame:
         """Keep the fitted categories, everything else → ``other``."""
-        c = F.col(self.col).cast("string")
-        keep = F.when(c.isin([str(v) for v in self.values]), c).otherwise(F.lit(self.other))
-        return df.withColumn(out or self.col, keep)
+        return df.withColumn(out or self.col, self.apply_to(F.col(self.col).cast("string")))
+
+    def apply_to(self, c: Column) -> Column:
+        return F.when(c.isin([str(v) for v in self.values]), c).otherwise(F.lit(self.other))
 
 
 def fit_top_k(df: DataFrame, col: str, k: int = 6, other: str = "other") -> TopK:

@@ -91,14 +91,34 @@ class Scenario:
         return scenario_id(self.feature, self.category, "_12" if only_12 else "")
 
 
-def scenarios_from(cat: DataFrame, max_scenarios: int = 10_000) -> list[Scenario]:
-    """The filtered catalogue as a scenario list (a bounded metadata table)."""
-    rows = cat.orderBy("feature_name", "category").limit(max_scenarios + 1).collect()
-    if len(rows) > max_scenarios:
-        raise ValueError(f"more than max_scenarios={max_scenarios} scenarios")
+def scenarios_from(cat: DataFrame) -> list[Scenario]:
+    """The filtered catalogue as a scenario list: metadata, a row per column and frequent category."""
+    rows = cat.orderBy("feature_name", "category").collect()
     return [Scenario(r["feature_name"], r["category"], bool(r["year_03"]), bool(r["year_12"])) for r in rows]
 
 
+def split_valid(df: DataFrame, scenarios: Sequence[Scenario]) -> tuple[list[Scenario], DataFrame]:
+    """Scenarios that ``df`` can take, and a table of the others with what is wrong with them.
+
+    A category that does not cast to its column's type would turn values into
+    nulls; a feature that ``df`` does not have would change nothing.
+    """
+    spark, types = df.sparkSession, dict(df.dtypes)
+    targets = {s.feature: [f"{s.feature}{w}" for w in WAVES if f"{s.feature}{w}" in types] for s in scenarios}
+    asked = [F.lit(s.category).try_cast(types[c]).isNotNull() for s in scenarios for c in targets[s.feature]]
+    fits = iter(spark.range(1).select(F.array(*asked).alias("f")).first()["f"] if asked else [])
+    good, bad = [], []
+    for s in scenarios:
+        casts = [next(fits) for _ in targets[s.feature]]
+        if not casts:
+            bad.append((s.ident(), s.feature, s.category, "no such feature"))
+        elif not all(casts):
+            bad.append((s.ident(), s.feature, s.category, f"not a {types[targets[s.feature][casts.index(False)]]}"))
+        else:
+            good.append(s)
+    return good, spark.createDataFrame(bad, "feature_category string, feature string, category string, error string")
+
+
 def override(df: DataFrame, scenarios: Sequence[Scenario], only_12: bool = False) -> DataFrame:
     """Row × scenario table: the scenario's feature is set to its category where not NULL."""
     if not scenarios:   # no scenario passed the catalogue filter: an empty table, same schema

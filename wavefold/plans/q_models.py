@@ -175,8 +175,8 @@ def score_scenarios(spark, sf_dir):
     model = mo.fit_pipeline(train, stages, mo.make_regressor("forest", {"numTrees": 10}, 42))
     cat = sc.filter_catalogue(sc.catalogue(raw.select("uid", "glob_hlth_03", "glob_hlth_12", "edu_gru_12"),
                                            "uid"), ("age",), 100)
-    scen = sc.override(raw, sc.scenarios_from(cat))
-    rows = lab.select("uid", "year").join(scen, "uid")
+    # the join by key comes before the expansion: scenarios change no key
+    rows = sc.override(lab.select("uid", "year").join(raw, "uid"), sc.split_valid(raw, sc.scenarios_from(cat))[0])
     scored = model.transform(mo.prepare_inputs(encoded_features(rows), NUMERIC, CATEGORICAL))
     return scored.groupBy("feature_category", "year").agg(
         F.count(F.lit(1)).alias("n"), F.avg("prediction").alias("mean_predicted"))
@@ -193,7 +193,7 @@ def stream_score_scenarios(spark, sf_dir):
     stages, _ = mo.assembler_stages(train, NUMERIC, CATEGORICAL)
     model = mo.fit_pipeline(train, stages, mo.make_regressor("forest", {"numTrees": 10}, 42))
     cat = sc.filter_catalogue(sc.catalogue(raw.select("uid", "glob_hlth_12", "edu_gru_12"), "uid"), ("age",), 100)
-    scen = lab.select("uid", "year").join(sc.override(raw, sc.scenarios_from(cat)), "uid")
+    scen = sc.override(lab.select("uid", "year").join(raw, "uid"), sc.split_valid(raw, sc.scenarios_from(cat))[0])
     base = f"{ensure_checkpoint_dir(spark)}/stream/{uuid.uuid4().hex}"
     scen.write.mode("overwrite").partitionBy("feature_category").parquet(f"{base}/in")
     # explicit schemas: an empty scenario list must give an empty result, not a failed inference

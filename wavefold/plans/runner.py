@@ -20,6 +20,7 @@ from typing import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +32,7 @@ from ..operators import groupstats as gs
 from ..operators import models as mo
 from ..operators import participation as pa
 from ..operators import reshape as rs
+from ..operators import scenarios as sc
 from ..session import checkpoint
 from . import survey
 
@@ -138,6 +140,12 @@ def _assemble_with(prep, df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return prep.transform(mo.prepare_inputs(x, cols))
 
 
+def _with_prediction(df: DataFrame, asm, cols: Sequence[str], model, out: str) -> DataFrame:
+    """``df`` with one more column, a model's prediction for every row."""
+    v = model.copy().setPredictionCol(out).transform(_assemble_with(asm, df, cols))
+    return v.select(*df.columns, out)
+
+
 def _long(df: DataFrame, dataset: str, model: str, seed, col: str = "predicted_score") -> DataFrame:
     return df.select(F.lit(dataset).alias("dataset"), "uid", "year", F.lit(model).alias("model"),
                      F.lit(seed).cast("int").alias("seed"), F.col(col).cast("double").alias("predicted_score"))
@@ -180,51 +188,81 @@ class SpecModel:
     def n_patterns(self) -> int:
         return self.patterns.count()
 
-    def matrix(self, features: DataFrame, keys: DataFrame) -> DataFrame:
-        """Scoring rows ``(uid, year)`` with every feature family of the spec."""
-        cfg, spec, key = self.cfg, self.spec, self.cfg.key
-        enc = apply_preprocess(features, self.prep, cfg, spec)
+    def rows(self, features: DataFrame, keys: DataFrame) -> DataFrame:
+        """One row per scoring key: raw features and the participation code.
+
+        All joins by key happen here. Scenarios are expanded after it: an override
+        changes no value from or to null, so keys, patterns and the sparse-row rule
+        are the same for every scenario of a row.
+        """
+        cfg, key = self.cfg, self.cfg.key
         long_new = rs.wide_to_long(features, key, cfg.waves).select(key, "year")
         pats = pa.year_patterns(long_new, keys.select(key, "year"), key)
-        enc = enc.join(pa.PatternVocab(self.patterns).apply(pats, key), key, "left")
-        enc = pa.participation_onehot(enc, self.n_patterns)
-        x = keys.select(key, "year").join(enc, key, "left")
-        x = fe.age_interactions(fe.log_columns(x))
-        if self.stats is not None:
-            gv = [g for g in cfg.group_vars if g in x.columns]
-            x = gs.join_group_stats(x, self.stats, gv)
+        codes = pa.PatternVocab(self.patterns).apply(pats, key)
+        kept = features
+        if self.spec.drop_sparse:
+            kept = cl.drop_sparse_rows(kept, *_waves_first_second(kept.columns))
+        return keys.select(key, "year").join(kept.join(codes, key, "left"), key, "left")
+
+    def predicted(self, rows: DataFrame) -> DataFrame:
+        """Adds every model's score as a column, row by row; columns ``_s_{model}_{seed}``.
+
+        Only small fitted tables (group statistics, blend weights) are joined, so rows
+        may be scenario rows: nothing here needs a row's key.
+        """
+        cfg, spec, key = self.cfg, self.spec, self.cfg.key
+        keep = rows.columns
+        x = apply_preprocess(rows, self.prep, cfg, replace(spec, drop_sparse=False))
+        x = pa.participation_onehot(x, self.n_patterns)
         if self.change is not None:
             asm, model, cols = self.change
-            wide = _assemble_with(asm, enc, cols)
-            diff = model.transform(wide).select(key, F.col("prediction").alias("composite_score_diff_pred"))
-            x = x.join(diff, key, "left")
+            x = _with_prediction(x, asm, cols, model, "composite_score_diff_pred")
+        x = fe.age_interactions(fe.log_columns(x))
+        if self.stats is not None:
+            x = gs.join_group_stats(x, self.stats, [g for g in cfg.group_vars if g in x.columns])
         if self.classes is not None:
             asm, model, cols = self.classes
-            probs = mo.probability_columns(model.transform(_assemble_with(asm, x, cols)), [key, "year"],
-                                           self.spec.n_classes)
-            x = x.join(probs, [key, "year"], "left")
-        return x
+            v = model.transform(_assemble_with(asm, x, cols))
+            arr = vector_to_array("probability")
+            x = v.select(*x.columns, *[arr[i].alias(f"quantile_{i}_{spec.n_classes}") for i in range(spec.n_classes)])
+        names = [c for c in keep if c in x.columns]
+        category = F.col(self.category_source).cast("string")
+        v = _assemble_with(self.base_prep, x, self.base_cols).withColumn(
+            "_category", self.topk.apply_to(category)).select(*names, "_category", mo.FEATURES)
+        for (kind, seed), model in self.base.items():
+            out = f"_s_{kind}_{seed}"
+            v = model.copy().setPredictionCol(out).transform(v).withColumn(out, bl.directed_round(out))
+        v = v.drop(mo.FEATURES)
+        for seed, (lasso, fills) in self.stack.items():
+            inputs = {f"composite_score_{kind}": F.coalesce(F.col(f"_s_{kind}_{seed}"), F.lit(fills.get(f"composite_score_{kind}")))
+                      for kind in spec.models}
+            va = VectorAssembler(inputCols=list(inputs), outputCol=mo.FEATURES, handleInvalid="keep")
+            out = f"_s_linear1_{seed}"
+            v = lasso.copy().setPredictionCol(out).transform(va.transform(v.withColumns(inputs))).drop(mo.FEATURES, *inputs)
+            v = v.withColumn(out, bl.directed_round(out))
+            members = [*spec.models, "linear1"]
+            w = self.weights[seed].groupBy("category").pivot("model", members).agg(F.first("weight")).withColumnsRenamed(
+                {m: f"_w_{m}" for m in members}).withColumnRenamed("category", "_of")
+            f = self.fallback[seed].groupBy().pivot("model", members).agg(F.first("weight")).first().asDict()  # one row
+            v = v.join(w, v["_category"].eqNullSafe(w["_of"]), "left")
+            v = v.withColumn(f"_s_blended_{seed}", sum(
+                (F.coalesce(F.coalesce(F.col(f"_w_{m}"), F.lit(f[m])) * F.col(f"_s_{m}_{seed}"), F.lit(0.0)) for m in members),
+                F.lit(0.0))).drop("_of", *[f"_w_{m}" for m in members])
+        mean = sum((F.col(f"_s_blended_{s}") for s in self.stack), F.lit(0.0)) / F.lit(float(len(self.stack)))
+        return v.withColumn("_s_final_", F.ceil(mean).cast("double")).drop("_category")
+
+    def melted(self, predicted: DataFrame, *ids: str) -> DataFrame:
+        """``(ids…, model, seed, predicted_score)`` of the score columns, once, at the end."""
+        scores = F.array(*[F.struct(F.lit(m).alias("model"), (F.lit(int(s)) if s else F.lit(None)).cast("int").alias("seed"),
+                                    F.col(c).cast("double").alias("predicted_score"))
+                           for c in predicted.columns if c.startswith("_s_") for m, s in [c[3:].rsplit("_", 1)]])
+        return predicted.select(*ids, F.inline(scores)).withColumn("spec", F.lit(self.spec.name))
 
     def score(self, features: DataFrame, keys: DataFrame, dataset: str = "test") -> DataFrame:
         """Long predictions for new rows: base models, stack, blend, final."""
-        key, spec = self.cfg.key, self.spec
-        x = checkpoint(self.matrix(features, keys))
-        xv = checkpoint(_assemble_with(self.base_prep, x, self.base_cols))
-        cats = self.topk.apply(x.select(key, "year", F.col(self.category_source).cast("string").alias("category")),
-                               out="category")
-        parts, base = [], {}
-        for (kind, seed), model in self.base.items():
-            base[(kind, seed)] = model.transform(xv).select(
-                key, "year", bl.directed_round("prediction").alias("predicted_score"))
-            parts.append(_long(base[(kind, seed)], dataset, kind, seed))
-        for seed, (lasso, fills) in self.stack.items():
-            lin = _stack_apply(lasso, fills, base, spec, seed, key)
-            parts.append(_long(lin, dataset, "linear1", seed))
-            p = rs.union_all([_long(base[(k, seed)], dataset, k, seed) for k in spec.models]
-                             + [_long(lin, dataset, "linear1", seed)]).join(cats, [key, "year"])
-            b = bl.blend(p, self.weights[seed], fallback=self.fallback[seed]).withColumn("seed", F.lit(seed))
-            parts.append(_long(b, dataset, "blended", seed, "blended_score"))
-        return _finish(parts, key, spec)
+        key = self.cfg.key
+        out = self.predicted(self.rows(features, keys)).withColumn("dataset", F.lit(dataset))
+        return self.melted(out, "dataset", key, "year")
 
     # ------------------------------------------------------------ persistence
     def save(self, path: str) -> None:
@@ -450,23 +488,12 @@ def specification_list() -> list[FeatureSpec]:
             full]
 
 
-def score_scenarios(model: SpecModel, scenario_features: DataFrame, keys: DataFrame,
-                    scenario: str = "feature_category") -> DataFrame:
-    """Score a long scenario table with one fitted bundle in one pass.
+def score_scenarios(model: SpecModel, features: DataFrame, scenarios: Sequence[sc.Scenario], keys: DataFrame) -> DataFrame:
+    """Score every scenario of every row with one fitted bundle in one pass.
 
-    The scenario id is folded into a surrogate key, so every join of the scoring
-    flow stays a plain key join; the id is split off again at the end. The key
-    begins with the id's length, so ids and keys may hold any character.
+    Keys, patterns and features are joined on the rows as they are; the expansion
+    comes after it, and what follows works row by row. Scenarios whose category is
+    none of the feature's type belong into the table of `scenarios.split_valid`.
     """
-    key = model.cfg.key
-    comp = F.concat(F.length(scenario).cast("string"), F.lit(":"), F.col(scenario), F.col(key).cast("string"))
-    feats = scenario_features.withColumn(key, comp).drop(scenario)
-    ks = scenario_features.select(scenario, key).join(keys.select(key, "year"), key) \
-        .select(comp.alias(key), "year")
-    pred = model.score(feats, ks, dataset="scenario")
-    n = F.substring_index(key, ":", 1)
-    begin = F.length(n) + 2
-    key_type = dict(scenario_features.dtypes)[key]
-    return pred.select(F.col(key).substr(begin, n.cast("int")).alias(scenario),
-                       F.col(key).substr(begin + n.cast("int"), F.length(key)).cast(key_type).alias(key),
-                       *[c for c in pred.columns if c != key])
+    rows = sc.override(model.rows(features, keys), scenarios)
+    return model.melted(model.predicted(rows), "feature_category", model.cfg.key, "year")
