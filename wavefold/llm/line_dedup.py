@@ -49,14 +49,15 @@ PLACE = ["doc_id", "h", "line_no"]
 
 
 def _norm(line: Column) -> Column:
-    return F.lower(F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""))
+    return F.lower(F.btrim(line, F.lit(" \t\n\x0b\x0c\r")))
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """(doc_id, h, line_no, norm, n) of the lines that are compared; h stands for the whole text."""
-    each = docs.select("doc_id", F.xxhash64("text").alias("h"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return (each.select(*PLACE, _norm(F.col("line")).alias("norm"))
-            .withColumn("n", F.length("norm")).filter(F.col("n") >= min_chars))
+    # normalised before they are dealt out, so that no later step computes it again
+    each = docs.select("doc_id", F.xxhash64("text").alias("h"),
+                       F.posexplode(F.transform(F.split("text", "\n"), _norm)).alias("line_no", "norm"))
+    return each.withColumn("n", F.length("norm")).filter(F.col("n") >= min_chars)
 
 
 def _region_key(m: Column, a: Column, b: Column) -> Column:
@@ -81,29 +82,29 @@ def _first_places(lines: DataFrame) -> DataFrame:
 
 def _shared(rows: DataFrame, key: str = "key") -> DataFrame:
     """Rows whose key another line has as well."""
-    line = F.struct(*LINE)
-    known = rows.groupBy(key).agg(F.min(line).alias("lo"), F.max(line).alias("hi")).filter("lo != hi").select(
+    known = rows.groupBy(key).agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo != hi").select(
         F.col(key).alias("__key"))
     return rows.join(known, rows[key] == known["__key"], "left_semi")
 
 
-def _candidates(firsts: DataFrame, lines: DataFrame) -> DataFrame:
+def _candidates(firsts: DataFrame, docs: DataFrame, min_chars: int) -> DataFrame:
     """Lines that share a half: (k1, k2, first, n, norm, m, a, b), a row for each shared half."""
-    n = F.col("n")
-    regions = []
-    for k, m in enumerate((n, n - 1)):
-        c = F.floor(m / 2).cast("int")
-        for half, (a, b) in enumerate(((F.lit(0), c), (c, m))):
-            regions.append(F.struct(F.col(f"r{2 * k + half}").alias("key"), m.alias("m"), a.alias("a"), b.alias("b")))
-    sent = firsts.select(*LINE, "first", "n", F.inline(F.array(*regions)))
-    found = stored(_shared(sent).drop("key"), "line-candidates")
+    halves = F.array(*(F.struct(F.col(f"r{k}").alias("key"), F.lit(k).alias("half")) for k in range(4)))
+    shared = _shared(firsts.select(*LINE, F.inline(halves))).drop("key")
+    # half 0 and 1 as a line of its own length, 2 and 3 as the longer of a pair
+    m = F.col("n") - F.when(F.col("half") >= 2, F.lit(1)).otherwise(F.lit(0))
+    c, second = F.floor(m / 2).cast("int"), F.col("half") % 2 == 1
+    found = stored(shared.join(firsts.select(*LINE, "first", "n"), LINE).select(
+        *LINE, "first", "n", m.alias("m"), F.when(second, c).otherwise(F.lit(0)).alias("a"),
+        F.when(second, m).otherwise(c).alias("b")), "line-candidates")
     # the texts of the candidates, from their first places
     places = found.select(*LINE, "first").distinct().select(
         *(F.col(f"first.{c}").alias(f"__{c}") for c in PLACE), F.col("k1").alias("__k1"), F.col("k2").alias("__k2"))
     if places.limit(MAX_BROADCAST_LINES + 1).count() <= MAX_BROADCAST_LINES:
         places = F.broadcast(places)
-    texts = lines.join(places, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("h") == F.col("__h"))
-                       & (F.col("line_no") == F.col("__line_no")))
+    here = docs.join(places, docs["doc_id"].eqNullSafe(F.col("__doc_id")) & (F.xxhash64(docs["text"]) == F.col("__h")), "left_semi")
+    texts = _lines(here, min_chars).join(places, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("h") == F.col("__h"))
+                                         & (F.col("line_no") == F.col("__line_no")))
     texts = texts.select(F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), "norm").dropDuplicates(LINE)
     return stored(found.join(texts, LINE), "line-texts")
 
@@ -155,7 +156,7 @@ def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> tuple[DataFrame,
     """
     lines = _lines(docs, min_chars)
     firsts = stored(_first_places(lines), "line-firsts")
-    candidates = _candidates(firsts, lines)
+    candidates = _candidates(firsts, docs, min_chars)
     found = _earlier_neighbours(_narrowed(candidates))
     texts = candidates.select(*LINE, "first", "norm").dropDuplicates(LINE)
     checked = (found.drop("first").join(texts.select(*LINE, "norm"), LINE)
