@@ -78,7 +78,14 @@ class Memo:
         self.older: dict = {}
 
     def put(self, key, value) -> None:
+        self._turn()
+        self.known[key] = value
+
+    def update(self, found: dict) -> None:
+        self._turn()
+        self.known.update(found)
+
+    def _turn(self) -> None:
         if len(self.known) >= self.half:
             self.older = self.known.copy()
             self.known.clear()
-        self.known[key] = value

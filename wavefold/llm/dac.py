@@ -33,6 +33,8 @@ table writes a table without rows.
 from __future__ import annotations
 
 import itertools
+import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -42,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavefold.llm.common import id_text, rows_of, worker_state
+from wavefold.llm.common import Memo, id_text, rows_of, worker_state
 
 MAGIC = b"DAC1"
 #: Bits between two entries of a rank directory.
@@ -50,7 +52,7 @@ RANK_BITS = 512
 #: Ids of a segment, at least.
 SEGMENT_TOKENS = 65_536
 #: Words that a worker remembers, and characters of text it looks up at once; results don't depend on them.
-MEMO_WORDS, LOOK_UP_CHARS = 250_000, 1_000_000
+MEMO_WORDS, LOOK_UP_CHARS = 1_200_000, 1_000_000
 
 SEGMENTS = ("part int, seq int, before long, n_tokens long, doc_ids array<long>, ends array<long>, payload binary")
 
@@ -137,28 +139,90 @@ class Codes:
         return out
 
 
+#: Fixed value: the split of the word tokenizers that `WordEncoder` can ask piece by piece.
+WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Of a text in lower-case ASCII and Latin letters: what that split never cuts through nor joins.
+PIECE = re.compile(r"'?[a-zÀ-ÖØ-įı-ɏ]+|[0-9]|[^\sa-z0-9À-ÖØ-įı-ɏ]+")
+#: Anything else, or what may begin a special token (<|): such words are asked for whole.
+OTHER = re.compile(r"[^\t-\r -~À-ÖØ-öø-įı-ɏ]")
+PLAIN = bytes([*range(9, 14), *range(32, 127)])
+#: Words asked of the library in one text.
+ASKED_TOGETHER = 256
+
+
 class WordEncoder:
-    """A tokenizers file whose split never crosses ASCII white space, asked once for each word.
+    """A tokenizers file; a worker asks the library once for each piece that it does not remember.
 
-    Such a text's ids are its words' ids laid end to end, so a worker asks the
-    library only for words it does not remember.
+    Files whose normalizer and split work on every word alone (lower case,
+    WORD_SPLIT, word ends marked) get pieces: the ids of a text are those of its
+    pieces laid end to end. Any other file gets whole texts.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[bytes, bytes] = {}
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        kinds = [(n["type"]) for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        splits = [p.get("pattern", {}).get("Regex") for p in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        specials = [t["content"] for t in spec["added_tokens"]]
+        mark = spec["model"].get("end_of_word_suffix")
+        self.by_piece = (kinds == ["NFC", "Replace", "Lowercase"] and splits == [WORD_SPLIT, None] and bool(mark)
+                         and all(t.startswith("<|") and not re.search(r"\s", t) for t in specials))
+        if self.by_piece:
+            vocab = self.tokenizer.get_vocab(with_added_tokens=False)
+            self.ends = np.zeros(max(vocab.values()) + 1, bool)
+            self.ends[[i for t, i in vocab.items() if t.endswith(mark)]] = True
+        self.memo = Memo(MEMO_WORDS)
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _ask(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of pieces. Those that are one word each are asked for together, and parted at the ends of words."""
+        one = [p for p in pieces if p.isalpha() and (p.isascii() or not OTHER.search(p))]
+        sure = set(one)
+        alone = [p for p in pieces if p not in sure]
+        groups = [one[k:k + ASKED_TOGETHER] for k in range(0, len(one), ASKED_TOGETHER)]
+        out: dict[str, bytes] = {}
+        for group, ids in zip(groups, self._ids([" ".join(g) for g in groups])):
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(group):
+                raw, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
+                out.update((p, raw[a:b]) for p, a, b in zip(group, at, at[1:]))
+            else:
+                alone += group
+        out.update((p, x.tobytes()) for p, x in zip(alone, self._ids(alone)))
+        return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        words = [t.encode().split() for t in texts]
-        memo = self.memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        new = [w for w in set(itertools.chain.from_iterable(words)) if w not in memo]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            memo[w] = np.array(e.ids, "<u4").tobytes()
-        return [np.frombuffer(b"".join(map(memo.__getitem__, w)), "<u4") for w in words]
+        if not self.by_piece:
+            return self._ids(texts)
+        pieces: list[str] = []
+        ends = [0]
+        for t in texts:
+            pieces += self._pieces(t)
+            ends.append(len(pieces))
+        found = list(map(self.memo.known.get, pieces))
+        missing = [k for k, x in enumerate(found) if x is None]
+        new = {pieces[k] for k in missing}
+        made = {p: self.memo.older[p] for p in new & self.memo.older.keys()}
+        made |= self._ask(list(new - made.keys()))
+        self.memo.update(made)
+        for k in missing:
+            found[k] = made[pieces[k]]
+        return [np.frombuffer(b"".join(found[a:b]), "<u4") for a, b in zip(ends, ends[1:])]
+
+    @staticmethod
+    def _pieces(text: str) -> list[str]:
+        raw = text.encode()
+        rest = raw.translate(None, PLAIN)
+        if b"<|" not in raw and (not rest or OTHER.search(rest.decode()) is None):
+            return PIECE.findall(raw.lower().decode())
+        words = re.split(r"[ \t-\r]+", text)
+        return list(itertools.chain.from_iterable(
+            [w] if OTHER.search(w) or "<|" in w else PIECE.findall(w.encode().lower().decode()) for w in words if w))
 
 
 def _encoder(path: str) -> WordEncoder:
@@ -237,9 +301,10 @@ def documents(read_segments: DataFrame, digest_only: bool = False) -> DataFrame:
                 codes, begin = Codes(payload), [0, *stop[:-1]]
                 out = {"doc_id": pa.array(ids, pa.int64()), "start": pa.array([start + b for b in begin], pa.int64()),
                        "n_tokens": pa.array([e - b for b, e in zip(begin, stop)], pa.int64())}
-                found = (codes.slice(b, e) for b, e in zip(begin, stop))
+                whole = codes.slice(0, len(codes)).astype("<u4")  # every document is wanted: one sweep through the levels
+                found = (whole[b:e] for b, e in zip(begin, stop))
                 if digest_only:
-                    out["ids_crc32"] = pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in found], pa.int64())
+                    out["ids_crc32"] = pa.array([zlib.crc32(x) for x in found], pa.int64())
                 else:
                     out["ids"] = pa.array([x.astype(np.int64) for x in found], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_pydict(out)
