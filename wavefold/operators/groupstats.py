@@ -398,10 +398,10 @@ def group_stats_multi(df: DataFrame, group_vars: Sequence[str], value: str = "co
 
 
 def join_group_stats(df: DataFrame, stats_long: DataFrame, group_vars: Sequence[str],
-                     stats: Sequence[str] | None = None) -> DataFrame:
+                     stats: Sequence[str] | None = None, prefix: str = "") -> DataFrame:
     """Left-join long statistics back to rows, one block per group variable.
 
-    Column names are ``{group_var}__{stat}`` (never positional suffixes). The
+    Column names are ``{group_var}__{prefix}{stat}`` (never positional suffixes). The
     statistics table has one row per distinct group value; the planner chooses
     the join from its size at run time.
     """
@@ -411,7 +411,7 @@ def join_group_stats(df: DataFrame, stats_long: DataFrame, group_vars: Sequence[
     for g in present:
         block = stats_long.where(F.col("group_var") == g).select(
             F.col("group_value").alias(f"_{g}__key"),
-            *[F.col(s).alias(f"{g}__{s}") for s in stats])
+            *[F.col(s).alias(f"{g}__{prefix}{s}") for s in stats])
         out = out.join(block, out[g].cast("string") == block[f"_{g}__key"], "left") \
             .drop(f"_{g}__key")
     return out

@@ -166,11 +166,11 @@ class Space:
 
 
 def random_search(df: DataFrame, kind: str, space: Space, fold: str, n_trials: int = 5, seed: int = 42,
-                  label: str = "label", parallelism: int = 2, metric: str = "rmse"):
+                  label: str = "label", parallelism: int = 2, metric: str = "rmse", params: dict | None = None):
     """Seeded random search scored by CV over ``fold`` (M4). Returns (best params, table)."""
     rng = random.Random(seed)
     trials = [space.sample(rng) for _ in range(n_trials)]
-    est = make_regressor(kind, {}, seed, label)
+    est = make_regressor(kind, params, seed, label)
     grid = []
     for t in trials:
         b = ParamGridBuilder()

@@ -187,7 +187,7 @@ SELECT 'test', y.year, model, seed, count(*) FROM f_features f, (VALUES (2016),
 WHERE f.uid NOT IN (SELECT uid FROM f_labels) {test_filter} GROUP BY ALL""", "f_features", "f_labels")
 
 
-_SPEC_MODELS = ("('forest', 0), ('gbt_shallow', 0), ('linear1', 0), ('blended', 0), ('final', NULL)")
+_SPEC_MODELS = ("('gbt_deep', 0), ('forest', 0), ('gbt_shallow', 0), ('linear1', 0), ('blended', 0), ('final', NULL)")
 
 
 @register("check_spec_rows", _spec_rows_sql(_SPEC_MODELS))

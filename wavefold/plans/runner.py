@@ -15,6 +15,7 @@ tables.
 
 from __future__ import annotations
 
+import random
 from dataclasses import dataclass, field, replace
 from typing import Sequence
 
@@ -33,6 +34,7 @@ from ..operators import models as mo
 from ..operators import participation as pa
 from ..operators import reshape as rs
 from ..operators import scenarios as sc
+from ..operators.quantiles import exact_quantiles_many
 from ..session import checkpoint
 from . import survey
 
@@ -68,12 +70,25 @@ class FeatureSpec:
     drop_fraction: float | None = None
     winsorize: bool = False
     drop_sparse: bool = False
-    models: Sequence[str] = ("forest", "gbt_shallow")
-    n_seeds: int = 1
+    models: Sequence[str] = ("gbt_deep", "gbt_shallow", "forest")
+    n_seeds: int = 5
+    n_trials: int = 5
     k: int = 5
     top_k: int = 6
     n_classes: int = 10
-    model_params: dict = field(default_factory=lambda: {"numTrees": 20, "maxIter": 15, "maxDepth": 4})
+    importance: float = 0.6
+    model_params: dict = field(default_factory=dict)
+
+
+# Search ranges of the model families and of the stack.
+SPACES = {
+    "gbt_deep": mo.Space(ints={"maxDepth": (4, 6)}, logs={"stepSize": (0.03, 0.3)}),
+    "gbt_shallow": mo.Space(ints={"maxDepth": (2, 3)}, logs={"stepSize": (0.03, 0.3)}),
+    "forest": mo.Space(ints={"maxDepth": (3, 8)}),
+}
+STACK_SPACE = mo.Space(logs={"regParam": (0.1, 0.5)}, floats={"quantile": (0.005, 0.5)})
+# The grouping columns whose statistics of the change target the change model uses.
+CHANGE_GROUPS = ("edu_gru_12", "narrowed_age_12", "year_participation")
 
 
 def _numeric_columns(df: DataFrame, exclude: Sequence[str]) -> list[str]:
@@ -134,6 +149,10 @@ def _fit_assembler(train: DataFrame, cols: Sequence[str]):
     return Pipeline(stages=stages).fit(tr)
 
 
+def _slots(df: DataFrame, cols: Sequence[str]) -> list[str]:
+    return mo.assembler_stages(mo.prepare_inputs(df, cols), cols)[1]
+
+
 def _assemble_with(prep, df: DataFrame, cols: Sequence[str]) -> DataFrame:
     present = set(df.columns)
     x = df.withColumns({c: F.lit(None).cast("double") for c in cols if c not in present})
@@ -183,6 +202,8 @@ class SpecModel:
     category_source: str
     weights: dict                       # seed → (category, model, weight)
     fallback: dict                      # seed → (model, weight) from all train rows (Q8)
+    years: list                         # label years
+    change_stats: DataFrame | None      # long statistics of the change target
 
     @property
     def n_patterns(self) -> int:
@@ -205,40 +226,35 @@ class SpecModel:
         return keys.select(key, "year").join(kept.join(codes, key, "left"), key, "left")
 
     def predicted(self, rows: DataFrame) -> DataFrame:
-        """Adds every model's score as a column, row by row; columns ``_s_{model}_{seed}``.
+        """Every model's score as a column, row by row; columns ``_s_{model}_{seed}``.
 
         Only small fitted tables (group statistics, blend weights) are joined, so rows
         may be scenario rows: nothing here needs a row's key.
         """
         cfg, spec, key = self.cfg, self.spec, self.cfg.key
-        keep = rows.columns
-        x = apply_preprocess(rows, self.prep, cfg, replace(spec, drop_sparse=False))
+        ids = [c for c in (key, "year", "feature_category") if c in rows.columns]
+        x = apply_preprocess(rows.withColumn("_year", F.col("year")), self.prep, cfg, replace(spec, drop_sparse=False))
         x = pa.participation_onehot(x, self.n_patterns)
+        if self.classes is not None:
+            x = self._class_columns(x)
+        x = fe.age_interactions(fe.log_columns(x))
         if self.change is not None:
             asm, model, cols = self.change
+            if self.change_stats is not None:
+                x = gs.join_group_stats(x, self.change_stats, [g for g in CHANGE_GROUPS if g in x.columns], prefix="change_")
             x = _with_prediction(x, asm, cols, model, "composite_score_diff_pred")
-        x = fe.age_interactions(fe.log_columns(x))
         if self.stats is not None:
             x = gs.join_group_stats(x, self.stats, [g for g in cfg.group_vars if g in x.columns])
-        if self.classes is not None:
-            asm, model, cols = self.classes
-            v = model.transform(_assemble_with(asm, x, cols))
-            arr = vector_to_array("probability")
-            x = v.select(*x.columns, *[arr[i].alias(f"quantile_{i}_{spec.n_classes}") for i in range(spec.n_classes)])
-        names = [c for c in keep if c in x.columns]
         category = F.col(self.category_source).cast("string")
-        v = _assemble_with(self.base_prep, x, self.base_cols).withColumn(
-            "_category", self.topk.apply_to(category)).select(*names, "_category", mo.FEATURES)
+        v = _assemble_with(self.base_prep, x, self.base_cols).withColumn("_category", self.topk.apply_to(category))
         for (kind, seed), model in self.base.items():
             out = f"_s_{kind}_{seed}"
             v = model.copy().setPredictionCol(out).transform(v).withColumn(out, bl.directed_round(out))
         v = v.drop(mo.FEATURES)
         for seed, (lasso, fills) in self.stack.items():
-            inputs = {f"composite_score_{kind}": F.coalesce(F.col(f"_s_{kind}_{seed}"), F.lit(fills.get(f"composite_score_{kind}")))
-                      for kind in spec.models}
-            va = VectorAssembler(inputCols=list(inputs), outputCol=mo.FEATURES, handleInvalid="keep")
+            v = v.withColumns({f"composite_score_{kind}": F.col(f"_s_{kind}_{seed}") for kind in spec.models})
             out = f"_s_linear1_{seed}"
-            v = lasso.copy().setPredictionCol(out).transform(va.transform(v.withColumns(inputs))).drop(mo.FEATURES, *inputs)
+            v = lasso.copy().setPredictionCol(out).transform(_stack_inputs(v, fills)).drop(mo.FEATURES)
             v = v.withColumn(out, bl.directed_round(out))
             members = [*spec.models, "linear1"]
             w = self.weights[seed].groupBy("category").pivot("model", members).agg(F.first("weight")).withColumnsRenamed(
@@ -249,7 +265,25 @@ class SpecModel:
                 (F.coalesce(F.coalesce(F.col(f"_w_{m}"), F.lit(f[m])) * F.col(f"_s_{m}_{seed}"), F.lit(0.0)) for m in members),
                 F.lit(0.0))).drop("_of", *[f"_w_{m}" for m in members])
         mean = sum((F.col(f"_s_blended_{s}") for s in self.stack), F.lit(0.0)) / F.lit(float(len(self.stack)))
-        return v.withColumn("_s_final_", F.ceil(mean).cast("double")).drop("_category")
+        v = v.withColumn("year", F.col("_year")).withColumn("_s_final_", F.ceil(mean).cast("double"))
+        return v.select(*ids, *[c for c in v.columns if c.startswith("_s_")])
+
+    def _class_columns(self, x: DataFrame) -> DataFrame:
+        """Class probabilities as if in each label year (``quantile_{i}_{n}_{year}``), and of the row's own year."""
+        asm, model, cols = self.classes
+        n, arr, before = self.spec.n_classes, vector_to_array("probability"), list(x.columns)
+        for y in self.years:
+            v = model.transform(_assemble_with(asm, x.withColumn("year", F.lit(y)), cols))
+            x = v.select(*before, *[arr[i].alias(f"quantile_{i}_{n}_{y}") for i in range(n)])
+            before = list(x.columns)
+            x = x.withColumn("year", F.col("_year"))
+        own = {}
+        for i in range(n):
+            c = F.lit(None).cast("double")
+            for y in self.years:
+                c = F.when(F.col("_year") == y, F.col(f"quantile_{i}_{n}_{y}")).otherwise(c)
+            own[f"quantile_{i}_{n}"] = c
+        return x.withColumns(own)
 
     def melted(self, predicted: DataFrame, *ids: str) -> DataFrame:
         """``(ids…, model, seed, predicted_score)`` of the score columns, once, at the end."""
@@ -272,6 +306,8 @@ class SpecModel:
         tables = {"patterns": self.patterns}
         if self.stats is not None:
             tables["stats"] = self.stats
+        if self.change_stats is not None:
+            tables["change_stats"] = self.change_stats
         for seed, w in self.weights.items():
             tables[f"weights_{seed}"] = w
             tables[f"fallback_{seed}"] = self.fallback[seed]
@@ -281,9 +317,9 @@ class SpecModel:
             "prep": {"caps": self.prep.caps.values if self.prep.caps else None, "dropped": self.prep.dropped,
                      "onehot": self.prep.onehot.values, "null_flag": self.prep.onehot.null_flag},
             "base_cols": self.base_cols, "base": [[k, s] for k, s in self.base],
-            "stack": {str(s): f for s, (_, f) in self.stack.items()},
+            "stack": {str(s): [[c, v] for c, v in f.items()] for s, (_, f) in self.stack.items()},
             "topk": {"col": self.topk.col, "values": self.topk.values, "other": self.topk.other},
-            "category_source": self.category_source,
+            "category_source": self.category_source, "years": self.years, "change_stats": self.change_stats is not None,
             "change_cols": self.change[2] if self.change else None,
             "class_cols": self.classes[2] if self.classes else None,
         }
@@ -310,6 +346,7 @@ class SpecModel:
         cfg_d["age_ranges"] = {k: tuple(v) for k, v in cfg_d.get("age_ranges", {}).items()}
         cfg = SurveyConfig(**cfg_d)
         names = ["patterns"] + (["stats"] if spec.group_stats else []) + \
+            (["change_stats"] if p["change_stats"] else []) + \
             [f"weights_{s}" for s in range(spec.n_seeds)] + [f"fallback_{s}" for s in range(spec.n_seeds)]
         tables, _ = io.read_bundle(spark, root, names)
         pp = p["prep"]
@@ -322,21 +359,41 @@ class SpecModel:
             change=part("change", p["change_cols"]), classes=part("classes", p["class_cols"]),
             base_prep=mo.load_model(f"{root}/models/base_prep"), base_cols=p["base_cols"],
             base={(k, s): load(f"base_{k}_{s}") for k, s in p["base"]},
-            stack={int(s): (load(f"stack_{s}"), f) for s, f in p["stack"].items()},
+            stack={int(s): (load(f"stack_{s}"), dict(f)) for s, f in p["stack"].items()},
             topk=fe.TopK(**p["topk"]), category_source=p["category_source"],
             weights={s: tables[f"weights_{s}"] for s in range(spec.n_seeds)},
-            fallback={s: tables[f"fallback_{s}"] for s in range(spec.n_seeds)})
-
-
-def _stack_apply(lasso, fills: dict, base: dict, spec: FeatureSpec, seed: int, key: str) -> DataFrame:
-    names = [f"composite_score_{kind}" for kind in spec.models]
-    w = None
-    for kind, name in zip(spec.models, names):
-        b = base[(kind, seed)].select(key, "year", F.col("predicted_score").alias(name))
-        w = b if w is None else w.join(b, [key, "year"])
-    va = VectorAssembler(inputCols=names, outputCol=mo.FEATURES, handleInvalid="keep")
-    return lasso.transform(va.transform(cl.fill_values(w, fills))).select(
-        key, "year", bl.directed_round("prediction").alias("predicted_score"))
+            fallback={s: tables[f"fallback_{s}"] for s in range(spec.n_seeds)},
+            years=p["years"], change_stats=tables.get("change_stats"))
+
+
+def _stack_inputs(df: DataFrame, fills: dict) -> DataFrame:
+    """The stack's vector: features and base predictions in the order of ``fills``, nulls filled with them."""
+    filled = {f"_f_{i}": F.coalesce(F.col(c).cast("double") if c in df.columns else F.lit(None).cast("double"),
+                                    F.lit(0.0 if v is None else float(v))) for i, (c, v) in enumerate(fills.items())}
+    va = VectorAssembler(inputCols=list(filled), outputCol=mo.FEATURES, handleInvalid="keep")
+    return va.transform(df.withColumns(filled)).drop(*filled)
+
+
+def fit_stack(wide: DataFrame, columns: Sequence[str], fold: str, n_trials: int, seed: int = 1):
+    """L1 stack over features and base predictions (M9): penalty and filling quantile are searched by
+    the error over grouped folds. Returns (model, fill values)."""
+    rng = random.Random(seed)
+    trials = [STACK_SPACE.sample(rng) for _ in range(max(1, n_trials))]
+    fills = exact_quantiles_many(wide, columns, [t["quantile"] for t in trials])
+    folds = sorted(r[0] for r in wide.select(fold).distinct().collect())  # k rows
+    best = None
+    for i, t in enumerate(trials):
+        here = {c: fills[c][i] for c in columns}
+        x = _stack_inputs(wide, here).select("label", fold, mo.FEATURES)
+        est = mo.make_regressor("lasso", {"regParam": t["regParam"]}, 5)
+        if n_trials > 1:
+            parts = [est.fit(x.where(F.col(fold) != k)).transform(x.where(F.col(fold) == k)) for k in folds]
+            error = rs.union_all(parts).agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("label"), 2)))).first()[0]
+        else:
+            error = 0.0
+        if best is None or error < best[0]:
+            best = (error, est, here, x)
+    return best[1].fit(best[3]), best[2]
 
 
 def fit_spec(spark: SparkSession, train_features: DataFrame, train_labels: DataFrame,
@@ -363,8 +420,28 @@ def fit_spec(spark: SparkSession, train_features: DataFrame, train_labels: DataF
     # the code is kept next to its one-hot columns, as in the reference (K3)
     enc = checkpoint(pa.participation_onehot(enc, n_patterns))
 
-    train = train_labels.select(key, "year", "composite_score").join(enc, key, "left")
-    train = fe.age_interactions(fe.log_columns(train))
+    rows = train_labels.select(key, "year", "composite_score").join(enc, key, "left")
+    years = sorted(r[0] for r in train_labels.select("year").distinct().collect())  # label years
+
+    # class probabilities come first, on selected features and the year; later stages use them
+    classes = probs = None
+    if spec.class_probs:
+        raw_cols = _numeric_columns(enc, [key])
+        asm, slots = _fit_assembler(rows, raw_cols), _slots(rows, raw_cols)
+        folded = fo.kfold(_assemble_with(asm, rows, raw_cols).withColumn("label", F.col("composite_score")),
+                          [key, "year"], spec.k, 42, out="rfold")
+        folded = checkpoint(folded)
+        importance = mo.fold_importance(folded, mo.make_regressor("gbt_shallow", spec.model_params, 42), "rfold", slots)
+        chosen = set(mo.select_features(importance, spec.importance))
+        cols0 = [c for c in raw_cols if c in chosen] or raw_cols
+        cols0 = [*cols0, "year"]
+        asm0 = _fit_assembler(rows, cols0)
+        tr_v = checkpoint(fo.kfold(_assemble_with(asm0, rows, cols0), [key, "year"], spec.k, 42, out="rfold"))
+        probs = checkpoint(mo.class_probabilities(tr_v, "composite_score", spec.n_classes, "rfold", [key, "year"], 42))
+        clf = mo.make_classifier(42).fit(mo.class_labels(tr_v, "composite_score", spec.n_classes))
+        classes = (asm0, clf, cols0)
+
+    train = fe.age_interactions(fe.log_columns(rows))
 
     stats = None
     if spec.group_stats:
@@ -375,18 +452,27 @@ def fit_spec(spark: SparkSession, train_features: DataFrame, train_labels: DataF
 
     pairs = cl.complete_pairs(train_labels, key)
     fold1 = fo.kfold(pairs, key, spec.k, 42, out="fold1")
-    change = None
+    change = change_stats = None
     if spec.change:
         target = rs.pivot_change(train_labels, key).select(key, F.col("composite_score_diff").alias("label"))
-        wide_cols = _numeric_columns(enc, [key])
-        wtrain = fo.kfold(cl.semi_join(enc, pairs, key).join(target, key).where(F.col("label").isNotNull()),
-                          key, spec.k, 42, out="fold1")
+        wide = fe.age_interactions(fe.log_columns(enc))
+        if probs is not None:
+            names = [c for c in probs.columns if c.startswith("quantile_")]
+            wide = wide.join(rs.pivot_block(probs, key, "year", years, names), key, "left")
+        labelled = cl.semi_join(wide, pairs, key).join(target, key).where(F.col("label").isNotNull())
+        groups = [g for g in CHANGE_GROUPS if g in wide.columns]
+        if groups and spec.group_stats:
+            change_stats = checkpoint(gs.group_stats_multi(labelled, groups, "label", [key]))
+            wide = gs.join_group_stats(wide, change_stats, groups, prefix="change_")
+            labelled = gs.join_group_stats(labelled, change_stats, groups, prefix="change_")
+        wide_cols = _numeric_columns(wide, [key])
+        wtrain = fo.kfold(labelled, key, spec.k, 42, out="fold1")
         asm = _fit_assembler(wtrain, wide_cols)
         wtrain_v = checkpoint(_assemble_with(asm, wtrain, wide_cols))
         est = mo.make_regressor("gbt_shallow", spec.model_params, 42)
         oof = mo.oof_predict(wtrain_v, est, "fold1", [key], out="composite_score_diff_pred")
         full_model = est.fit(wtrain_v)
-        rest = _assemble_with(asm, cl.anti_join(enc, wtrain.select(key), key), wide_cols)
+        rest = _assemble_with(asm, cl.anti_join(wide, wtrain.select(key), key), wide_cols)
         full = full_model.transform(rest).select(key, F.col("prediction").alias("composite_score_diff_pred"))
         diff = checkpoint(oof.select(key, "composite_score_diff_pred").unionByName(full))
         train = train.join(diff, key, "left")
@@ -395,16 +481,8 @@ def fit_spec(spark: SparkSession, train_features: DataFrame, train_labels: DataF
     train = fo.group_kfold(train, "combined_fold", spec.k, out="gfold")
 
     exclude = [key, "composite_score", "fold1", "gfold", "label"]
-    classes = None
-    if spec.class_probs:
-        cols0 = _numeric_columns(train, exclude + ["year"])
-        asm0 = _fit_assembler(train, cols0)
-        tr_v = fo.kfold(_assemble_with(asm0, train, cols0), [key, "year"], spec.k, 42, out="rfold")
-        probs = checkpoint(mo.class_probabilities(tr_v, "composite_score", spec.n_classes, "rfold",
-                                                  [key, "year"], 42))
-        clf = mo.make_classifier(42).fit(mo.class_labels(tr_v, "composite_score", spec.n_classes))
+    if probs is not None:
         train = train.join(probs, [key, "year"], "left")
-        classes = (asm0, clf, cols0)
 
     cols = _numeric_columns(train, exclude)
     base_prep = _fit_assembler(train, cols)
@@ -412,8 +490,11 @@ def fit_spec(spark: SparkSession, train_features: DataFrame, train_labels: DataF
 
     parts, base_tr, base_models = [], {}, {}
     for kind in spec.models:
+        params = dict(spec.model_params)
+        if spec.n_trials > 1:  # each family is searched once, its seeds share the result
+            params |= mo.random_search(train_v, kind, SPACES[kind], "gfold", spec.n_trials, 1, params=params)[0]
         for seed in range(spec.n_seeds):
-            est = mo.make_regressor(kind, spec.model_params, seed)
+            est = mo.make_regressor(kind, params, seed)
             oof = mo.oof_predict(train_v, est, "gfold", [key, "year"])
             base_tr[(kind, seed)] = checkpoint(oof.withColumn("predicted_score",
                                                               bl.directed_round("predicted_score")))
@@ -428,18 +509,19 @@ def fit_spec(spark: SparkSession, train_features: DataFrame, train_labels: DataF
 
     stack, weights, fallback = {}, {}, {}
     for seed in range(spec.n_seeds):
-        # L1 stack over this seed's base predictions; in-sample on train (Q5)
-        names = [f"composite_score_{kind}" for kind in spec.models]
-        w = None
-        for kind, name in zip(spec.models, names):
-            b = base_tr[(kind, seed)].select(key, "year", F.col("predicted_score").alias(name))
-            w = b if w is None else w.join(b, [key, "year"])
-        w = w.join(truth.withColumnRenamed("composite_score", "label"), [key, "year"])
-        fills = cl.fit_fill_quantile(w, names, 0.5)
-        va = VectorAssembler(inputCols=names, outputCol=mo.FEATURES, handleInvalid="keep")
-        lasso = mo.make_regressor("lasso", {"regParam": 0.1}, 5).fit(va.transform(cl.fill_values(w, fills)))
+        # L1 stack over the features and this seed's base predictions; in-sample on train (Q5)
+        w = train_v.select(key, F.col("year").cast("int").alias("year"), "label", "gfold",
+                           *[F.col(c).cast("double").alias(c) for c in cols if c != "year"])
+        for kind in spec.models:
+            b = base_tr[(kind, seed)].select(key, F.col("year").cast("int").alias("year"),
+                                             F.col("predicted_score").alias(f"composite_score_{kind}"))
+            w = w.join(b, [key, "year"])
+        w = checkpoint(w)
+        names = [*[c for c in cols if c != "year"], "year", *[f"composite_score_{kind}" for kind in spec.models]]
+        lasso, fills = fit_stack(w, names, "gfold", spec.n_trials)
         stack[seed] = (lasso, fills)
-        lin_tr = _stack_apply(lasso, fills, base_tr, spec, seed, key)
+        lin_tr = lasso.transform(_stack_inputs(w, fills)).select(
+            key, "year", bl.directed_round("prediction").alias("predicted_score"))
         parts.append(_long(lin_tr, "train", "linear1", seed))
         # per-category softmax blend of base models and the stack
         ptr = rs.union_all([_long(base_tr[(k, seed)], "train", k, seed) for k in spec.models]
@@ -454,7 +536,8 @@ def fit_spec(spark: SparkSession, train_features: DataFrame, train_labels: DataF
 
     model = SpecModel(cfg=cfg, spec=spec, prep=prep_fit, patterns=patterns, stats=stats, change=change,
                       classes=classes, base_prep=base_prep, base_cols=cols, base=base_models, stack=stack,
-                      topk=topk, category_source=cat_src, weights=weights, fallback=fallback)
+                      topk=topk, category_source=cat_src, weights=weights, fallback=fallback, years=years,
+                      change_stats=change_stats)
     return _finish(parts, key, spec), model
 
 
