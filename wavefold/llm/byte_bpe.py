@@ -37,7 +37,7 @@ from wavefold.llm.bpe_pairs import Pairs
 from wavefold.llm.common import Memo, id_text, rows_of, worker_state
 
 #: Pieces, arrows of the transducer and judged pairs that a worker remembers; results don't depend on them.
-MEMO_PIECES, MEMO_BYTES, MEMO_ARROWS, MEMO_PAIRS = 400_000, 48, 400_000, 400_000
+MEMO_PIECES, MEMO_BYTES, MEMO_ARROWS, MEMO_PAIRS = 300_000, 48, 250_000, 300_000
 #: Token ids given to the decoder at a time.
 DECODE_IDS = 65_536
 

@@ -6,6 +6,7 @@ names below, so extra or clashing input columns never reach a join.
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 import uuid
@@ -50,17 +51,41 @@ def worker_state(key: str, build: Callable[[], object]) -> object:
     """One object per Python worker process, built at first use.
 
     Functions reach the workers pickled by value, so their own module globals
-    start afresh with every task; this lives beside them in ``sys.modules``.
+    start afresh with every task; this lives beside them in ``sys.modules``. A
+    worker holds one such object: stages of a pipeline follow each other in the same
+    workers, and what an earlier one has built would only take memory.
     """
     home = sys.modules.setdefault("_wavefold_llm_worker", types.ModuleType("_wavefold_llm_worker"))
-    if key not in home.__dict__:
-        home.__dict__[key] = build()
-    return home.__dict__[key]
+    if home.__dict__.get("key") != key:
+        home.key = home.value = None
+        home.value = build()
+        home.key = key
+    return home.value
 
 
-def rows_of(batches: Iterator, *names: str) -> Iterator[tuple]:
-    """For every Arrow batch: the named columns as Python lists."""
+def drop_worker_state() -> None:
+    """Called by functions that build nothing to keep: what an earlier stage has left is freed."""
+    home = sys.modules.get("_wavefold_llm_worker")
+    if home is not None and home.__dict__.get("value") is not None:
+        home.key = home.value = None
+        gc.collect()
+
+
+#: Bytes of an Arrow batch that are turned into Python objects at once.
+SLICE_BYTES = 4_000_000
+
+
+def slices(batches: Iterator) -> Iterator:
+    """The rows of Arrow batches in slices of about SLICE_BYTES (a longer row is a slice of its own)."""
     for batch in batches:
+        rows = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def rows_of(batches: Iterator, *names: str) -> Iterator[tuple]:
+    """For every slice of the Arrow batches: the named columns as Python lists."""
+    for batch in slices(batches):
         yield tuple(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names)
 
 

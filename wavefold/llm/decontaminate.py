@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wavefold.llm.common import id_text, rows_of, stored
+from wavefold.llm.common import drop_worker_state, id_text, rows_of, slices, stored
 
 #: Largest number of distinct windows that is broadcast (some 100 bytes each).
 MAX_BROADCAST_WINDOWS = 1_000_000
@@ -155,6 +155,7 @@ def scan(docs: DataFrame, bench: DataFrame, *, n: int = 10, id_col: str = "doc_i
     held = spark.sparkContext.broadcast([(r.window, list(r["items"])) for r in windows.collect()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         found = WindowSet(held.value)
         schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()),
                             ("items", pa.list_(pa.string())),
@@ -269,8 +270,9 @@ def decontaminate(docs: DataFrame, bench: DataFrame, *, n: int = 10, id_col: str
     held = docs.sparkSession.sparkContext.broadcast([(r.window, list(r["items"])) for r in windows.collect()])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         found = WindowSet(held.value)
-        for batch in batches:
+        for batch in slices(batches):
             k = batch.schema.get_field_index(text_col)
             texts = batch.column(k).to_pylist()
             spans = [next(_scan(found, [0], [t or ""]))["spans"] for t in texts]

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wavefold.llm.common import id_text, rows_of, stored
+from wavefold.llm.common import drop_worker_state, id_text, rows_of, slices, stored
 from wavefold.session import checkpoint
 
 #: The tree is fitted on at most so many points, and at most an eighth of all.
@@ -75,6 +75,7 @@ def fingerprints(docs: DataFrame, k: int = 3, id_col: str = "doc_id", text_col:
     """``(doc_id, fp)``: fp is the fingerprint's 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         for ids, texts in rows_of(batches, "doc_id", "text"):
             fps = np.array([fingerprint(t, k) for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "fp": pa.array(fps)})
@@ -266,7 +267,8 @@ def keep_first(docs: DataFrame, *, k: int = 3, max_bits: int = 2, id_col: str =
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        drop_worker_state()
+        for batch in slices(batches):
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             fps = np.array([fingerprint(t, k) for t in texts], np.uint64).view(np.int64)
             yield batch.append_column("__fp", pa.array(fps))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavefold.llm.common import Memo, id_text, rows_of
+from wavefold.llm.common import Memo, drop_worker_state, id_text, rows_of, slices
 
 #: Bound of the sample that models are fitted on.
 FIT_DOCUMENTS = 12_000
@@ -44,9 +44,9 @@ MIN_CASES = 10
 FOLDS = 4
 BEGINNINGS = (4, 5, 6)
 PENALTY, STEPS = 0.1, 400
-THRESHOLD = 0.5
+THRESHOLD = 0.3
 TWICE = " 2"
-MEMO_WORDS = 300_000
+MEMO_WORDS = 200_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -148,6 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Mapping[str, Column], *,
                                            *(F.max(y).alias(y) for y in ys)).persist()
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         for columns in rows_of(batches, "text", *ys):
             for text, *y in zip(*columns):
                 found = sorted(features(text))
@@ -231,6 +232,7 @@ def score(docs: DataFrame, chain: Chain, *, id_col: str = "doc_id", text_col: st
     held = docs.sparkSession.sparkContext.broadcast(chain)  # a few thousand weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         scorer = Scorer(held.value)
         for ids, texts in rows_of(batches, "doc_id", "text"):
             p = scorer.scores(texts)
@@ -245,8 +247,9 @@ def keep_civil(docs: DataFrame, chain: Chain, category: str, threshold: float =
     held, j = docs.sparkSession.sparkContext.broadcast(chain), chain.names.index(category)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_state()
         scorer = Scorer(held.value)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
             yield batch.filter(pa.array(scorer.scores(texts)[:, j] < threshold))
 
