@@ -37,7 +37,7 @@ from wavefold.llm.bpe_pairs import Pairs
 from wavefold.llm.common import Memo, id_text, rows_of, worker_state
 
 #: Pieces, arrows of the transducer and judged pairs that a worker remembers; results don't depend on them.
-MEMO_PIECES, MEMO_BYTES, MEMO_ARROWS, MEMO_PAIRS = 300_000, 48, 250_000, 300_000
+MEMO_PIECES, MEMO_BYTES, MEMO_ARROWS, MEMO_PAIRS = 400_000, 48, 400_000, 400_000
 #: Token ids given to the decoder at a time.
 DECODE_IDS = 65_536
 
@@ -50,7 +50,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Lazily determinised transducer of a rank file."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], most_arrows: int | None = None):
+        self.most_arrows = MEMO_ARROWS if most_arrows is None else most_arrows
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("every single byte needs a rank")
         self.ranks = ranks
@@ -82,7 +83,7 @@ class Transducer:
         while agreed < fewest and all(p[agreed] == first[agreed] for _, _, p in made):
             agreed += 1
         places = tuple((s, t, p[agreed:]) for s, t, p in made) if agreed else tuple(made)
-        if self.arrows >= MEMO_ARROWS:  # a full table: what is rare is made anew each time
+        if self.arrows >= self.most_arrows:  # a full table: what is rare is made anew each time
             return first[:agreed], {None: places}
         self.arrows += 1
         arrow = state[byte] = first[:agreed], self._state(places)
@@ -113,11 +114,11 @@ class Transducer:
 class Encoder:
     """Texts to ids: splits by the pattern and sends each piece through the transducer."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, memory: float = 1.0):
         self.ranks = read_ranks(path)
         self.split = regex.compile(pattern)
-        self.transducer = Transducer(self.ranks)
-        self.memo = Memo(MEMO_PIECES)
+        self.transducer = Transducer(self.ranks, int(MEMO_ARROWS * memory))
+        self.memo = Memo(int(MEMO_PIECES * memory))
 
     def _piece(self, piece: str) -> bytes:
         found = self.memo.older.get(piece)
@@ -176,14 +177,14 @@ def decode_chunks(bytes_of: dict[int, bytes], ids: list[int]) -> Iterator[str]:
 
 
 class Coder:
-    def __init__(self, path: str, pattern: str):
-        self.encoder = Encoder(path, pattern)
+    def __init__(self, path: str, pattern: str, memory: float = 1.0):
+        self.encoder = Encoder(path, pattern, memory)
         self.bytes_of = {r: t for t, r in self.encoder.ranks.items()}
         self.digits = {r: str(r) for r in self.bytes_of}
 
 
-def _coder(path: str, pattern: str) -> Coder:
-    return worker_state(f"fst:{path}:{pattern}", lambda: Coder(path, pattern))
+def _coder(path: str, pattern: str, memory: float = 1.0) -> Coder:
+    return worker_state(f"fst:{path}:{pattern}:{memory}", lambda: Coder(path, pattern, memory))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -212,15 +213,15 @@ def decode(encoded: DataFrame, path: str, pattern: str = "") -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, *, keep_ids: bool = False, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, path: str, pattern: str, *, keep_ids: bool = False, memory: float = 1.0,
+               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode and decode in one pass: n_tokens, and SHA-256 of the comma-joined ids and of the decoded
-    bytes; with ``keep_ids`` also the ids."""
+    bytes; with ``keep_ids`` also the ids. ``memory`` scales what a worker remembers (1: some 250 MB)."""
     fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
               ("decoded_sha256", pa.string()), *([("ids", pa.list_(pa.int32()))] if keep_ids else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(path, pattern)
+        coder = _coder(path, pattern, memory)
         for docs_, texts in rows_of(batches, "doc_id", "text"):
             rows = []
             for i, t in zip(docs_, texts):
