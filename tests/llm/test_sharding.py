@@ -59,3 +59,25 @@ def test_fewer_rows_than_shards_and_empty(spark):
     few = spark.createDataFrame([Row(doc_id=i, text="t") for i in range(3)])
     check(sharding.shard(few, 16).collect(), [(i, "t") for i in range(3)], 16)
     assert sharding.shard(spark.createDataFrame([], "doc_id long, text string"), 16).collect() == []
+
+
+@pytest.mark.parametrize("shape", ["hot third", "pairs", "copies"])
+def test_no_key_below_a_room_is_cut(spark, shape):
+    n = 50_000
+    key = {"hot third": "CASE WHEN id % 3 = 0 THEN -1 WHEN id % 3 = 1 THEN id div 12 ELSE id END",
+           "pairs": "CASE WHEN id % 10 < 7 THEN (id div 10) * 10 + (id % 10) div 2 ELSE -id END",
+           "copies": "0"}[shape]
+    df = spark.range(n).selectExpr("id AS doc_id", f"cast({key} AS string) AS text")
+    rows = sharding.shard(df, 16).collect()
+    texts = [(r.doc_id, r.text) for r in df.collect()]
+    # copies must be cut, but never over more shards than they fill
+    assert check(rows, texts, 16) == 0
+
+
+def test_keys_find_the_rooms_that_are_left(spark):
+    # no unlinked row to fill up with, large keys among small ones
+    df = spark.range(48_000).selectExpr(
+        "id AS doc_id", "cast(CASE WHEN id < 24000 THEN id div 1500 WHEN id < 36000 THEN 100000 + id div 100 "
+        "ELSE 200000 + id div 2 END AS string) AS text")
+    rows = sharding.shard(df, 16).collect()
+    assert check(rows, [(r.doc_id, r.text) for r in df.collect()], 16) == 0

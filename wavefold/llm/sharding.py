@@ -4,20 +4,25 @@ Documents that share a link key (here: equal texts) are linked. Law ``rows``:
 shard sizes differ by at most one row; within that, as few links as possible
 are cut.
 
-Method: every document starts in a shard dealt by a hash of its id. In each
-round a Spark join gives every linked document the shard where most documents
-of its link key are; that is where it would move. Rooms are 1/k of the rows, and
-quotas follow from them: a shard admits movers up to the room that its linked
-residents leave, in the order of a hash of the key, so that a key's documents
-come in together; unlinked documents carry no cut and make way. The k x k counts
-and a histogram of fixed size are all the driver sees. Rounds stop when none can
-move, or after ``rounds``.
-
-At the end rows are numbered in the order (shard, link key, id), in the cluster,
-and the shards are set to equal ranges of the numbers. That makes the sizes
-exact, moves as many rows as the quotas left over, and keeps every key that is
-not at one of the k - 1 borders in one piece. Keys larger than a room fill
-neighbouring shards.
+Method: every document starts in a shard dealt by a hash of its id, and each
+linked key counts its documents by shard. A key then moves as a whole to the
+shard where most of its documents are, among the shards that still have room
+for all of it; ties, and keys whose own shards are full, go by a hash weighted
+by the rooms. Rooms are the exact sizes of the shards. Each round a shard admits
+keys by steps of a hash, as many steps as fit; refused keys wish again among the
+shards that have room left. Unlinked documents carry no cut and fill what the
+keys leave.
+
+The driver sees a histogram of shards x steps each round, and at most
+shards x QUOTA_STEPS keys with their counts: those of more than 1 / QUOTA_STEPS
+of a room, before the rounds, and the last ones, for which the rounds end. It
+places them largest first. A key that fits in no shard any more, as one larger
+than a room, is laid over the shards with most room. So keys below a room are
+only cut where the rooms left are all smaller than the key.
+
+At the end rows are numbered in the order (rank, key, id), in the cluster, where
+the rank tells cut keys, unlinked rows and each shard's keys apart; ranges of the
+numbers are the shards. That makes the sizes exact.
 
 A document's links are never listed in pairs: a key's documents are counted by
 shard (at most k rows for a key), and that table is joined to the documents.
@@ -31,12 +36,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wavefold.llm.common import stored
 
 #: Steps in which a shard's quota is dealt to movers.
 QUOTA_STEPS = 256
+#: Rounds in which keys wish for their own shards first; later ones go by the rooms alone.
+OWN_ROUNDS = 4
+#: Rounds in a row that may place nothing before the rest is left to the numbering.
+IDLE_ROUNDS = 3
 
 
 def text_key(text: Column) -> Column:
@@ -44,55 +52,124 @@ def text_key(text: Column) -> Column:
     return F.when(text.isNotNull(), F.struct(F.xxhash64(text).alias("h"), F.crc32(text).alias("c"), F.octet_length(text).alias("n")))
 
 
-def _hash_step(*cols: Column) -> Column:
-    return F.pmod(F.xxhash64(*cols, F.lit(17)), F.lit(QUOTA_STEPS)).cast("int")
-
-
-def propagate(rows: DataFrame, shards: int, rounds: int = 4) -> DataFrame:
-    """Adds ``label`` to rows of ``(row, key)``: linked rows drawn together within the quotas.
-
-    ``row`` tells rows apart; ``key`` links them.
+class _Rooms:
+    """What the driver knows of the shards: rows left and placed, and the keys that are cut."""
+
+    def __init__(self, total: int, shards: int):
+        borders = [-(-s * total // shards) for s in range(shards + 1)]
+        self.left = [hi - lo for lo, hi in zip(borders, borders[1:])]
+        self.room = max(self.left)
+        self.placed = [0] * shards
+        self.cut: list[list[tuple[int, int]]] = []  # per cut key its (shard, rows)
+
+    def take(self, shard: int, n: int) -> None:
+        self.left[shard] -= n
+        self.placed[shard] += n
+
+    def deal(self, keys: list) -> list[tuple[int, int | None, int | None]]:
+        """(kid, home, cut) of a few keys, largest first."""
+        out = []
+        for r in sorted(keys, key=lambda r: (-r["size"], r["kid"])):
+            here = {x["label"]: x["n"] for x in r["at"]}
+            fits = [s for s, left in enumerate(self.left) if left >= r["size"]]
+            if fits:
+                home = max(fits, key=lambda s: (here.get(s, 0), self.left[s]))
+                self.take(home, r["size"])
+                out.append((r["kid"], home, None))
+                continue
+            pieces, n = [], r["size"]
+            while n:
+                fits = [s for s, left in enumerate(self.left) if left >= n]
+                s = min(fits, key=lambda s: self.left[s]) if fits else max(range(len(self.left)), key=lambda s: self.left[s])
+                part = min(n, self.left[s])
+                self.left[s] -= part
+                pieces.append((s, part))
+                n -= part
+            out.append((r["kid"], None, len(self.cut)))
+            self.cut.append(pieces)
+        return out
+
+    def ranges(self) -> list[tuple[int, int, int, int]]:
+        """(from, to, shard, slot of the first) over the row numbers: cut keys, free rows, each shard's keys."""
+        free = sorted(((s, n) for s, n in enumerate(self.left)), key=lambda x: -x[1])
+        out, at, used = [], 0, [0] * len(self.left)
+        for s, n in [*(x for pieces in self.cut for x in pieces), *free, *enumerate(self.placed)]:
+            if n:
+                out.append((at, at + n, s, used[s]))
+            at, used[s] = at + n, used[s] + n
+        return out
+
+
+def _dealt(shards: int) -> Column:
+    return F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")
+
+
+def _wish(left: list[int], round_: int) -> Column:
+    """The shard a key asks for: one with room for all of it, by its own rows there, then by a hash weighted by room."""
+    lefts = F.array(*(F.lit(n).cast("long") for n in left))
+    own = (lambda s: F.coalesce(F.get(F.filter("at", lambda x: x["label"] == s), 0)["n"], F.lit(0))) if round_ < OWN_ROUNDS else (
+        lambda s: F.lit(0).cast("long"))
+    chance = lambda s: F.log((F.pmod(F.xxhash64("kid", s, F.lit(round_)), F.lit(1 << 30)) + 1) / F.lit(float((1 << 30) + 1)))
+    open_ = F.filter(F.sequence(F.lit(0), F.lit(len(left) - 1)), lambda s: F.get(lefts, s) >= F.col("size"))
+    return F.array_max(F.transform(open_, lambda s: F.struct(
+        own(s).alias("n"), (chance(s) / F.get(lefts, s)).alias("chance"), s.alias("s"))))["s"]
+
+
+def _place(rows: DataFrame, shards: int, rounds: int | None) -> tuple[DataFrame, _Rooms]:
+    """Linked keys with their ``home`` shard or ``cut`` number, and the rooms. Neither: the rounds ended before."""
+    spark = rows.sparkSession
+    rooms = _Rooms(rows.count(), shards)
+    bound = shards * QUOTA_STEPS
+    keys = stored(rows.groupBy("key", _dealt(shards).alias("label")).agg(F.count("*").alias("n"))
+                  .groupBy("key").agg(F.sum("n").alias("size"), F.collect_list(F.struct("n", "label")).alias("at"))
+                  .filter("size > 1").withColumn("kid", F.monotonically_increasing_id()), "shard-keys")
+    homes, dealt = [], []
+    if rounds != 0:
+        # fewer than the bound, as each has more than 1 / QUOTA_STEPS of a room
+        dealt += rooms.deal(keys.filter(F.col("size") * QUOTA_STEPS > rooms.room).select("kid", "size", "at").collect())
+        waiting = keys.filter(F.col("size") * QUOTA_STEPS <= rooms.room).select("kid", "size", "at")
+        round_ = idle = 0
+        while waiting.limit(bound + 1).count() > bound and (rounds is None or round_ < rounds) and idle < IDLE_ROUNDS:
+            wishes = waiting.withColumn("best", _wish(rooms.left, round_)).withColumn(
+                "step", F.pmod(F.xxhash64("kid", F.lit(17 + round_)), F.lit(QUOTA_STEPS)).cast("int"))
+            asked = wishes.filter("best is not null").groupBy("best", "step").agg(F.sum("size").alias("n")).collect()
+            admitted = []
+            for r in sorted(asked, key=lambda r: (r["best"], r["step"])):
+                if r["n"] <= rooms.left[r["best"]]:
+                    rooms.take(r["best"], r["n"])
+                    admitted.append((r["best"], r["step"], r["best"]))
+            quota = spark.createDataFrame(admitted, "best int, step int, home int")
+            decided = stored(wishes.join(F.broadcast(quota), ["best", "step"], "left").select("kid", "size", "at", "home"), "shard-wishes")
+            homes.append(decided.filter("home is not null").select("kid", "home", F.lit(None).cast("int").alias("cut")))
+            waiting = decided.filter("home is null").drop("home")
+            idle = 0 if admitted else idle + 1
+            round_ += 1
+        rest = waiting.limit(bound + 1).collect()
+        if len(rest) <= bound:
+            dealt += rooms.deal(rest)
+    settled = spark.createDataFrame(dealt, "kid long, home int, cut int")
+    for part in homes:
+        settled = settled.union(part)
+    # written before the join, so that a join of a hot key has two plain sides and can be split
+    return stored(keys.select("key", "kid").join(settled, "kid", "left").drop("kid"), "shard-homes"), rooms
+
+
+def _with_homes(rows: DataFrame, homes: DataFrame) -> DataFrame:
+    known = homes.select(F.col("key").alias("__key"), "home", "cut", F.lit(True).alias("__linked"))
+    return rows.join(known, F.col("key").eqNullSafe(F.col("__key")), "left").withColumn(
+        "linked", F.col("__linked").isNotNull()).drop("__key", "__linked")
+
+
+def propagate(rows: DataFrame, shards: int, rounds: int | None = None) -> DataFrame:
+    """Adds ``label`` to rows of ``(row, key)``: linked rows drawn together within the rooms.
+
+    ``row`` tells rows apart; ``key`` links them. Rows of keys that are cut, and
+    unlinked ones, keep the shard they were dealt. ``rounds`` bounds the rounds;
+    0 leaves all rows as dealt.
     """
-    total = rows.count()
-    room = -(-total // shards)
-    # written before the joins, so that a join of a hot key has two plain sides and can be split
-    shared = stored(rows.groupBy(F.col("key").alias("__key")).agg(F.count("*").alias("size")).filter("size > 1"), "shard-keys")
-    current = stored(rows.join(shared, F.col("key").eqNullSafe(F.col("__key")), "left").select(
-        "row", "key", F.col("size").isNotNull().alias("linked"),
-        F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("label")), "shards")
-    for _ in range(rounds):
-        linked = current.filter("linked")
-        by_key = linked.groupBy("key", "label").agg(F.count("*").alias("n"))
-        best = stored(by_key.groupBy("key").agg(F.max(F.struct("n", (-F.col("label")).alias("less"))).alias("b")).select(
-            F.col("key").alias("__key"), (-F.col("b.less")).alias("best")), "shard-wishes")
-        wish = current.join(best, F.col("key").eqNullSafe(F.col("__key")) & F.col("linked"), "left").select(
-            "row", "key", "linked", "label", F.coalesce("best", "label").alias("best"),
-            _hash_step(F.col("key")).alias("step"))
-        # of fixed size: shards, and shards x steps
-        stay = {r["label"]: r["n"] for r in wish.filter("linked and best = label").groupBy("label")
-                .agg(F.count("*").alias("n")).collect()}
-        asked: dict[int, dict[int, int]] = {}
-        for r in wish.filter("best != label").groupBy("best", "step").agg(F.count("*").alias("n")).collect():
-            asked.setdefault(r["best"], {})[r["step"]] = r["n"]
-        if not asked:
-            break
-        admitted = []  # (shard, steps admitted, share of the next step)
-        for shard, steps in asked.items():
-            left, upto = room - stay.get(shard, 0), 0
-            while upto < QUOTA_STEPS and steps.get(upto, 0) <= left:
-                left -= steps.get(upto, 0)
-                upto += 1
-            share = max(0, left) / steps[upto] if upto < QUOTA_STEPS else 0.0
-            admitted.append((shard, upto, share))
-        quota = rows.sparkSession.createDataFrame(admitted, T.StructType([
-            T.StructField("best", T.IntegerType()), T.StructField("upto", T.IntegerType()), T.StructField("share", T.DoubleType())]))
-        moved = wish.join(F.broadcast(quota), "best", "left")  # one row for each shard
-        goes = (F.col("best") != F.col("label")) & (
-            (F.col("step") < F.col("upto"))
-            | (F.col("step") == F.col("upto")) & (F.pmod(F.xxhash64("row", F.lit(29)), F.lit(1 << 20)) < F.col("share") * (1 << 20)))
-        current = stored(moved.select("row", "key", "linked", F.when(goes, F.col("best")).otherwise(F.col("label")).alias("label")),
-                         "shards")
-    return current
+    homes, _ = _place(rows, shards, rounds)
+    return _with_homes(rows.select("row", "key"), homes).select(
+        "row", "key", "linked", F.coalesce("home", _dealt(shards)).alias("label"))
 
 
 def _numbered(rows: DataFrame, order: list[str]) -> DataFrame:
@@ -111,7 +188,7 @@ def _numbered(rows: DataFrame, order: list[str]) -> DataFrame:
         *(c for c in kept.columns if not c.startswith("__")), (F.col("__base") + F.col("__at")).alias("number"))
 
 
-def shard(docs: DataFrame, shards: int, *, rounds: int = 4, id_col: str = "doc_id", text_col: str = "text",
+def shard(docs: DataFrame, shards: int, *, rounds: int | None = None, id_col: str = "doc_id", text_col: str = "text",
           key: Column | None = None) -> DataFrame:
     """Per document row: doc_id, size, text_crc32, shard and slot (its place in the shard).
 
@@ -125,11 +202,11 @@ def shard(docs: DataFrame, shards: int, *, rounds: int = 4, id_col: str = "doc_i
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(text, F.lit(""))).alias("text_crc32"),
         (text_key(text) if key is None else key).alias("key"), F.monotonically_increasing_id().alias("row")), "shard-rows")
-    labelled = propagate(rows.select("row", "key"), shards, rounds).select("row", "label", "linked")
-    placed = _numbered(rows.join(labelled, "row").withColumn("pull", ~F.col("linked")),
-                       ["label", "pull", "key", "doc_id", "row"])
-    total = placed.count()
-    # shard s has the numbers from ceil(s * total / shards) on
-    return (placed.withColumn("shard", F.expr(f"number * {shards} div {max(1, total)}").cast("int"))
-            .withColumn("slot", F.col("number") - F.expr(f"(shard * {total}L + {shards - 1}) div {shards}"))
+    homes, rooms = _place(rows.select("row", "key"), shards, rounds)
+    cuts = len(rooms.cut)
+    rank = F.coalesce("cut", F.col("home") + F.lit(cuts + 2), F.when(F.col("linked"), F.lit(cuts)).otherwise(F.lit(cuts + 1)))
+    placed = _numbered(_with_homes(rows, homes).withColumn("rank", rank), ["rank", "key", "doc_id", "row"])
+    ranges = rows.sparkSession.createDataFrame(rooms.ranges(), "lo long, hi long, shard int, first long")
+    return (placed.join(F.broadcast(ranges), (F.col("number") >= F.col("lo")) & (F.col("number") < F.col("hi")))
+            .withColumn("slot", F.col("number") - F.col("lo") + F.col("first"))
             .select("doc_id", "size", "text_crc32", "shard", "slot", "linked", "key"))
