@@ -77,3 +77,32 @@ def test_empty_tables(spark):
     some = spark.createDataFrame([Row(doc_id=1, text="some words", item_id=1)])
     assert decontaminate.scan(none, some).collect() == []
     assert collected(decontaminate.scan(some, none)) == [(1, 2, 0, [])]
+
+
+REPEATED = [(None, "short item here"), (None, "clean words only"), (None, None), (1, "say short item here now"), (1, "a clean text"),
+            (1, "short item here"), (2, "x short item here y an item without any id"), (2, "x")]
+
+
+@pytest.mark.parametrize("bound", [decontaminate.MAX_BROADCAST_WINDOWS, 3])
+def test_rows_are_judged_by_their_own_text(spark, bound):
+    docs = spark.createDataFrame(REPEATED, "doc_id long, text string")
+    bench = spark.createDataFrame(BENCH[:-1], "item_id long, text string")
+    kept = decontaminate.decontaminate(docs, bench, max_broadcast_windows=bound)
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted(
+        [(None, "clean words only"), (None, None), (1, "a clean text"), (2, "x")], key=repr)
+    cut = decontaminate.decontaminate(docs, bench, mode="spans", max_broadcast_windows=bound)
+    assert sorted(((r.doc_id, r.text and r.text.split()) for r in cut.collect()), key=repr) == sorted(
+        [(None, ""), (None, ["clean", "words", "only"]), (None, None), (1, ["say", "now"]), (1, ["a", "clean", "text"]), (1, ""),
+         (2, ["x", "y"]), (2, ["x"])], key=repr)
+
+
+def test_bound_counts_the_items_of_a_window(spark, monkeypatch):
+    ways = []
+    by_join = decontaminate._scan_by_join
+    monkeypatch.setattr(decontaminate, "_scan_by_join", lambda *a: ways.append(1) or by_join(*a))
+    docs = spark.createDataFrame([(1, "a common passage here")], "doc_id long, text string")
+    bench = [(i, "common passage") for i in range(20)]
+    df = spark.createDataFrame(bench, "item_id long, text string")
+    for bound, joins in ((20, 0), (19, 1)):
+        assert collected(decontaminate.scan(docs, df, max_broadcast_windows=bound)) == plain([(1, "a common passage here")], bench)
+        assert len(ways) == joins

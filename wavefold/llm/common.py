@@ -12,7 +12,7 @@ import types
 import uuid
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavefold.session import ensure_checkpoint_dir
@@ -22,9 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Only the id and the text, under fixed names; a null text is empty."""
+def id_text(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """Only the id and the text, under fixed names, and ``more``; a null text is empty."""
     return docs.select(
+        *more,
         docs[id_col].cast("long").alias("doc_id"),
         F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
     )

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from wavefold.llm.common import drop_worker_state, id_text, rows_of, slices, stored
 
-#: Largest number of distinct windows that is broadcast (some 100 bytes each).
+#: Largest number of distinct windows, each counted for every item listed with it, that is broadcast (some 100 bytes each).
 MAX_BROADCAST_WINDOWS = 1_000_000
 #: Words scanned at once in a task; bounds the arrays, not the texts.
 SCAN_WORDS = 1_000_000
@@ -59,7 +59,7 @@ def _windows(words: list[bytes], n: int) -> set[tuple[bytes, ...]]:
 
 
 def benchmark_windows(bench: DataFrame, n: int = 10, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """Distinct windows with the items that hold them: ``(window, items)``."""
+    """Distinct windows with each item that holds them: ``(window, item)``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for items, texts in rows_of(batches, "item", "text"):
@@ -69,7 +69,12 @@ def benchmark_windows(bench: DataFrame, n: int = 10, item_col: str = "item_id",
                  "item": pa.array([i for _, i in pairs], pa.string())})
 
     rows = bench.select(bench[item_col].cast("string").alias("item"), bench[text_col].cast("string").alias("text"))
-    return rows.mapInArrow(cut, "window string, item string").groupBy("window").agg(F.collect_set("item").alias("items"))
+    return rows.mapInArrow(cut, "window string, item string").distinct()
+
+
+def _listed(pairs: DataFrame) -> DataFrame:
+    """``(window, items)``; items without an id are not listed."""
+    return pairs.groupBy("window").agg(F.collect_set("item").alias("items"))
 
 
 class WindowSet:
@@ -146,11 +151,14 @@ def scan(docs: DataFrame, bench: DataFrame, *, n: int = 10, id_col: str = "doc_i
          item_col: str = "item_id", bench_text_col: str = "text",
          max_broadcast_windows: int = MAX_BROADCAST_WINDOWS) -> DataFrame:
     """Per document row: words, hit words, items (sorted strings) and hit spans in words."""
-    windows = benchmark_windows(bench, n, item_col, bench_text_col)
+    pairs = benchmark_windows(bench, n, item_col, bench_text_col)
+    windows = _listed(pairs)
     rows = id_text(docs, id_col, text_col)
-    # the bound is checked on the number before anything is brought to the driver
-    if windows.limit(max_broadcast_windows + 1).count() > max_broadcast_windows:
-        return _scan_by_join(rows, windows, n)
+    # the bound is checked on the number, items included, before anything is brought to the driver
+    if pairs.limit(max_broadcast_windows + 1).count() > max_broadcast_windows:
+        # stored: fixes the row numbers for all readers
+        keyed = stored(rows.withColumn("row", F.monotonically_increasing_id()), "decontaminate")
+        return _scan_by_join(keyed, windows).drop("row")
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast([(r.window, list(r["items"])) for r in windows.collect()])
 
@@ -177,10 +185,12 @@ def _digest(words: list[bytes]) -> bytes:
     return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
 
-def _scan_by_join(rows: DataFrame, windows: DataFrame, n: int) -> DataFrame:
-    """The way for a benchmark too large to broadcast: 128-bit window digests meet in a join."""
+def _scan_by_join(keyed: DataFrame, windows: DataFrame) -> DataFrame:
+    """The way for a benchmark too large to broadcast: 128-bit window digests meet in a join.
+
+    ``keyed`` is stored and has ``(row, doc_id, text)``; ``row`` tells rows apart and stays beside the result.
+    """
     lengths = [r[0] for r in windows.select(F.size(F.split("window", " ")).alias("k")).distinct().collect()]
-    keyed = rows.withColumn("row", F.monotonically_increasing_id())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in rows_of(batches, "row", "text"):
@@ -205,24 +215,23 @@ def _scan_by_join(rows: DataFrame, windows: DataFrame, n: int) -> DataFrame:
                 "row": pa.array(ids, pa.int64()), "doc_id": pa.array(docs, pa.int64()),
                 "n_words": pa.array([len(words_of(t)) for t in texts], pa.int64())})
 
-    keyed = stored(keyed, "decontaminate")  # fixes the row numbers for both readers
     hits = (keyed.mapInArrow(cut, "row long, start long, len long, digest binary")
             .join(windows.mapInArrow(key, "digest binary, items array<string>"), "digest")
             .groupBy("row").agg(F.collect_set(F.struct("start", "len")).alias("at"),
                                 F.array_distinct(F.flatten(F.collect_set("items"))).alias("items")))
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for docs, n_words, at, items in rows_of(batches, "doc_id", "n_words", "at", "items"):
+        for ids, docs, n_words, at, items in rows_of(batches, "row", "doc_id", "n_words", "at", "items"):
             spans = [_merged([(x["start"], x["start"] + x["len"]) for x in a or ()]) for a in at]
             yield pa.RecordBatch.from_pydict({
-                "doc_id": pa.array(docs, pa.int64()), "n_words": pa.array(n_words, pa.int64()),
+                "row": pa.array(ids, pa.int64()), "doc_id": pa.array(docs, pa.int64()), "n_words": pa.array(n_words, pa.int64()),
                 "n_hit": pa.array([sum(e - s for s, e in x) for x in spans], pa.int64()),
                 "items": pa.array([sorted(x or ()) for x in items], pa.list_(pa.string())),
                 "spans": pa.array([[{"start": s, "end": e} for s, e in x] for x in spans],
                                   pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))})
 
     counted = keyed.mapInArrow(count, "row long, doc_id long, n_words long")
-    return counted.join(hits, "row", "left").mapInArrow(fold, SCAN_SCHEMA)
+    return counted.join(hits, "row", "left").mapInArrow(fold, f"row long, {SCAN_SCHEMA}")
 
 
 def remove_spans_from(text: str | None, spans: list) -> str | None:
@@ -244,20 +253,22 @@ def decontaminate(docs: DataFrame, bench: DataFrame, *, n: int = 10, id_col: str
     """``docs`` without contamination, same columns.
 
     ``mode="documents"`` drops every document with a hit word; ``mode="spans"``
-    keeps all documents and cuts the hit words out of their texts. Rows with a
-    null id are judged by their own text like any other. Beyond the broadcast
-    bound the verdict travels by id, so there an id must stand for one text.
+    keeps all documents and cuts the hit words out of their texts. Every row is
+    judged by its own text, also where ids are null or repeated.
     """
     if mode not in ("documents", "spans"):
         raise ValueError("mode is 'documents' or 'spans'")
-    windows = benchmark_windows(bench, n, item_col, bench_text_col)
+    # the verdict needs no items
+    windows = benchmark_windows(bench, n, item_col, bench_text_col).select("window").distinct()
     if windows.limit(max_broadcast_windows + 1).count() > max_broadcast_windows:
-        spans = _scan_by_join(id_text(docs, id_col, text_col), windows, n).filter("n_hit > 0")
-        bad = spans.select(F.col("doc_id").alias("__id"), F.col("spans").alias("__spans")).dropDuplicates(["__id"])
-        same = docs[id_col].cast("long").eqNullSafe(bad["__id"])
+        kept = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "decontaminate")
+        keyed = id_text(kept, id_col, text_col, F.col("__row").alias("row"))
+        spans = _scan_by_join(keyed, windows.withColumn("items", F.array().cast("array<string>"))).filter("n_hit > 0")
+        bad = spans.select(F.col("row").alias("__at"), F.col("spans").alias("__spans"))
+        same = F.col("__row") == F.col("__at")
         if mode == "documents":
-            return docs.join(bad, same, "left_anti")
-        rows = docs.join(bad, same, "left").drop("__id")
+            return kept.join(bad, same, "left_anti").drop("__row")
+        rows = kept.join(bad, same, "left").drop("__row", "__at")
 
         def cut_known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -267,7 +278,7 @@ def decontaminate(docs: DataFrame, bench: DataFrame, *, n: int = 10, id_col: str
                 yield batch.select([c for c in batch.schema.names if c != "__spans"])
 
         return rows.mapInArrow(cut_known, docs.schema)
-    held = docs.sparkSession.sparkContext.broadcast([(r.window, list(r["items"])) for r in windows.collect()])
+    held = docs.sparkSession.sparkContext.broadcast([(r.window, []) for r in windows.collect()])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_worker_state()
