@@ -6,6 +6,9 @@ stage calls one operator of ``wavefold.llm``; what it returns is written as
 Parquet and read again before the next stage, so a lost executor costs at most
 one stage's tasks.
 
+The line stage folds equal lines of any length but blank ones; within an edit it
+compares lines of line_dedup.MIN_CHARS characters or more.
+
 Rows are dropped only by a stage's own rule: clean documents pass through. The
 line stage also drops documents whose text it has emptied altogether (copies
 whose every line stands in earlier documents); texts that were empty before stay.
@@ -27,7 +30,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = line_dedup.dedup(docs)
+    left = line_dedup.dedup(docs, fold_chars=1)
     emptied = (F.col("__n_kept") < F.col("__n_lines")) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
     return left.filter(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 

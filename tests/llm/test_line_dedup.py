@@ -1,5 +1,6 @@
 import re
 
+import corpus_pipeline
 import pytest
 from pyspark.sql import Row
 
@@ -87,3 +88,35 @@ def test_empty_table_and_native_plan(spark):
     out = line_dedup.dedup(spark.createDataFrame([], "doc_id long, text string"))
     assert out.collect() == []
     assert not re.search("Python|Pandas|Arrow", out._jdf.queryExecution().executedPlan().toString())
+
+
+def plain_folded(rows, min_chars=16):
+    """As plain(), but equal lines of any length but blank ones are folded."""
+    seen, near, out = set(), [], []
+    for i, text in rows:
+        kept = []
+        for line in text.split("\n"):
+            norm = line.strip(SPACE).lower()
+            far = len(norm) < min_chars or not any(one_edit(norm, s) for s in near)
+            if not norm or norm not in seen and far:
+                kept.append(line)
+            seen.add(norm)
+            if len(norm) >= min_chars:
+                near.append(norm)
+        out.append((i, "\n".join(kept), len(text.split("\n")), len(kept)))
+    return sorted(out, key=repr)
+
+
+def test_short_lines_are_folded_when_equal(spark):
+    rows = [(1, "Menu\n\nmenu \nx\nfifteen chars ok\nsixteen chars ok"), (2, " MENU\nmenus\n\n}\nfifteen chars o\nSixteen chars oj"),
+            (3, "x\n}\n\nfifteen chars o\nseventeen chars k")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert collected(line_dedup.dedup(df, fold_chars=1)) == plain_folded(rows)
+    assert collected(line_dedup.dedup(df)) == plain(rows)
+
+
+def test_pipeline_stage_folds_short_lines(spark):
+    rows = [(1, "Menu\nonly here", 14), (2, "menu\nother", 10), (3, " MENU", 5), (4, "", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    out = corpus_pipeline.drop_repeated_lines(spark, df, None).collect()
+    assert sorted(map(tuple, out)) == [(1, "Menu\nonly here", 14), (2, "other", 5), (4, "", 0)]

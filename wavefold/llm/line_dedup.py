@@ -3,8 +3,11 @@
 Lines are what ``\\n`` separates, compared without outer ASCII white space and in
 lower case. A line is dropped if an earlier line is equal or one edit (a
 character inserted, deleted or replaced) away; earlier is by document id, then
-line number. Lines of fewer than ``min_chars`` characters, blank ones included,
-say too little to be copies and always stay.
+line number. Lines of fewer than ``min_chars`` characters say too little to be
+compared within an edit. Of them, those of at least ``fold_chars`` characters
+are dropped if an earlier line is equal, and shorter ones always stay; by
+default ``fold_chars`` is ``min_chars``, as in the query and its SQL. With 1
+every equal line is folded and only blank ones always stay.
 
 Method, DataFrame functions only:
 
@@ -149,14 +152,14 @@ def _earlier_neighbours(rows: DataFrame) -> DataFrame:
             .select(*LINE, "first", "partner").distinct())
 
 
-def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
+def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS, fold_chars: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Distinct lines with their first places, and those of them with an earlier line one edit away.
 
     ``docs`` has ``(doc_id, text)``; texts without nulls.
     """
-    lines = _lines(docs, min_chars)
+    lines = _lines(docs, min_chars if fold_chars is None else min(fold_chars, min_chars))
     firsts = stored(_first_places(lines), "line-firsts")
-    candidates = _candidates(firsts, docs, min_chars)
+    candidates = _candidates(firsts.filter(F.col("n") >= min_chars), docs, min_chars)
     found = _earlier_neighbours(_narrowed(candidates))
     texts = candidates.select(*LINE, "first", "norm").dropDuplicates(LINE)
     checked = (found.drop("first").join(texts.select(*LINE, "norm"), LINE)
@@ -165,24 +168,25 @@ def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> tuple[DataFrame,
     return firsts, stored(checked.select(*LINE).distinct(), "line-near")
 
 
-def kept_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def kept_lines(docs: DataFrame, min_chars: int = MIN_CHARS, fold_chars: int | None = None) -> DataFrame:
     """(doc_id, h, keep): per document the numbers of its compared lines that stay."""
-    firsts, near = near_lines(docs, min_chars)
+    firsts, near = near_lines(docs, min_chars, fold_chars)
     kept = firsts.select(*LINE, "first").join(near, LINE, "left_anti")
     return kept.groupBy("first.doc_id", "first.h").agg(F.collect_list("first.line_no").alias("keep"))
 
 
-def dedup(docs: DataFrame, *, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, *, min_chars: int = MIN_CHARS, fold_chars: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, same columns, its texts without the dropped lines, and ``__n_lines`` and ``__n_kept`` (long)."""
     text = F.col(f"`{text_col}`").cast("string")
     base = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
-    keep = kept_lines(base, min_chars).select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), F.col("keep").alias("__keep"))
+    keep = kept_lines(base, min_chars, fold_chars).select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), F.col("keep").alias("__keep"))
     marked = docs.withColumn("__own_id", F.col(f"`{id_col}`").cast("long")).withColumn(
         "__own_h", F.xxhash64(F.coalesce(text, F.lit(""))))
     joined = marked.join(keep, F.col("__own_id").eqNullSafe(F.col("__id")) & (F.col("__own_h") == F.col("__h")), "left")
     # of rows equal in id and text only one keeps its lines
     same = Window.partitionBy("__own_id", "__own_h").orderBy("__own_h")
     numbered = joined.withColumn("__first", F.row_number().over(same) == 1)
+    floor = min_chars if fold_chars is None else min(fold_chars, min_chars)
     lines = F.split(text, "\n")
     keep_here = F.when(F.col("__first"), F.coalesce("__keep", F.array().cast("array<int>"))).otherwise(F.array().cast("array<int>"))
     # places to keep (tag 0) sorted in before their lines (tag 1)
@@ -190,7 +194,7 @@ def dedup(docs: DataFrame, *, min_chars: int = MIN_CHARS, id_col: str = "doc_id"
         F.transform(keep_here, lambda i: F.struct(i.alias("i"), F.lit(0).alias("tag"), F.lit("").alias("line"))),
         F.transform(lines, lambda x, i: F.struct(i.alias("i"), F.lit(1).alias("tag"), x.alias("line")))))
     stays = lambda all_: F.filter(all_, lambda s, k: (s["tag"] == 1) & (
-        (F.length(_norm(s["line"])) < min_chars) | ((k > 0) & (F.get(all_, k - 1)["i"] == s["i"]))))
+        (F.length(_norm(s["line"])) < floor) | ((k > 0) & (F.get(all_, k - 1)["i"] == s["i"]))))
     left = F.transform(F.array(merged), stays)[0]
     out = numbered.withColumn("__left", left)
     columns = [F.array_join(F.col("__left.line"), "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
