@@ -6,13 +6,15 @@ contract's columns; ORACLES holds DuckDB SQL where SQL can say the operator.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavefold.llm import byte_bpe, dac, decontaminate, html_extract, line_dedup, prefix_counts, quality_rules, sharding, simhash, toxicity
+from wavefold.llm import byte_bpe, dac, decontaminate, html_extract, line_dedup, periodic_runs, prefix_counts, quality_rules, sharding, simhash, toxicity
 from wavefold.llm.common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,3 +191,34 @@ SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0)
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
+
+
+def repeated_order(doc_id: int | None, n: int) -> np.ndarray | None:
+    """The contract's order of a document's n words: for a tenth of the ids the text goes on in a loop from word a."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    order = np.arange(n)
+    order[a:] = a + (order[a:] - a) % p
+    return order
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.runs(table(spark, sf_dir, "documents"), rearranged=repeated_order)
+    # exact order of length / period, ties to the smallest start, then period
+    best = F.element_at(F.expr("""
+        array_sort(runs, (x, y) -> CASE
+            WHEN x.length * y.period > y.length * x.period THEN -1 WHEN x.length * y.period < y.length * x.period THEN 1
+            WHEN x.start < y.start THEN -1 WHEN x.start > y.start THEN 1
+            WHEN x.period < y.period THEN -1 ELSE 1 END)"""), 1)
+    first = found.withColumn("best", F.when(F.size("runs") > 0, best))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return first.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), "collapsed_sha256")
