@@ -14,7 +14,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavefold.llm import byte_bpe, dac, decontaminate, html_extract, line_dedup, periodic_runs, prefix_counts, quality_rules, sharding, simhash, toxicity
+from wavefold.llm import (byte_bpe, collocations, dac, decontaminate, html_extract, line_dedup, periodic_runs, prefix_counts,
+                          quality_rules, sharding, simhash, toxicity)
 from wavefold.llm.common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -222,3 +223,35 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("best.length").alias("length"), F.col("best.period").alias("period"),
         F.expr("1000 * best.length div best.period").alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), "collapsed_sha256")
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), support=30, top=2000, inside_percent=80)
+
+
+ORACLES["op13_collocations"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+total AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+      FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, range(1, 5) t(k) WHERE len(ws) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 30),
+s AS (SELECT *, string_split(phrase, ' ') AS ws FROM f),
+around AS (
+  SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS around
+  FROM (SELECT *, unnest(range(1, CAST(k - m + 2 AS BIGINT))) AS i FROM s, range(2, 4) t(m) WHERE k > m) GROUP BY ALL),
+c AS (SELECT s.* FROM s LEFT JOIN around USING (lang, phrase) WHERE k > 1 AND (around IS NULL OR 100 * around < 80 * a)),
+cut AS (SELECT *, array_to_string(ws[1:j], ' ') AS first, array_to_string(ws[j + 1:], ' ') AS rest
+        FROM (SELECT *, unnest(range(1, CAST(k AS BIGINT))) AS j FROM c)),
+scored AS (
+  SELECT cut.lang, cut.phrase, cut.a, j, x.a AS l, y.a AS r,
+         CAST(CAST(2000000 AS HUGEINT) * cut.a // (x.a + y.a) AS BIGINT) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = first JOIN f y ON y.lang = cut.lang AND y.phrase = rest),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest JOIN total USING (lang) QUALIFY rank <= 2000
+"""
