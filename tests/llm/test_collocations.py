@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from wavefold.llm import collocations
+from wavefold.llm import bitmaps, collocations
 
 SCHEMA = "doc_id long, text string, lang string, phrase string, a long"
 
@@ -65,8 +65,8 @@ def test_counts_and_ranks_equal_brute_force(spark, monkeypatch, support, shards,
 
 
 def test_full_bitmaps_change_no_result(spark, monkeypatch):
-    monkeypatch.setattr(collocations, "LEAST_BITS", 8)
-    monkeypatch.setattr(collocations, "MOST_BITS", 8)  # every bit is set
+    monkeypatch.setattr(bitmaps, "LEAST_BITS", 8)
+    monkeypatch.setattr(bitmaps, "MOST_BITS", 8)  # every bit is set
     rows = made(9, 120)
     got = collocations.collocations(spark.createDataFrame(rows, SCHEMA), support=6, shards=4)
     assert sorted(map(tuple, got.collect())) == brute(rows, 6, 2000, 80)
@@ -74,7 +74,7 @@ def test_full_bitmaps_change_no_result(spark, monkeypatch):
 
 def test_hash_bits_hold_exactly_the_hashes(spark):
     values = [0, 1, 32767, 32768, -1, 5_000_000_000, -(2 ** 63), 2 ** 63 - 1, 262_143, 262_142]
-    bits = collocations.hash_bits(spark.createDataFrame([(v,) for v in values], "g long")).value
+    bits = bitmaps.hash_bits(spark.createDataFrame([(v,) for v in values], "g long")).value
     n = len(bits) * 8
     assert sorted(np.flatnonzero(np.unpackbits(bits, bitorder="little")).tolist()) == sorted({v % n for v in values})
 

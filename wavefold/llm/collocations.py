@@ -17,9 +17,8 @@ Method:
 3. What is frequent in any shard is a candidate. A last pass counts the candidates in the
    whole corpus, by the phrases themselves: those counts are exact.
 
-What a level has found reaches the next pass as a bitmap of hashes, sixteen bits a
-phrase up to MOST_BITS (a checked bound; beyond it more phrases pass and are counted, with the
-same result). No counts and no phrases go through the driver.
+What a level has found reaches the next pass as a bitmap of hashes (``bitmaps``), of a checked size;
+a full bitmap lets more phrases pass to be counted, with the same result. No counts and no phrases go through the driver.
 
 Score: the lowest over the cuts of a phrase, ``floor(2000000 * a / (l + r))``, in decimals.
 A phrase inside a longer candidate that is (nearly) as frequent is dropped.
@@ -40,14 +39,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wavefold.llm.bitmaps import hash_bits, hit
 from wavefold.llm.common import drop_worker_state, rows_of, stored
 from wavefold.llm.words import Vocabulary, chained
 
 SHARDS, MAX_WORDS = 8, 4
 #: Words counted at once in a task.
 CHUNK_WORDS = 2_000_000
-#: A bitmap's bits for each phrase, and the least and most bits of a bitmap (64 MB).
-BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 18, 1 << 29
 #: Parts of a phrase are looked up under so many copies, so that phrases with one common part spread.
 SALTS = 8
 
@@ -64,13 +62,6 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().translate(_CUT).replace(_END, b" \xff ").split(b" ")
 
 
-def _hit(bits: np.ndarray | None, g: np.ndarray, shard: int) -> np.ndarray:
-    if bits is None:
-        return np.ones(len(g), bool)
-    at = (g ^ np.uint64(shard)) & np.uint64(len(bits) * 8 - 1)
-    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
 class _Counter:
     """Counts phrases of a few million words of one group at a time."""
 
@@ -99,7 +90,7 @@ class _Counter:
             x = np.concatenate(parts)
             g1 = chained(np.full(v, xxhash.xxh64_intdigest(lang.encode()), np.uint64), spelled)
             counted = np.bincount(x, minlength=v)
-            ok = _hit(self.word_bits, g1, shard) & (counted > 0)
+            ok = hit(self.word_bits, g1 ^ np.uint64(shard)) & (counted > 0)
             ok[:2] = False
             if self.what in (WORDS, CANDIDATES):
                 own = np.flatnonzero(ok)
@@ -113,7 +104,7 @@ class _Counter:
             if self.what == PAIRS:
                 yield key, 2, g2, count, [a, b]
                 continue
-            ok = _hit(self.pair_bits, g2, shard)
+            ok = hit(self.pair_bits, g2 ^ np.uint64(shard))
             if self.what == CANDIDATES:
                 yield key, 2, g2[ok], count[ok], [a[ok], b[ok]]
             pair = np.full(len(x), -1)
@@ -123,13 +114,13 @@ class _Counter:
             code, count = np.unique(pair[at] * v + x[at + 2], return_counts=True)
             p, c = code // v, code % v
             g3 = chained(g2[p], spelled[c])
-            ok = _hit(self.phrase_bits, g3, shard)
+            ok = hit(self.phrase_bits, g3 ^ np.uint64(shard))
             yield key, 3, g3[ok], count[ok], [a[p[ok]], b[p[ok]], c[ok]]
             at = at[:-1][at[1:] == at[:-1] + 1]
             code, count = np.unique(pair[at] * len(g2) + pair[at + 2], return_counts=True)
             p, q = code // max(1, len(g2)), code % max(1, len(g2))
             g4 = chained(chained(g2[p], spelled[a[q]]), spelled[b[q]])
-            ok = _hit(self.phrase_bits, g4, shard)
+            ok = hit(self.phrase_bits, g4 ^ np.uint64(shard))
             p, q = p[ok], q[ok]
             yield key, 4, g4[ok], count[ok], [a[p], b[p], a[q], b[q]]
 
@@ -172,24 +163,6 @@ def _counted(texts: DataFrame, what: int, bits: dict[int, Broadcast | None]) ->
     return texts.select("lang", "shard", "need", "text").mapInArrow(run, schema)
 
 
-def hash_bits(hashes: DataFrame) -> Broadcast:
-    """The longs of the only column as a broadcast bitmap, of a size between LEAST_BITS and MOST_BITS."""
-    spark = hashes.sparkSession
-    name = hashes.columns[0]
-    n = LEAST_BITS
-    while n < min(MOST_BITS, BITS_EACH * hashes.count()):
-        n *= 2
-    at = F.col(name).bitwiseAND(F.lit(n - 1)) + 1  # Spark's bitmap functions count from one
-    blocks = (hashes.select(F.bitmap_bucket_number(at).alias("block"), F.bitmap_bit_position(at).alias("bit"))
-              .groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits")))
-    bits = np.zeros(n // 8, np.uint8)
-    for row in blocks.toLocalIterator():
-        own = np.frombuffer(bytes(row.bits), np.uint8)
-        start = (row.block - 1) * len(own)
-        bits[start:start + len(own)] = own[:max(0, len(bits) - start)]
-    return spark.sparkContext.broadcast(bits)
-
-
 def _in_shard(mined: DataFrame) -> DataFrame:
     return mined.select(F.col("g").bitwiseXOR(F.col("shard").cast("long")).alias("g"))
 

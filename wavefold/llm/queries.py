@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavefold.llm import (byte_bpe, collocations, dac, decontaminate, html_extract, line_dedup, periodic_runs, prefix_counts,
+from wavefold.llm import (byte_bpe, collocations, dac, decontaminate, html_extract, jaccard_join, line_dedup, periodic_runs, prefix_counts,
                           quality_rules, sharding, simhash, toxicity)
 from wavefold.llm.common import shared_path, table
 
@@ -194,6 +194,11 @@ FROM w LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
 
+@query
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(table(spark, sf_dir, "documents"), k=5, percent=80)
+
+
 def repeated_order(doc_id: int | None, n: int) -> np.ndarray | None:
     """The contract's order of a document's n words: for a tenth of the ids the text goes on in a loop from word a."""
     h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
