@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from wavefold.operators import blend as bl
@@ -131,3 +132,26 @@ def test_no_scenarios_gives_empty_table(spark):
     out = sc.override(df, [])
     assert out.count() == 0 and "feature_category" in out.columns
     assert sc.median_shift(df, ["hincome"]).count() == 0
+
+
+def test_replicates_are_the_weights_that_the_expressions_draw(spark):
+    import random
+
+    rng = random.Random(5)
+    rows = [(i, rng.choice(["a", "b", None]), rng.choice([1, 2]), rng.choice([None, rng.random() * 100])) for i in range(700)]
+    rows += [(i, "all null", 1, None) for i in range(3)] + [(9000, "one", 1, 7.0)]
+    df = spark.createDataFrame(rows, "id long, g string, h int, v double").repartition(5)
+    got = {(r.g, r.h, r.b): r.mean_b for r in rp.bootstrap_replicates(df, "v", ["g", "h"], ["id"], n_boot=40, seed=3).collect()}
+    x = df.select("g", "h", "v", *rp.replicate_hashes("id", seed=3)).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(39))))
+    x = x.withColumn("w", rp.poisson_weight(rp.replicate_uniform("_h1", "_h2", "b")))
+    want = {(r.g, r.h, r.b): r.m for r in x.groupBy("g", "h", "b").agg(F.try_divide(F.sum(F.col("w") * F.col("v")), F.sum("w")).alias("m")).collect()}
+    assert got.keys() == want.keys()
+    assert all(want[k] is None and v is None or v == pytest.approx(want[k], rel=1e-12) for k, v in got.items())
+
+
+def test_replicates_of_many_groups_and_of_none(spark, monkeypatch):
+    monkeypatch.setattr(rp, "BOOT_GROUPS", 7)
+    df = spark.createDataFrame([(i, i % 50, float(i)) for i in range(300)], "id long, g long, v double")
+    assert rp.bootstrap_se(df, "v", ["g"], ["id"], n_boot=20).count() == 50
+    assert rp.bootstrap_replicates(df, "v", [], ["id"], n_boot=20).count() == 20
+    assert rp.bootstrap_replicates(df.limit(0), "v", ["g"], ["id"], n_boot=20).count() == 0

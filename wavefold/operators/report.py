@@ -5,17 +5,21 @@ Every report is one aggregation over a long predictions table
 grouping columns are stacked into ``(group_var, group)`` rows so one shuffle
 serves all of them. Bootstrap replicates are Poisson weights derived from a
 hash of ``(row id, replicate, seed)``: no resampling, no driver loop, and the
-replicate sums are partial aggregates, so only ``groups × replicates`` rows
-are shuffled.
+replicate sums are vectors that merge by addition, so only ``groups × replicates``
+values of a task are shuffled.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from typing import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.exprs import col_or
 
@@ -174,19 +178,90 @@ def replicate_uniform(h1: str, h2: str, b: str) -> Column:
     return F.pmod(F.col(h1) + F.col(b).cast("bigint") * F.col(h2), F.lit(HASH_PRIME)) / F.lit(float(HASH_PRIME))
 
 
+#: Rows whose weights stand in memory at once, and groups whose sums a task holds before it passes them on.
+BOOT_ROWS, BOOT_GROUPS = 256, 2_000
+
+
+def _integer_thresholds() -> list[int]:
+    """For each Poisson threshold the smallest x with ``x / HASH_PRIME`` not below it."""
+    out = []
+    for th in poisson1_thresholds():
+        x = int(th * HASH_PRIME) - 2
+        while x / HASH_PRIME < th:
+            x += 1
+        out.append(x)
+    return out
+
+
+def poisson_weights(h1: np.ndarray, h2: np.ndarray, n_boot: int) -> np.ndarray:
+    """The weights of ``poisson_weight(replicate_uniform(...))``: a row for each row, a column for each replicate."""
+    x = h1[:, None] + h2[:, None] * np.arange(n_boot, dtype=np.int64)
+    for _ in range(2):  # modulo 2^31 - 1: the part above 31 bits counts once
+        x = (x & HASH_PRIME) + (x >> 31)
+    x[x == HASH_PRIME] = 0
+    weights = np.zeros(x.shape, np.int8)
+    for t in _integer_thresholds():
+        weights += x >= t
+    return weights.astype(np.float64)
+
+
 def bootstrap_replicates(df: DataFrame, value: str, by: Sequence[str], row_id: Sequence[str],
                          n_boot: int = 200, seed: int = 42) -> DataFrame:
     """``(by…, b, mean_b)``: replicate means with Poisson(1) weights.
 
-    The replicate explode is pipelined into the partial aggregate, so each task
-    emits at most ``groups × n_boot`` rows to the shuffle.
+    A task turns its rows into a matrix of weights, some rows at a time, and adds up two vectors
+    for each group: of weighted values and of weights, over all replicates. Vectors of the
+    same group merge by addition, so no row is ever expanded by the replicates: a task
+    ships at most a vector pair for each of its groups (and BOOT_GROUPS at a time, if it has more).
+    Rows without a value count in the weights' vector as they always have; a group without any drawn value has no mean.
     """
-    x = df.select(*by, value, *replicate_hashes(*row_id, seed=seed)).select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("b"))
-    x = x.withColumn("_w", poisson_weight(replicate_uniform("_h1", "_h2", "b")))
-    return x.groupBy(*by, "b").agg(
+    keys = df.select(*by).schema
+    names = [f.name for f in keys.fields]
+    x = df.select(*by, F.col(value).cast("double").alias("_value"), *replicate_hashes(*row_id, seed=seed))
+    schema = T.StructType([*keys.fields, T.StructField("_sums", T.ArrayType(T.DoubleType())),
+                           T.StructField("_weights", T.ArrayType(T.DoubleType())), T.StructField("_valued", T.BooleanType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list] = {}
+        types = None
+
+        def passed_on() -> Iterator[pa.RecordBatch]:
+            if held:
+                columns = [pa.array(column, t) for column, t in zip(zip(*held), types)] if names else []
+                columns += [pa.array([v[i].tolist() for v in held.values()], pa.list_(pa.float64())) for i in (0, 1)]
+                columns.append(pa.array([v[2] for v in held.values()]))
+                yield pa.RecordBatch.from_arrays(columns, [*names, "_sums", "_weights", "_valued"])
+                held.clear()
+
+        for batch in batches:
+            types = types or [batch.schema.field(i).type for i in range(len(names))]
+            rows = list(zip(*(batch.column(i).to_pylist() for i in range(len(names))))) if names else [()] * batch.num_rows
+            numbers: dict[tuple, int] = {}
+            group = np.fromiter((numbers.setdefault(r, len(numbers)) for r in rows), np.int64, len(rows))
+            given = batch.column(len(names))
+            values = given.fill_null(0.0).to_numpy(zero_copy_only=False)
+            valued = given.is_valid().to_numpy(zero_copy_only=False)
+            h1, h2 = (batch.column(len(names) + i).to_numpy(zero_copy_only=False) for i in (1, 2))
+            order = np.argsort(group, kind="stable")
+            edges = np.searchsorted(group[order], np.arange(len(numbers) + 1))
+            for key, start, end in zip(numbers, edges[:-1].tolist(), edges[1:].tolist()):
+                sums = held.setdefault(key, [np.zeros(n_boot), np.zeros(n_boot), False])
+                for at in range(start, end, BOOT_ROWS):
+                    some = order[at:min(at + BOOT_ROWS, end)]
+                    weights = poisson_weights(h1[some], h2[some], n_boot)
+                    sums[0] += values[some] @ weights
+                    sums[1] += weights.sum(axis=0)
+                sums[2] |= bool(valued[order[start:end]].any())
+                if len(held) >= BOOT_GROUPS:
+                    yield from passed_on()
+        yield from passed_on()
+
+    vectors = x.mapInArrow(run, schema)
+    places = F.arrays_zip("_sums", "_weights")
+    each = vectors.select(*by, "_valued", F.posexplode(places).alias("b", "_v"))
+    return each.groupBy(*by, "b").agg(
         # a replicate that drew no row of a small group has no mean (NULL, skipped by the SE)
-        F.try_divide(F.sum(F.col("_w") * F.col(value)), F.sum("_w")).alias("mean_b"))
+        F.when(F.max("_valued"), F.try_divide(F.sum("_v._sums"), F.sum("_v._weights"))).alias("mean_b"))
 
 
 def bootstrap_se(df: DataFrame, value: str, by: Sequence[str], row_id: Sequence[str],
