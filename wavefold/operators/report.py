@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import Sequence
 
 import numpy as np
@@ -179,29 +180,39 @@ def replicate_uniform(h1: str, h2: str, b: str) -> Column:
 
 
 #: Rows whose weights stand in memory at once, and groups whose sums a task holds before it passes them on.
-BOOT_ROWS, BOOT_GROUPS = 256, 2_000
+BOOT_ROWS, BOOT_GROUPS = 64, 2_000
+#: Bits of a drawn number that the table of weights leaves out, and its mark for cells that need the whole number.
+BOOT_CELL, BOOT_LOOK = 15, 255
 
 
-def _integer_thresholds() -> list[int]:
-    """For each Poisson threshold the smallest x with ``x / HASH_PRIME`` not below it."""
-    out = []
+@lru_cache(1)
+def _weight_table() -> tuple[np.ndarray, np.ndarray]:
+    """``(thresholds, table)``: the smallest integers at or above the Poisson thresholds, and the weight of every
+    cell of 2 ** BOOT_CELL numbers, or BOOT_LOOK where a threshold or the modulus lies in the cell."""
+    limits = []
     for th in poisson1_thresholds():
         x = int(th * HASH_PRIME) - 2
         while x / HASH_PRIME < th:
             x += 1
-        out.append(x)
-    return out
+        limits.append(x)
+    limits = np.array(limits, np.int64)
+    first = np.arange((HASH_PRIME >> BOOT_CELL) + 2, dtype=np.int64) << BOOT_CELL
+    low, high = (np.searchsorted(limits, first + k, side="right") for k in (0, (1 << BOOT_CELL) - 1))
+    table = np.where((low == high) & (first + (1 << BOOT_CELL) <= HASH_PRIME), low, BOOT_LOOK).astype(np.uint8)
+    return limits, table
 
 
 def poisson_weights(h1: np.ndarray, h2: np.ndarray, n_boot: int) -> np.ndarray:
     """The weights of ``poisson_weight(replicate_uniform(...))``: a row for each row, a column for each replicate."""
-    x = h1[:, None] + h2[:, None] * np.arange(n_boot, dtype=np.int64)
-    for _ in range(2):  # modulo 2^31 - 1: the part above 31 bits counts once
-        x = (x & HASH_PRIME) + (x >> 31)
-    x[x == HASH_PRIME] = 0
-    weights = np.zeros(x.shape, np.int8)
-    for t in _integer_thresholds():
-        weights += x >= t
+    limits, table = _weight_table()
+    x = h2[:, None] * np.arange(n_boot, dtype=np.int64)
+    x += h1[:, None]
+    drawn = x >> 31
+    x &= HASH_PRIME
+    x += drawn  # the same modulo 2^31 - 1, and at most one modulus too large
+    weights = table[x >> BOOT_CELL]
+    look = np.nonzero(weights == BOOT_LOOK)
+    weights[look] = np.searchsorted(limits, x[look] % HASH_PRIME, side="right")
     return weights.astype(np.float64)
 
 
