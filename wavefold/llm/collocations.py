@@ -43,7 +43,7 @@ from wavefold.llm.bitmaps import hash_bits, hit
 from wavefold.llm.common import drop_worker_state, rows_of, stored
 from wavefold.llm.words import Vocabulary, chained
 
-SHARDS, MAX_WORDS = 8, 4
+SHARDS, MAX_WORDS = 3, 4
 #: Words counted at once in a task.
 CHUNK_WORDS = 2_000_000
 #: Parts of a phrase are looked up under so many copies, so that phrases with one common part spread.
