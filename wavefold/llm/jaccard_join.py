@@ -40,6 +40,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -94,10 +95,10 @@ def least_listed(most: int, percent: int) -> int:
     return -(-percent * (most + 1) // 100)
 
 
-def shingle_sets(texts: list[str], k: int) -> list[np.ndarray]:
+def shingle_sets(texts: list[str | bytes], k: int) -> list[np.ndarray]:
     """Every text's set as sorted unsigned 64-bit hashes."""
     vocabulary = Vocabulary()
-    laid = [vocabulary.numbers(t.encode().lower().split()) for t in texts]
+    laid = [vocabulary.numbers((t.encode() if isinstance(t, str) else t).lower().split()) for t in texts]
     spelled = vocabulary.hashes()
     ends = np.cumsum([len(x) for x in laid])
     h = spelled[np.concatenate(laid)] if len(spelled) else np.zeros(0, np.uint64)
@@ -130,6 +131,15 @@ def _signed(hashes) -> pa.Array:
     return pa.array(np.asarray(hashes, np.uint64).view(np.int64))
 
 
+def _narrow(counts: np.ndarray) -> bytes:
+    """SKETCH_ROW counters in as few bytes each as the largest needs."""
+    return counts.astype(f"<u{next(width for width in (1, 2, 4, 8) if int(counts.max()) < 1 << 8 * width)}").tobytes()
+
+
+def _wide(counts: bytes) -> np.ndarray:
+    return np.frombuffer(counts, f"<u{len(counts) // SKETCH_ROW}").astype(np.int64)
+
+
 def described(rows: DataFrame, k: int) -> tuple[DataFrame, Broadcast]:
     """``(doc_id, n, key, row_hash)`` of every row, and the counters of how often shingles occur."""
 
@@ -144,23 +154,23 @@ def described(rows: DataFrame, k: int) -> tuple[DataFrame, Broadcast]:
                 "doc_id": pa.array(ids, pa.int64()), "n": pa.array([len(one) for one in sets], pa.int64()),
                 "key": pa.array(keys, pa.string()), "row_hash": _signed([_row_hash(i, x) for i, x in zip(ids, keys)]),
                 "block": pa.nulls(len(ids), pa.int32()), "counts": pa.nulls(len(ids), pa.binary())})
-        blocks = counters.astype("<u4").reshape(-1, SKETCH_ROW)
+        blocks = counters.reshape(-1, SKETCH_ROW)
         full = np.flatnonzero(blocks.any(axis=1))
         yield pa.RecordBatch.from_pydict({
             "doc_id": pa.nulls(len(full), pa.int64()), "n": pa.nulls(len(full), pa.int64()),
             "key": pa.nulls(len(full), pa.string()), "row_hash": pa.nulls(len(full), pa.int64()),
-            "block": pa.array(full.astype(np.int32)), "counts": pa.array([blocks[i].tobytes() for i in full], pa.binary())})
+            "block": pa.array(full.astype(np.int32)), "counts": pa.array([_narrow(blocks[i]) for i in full], pa.binary())})
 
     def added(block: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, "<u4").astype(np.int64) for x in block.column("counts").to_pylist())
-        return pa.table({"block": block.column("block")[:1], "counts": pa.array([total.astype("<i8").tobytes()], pa.binary())})
+        total = sum(_wide(x) for x in block.column("counts").to_pylist())
+        return pa.table({"block": block.column("block")[:1], "counts": pa.array([_narrow(total)], pa.binary())})
 
     both = stored(rows.mapInArrow(run, "doc_id long, n long, key string, row_hash long, block int, counts binary"), "jaccard-sets")
     totals = (both.filter("block IS NOT NULL").select("block", "counts").groupBy("block")
               .applyInArrow(added, "block int, counts binary"))
     counters = np.zeros((SKETCH // SKETCH_ROW, SKETCH_ROW), np.int64)
     for row in totals.toLocalIterator():
-        counters[row.block] = np.frombuffer(bytes(row.counts), "<i8")
+        counters[row.block] = _wide(bytes(row.counts))
     return (both.filter("block IS NULL").select("doc_id", "n", "key", "row_hash"),
             rows.sparkSession.sparkContext.broadcast(counters.ravel()))
 
@@ -241,21 +251,36 @@ def _pairs(lists: DataFrame, pivots: DataFrame, percent: int, *more: str) -> Dat
             .select(F.col("key").alias("a"), "n", F.col("p_key").alias("b")).distinct())
 
 
+def _some(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """``(key, packed)`` once for each key of ``keys``: others are passed over before the shuffle."""
+    bits = hash_bits(keys.select(F.xxhash64("key").alias("h")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            h = batch.column(batch.schema.get_field_index("h")).to_numpy(zero_copy_only=False).view(np.uint64)
+            yield batch.filter(pa.array(hit(bits.value, h))).select(["key", "packed"])
+
+    near = texts.withColumn("h", F.xxhash64("key")).mapInArrow(run, "key string, packed binary")
+    return near.groupBy("key").agg(F.first("packed").alias("packed"))
+
+
 def compared(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Those ``(a, b)`` of the pairs whose sets link. A pivot with many sets is compared in stretches of bounded size."""
     stretches = pairs.groupBy("b").agg(F.ceil(F.sum("n") / CHUNK_SHINGLES).cast("int").alias("stretches"))
     dealt = pairs.join(stretches, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("stretches")).alias("stretch"))
-    sets = dealt.join(texts.withColumnRenamed("key", "a"), "a").select("b", "stretch", F.col("a").alias("key"), "text")
-    pivots = dealt.select("b", "stretch").distinct().join(texts.withColumnRenamed("key", "b"), "b").select(
-        "b", "stretch", F.lit(None).cast("string").alias("key"), "text")
+    sets = (dealt.withColumnRenamed("a", "key").join(_some(texts, pairs.select(F.col("a").alias("key")).distinct()), "key")
+            .select("b", "stretch", "key", "packed"))
+    pivots = (dealt.select(F.col("b").alias("key"), "stretch").distinct()
+              .join(_some(texts, pairs.select(F.col("b").alias("key")).distinct()), "key")
+              .select(F.col("key").alias("b"), "stretch", F.lit(None).cast("string").alias("key"), "packed"))
     laid = sets.unionByName(pivots).repartition("b", "stretch").sortWithinPartitions("b", "stretch", F.asc_nulls_first("key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_worker_state()
-        pivot = None
-        for bs, keys, own in rows_of(batches, "b", "key", "text"):
+        pivot, unpack = None, zstandard.ZstdDecompressor().decompress
+        for bs, keys, own in rows_of(batches, "b", "key", "packed"):
             found = []
-            for b, key, one in zip(bs, keys, shingle_sets(own, k)):
+            for b, key, one in zip(bs, keys, shingle_sets([unpack(x) for x in own], k)):
                 if key is None:
                     pivot = one
                     continue
@@ -269,21 +294,24 @@ def compared(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
 
 
 def _texts_of(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """``(key, text)`` once for each key of ``wanted`` (key, doc_id, row_hash: its chosen row)."""
-    bits = hash_bits(wanted.select(F.xxhash64("doc_id").alias("h")))
+    """``(key, packed)``: the compressed texts of ``wanted`` (key, doc_id, row_hash: its chosen row; rows may repeat)."""
+    by_id, by_row = hash_bits(wanted.select(F.xxhash64("doc_id").alias("h"))), hash_bits(wanted.select("row_hash"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_worker_state()
+        pack = zstandard.ZstdCompressor(level=1).compress
         for batch in slices(batches):
             h = batch.column(batch.schema.get_field_index("h")).to_numpy(zero_copy_only=False).view(np.uint64)
-            texts = batch.filter(pa.array(hit(bits.value, h))).column(batch.schema.get_field_index("text")).to_pylist()
-            if texts:
-                yield pa.RecordBatch.from_pydict({"key": pa.array([_key(one) for one in shingle_sets(texts, k)], pa.string()),
-                                                  "text": pa.array(texts, pa.string())})
-
-    near = rows.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(run, "key string, text string")
-    one = near.join(wanted.select("key"), "key", "left_semi").groupBy("key").agg(F.min("text").alias("text"))
-    return stored(one, "jaccard-texts")
+            near = batch.filter(pa.array(hit(by_id.value, h)))
+            ids, texts = (near.column(near.schema.get_field_index(n)).to_pylist() for n in ("doc_id", "text"))
+            keys = [_key(one) for one in shingle_sets(texts, k)] if texts else []
+            chosen = hit(by_row.value, np.array([_row_hash(i, x) for i, x in zip(ids, keys)], np.uint64)).tolist()
+            some = [(key, pack(text.encode())) for key, text in {x: t for x, t, ok in zip(keys, texts, chosen) if ok}.items()]
+            yield pa.RecordBatch.from_pydict({"key": pa.array([x for x, _ in some], pa.string()),
+                                              "packed": pa.array([x for _, x in some], pa.binary())})
+
+    return stored(rows.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(run, "key string, packed binary"),
+                  "jaccard-texts")
 
 
 def linked_sets(rows: DataFrame, points: DataFrame, often: Broadcast, k: int, percent: int) -> DataFrame:
