@@ -18,7 +18,7 @@ Method (heavy-light):
    rule most pairs out.
 4. Lists are not paired out. Every list has a pivot that all its other sets are compared with; what
    links is one component from then on. Only lists that still join several components go on, with
-   sixteen times as many pivots in each round, until every pair of one list that
+   PIVOTS_GROW times as many pivots in each round, until every pair of one list that
    is not in one component has been compared. Comparisons are exact, on the texts' whole sets.
 5. The boundary between small and large is the size with the lowest cost: subsets listed, or
    shingles listed and compared (a set's own and its pivot's), over the corpus's histogram of sizes.
@@ -57,7 +57,7 @@ SKETCH, SKETCH_ROW = 1 << 20, 1 << 10
 #: Shingles compared with one pivot in a task's stretch of rows.
 CHUNK_SHINGLES = 200_000
 #: Pivots of a list grow by this factor with every round.
-PIVOTS_GROW = 16
+PIVOTS_GROW = 64
 
 
 def needed(a: int, b: int, percent: int) -> int:
@@ -315,7 +315,7 @@ def _texts_of(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
 
 def linked_sets(rows: DataFrame, points: DataFrame, often: Broadcast, k: int, percent: int) -> DataFrame:
-    """Links ``(a, b)`` of set keys that hold every component together. ``points``: (key, n, doc_id, row_hash) of each set."""
+    """``(node, root)`` of every linked set's key but the roots. ``points``: (key, n, doc_id, row_hash) of each set."""
     sizes = {r.n: r["count"] for r in points.filter(F.col("n").between(1, MOST_SMALL)).groupBy("n").count().collect()}
     most_small = boundary(sizes, percent)
     chosen = hash_bits(points.select("row_hash"))
@@ -328,17 +328,14 @@ def linked_sets(rows: DataFrame, points: DataFrame, often: Broadcast, k: int, pe
     first = lists.groupBy("token").agg(F.min(F.struct("key", "n", "place")).alias("one")).select("token", "one.*")
     tried = stored(_pairs(lists, first, percent), "jaccard-pairs")
     fresh = stored(compared(tried, texts, k, percent), "jaccard-links")
-    links, pivots_of_list = links.unionByName(fresh), 1
-    roots = None
+    roots, pivots_of_list = connected(links.unionByName(fresh)), 1
     while True:
-        if roots is None or not fresh.isEmpty():
-            roots = connected(links).select(F.col("node").alias("key"), "root")
-        marked = lists.join(roots, "key", "left").withColumn("component", F.coalesce("root", "key")).drop("root")
+        marked = lists.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("root", "key")).drop("root")
         still = (marked.groupBy("token").agg(F.count("*").alias("members"), F.min("component").alias("x"), F.max("component").alias("y"))
                  .filter(f"x != y AND members > 2 AND members > {pivots_of_list}").select("token", "members"))
         marked = stored(marked.join(still, "token"), "jaccard-open")
         if marked.isEmpty():
-            return links
+            return roots
         pivots_of_list *= PIVOTS_GROW
         # a list's pivots are its sets with the lowest hashes of their keys: about so many of its members
         low = f"CAST(pmod(xxhash64(key), 1000003) AS BIGINT) * members < {pivots_of_list} * 1000003L"
@@ -347,7 +344,8 @@ def linked_sets(rows: DataFrame, points: DataFrame, often: Broadcast, k: int, pe
         fresh_pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
         tried = tried.unionByName(fresh_pairs)
         fresh = stored(compared(fresh_pairs, texts, k, percent), "jaccard-links")
-        links = links.unionByName(fresh)
+        if not fresh.isEmpty():  # stars so far and the new links between them
+            roots = connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(fresh))
 
 
 def components(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -357,8 +355,8 @@ def components(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col: str =
     points = stored(sets.filter("n > 0").groupBy("key").agg(
         F.first("n").alias("n"), F.min(F.struct("doc_id", "row_hash")).alias("row"), F.min("doc_id").alias("smallest"))
         .select("key", "n", "row.doc_id", "row.row_hash", "smallest"), "jaccard-points")
-    links = linked_sets(rows, points, often, k, percent)
-    rooted = points.join(connected(links).withColumnRenamed("node", "key"), "key", "left").select(
+    roots = linked_sets(rows, points, often, k, percent)
+    rooted = points.join(roots.withColumnRenamed("node", "key"), "key", "left").select(
         "key", F.coalesce("root", "key").alias("root"), "smallest")
     ids = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
     named = rooted.join(ids, "root").select("key", "component_id")
