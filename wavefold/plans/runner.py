@@ -37,6 +37,7 @@ from ..operators import scenarios as sc
 from ..operators.quantiles import exact_quantiles_many
 from ..session import checkpoint
 from . import survey
+from .stages import Stage, Stages
 
 
 @dataclass
@@ -314,8 +315,7 @@ class SpecModel:
         params = {
             "spec": {k: v for k, v in self.spec.__dict__.items()},
             "cfg": {k: (list(v) if isinstance(v, tuple) else v) for k, v in self.cfg.__dict__.items()},
-            "prep": {"caps": self.prep.caps.values if self.prep.caps else None, "dropped": self.prep.dropped,
-                     "onehot": self.prep.onehot.values, "null_flag": self.prep.onehot.null_flag},
+            "prep": _prep_values(self.prep),
             "base_cols": self.base_cols, "base": [[k, s] for k, s in self.base],
             "stack": {str(s): [[c, v] for c, v in f.items()] for s, (_, f) in self.stack.items()},
             "topk": {"col": self.topk.col, "values": self.topk.values, "other": self.topk.other},
@@ -349,9 +349,7 @@ class SpecModel:
             (["change_stats"] if p["change_stats"] else []) + \
             [f"weights_{s}" for s in range(spec.n_seeds)] + [f"fallback_{s}" for s in range(spec.n_seeds)]
         tables, _ = io.read_bundle(spark, root, names)
-        pp = p["prep"]
-        prep = Prep(cl.Caps(pp["caps"]) if pp["caps"] else None, pp["dropped"],
-                    rs.OneHot(pp["onehot"], pp["null_flag"]))
+        prep = _prep_of(p["prep"])
         load = lambda n: mo.load_model(f"{root}/models/{n}", unwrap=True)
         part = lambda n, cols: (mo.load_model(f"{root}/models/{n}_prep"), load(n), cols) if cols else None
         return cls(
@@ -396,41 +394,59 @@ def fit_stack(wide: DataFrame, columns: Sequence[str], fold: str, n_trials: int,
     return best[1].fit(best[3]), best[2]
 
 
+def _prep_values(prep: Prep) -> dict:
+    return {"caps": prep.caps.values if prep.caps else None, "dropped": prep.dropped,
+            "onehot": prep.onehot.values, "null_flag": prep.onehot.null_flag}
+
+
+def _prep_of(values: dict) -> Prep:
+    return Prep(cl.Caps(values["caps"]) if values["caps"] else None, values["dropped"],
+                rs.OneHot(values["onehot"], values["null_flag"]))
+
+
 def fit_spec(spark: SparkSession, train_features: DataFrame, train_labels: DataFrame,
              cfg: SurveyConfig, spec: FeatureSpec, vocab_features: DataFrame | None = None,
-             vocab_keys: DataFrame | None = None) -> tuple[DataFrame, SpecModel]:
+             vocab_keys: DataFrame | None = None, stages: Stages | None = None) -> tuple[DataFrame, SpecModel]:
     """Fit every stage on train; return train predictions (out of fold) and the model.
 
     ``vocab_features`` / ``vocab_keys`` (e.g. the test features) join the train
     rows where the reference fits on train and test together: the one-hot
     vocabulary, the caps and the column sample.
+
+    Each stage names the flags it depends on and is run by ``stages``, which shares it with other
+    specifications of the same flags and, with a folder, takes it up from an earlier run.
     """
+    stages = stages or Stages(spark)
     key = cfg.key
-    raw = rs.union_all([train_features] + ([vocab_features] if vocab_features is not None else []))
-    prep_fit = fit_preprocess(raw, cfg, spec)
-    enc = apply_preprocess(train_features, prep_fit, cfg, spec)
-
-    long_tr = rs.wide_to_long(train_features, key, cfg.waves).select(key, "year")
-    pats_tr = pa.year_patterns(long_tr, train_labels.select(key, "year"), key)
-    vocab = pa.fit_pattern_vocab(pats_tr)
-    patterns = checkpoint(vocab.table)
-    # stage boundary (the reference pickles here): cut the lineage once
-    n_patterns = patterns.count()   # a handful of year combinations
-    enc = enc.join(pa.PatternVocab(patterns).apply(pats_tr, key), key, "left")
-    # the code is kept next to its one-hot columns, as in the reference (K3)
-    enc = checkpoint(pa.participation_onehot(enc, n_patterns))
-
+    on_prep = {"cfg": cfg.__dict__, "drop_fraction": spec.drop_fraction, "winsorize": spec.winsorize, "drop_sparse": spec.drop_sparse}
+    on_classes = {**on_prep, "class_probs": spec.class_probs} | ({
+        "k": spec.k, "n_classes": spec.n_classes, "importance": spec.importance, "params": spec.model_params} if spec.class_probs else {})
+    on_change = {**on_classes, "change": spec.change, "group_stats": spec.group_stats, "k": spec.k,
+                 "params": spec.model_params if spec.change else None}
+    on_base = {**on_change, "trials": spec.n_trials, "seeds": spec.n_seeds, "params": spec.model_params}
+    on_stack = {**on_base, "models": list(spec.models), "top_k": spec.top_k}
+
+    def encode() -> Stage:
+        raw = rs.union_all([train_features] + ([vocab_features] if vocab_features is not None else []))
+        fitted = fit_preprocess(raw, cfg, spec)
+        x = apply_preprocess(train_features, fitted, cfg, spec)
+        long_tr = rs.wide_to_long(train_features, key, cfg.waves).select(key, "year")
+        pats_tr = pa.year_patterns(long_tr, train_labels.select(key, "year"), key)
+        table = checkpoint(pa.fit_pattern_vocab(pats_tr).table)
+        x = x.join(pa.PatternVocab(table).apply(pats_tr, key), key, "left")
+        # the code is kept next to its one-hot columns, as in the reference (K3)
+        return Stage({"enc": checkpoint(pa.participation_onehot(x, table.count())), "patterns": table}, _prep_values(fitted))
+
+    encoded = stages.run("encode", on_prep, encode)
+    prep_fit, enc, patterns = _prep_of(encoded.values), encoded.tables["enc"], encoded.tables["patterns"]
     rows = train_labels.select(key, "year", "composite_score").join(enc, key, "left")
     years = sorted(r[0] for r in train_labels.select("year").distinct().collect())  # label years
 
-    # class probabilities come first, on selected features and the year; later stages use them
-    classes = probs = None
-    if spec.class_probs:
+    def class_stage() -> Stage:
         raw_cols = _numeric_columns(enc, [key])
         asm, slots = _fit_assembler(rows, raw_cols), _slots(rows, raw_cols)
-        folded = fo.kfold(_assemble_with(asm, rows, raw_cols).withColumn("label", F.col("composite_score")),
-                          [key, "year"], spec.k, 42, out="rfold")
-        folded = checkpoint(folded)
+        folded = checkpoint(fo.kfold(_assemble_with(asm, rows, raw_cols).withColumn("label", F.col("composite_score")),
+                                     [key, "year"], spec.k, 42, out="rfold"))
         importance = mo.fold_importance(folded, mo.make_regressor("gbt_shallow", spec.model_params, 42), "rfold", slots)
         chosen = set(mo.select_features(importance, spec.importance))
         cols0 = [c for c in raw_cols if c in chosen] or raw_cols
@@ -439,21 +455,28 @@ def fit_spec(spark: SparkSession, train_features: DataFrame, train_labels: DataF
         tr_v = checkpoint(fo.kfold(_assemble_with(asm0, rows, cols0), [key, "year"], spec.k, 42, out="rfold"))
         probs = checkpoint(mo.class_probabilities(tr_v, "composite_score", spec.n_classes, "rfold", [key, "year"], 42))
         clf = mo.make_classifier(42).fit(mo.class_labels(tr_v, "composite_score", spec.n_classes))
-        classes = (asm0, clf, cols0)
+        return Stage({"probs": probs}, {"cols": cols0}, {"classifier": clf}, {"assembler": asm0})
+
+    # class probabilities come first, on selected features and the year; later stages use them
+    classes = probs = None
+    if spec.class_probs:
+        got = stages.run("classes", on_classes, class_stage)
+        probs, classes = got.tables["probs"], (got.pipelines["assembler"], got.models["classifier"], got.values["cols"])
 
     train = fe.age_interactions(fe.log_columns(rows))
 
     stats = None
-    if spec.group_stats:
-        gv = [g for g in cfg.group_vars if g in train.columns]
-        if gv:
-            stats = checkpoint(gs.group_stats_multi(train, gv, "composite_score", [key, "year"]))
-            train = gs.join_group_stats(train, stats, gv)
+    gv = [g for g in cfg.group_vars if g in train.columns]
+    if spec.group_stats and gv:
+        plain = train
+        stats = stages.run("group_stats", on_prep, lambda: Stage({"stats": checkpoint(
+            gs.group_stats_multi(plain, gv, "composite_score", [key, "year"]))})).tables["stats"]
+        train = gs.join_group_stats(train, stats, gv)
 
     pairs = cl.complete_pairs(train_labels, key)
-    fold1 = fo.kfold(pairs, key, spec.k, 42, out="fold1")
-    change = change_stats = None
-    if spec.change:
+
+    def change_stage() -> Stage:
+        tables = {}
         target = rs.pivot_change(train_labels, key).select(key, F.col("composite_score_diff").alias("label"))
         wide = fe.age_interactions(fe.log_columns(enc))
         if probs is not None:
@@ -462,9 +485,9 @@ def fit_spec(spark: SparkSession, train_features: DataFrame, train_labels: DataF
         labelled = cl.semi_join(wide, pairs, key).join(target, key).where(F.col("label").isNotNull())
         groups = [g for g in CHANGE_GROUPS if g in wide.columns]
         if groups and spec.group_stats:
-            change_stats = checkpoint(gs.group_stats_multi(labelled, groups, "label", [key]))
-            wide = gs.join_group_stats(wide, change_stats, groups, prefix="change_")
-            labelled = gs.join_group_stats(labelled, change_stats, groups, prefix="change_")
+            tables["change_stats"] = checkpoint(gs.group_stats_multi(labelled, groups, "label", [key]))
+            wide = gs.join_group_stats(wide, tables["change_stats"], groups, prefix="change_")
+            labelled = gs.join_group_stats(labelled, tables["change_stats"], groups, prefix="change_")
         wide_cols = _numeric_columns(wide, [key])
         wtrain = fo.kfold(labelled, key, spec.k, 42, out="fold1")
         asm = _fit_assembler(wtrain, wide_cols)
@@ -474,44 +497,61 @@ def fit_spec(spark: SparkSession, train_features: DataFrame, train_labels: DataF
         full_model = est.fit(wtrain_v)
         rest = _assemble_with(asm, cl.anti_join(wide, wtrain.select(key), key), wide_cols)
         full = full_model.transform(rest).select(key, F.col("prediction").alias("composite_score_diff_pred"))
-        diff = checkpoint(oof.select(key, "composite_score_diff_pred").unionByName(full))
-        train = train.join(diff, key, "left")
-        change = (asm, full_model, wide_cols)
-    train = checkpoint(fo.combined_fold(train, fold1, key, spec.k, 42, row_keys=(key, "year")))
-    train = fo.group_kfold(train, "combined_fold", spec.k, out="gfold")
+        tables["diff"] = checkpoint(oof.select(key, "composite_score_diff_pred").unionByName(full))
+        return Stage(tables, {"cols": wide_cols}, {"regressor": full_model}, {"assembler": asm})
 
-    exclude = [key, "composite_score", "fold1", "gfold", "label"]
-    if probs is not None:
-        train = train.join(probs, [key, "year"], "left")
-
-    cols = _numeric_columns(train, exclude)
-    base_prep = _fit_assembler(train, cols)
-    train_v = checkpoint(_assemble_with(base_prep, train.withColumn("label", F.col("composite_score")), cols))
-
-    parts, base_tr, base_models = [], {}, {}
-    for kind in spec.models:
+    change = change_stats = None
+    if spec.change:
+        got = stages.run("change", on_change, change_stage)
+        train = train.join(got.tables["diff"], key, "left")
+        change, change_stats = (got.pipelines["assembler"], got.models["regressor"], got.values["cols"]), got.tables.get("change_stats")
+
+    def matrix() -> Stage:
+        fold1 = fo.kfold(pairs, key, spec.k, 42, out="fold1")
+        x = checkpoint(fo.combined_fold(train, fold1, key, spec.k, 42, row_keys=(key, "year")))
+        x = fo.group_kfold(x, "combined_fold", spec.k, out="gfold")
+        if probs is not None:
+            x = x.join(probs, [key, "year"], "left")
+        x = checkpoint(x)
+        names = _numeric_columns(x, [key, "composite_score", "fold1", "gfold", "label"])
+        return Stage({"train": x}, {"cols": names}, pipelines={"assembler": _fit_assembler(x, names)})
+
+    got = stages.run("matrix", on_change, matrix)
+    train, cols, base_prep = got.tables["train"], got.values["cols"], got.pipelines["assembler"]
+    vectors: list[DataFrame] = []
+
+    def train_v() -> DataFrame:
+        if not vectors:
+            vectors.append(checkpoint(_assemble_with(base_prep, train.withColumn("label", F.col("composite_score")), cols)))
+        return vectors[0]
+
+    def base(kind: str) -> Stage:
+        out = Stage()
         params = dict(spec.model_params)
         if spec.n_trials > 1:  # each family is searched once, its seeds share the result
-            params |= mo.random_search(train_v, kind, SPACES[kind], "gfold", spec.n_trials, 1, params=params)[0]
+            params |= mo.random_search(train_v(), kind, SPACES[kind], "gfold", spec.n_trials, 1, params=params)[0]
         for seed in range(spec.n_seeds):
             est = mo.make_regressor(kind, params, seed)
-            oof = mo.oof_predict(train_v, est, "gfold", [key, "year"])
-            base_tr[(kind, seed)] = checkpoint(oof.withColumn("predicted_score",
-                                                              bl.directed_round("predicted_score")))
-            base_models[(kind, seed)] = est.fit(train_v)
+            oof = mo.oof_predict(train_v(), est, "gfold", [key, "year"])
+            out.tables[f"oof_{seed}"] = checkpoint(oof.withColumn("predicted_score", bl.directed_round("predicted_score")))
+            out.models[f"model_{seed}"] = est.fit(train_v())
+        return out
+
+    parts, base_tr, base_models = [], {}, {}
+    for kind in spec.models:
+        got = stages.run(f"base_{kind}", on_base, lambda: base(kind))
+        for seed in range(spec.n_seeds):
+            base_tr[(kind, seed)], base_models[(kind, seed)] = got.tables[f"oof_{seed}"], got.models[f"model_{seed}"]
             parts.append(_long(base_tr[(kind, seed)], "train", kind, seed))
 
     cat_src = cfg.category if cfg.category in train.columns else "year"
     cats_tr = train.select(key, "year", F.col(cat_src).cast("string").alias("category"))
-    topk = fe.fit_top_k(cats_tr, "category", spec.top_k)
-    cats_tr = topk.apply(cats_tr, out="category")
     truth = train.select(key, "year", "composite_score")
 
-    stack, weights, fallback = {}, {}, {}
-    for seed in range(spec.n_seeds):
+    def blend_stage(seed: int) -> Stage:
         # L1 stack over the features and this seed's base predictions; in-sample on train (Q5)
-        w = train_v.select(key, F.col("year").cast("int").alias("year"), "label", "gfold",
-                           *[F.col(c).cast("double").alias(c) for c in cols if c != "year"])
+        w = train_v().select(key, F.col("year").cast("int").alias("year"), "label", "gfold",
+                             *[F.col(c).cast("double").alias(c) for c in cols if c != "year"])
         for kind in spec.models:
             b = base_tr[(kind, seed)].select(key, F.col("year").cast("int").alias("year"),
                                              F.col("predicted_score").alias(f"composite_score_{kind}"))
@@ -519,20 +559,28 @@ def fit_spec(spark: SparkSession, train_features: DataFrame, train_labels: DataF
         w = checkpoint(w)
         names = [*[c for c in cols if c != "year"], "year", *[f"composite_score_{kind}" for kind in spec.models]]
         lasso, fills = fit_stack(w, names, "gfold", spec.n_trials)
-        stack[seed] = (lasso, fills)
-        lin_tr = lasso.transform(_stack_inputs(w, fills)).select(
-            key, "year", bl.directed_round("prediction").alias("predicted_score"))
-        parts.append(_long(lin_tr, "train", "linear1", seed))
+        lin_tr = checkpoint(lasso.transform(_stack_inputs(w, fills)).select(
+            key, "year", bl.directed_round("prediction").alias("predicted_score")))
         # per-category softmax blend of base models and the stack
+        top = fe.fit_top_k(cats_tr, "category", spec.top_k)
         ptr = rs.union_all([_long(base_tr[(k, seed)], "train", k, seed) for k in spec.models]
                            + [_long(lin_tr, "train", "linear1", seed)])
-        ptr = ptr.join(cats_tr, [key, "year"]).join(truth, [key, "year"])
-        weights[seed] = checkpoint(bl.group_rmse_weights(ptr))
+        ptr = ptr.join(top.apply(cats_tr, out="category"), [key, "year"]).join(truth, [key, "year"])
+        weights = checkpoint(bl.group_rmse_weights(ptr))
         # a category without train rows is blended with weights from all train rows (Q8)
-        fallback[seed] = checkpoint(bl.group_rmse_weights(ptr.withColumn("category", F.lit("all")))
-                                    .select("model", "weight"))
-        b = bl.blend(ptr, weights[seed], fallback=fallback[seed]).withColumn("seed", F.lit(seed))
-        parts.append(_long(b, "train", "blended", seed, "blended_score"))
+        fallback = checkpoint(bl.group_rmse_weights(ptr.withColumn("category", F.lit("all"))).select("model", "weight"))
+        blended = checkpoint(bl.blend(ptr, weights, fallback=fallback).withColumn("seed", F.lit(seed)))
+        return Stage({"linear": lin_tr, "weights": weights, "fallback": fallback, "blended": blended},
+                     {"fills": [[c, v] for c, v in fills.items()], "top": {"col": top.col, "values": top.values, "other": top.other}},
+                     {"lasso": lasso})
+
+    stack, weights, fallback, topk = {}, {}, {}, None
+    for seed in range(spec.n_seeds):
+        got = stages.run(f"stack_{seed}", on_stack, lambda: blend_stage(seed))
+        stack[seed] = (got.models["lasso"], {c: v for c, v in got.values["fills"]})
+        weights[seed], fallback[seed], topk = got.tables["weights"], got.tables["fallback"], fe.TopK(**got.values["top"])
+        parts.append(_long(got.tables["linear"], "train", "linear1", seed))
+        parts.append(_long(got.tables["blended"], "train", "blended", seed, "blended_score"))
 
     model = SpecModel(cfg=cfg, spec=spec, prep=prep_fit, patterns=patterns, stats=stats, change=change,
                       classes=classes, base_prep=base_prep, base_cols=cols, base=base_models, stack=stack,
@@ -543,16 +591,22 @@ def fit_spec(spark: SparkSession, train_features: DataFrame, train_labels: DataF
 
 def run_spec(spark: SparkSession, train_features: DataFrame, train_labels: DataFrame,
              test_features: DataFrame, test_keys: DataFrame, cfg: SurveyConfig,
-             spec: FeatureSpec) -> DataFrame:
+             spec: FeatureSpec, stages: Stages | None = None) -> DataFrame:
     """Train (out-of-fold) and test predictions of one specification, long."""
     train_pred, model = fit_spec(spark, train_features, train_labels, cfg, spec,
-                                 vocab_features=test_features)
+                                 vocab_features=test_features, stages=stages)
     return train_pred.unionByName(model.score(test_features, test_keys))
 
 
-def run_specs(spark: SparkSession, specs: Sequence[FeatureSpec], *args, **kwargs) -> DataFrame:
-    """Several specifications into one long table partitioned by ``spec``."""
-    return rs.union_all([run_spec(spark, *args, spec=s, **kwargs) for s in specs])
+def run_specs(spark: SparkSession, specs: Sequence[FeatureSpec], train_features: DataFrame, train_labels: DataFrame,
+              test_features: DataFrame, test_keys: DataFrame, cfg: SurveyConfig, stages: Stages | None = None) -> DataFrame:
+    """Several specifications into one long table with the column ``spec``.
+
+    All run on one graph of stages: what two specifications have in common is fitted once. With a
+    ``Stages`` that has a folder, finished stages are taken up from earlier runs (S7).
+    """
+    stages = stages or Stages(spark)
+    return rs.union_all([run_spec(spark, train_features, train_labels, test_features, test_keys, cfg, s, stages) for s in specs])
 
 
 PERTURBED = FeatureSpec(name="spec_perturbed", change=False, class_probs=False,
