@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -44,6 +45,14 @@ def made(seed, n):
     return ["".join(r.choices(PARTS, k=r.randint(0, 14))) for _ in range(n)]
 
 
+@pytest.mark.parametrize("part", ["'", " ", "\n", "' ", "'s", "a", "-"])
+def test_long_runs_take_time_in_proportion_to_their_length(counter, library, part):
+    began = time.monotonic()
+    for text in (part * 300_000, part * 300_000 + "x"):
+        assert counter.counts(text)[-1] == len(library.encode(text, add_special_tokens=False).ids)
+    assert time.monotonic() - began < 60  # quadratic ways take hours
+
+
 def test_every_prefix_count_is_the_librarys(counter, library):
     for text in made(1, 600):
         want = [len(library.encode(text[:p], add_special_tokens=False).ids) for p in range(len(text) + 1)]

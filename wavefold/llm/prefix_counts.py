@@ -16,7 +16,9 @@ Truncation and budget questions (`longest_prefix`, `counts_at`) are then
 look-ups in that table.
 
 Defined cases: a null text is empty; an empty text has no tokens and an empty
-table; repeated rows are answered one by one; a null id stays null.
+table; repeated rows are answered one by one; a null id stays null; long runs of
+one kind of character take time in proportion to their length; a code point that
+changed the count by more than 16 bits hold would raise a ValueError (no wrapped table).
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ from wavefold.llm.common import Memo, id_text, rows_of, worker_state
 
 # Fixed value: the splitting pattern of this tokenizer family.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# The contractions of that pattern.
+CONTRACTIONS = frozenset(("'s", "'t", "'re", "'ve", "'m", "'ll", "'d"))
 #: Pieces remembered in a worker, the longest that are, and pairs judged; results don't depend on them.
 MEMO_PIECES, MEMO_CHARS, MEMO_PAIRS = 400_000, 40, 400_000
 
@@ -47,6 +51,13 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in kept} | {chr(256 + k): b for k, b in enumerate(moved)}
 
 
+def _sixteen_bits(steps: list[int]) -> bytes:
+    try:
+        return struct.pack(f"<{len(steps)}h", *steps)
+    except struct.error:
+        raise ValueError("one more code point changes the count by more than 16 bits hold") from None
+
+
 class PrefixCounter:
     """Counts for one tokenizer file."""
 
@@ -68,7 +79,7 @@ class PrefixCounter:
         vocab = {raw(s) for s in model["vocab"]}
         self.tokens = {t for t in vocab if len(t) == 1 or self.pairs.merged(t) == [t]}
         self.heads = {t[:k] for t in self.tokens for k in range(1, len(t) + 1)}
-        self.split = regex.compile(PATTERN)
+        self.split, self.space = regex.compile(PATTERN), regex.compile(r"\s{2,}")
         specials = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, specials))) if specials else None
         self.ends: dict[bytes, tuple] = {}
@@ -104,7 +115,7 @@ class PrefixCounter:
 
     def piece_counts(self, piece: str) -> list[int]:
         """Token counts of the code point prefixes of a piece, the empty one left out."""
-        if piece[0] == "'" and len(piece) > 1:  # a cut contraction falls apart
+        if piece in CONTRACTIONS:  # cut, it falls apart
             return [sum(self.byte_counts(x.encode())[-1] for x in self.split.findall(piece[:k]))
                     for k in range(1, len(piece) + 1)]
         raw = piece.encode()
@@ -118,7 +129,7 @@ class PrefixCounter:
         steps = self.memo.older.get(piece)
         if steps is None:
             counts = self.piece_counts(piece)
-            steps = struct.pack(f"<{len(counts)}h", *map(operator.sub, counts, [0, *counts]))
+            steps = _sixteen_bits(list(map(operator.sub, counts, [0, *counts])))
             if len(piece) > MEMO_CHARS:
                 return steps
         self.memo.put(piece, steps)
@@ -130,8 +141,9 @@ class PrefixCounter:
         laid = b"".join([known(p) or steps(p) for p in self.split.findall(text)])
         out = np.zeros(len(text) + 1, np.int64)
         np.cumsum(np.frombuffer(laid, "<i2"), out=out[1:])
-        for m in regex.finditer(r"\s{2,}(?=\S)", text):  # a prefix that ends in white space takes all of it as one piece
-            out[m.end()] = out[m.start()] + self.piece_counts(m[0])[-1]
+        for m in self.space.finditer(text):  # a prefix that ends in white space takes all of it as one piece
+            if m.end() < len(text):
+                out[m.end()] = out[m.start()] + self.piece_counts(m[0])[-1]
         return out
 
     def counts(self, text: str) -> np.ndarray:
@@ -179,7 +191,7 @@ def token_counts(docs: DataFrame, path: str, *, limits: Sequence[int] = (512,),
                 counts = counter.counts(text)
                 row = [i, len(text), len(text.encode()), int(counts[-1]), *(longest_prefix(counts, k) for k in limits)]
                 if keep_table:
-                    row.append(np.diff(counts).astype("<i2").tobytes())
+                    row.append(_sixteen_bits(np.diff(counts).tolist()))
                 for column, value in zip(out.values(), row):
                     column.append(value)
             yield pa.RecordBatch.from_pydict({n: pa.array(out[n], t) for n, t in fields})
