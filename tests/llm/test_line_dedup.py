@@ -18,7 +18,7 @@ def one_edit(a, b):
     return a[k + 1:] == b[k + 1:] if len(a) == len(b) else a[k:] == b[k + 1:]
 
 
-def plain(rows, min_chars=16):
+def plain(rows, min_chars=16, fold_chars=1):
     """rows: (doc_id, text) in the order of documents; equal rows in any order."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0))
     seen, out = [], {}
@@ -30,10 +30,10 @@ def plain(rows, min_chars=16):
         kept = []
         for line in text.split("\n"):
             norm = line.strip(SPACE).lower()
-            if len(norm) < min_chars:
+            if len(norm) < fold_chars:
                 kept.append(line)
                 continue
-            if not any(norm == s or one_edit(norm, s) for s in seen):
+            if not any(norm == s or len(norm) >= min_chars <= len(s) and one_edit(norm, s) for s in seen):
                 kept.append(line)
             if norm not in seen:
                 seen.append(norm)
@@ -111,8 +111,8 @@ def test_short_lines_are_folded_when_equal(spark):
     rows = [(1, "Menu\n\nmenu \nx\nfifteen chars ok\nsixteen chars ok"), (2, " MENU\nmenus\n\n}\nfifteen chars o\nSixteen chars oj"),
             (3, "x\n}\n\nfifteen chars o\nseventeen chars k")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert collected(line_dedup.dedup(df, fold_chars=1)) == plain_folded(rows)
-    assert collected(line_dedup.dedup(df)) == plain(rows)
+    assert collected(line_dedup.dedup(df)) == plain_folded(rows) == plain(rows)
+    assert collected(line_dedup.dedup(df, fold_chars=16)) == plain(rows, fold_chars=16)
 
 
 def test_pipeline_stage_folds_short_lines(spark):

@@ -4,10 +4,9 @@ Lines are what ``\\n`` separates, compared without outer ASCII white space and i
 lower case. A line is dropped if an earlier line is equal or one edit (a
 character inserted, deleted or replaced) away; earlier is by document id, then
 line number. Lines of fewer than ``min_chars`` characters say too little to be
-compared within an edit. Of them, those of at least ``fold_chars`` characters
-are dropped if an earlier line is equal, and shorter ones always stay; by
-default ``fold_chars`` is ``min_chars``, as in the query and its SQL. With 1
-every equal line is folded and only blank ones always stay.
+compared within an edit; of them, those of at least ``fold_chars`` characters (by
+default all but blank ones) are dropped if an earlier line is equal, and shorter ones
+always stay.
 
 Method, DataFrame functions only:
 
@@ -152,12 +151,12 @@ def _earlier_neighbours(rows: DataFrame) -> DataFrame:
             .select(*LINE, "first", "partner").distinct())
 
 
-def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS, fold_chars: int | None = None) -> tuple[DataFrame, DataFrame]:
+def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS, fold_chars: int = 1) -> tuple[DataFrame, DataFrame]:
     """Distinct lines with their first places, and those of them with an earlier line one edit away.
 
     ``docs`` has ``(doc_id, text)``; texts without nulls.
     """
-    lines = _lines(docs, min_chars if fold_chars is None else min(fold_chars, min_chars))
+    lines = _lines(docs, min(fold_chars, min_chars))
     firsts = stored(_first_places(lines), "line-firsts")
     candidates = _candidates(firsts.filter(F.col("n") >= min_chars), docs, min_chars)
     found = _earlier_neighbours(_narrowed(candidates))
@@ -168,14 +167,14 @@ def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS, fold_chars: int | No
     return firsts, stored(checked.select(*LINE).distinct(), "line-near")
 
 
-def kept_lines(docs: DataFrame, min_chars: int = MIN_CHARS, fold_chars: int | None = None) -> DataFrame:
+def kept_lines(docs: DataFrame, min_chars: int = MIN_CHARS, fold_chars: int = 1) -> DataFrame:
     """(doc_id, h, keep): per document the numbers of its compared lines that stay."""
     firsts, near = near_lines(docs, min_chars, fold_chars)
     kept = firsts.select(*LINE, "first").join(near, LINE, "left_anti")
     return kept.groupBy("first.doc_id", "first.h").agg(F.collect_list("first.line_no").alias("keep"))
 
 
-def dedup(docs: DataFrame, *, min_chars: int = MIN_CHARS, fold_chars: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, *, min_chars: int = MIN_CHARS, fold_chars: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, same columns, its texts without the dropped lines, and ``__n_lines`` and ``__n_kept`` (long)."""
     text = F.col(f"`{text_col}`").cast("string")
     base = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
@@ -186,7 +185,7 @@ def dedup(docs: DataFrame, *, min_chars: int = MIN_CHARS, fold_chars: int | None
     # of rows equal in id and text only one keeps its lines
     same = Window.partitionBy("__own_id", "__own_h").orderBy("__own_h")
     numbered = joined.withColumn("__first", F.row_number().over(same) == 1)
-    floor = min_chars if fold_chars is None else min(fold_chars, min_chars)
+    floor = min(fold_chars, min_chars)
     lines = F.split(text, "\n")
     keep_here = F.when(F.col("__first"), F.coalesce("__keep", F.array().cast("array<int>"))).otherwise(F.array().cast("array<int>"))
     # places to keep (tag 0) sorted in before their lines (tag 1)

@@ -65,15 +65,15 @@ ORACLES["op4_line_dedup"] = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, i, ls[i] AS line, lower(trim(ls[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS norm
       FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)),
-f AS (SELECT norm, length(norm) AS n, min((doc_id, i)) AS place FROM l WHERE length(norm) >= 16 GROUP BY norm),
+f AS (SELECT norm, length(norm) AS n, min((doc_id, i)) AS place FROM l WHERE norm <> '' GROUP BY norm),
 k AS (
-  SELECT norm, place, m, 'a' AS side, left(norm, m // 2) AS half FROM (SELECT *, unnest([n, n - 1]) AS m FROM f)
+  SELECT norm, place, m, 'a' AS side, left(norm, m // 2) AS half FROM (SELECT *, unnest([n, n - 1]) AS m FROM f WHERE n >= 16)
   UNION ALL
-  SELECT norm, place, m, 'b', right(norm, m - m // 2) FROM (SELECT *, unnest([n, n - 1]) AS m FROM f)),
+  SELECT norm, place, m, 'b', right(norm, m - m // 2) FROM (SELECT *, unnest([n, n - 1]) AS m FROM f WHERE n >= 16)),
 near AS (SELECT DISTINCT x.norm FROM k x JOIN k y ON x.m = y.m AND x.side = y.side AND x.half = y.half
          WHERE y.place < x.place AND levenshtein(x.norm, y.norm) = 1),
 t AS (SELECT l.doc_id, l.i, l.line,
-             length(l.norm) < 16 OR (f.place = (l.doc_id, l.i) AND near.norm IS NULL) AS stays
+             l.norm = '' OR (f.place = (l.doc_id, l.i) AND near.norm IS NULL) AS stays
       FROM l LEFT JOIN f ON l.norm = f.norm LEFT JOIN near ON l.norm = near.norm)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (stays) AS n_kept,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (stays), '')) AS text_sha256
