@@ -7,6 +7,11 @@ from wavefold.llm import queries, toxicity
 SF01 = "/root/testdata/sf0.1"
 
 
+def test_the_verdict_comes_last_in_the_chain(spark):
+    labels = spark.read.parquet(f"{SF01}/labels.parquet")
+    assert [*queries.toxicity_categories(labels)][-1] == "toxic"
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     labels = spark.read.parquet(f"{SF01}/labels.parquet")
@@ -15,6 +20,7 @@ def test_held_out_accuracy(spark):
     chain = toxicity.fit(docs, fit_on, queries.toxicity_categories(fit_on))
     held = toxicity.score(docs, chain).join(labels.filter(odd), "doc_id").toPandas()
     flagged = held.p_toxic >= toxicity.THRESHOLD
+    assert flagged[held.toxic == 1].mean() > 0.9
     good = held.quality == 1  # junk made of toxic texts has lost the words
     assert flagged[(held.toxic == 1) & good].mean() > 0.95
     assert flagged[held.toxic == 0].mean() < 0.005

@@ -87,9 +87,9 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toxicity_categories(labels: DataFrame) -> dict[str, Column]:
-    """The chain's categories, from the labels at hand: toxic, then toxic junk and toxic prose."""
+    """The chain's categories, from the labels at hand: toxic junk, toxic prose, and toxic, which decides, last."""
     toxic, good = labels["toxic"] == 1, labels["quality"] == 1
-    return {"toxic": toxic, "toxic_junk": toxic & ~good, "toxic_prose": toxic & good}
+    return {"toxic_junk": toxic & ~good, "toxic_prose": toxic & good, "toxic": toxic}
 
 
 def fitted_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Chain:

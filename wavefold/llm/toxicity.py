@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavefold.llm.common import Memo, drop_worker_state, id_text, rows_of, slices
+from wavefold.llm.common import Memo, drop_worker_state, id_text, rows_of, slices, stored
 
 #: Bound of the sample that models are fitted on.
 FIT_DOCUMENTS = 12_000
@@ -157,9 +157,10 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Mapping[str, Column], *,
 
     schema = "feature string, " + ", ".join(f"{y} int" for y in ys)
     totals = texts.agg(F.count("*").alias("n"), *(F.coalesce(F.sum(y), F.lit(0)).alias(y) for y in ys)).first()
-    counted = texts.mapInArrow(listed, schema).groupBy("feature").agg(
+    counted = stored(texts.mapInArrow(listed, schema).groupBy("feature").agg(
         F.count("*").alias("n"), *(F.sum(y).alias(y) for y in ys)).filter(
-        F.col("n").between(MIN_DOCUMENTS, max(MIN_DOCUMENTS, MAX_SHARE * totals["n"], 1.2 * max(totals[y] for y in ys))))
+        F.col("n").between(MIN_DOCUMENTS, max(MIN_DOCUMENTS, MAX_SHARE * totals["n"], 1.2 * max(totals[y] for y in ys)))),
+        "toxicity-features")
 
     def cell(observed: Column, expected: Column) -> Column:
         return F.when((observed > 0) & (expected > 0), observed * F.log(observed / expected)).otherwise(0.0)
