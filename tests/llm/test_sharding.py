@@ -81,3 +81,41 @@ def test_keys_find_the_rooms_that_are_left(spark):
         "ELSE 200000 + id div 2 END AS string) AS text")
     rows = sharding.shard(df, 16).collect()
     assert check(rows, [(r.doc_id, r.text) for r in df.collect()], 16) == 0
+
+
+@pytest.mark.parametrize("sizes", [[7, 7, 6, 6, 5, 5, 4, 4, 3, 3, 2, 2], [13, 9, 8, 8, 7, 3, 3, 2], [40, 5, 5, 4, 2], [10, 10, 10, 10, 10]])
+def test_as_few_cut_keys_as_possible(spark, sizes):
+    free = 10
+    texts = [(100 * k + i, f"key {k}") for k, n in enumerate(sizes) for i in range(n)] + [(9000 + i, f"alone {i}") for i in range(free)]
+    rows = sharding.shard(spark.createDataFrame([Row(doc_id=d, text=t) for d, t in texts]), 4).collect()
+    check(rows, texts, 4)
+    homes = defaultdict(set)
+    for r in rows:
+        homes[r.text_crc32].add(r.shard)
+    total = len(texts)
+    rooms = [-(-(s + 1) * total // 4) - -(-s * total // 4) for s in range(4)]
+
+    def fewest(at, left):
+        # every way to put each key whole into a shard or to cut it
+        if at == len(sizes):
+            return 0
+        return min([1 + fewest(at + 1, left)] + [
+            fewest(at + 1, (*left[:s], left[s] - sizes[at], *left[s + 1:])) for s in range(4) if left[s] >= sizes[at]])
+
+    assert sum(len(h) > 1 for h in homes.values()) == fewest(0, tuple(rooms))
+
+
+def test_layout_does_not_matter(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    odd = spark.createDataFrame([(None, None), (5, None), (5, "x"), (5, "x"), (None, "x")], "doc_id long, text string")
+    docs = docs.union(odd)
+    wanted = Counter(sharding.shard(docs, 16).select("doc_id", "size", "text_crc32", "shard", "slot").collect())
+    for other in (docs.repartition(5), docs.orderBy(F.desc("doc_id")).coalesce(1)):
+        assert Counter(sharding.shard(other, 16).select("doc_id", "size", "text_crc32", "shard", "slot").collect()) == wanted
+
+
+def test_rounds_place_the_keys_of_small_tables(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select(F.col("doc_id").alias("row"), F.xxhash64("text").alias("key"))
+    homes, rooms = sharding._place(docs, 16, None)
+    found = homes.collect()
+    assert found and all(r.home is not None for r in found) and not rooms.cut

@@ -10,18 +10,20 @@ shard where most of its documents are, among the shards that still have room
 for all of it; ties, and keys whose own shards are full, go by a hash weighted
 by the rooms. Rooms are the exact sizes of the shards. Each round a shard admits
 keys by steps of a hash, as many steps as fit; refused keys wish again among the
-shards that have room left. Unlinked documents carry no cut and fill what the
-keys leave.
-
-The driver sees a histogram of shards x steps each round, and at most
-shards x QUOTA_STEPS keys with their counts: those of more than 1 / QUOTA_STEPS
-of a room, before the rounds, and the last ones, for which the rounds end. It
-places them largest first. A key that fits in no shard any more, as one larger
-than a room, is laid over the shards with most room. So keys below a room are
-only cut where the rooms left are all smaller than the key.
+shards that have room left. Keys move in classes of halved size, largest first,
+and the rounds of a class go on while a key of it fits anywhere. They are the
+same rounds for a table of any size. Unlinked documents carry no cut and fill
+what the keys leave.
+
+The driver sees a histogram of shards x steps each round, and the keys larger
+than a room (fewer than there are shards), which must be cut: it lays them over
+the shards with most room before the rounds. A key below a room is only cut
+where the rooms left are all smaller than the key. Hashes are of ids and keys and
+rows that tie in id, key, size and CRC are alike, so the layout of the input does
+not matter: the same rows give the same result.
 
 At the end rows are numbered in the order (rank, key, id), in the cluster, where
-the rank tells cut keys, unlinked rows and each shard's keys apart; ranges of the
+the rank tells cut keys, keys without a shard, unlinked rows and each shard's keys apart; ranges of the
 numbers are the shards. That makes the sizes exact.
 
 A document's links are never listed in pairs: a key's documents are counted by
@@ -43,8 +45,10 @@ from wavefold.llm.common import stored
 QUOTA_STEPS = 256
 #: Rounds in which keys wish for their own shards first; later ones go by the rooms alone.
 OWN_ROUNDS = 4
-#: Rounds in a row that may place nothing before the rest is left to the numbering.
+#: Rounds in a row that may place nothing before the rest of a class is left to the numbering.
 IDLE_ROUNDS = 3
+#: Classes of size: keys above a half of a room, above a quarter, and so on; the last has all smaller ones.
+CLASSES = 9
 
 
 def text_key(text: Column) -> Column:
@@ -66,17 +70,10 @@ class _Rooms:
         self.left[shard] -= n
         self.placed[shard] += n
 
-    def deal(self, keys: list) -> list[tuple[int, int | None, int | None]]:
-        """(kid, home, cut) of a few keys, largest first."""
+    def lay(self, keys: list) -> list[tuple[int, int | None, int | None]]:
+        """(kid, no home, cut) of keys larger than a room, largest first."""
         out = []
-        for r in sorted(keys, key=lambda r: (-r["size"], r["kid"])):
-            here = {x["label"]: x["n"] for x in r["at"]}
-            fits = [s for s, left in enumerate(self.left) if left >= r["size"]]
-            if fits:
-                home = max(fits, key=lambda s: (here.get(s, 0), self.left[s]))
-                self.take(home, r["size"])
-                out.append((r["kid"], home, None))
-                continue
+        for r in sorted(keys, key=lambda r: (-r["size"], r["hid"], r["kid"])):
             pieces, n = [], r["size"]
             while n:
                 fits = [s for s, left in enumerate(self.left) if left >= n]
@@ -109,45 +106,53 @@ def _wish(left: list[int], round_: int) -> Column:
     lefts = F.array(*(F.lit(n).cast("long") for n in left))
     own = (lambda s: F.coalesce(F.get(F.filter("at", lambda x: x["label"] == s), 0)["n"], F.lit(0))) if round_ < OWN_ROUNDS else (
         lambda s: F.lit(0).cast("long"))
-    chance = lambda s: F.log((F.pmod(F.xxhash64("kid", s, F.lit(round_)), F.lit(1 << 30)) + 1) / F.lit(float((1 << 30) + 1)))
+    chance = lambda s: F.log((F.pmod(F.xxhash64("hid", s, F.lit(round_)), F.lit(1 << 30)) + 1) / F.lit(float((1 << 30) + 1)))
     open_ = F.filter(F.sequence(F.lit(0), F.lit(len(left) - 1)), lambda s: F.get(lefts, s) >= F.col("size"))
     return F.array_max(F.transform(open_, lambda s: F.struct(
         own(s).alias("n"), (chance(s) / F.get(lefts, s)).alias("chance"), s.alias("s"))))["s"]
 
 
+def _class(room: int) -> Column:
+    """How often a key's size can be doubled within a room, up to the last class."""
+    return sum((F.col("size") * (1 << j) <= room).cast("int") for j in range(1, CLASSES))
+
+
 def _place(rows: DataFrame, shards: int, rounds: int | None) -> tuple[DataFrame, _Rooms]:
-    """Linked keys with their ``home`` shard or ``cut`` number, and the rooms. Neither: the rounds ended before."""
+    """Linked keys with their ``home`` shard or ``cut`` number, and the rooms. Neither: no shard had room for the key."""
     spark = rows.sparkSession
     rooms = _Rooms(rows.count(), shards)
-    bound = shards * QUOTA_STEPS
     keys = stored(rows.groupBy("key", _dealt(shards).alias("label")).agg(F.count("*").alias("n"))
                   .groupBy("key").agg(F.sum("n").alias("size"), F.collect_list(F.struct("n", "label")).alias("at"))
-                  .filter("size > 1").withColumn("kid", F.monotonically_increasing_id()), "shard-keys")
-    homes, dealt = [], []
+                  .filter("size > 1").withColumn("class", _class(rooms.room)).withColumn("hid", F.xxhash64("key"))
+                  .withColumn("kid", F.monotonically_increasing_id()), "shard-keys")
+    homes, laid, classes = [], [], []
     if rounds != 0:
-        # fewer than the bound, as each has more than 1 / QUOTA_STEPS of a room
-        dealt += rooms.deal(keys.filter(F.col("size") * QUOTA_STEPS > rooms.room).select("kid", "size", "at").collect())
-        waiting = keys.filter(F.col("size") * QUOTA_STEPS <= rooms.room).select("kid", "size", "at")
+        fit = keys.filter(F.col("size") <= rooms.room)
+        laid = rooms.lay(keys.filter(F.col("size") > rooms.room).select("kid", "hid", "size").collect())
+        classes = sorted(r["class"] for r in fit.select("class").distinct().collect())
+    for class_ in classes:
+        waiting = fit.filter(F.col("class") == class_).select("kid", "hid", "size", "at")
         round_ = idle = 0
-        while waiting.limit(bound + 1).count() > bound and (rounds is None or round_ < rounds) and idle < IDLE_ROUNDS:
+        while (rounds is None or round_ < rounds) and idle < IDLE_ROUNDS:
             wishes = waiting.withColumn("best", _wish(rooms.left, round_)).withColumn(
-                "step", F.pmod(F.xxhash64("kid", F.lit(17 + round_)), F.lit(QUOTA_STEPS)).cast("int"))
+                "step", F.pmod(F.xxhash64("hid", F.lit(17 + round_)), F.lit(QUOTA_STEPS)).cast("int"))
             asked = wishes.filter("best is not null").groupBy("best", "step").agg(F.sum("size").alias("n")).collect()
+            if not asked:
+                break
             admitted = []
             for r in sorted(asked, key=lambda r: (r["best"], r["step"])):
                 if r["n"] <= rooms.left[r["best"]]:
                     rooms.take(r["best"], r["n"])
                     admitted.append((r["best"], r["step"], r["best"]))
-            quota = spark.createDataFrame(admitted, "best int, step int, home int")
-            decided = stored(wishes.join(F.broadcast(quota), ["best", "step"], "left").select("kid", "size", "at", "home"), "shard-wishes")
-            homes.append(decided.filter("home is not null").select("kid", "home", F.lit(None).cast("int").alias("cut")))
-            waiting = decided.filter("home is null").drop("home")
+            if admitted:
+                quota = spark.createDataFrame(admitted, "best int, step int, home int")
+                decided = stored(wishes.join(F.broadcast(quota), ["best", "step"], "left").select(
+                    "kid", "hid", "size", "at", "home"), "shard-wishes")
+                homes.append(decided.filter("home is not null").select("kid", "home", F.lit(None).cast("int").alias("cut")))
+                waiting = decided.filter("home is null").drop("home")
             idle = 0 if admitted else idle + 1
             round_ += 1
-        rest = waiting.limit(bound + 1).collect()
-        if len(rest) <= bound:
-            dealt += rooms.deal(rest)
-    settled = spark.createDataFrame(dealt, "kid long, home int, cut int")
+    settled = spark.createDataFrame(laid, "kid long, home int, cut int")
     for part in homes:
         settled = settled.union(part)
     # written before the join, so that a join of a hot key has two plain sides and can be split
@@ -163,7 +168,7 @@ def _with_homes(rows: DataFrame, homes: DataFrame) -> DataFrame:
 def propagate(rows: DataFrame, shards: int, rounds: int | None = None) -> DataFrame:
     """Adds ``label`` to rows of ``(row, key)``: linked rows drawn together within the rooms.
 
-    ``row`` tells rows apart; ``key`` links them. Rows of keys that are cut, and
+    ``row`` is the rows' id, whose hash deals them; ``key`` links them. Rows of keys that are cut, and
     unlinked ones, keep the shard they were dealt. ``rounds`` bounds the rounds;
     0 leaves all rows as dealt.
     """
@@ -202,10 +207,10 @@ def shard(docs: DataFrame, shards: int, *, rounds: int | None = None, id_col: st
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(text, F.lit(""))).alias("text_crc32"),
         (text_key(text) if key is None else key).alias("key"), F.monotonically_increasing_id().alias("row")), "shard-rows")
-    homes, rooms = _place(rows.select("row", "key"), shards, rounds)
+    homes, rooms = _place(rows.select(F.col("doc_id").alias("row"), "key"), shards, rounds)
     cuts = len(rooms.cut)
     rank = F.coalesce("cut", F.col("home") + F.lit(cuts + 2), F.when(F.col("linked"), F.lit(cuts)).otherwise(F.lit(cuts + 1)))
-    placed = _numbered(_with_homes(rows, homes).withColumn("rank", rank), ["rank", "key", "doc_id", "row"])
+    placed = _numbered(_with_homes(rows, homes).withColumn("rank", rank), ["rank", "key", "doc_id", "size", "text_crc32", "row"])
     ranges = rows.sparkSession.createDataFrame(rooms.ranges(), "lo long, hi long, shard int, first long")
     return (placed.join(F.broadcast(ranges), (F.col("number") >= F.col("lo")) & (F.col("number") < F.col("hi")))
             .withColumn("slot", F.col("number") - F.col("lo") + F.col("first"))
