@@ -19,11 +19,14 @@ from ..operators import clean as cl
 from ..operators import features as fe
 from ..operators import folds as fo
 from ..operators import models as mo
+from ..operators import penalty as pn
 from ..operators import reshape as rs
 from ..operators import scenarios as sc
+from ..operators.quantiles import exact_quantiles_many
 from ..session import checkpoint, ensure_checkpoint_dir
-from .fixtures import fixture
+from .fixtures import fixture, with_fixtures
 from .q_features import AGE_BANDS, PRIORITY_ORDER
+from .q_folds import _md5_bucket_sql
 from .registry import register
 
 NUMERIC = ["glob_hlth_03", "glob_hlth_12", "hincome_03", "hincome_12", "n_orders_03", "n_orders_12",
@@ -135,6 +138,50 @@ def lasso_stack(spark, sf_dir):
     return pred.select(*KEYS, "label", bl.directed_round("prediction").alias("composite_score_linear1"))
 
 
+# What the path plans solve: two features with nulls, at fills and penalties that keep and that drop them.
+PATH_COLUMNS, PATH_QUANTILES, PATH_PENALTIES = ("hincome_12", "n_orders_12"), (0.25, 0.5), (0.0, 0.5, 50.0)
+
+# One feature's lasso is its covariance with the label, shrunk, over its variance; two features without a penalty are Cramer's rule.
+PATH_SQL = f"""
+WITH x AS (SELECT {_md5_bucket_sql(5, "l.uid", "42")} AS fold, l.composite_score AS y, CAST(f.hincome_12 AS DOUBLE) AS a, CAST(f.n_orders_12 AS DOUBLE) AS b
+           FROM f_labels l LEFT JOIN f_features f ON l.uid = f.uid),
+q AS (SELECT unnest([0.25, 0.5]) AS quantile, unnest(quantile_cont(a, [0.25, 0.5])) AS qa, unnest(quantile_cont(b, [0.25, 0.5])) AS qb FROM x),
+z AS (SELECT fold, y, quantile, coalesce(a, qa) AS a, coalesce(b, qb) AS b FROM x, q),
+folds AS (SELECT DISTINCT fold AS held FROM x),
+m AS (SELECT held, quantile, avg(y) AS my, avg(a) AS ma, avg(b) AS mb, var_pop(a) AS va, var_pop(b) AS vb,
+             covar_pop(a, y) AS ca, covar_pop(b, y) AS cb, covar_pop(a, b) AS ab
+      FROM z, folds WHERE fold <> held GROUP BY held, quantile),
+models AS (
+  SELECT 'hincome_12' AS features, penalty, held, quantile, sign(ca) * greatest(abs(ca) - penalty, 0) / va AS wa, CAST(0 AS DOUBLE) AS wb, my, ma, mb
+  FROM m, (VALUES (0.0), (0.5), (50.0)) p(penalty)
+  UNION ALL SELECT 'n_orders_12', penalty, held, quantile, 0, sign(cb) * greatest(abs(cb) - penalty, 0) / vb, my, ma, mb
+  FROM m, (VALUES (0.0), (0.5), (50.0)) p(penalty)
+  UNION ALL SELECT 'hincome_12 n_orders_12', 0.0, held, quantile, (ca * vb - cb * ab) / (va * vb - ab * ab), (cb * va - ca * ab) / (va * vb - ab * ab), my, ma, mb FROM m)
+SELECT features, CAST(penalty AS DOUBLE) AS penalty, CAST(models.quantile AS DOUBLE) AS quantile, CAST(held AS BIGINT) AS fold,
+       round(any_value(wa), 6) AS w_income, round(any_value(wb), 6) AS w_orders, round(any_value(my - wa * ma - wb * mb), 6) AS intercept,
+       count(*) AS n_held, round(sqrt(avg((y - my - wa * (a - ma) - wb * (b - mb)) ** 2)), 6) AS rmse_held
+FROM models JOIN z ON z.fold = models.held AND z.quantile = models.quantile GROUP BY features, penalty, models.quantile, held"""
+
+
+@register("penalty_path", with_fixtures(PATH_SQL, "f_labels", "f_features"))
+def penalty_path(spark, sf_dir):
+    """Lasso models of every fold, fill and penalty from one scan's cross products (M9)."""
+    x = fixture(spark, sf_dir, "f_labels").join(fixture(spark, sf_dir, "f_features"), "uid", "left")
+    x = checkpoint(fo.kfold(x.select("uid", F.col("composite_score").alias("label"), *PATH_COLUMNS), "uid", 5, 42, out="fold"))
+    fills = exact_quantiles_many(x, list(PATH_COLUMNS), list(PATH_QUANTILES))
+    found = pn.moments(x, PATH_COLUMNS, "fold", centers=[fills[c][-1] for c in PATH_COLUMNS])
+    rows = []
+    for i, quantile in enumerate(PATH_QUANTILES):
+        for columns, penalties in ([(c,), PATH_PENALTIES] for c in PATH_COLUMNS):
+            rows += [(" ".join(columns), quantile, m) for m in pn.path(found, penalties, [fills[c][i] for c in PATH_COLUMNS], columns)]
+        rows += [(" ".join(PATH_COLUMNS), quantile, m) for m in pn.path(found, [0.0], [fills[c][i] for c in PATH_COLUMNS])]
+    # a row for each model
+    return spark.createDataFrame([
+        (name, m.penalty, quantile, m.fold, *(round(m.coefficients.get(c, 0.0), 6) + 0.0 for c in PATH_COLUMNS), round(m.intercept, 6),
+         m.held_rows, round((m.held_error / m.held_rows) ** 0.5, 6)) for name, quantile, m in rows],
+        "features string, penalty double, quantile double, fold long, w_income double, w_orders double, intercept double, n_held long, rmse_held double")
+
+
 @register("weighted_refit")
 def weighted_refit(spark, sf_dir):
     """Refit with per-group weights softmax(+RMSE/10) of a first model's errors."""

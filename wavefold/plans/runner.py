@@ -31,6 +31,7 @@ from ..operators import features as fe
 from ..operators import folds as fo
 from ..operators import groupstats as gs
 from ..operators import models as mo
+from ..operators import penalty as pn
 from ..operators import participation as pa
 from ..operators import reshape as rs
 from ..operators import scenarios as sc
@@ -374,24 +375,18 @@ def _stack_inputs(df: DataFrame, fills: dict) -> DataFrame:
 
 def fit_stack(wide: DataFrame, columns: Sequence[str], fold: str, n_trials: int, seed: int = 1):
     """L1 stack over features and base predictions (M9): penalty and filling quantile are searched by
-    the error over grouped folds. Returns (model, fill values)."""
+    the error over grouped folds, all trials from one scan. Returns (model, fill values)."""
     rng = random.Random(seed)
     trials = [STACK_SPACE.sample(rng) for _ in range(max(1, n_trials))]
     fills = exact_quantiles_many(wide, columns, [t["quantile"] for t in trials])
-    folds = sorted(r[0] for r in wide.select(fold).distinct().collect())  # k rows
-    best = None
-    for i, t in enumerate(trials):
-        here = {c: fills[c][i] for c in columns}
-        x = _stack_inputs(wide, here).select("label", fold, mo.FEATURES)
-        est = mo.make_regressor("lasso", {"regParam": t["regParam"]}, 5)
-        if n_trials > 1:
-            parts = [est.fit(x.where(F.col(fold) != k)).transform(x.where(F.col(fold) == k)) for k in folds]
-            error = rs.union_all(parts).agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("label"), 2)))).first()[0]
-        else:
-            error = 0.0
-        if best is None or error < best[0]:
-            best = (error, est, here, x)
-    return best[1].fit(best[3]), best[2]
+    best = 0
+    if n_trials > 1:
+        found = pn.moments(wide, columns, fold, centers=[fills[c][0] for c in columns])
+        errors = pn.search(found, [(t["regParam"], [fills[c][i] for c in columns]) for i, t in enumerate(trials)])
+        best = min(range(len(trials)), key=lambda i: (errors[i], i))
+    here = {c: fills[c][best] for c in columns}
+    est = mo.make_regressor("lasso", {"regParam": trials[best]["regParam"]}, 5)
+    return est.fit(_stack_inputs(wide, here).select("label", mo.FEATURES)), here
 
 
 def _prep_values(prep: Prep) -> dict:
