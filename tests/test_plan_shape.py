@@ -39,8 +39,10 @@ def test_scenarios_expand_after_the_joins(spark):
     f = fixture(spark, SF, "f_features")
     rows = fixture(spark, SF, "f_labels").select("uid", "year").join(f, "uid")
     text = plan_text(sc.override(rows, [sc.Scenario("edu_gru", "BUILDING", False, True)]))
-    generate = text.index("Generate")
-    assert "Join" not in text[:generate] and "Exchange" not in text[:generate]
+    # above the expansion the rows meet the scenario table, broadcast; they are not shuffled, and no scenario is a literal
+    above = text[:text.index("Generate")]
+    assert above.count("Join") == 1 and "BroadcastHashJoin" in above and "Exchange" not in above
+    assert "BUILDING" not in text
 
 
 def test_scenarios_that_do_not_fit_are_listed(spark):

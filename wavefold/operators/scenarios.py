@@ -1,20 +1,26 @@
 """Counterfactual scenarios.
 
 A scenario overrides one feature with one category (or shifts an income by
-its median). Instead of one file per scenario, the scenario list — a small,
-driver-side catalogue — is expanded with a generator over a literal array, so
-the row × scenario table is produced inside each task without a join, and is
-partitioned by ``feature_category`` when written.
+its median). The scenarios are a table, derived from the catalogue by Spark. A row
+is repeated for each feature that any scenario changes (a short list of column
+names) and meets that feature's scenarios in an equi-join: broadcast while the
+scenario table is small, salted by the row beyond that, so that neither a feature
+with many categories nor one with few lands in one task.
+
+Scoring needs fewer rows. A scenario changes one feature, so only rows whose value
+differs from the category can get another score (``override(..., changed=True)``);
+``delta_means`` scores those and takes the rest from the baseline's sums.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Sequence
+from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
 from .quantiles import exact_quantiles_many
 
 # The reference's numeric survey features (excluded from the
@@ -27,6 +33,13 @@ INCOME_FEATURES = ("hincome", "hinc_business", "hinc_rent", "hinc_assets", "hinc
 
 WAVES = ("_03", "_12")
 
+#: Scenarios that are broadcast (a few hundred bytes each); more meet the rows in a salted join.
+BROADCAST_SCENARIOS = 50_000
+#: Salts of that join.
+SALTS = 64
+
+TABLE = "feature string, category string, y03 boolean, y12 boolean, feature_category string"
+
 
 def catalogue(df: DataFrame, key: str = "uid") -> DataFrame:
     """Every observed value per base feature with wave flags and counts.
@@ -119,24 +132,99 @@ def split_valid(df: DataFrame, scenarios: Sequence[Scenario]) -> tuple[list[Scen
     return good, spark.createDataFrame(bad, "feature_category string, feature string, category string, error string")
 
 
-def override(df: DataFrame, scenarios: Sequence[Scenario], only_12: bool = False) -> DataFrame:
-    """Row × scenario table: the scenario's feature is set to its category where not NULL."""
-    if not scenarios:   # no scenario passed the catalogue filter: an empty table, same schema
+def scenario_table(cat: DataFrame, only_12: bool = False) -> DataFrame:
+    """The scenarios of a filtered catalogue, as a table of ``TABLE``'s columns; nothing reaches the driver."""
+    name = F.concat(F.col("feature_name"), F.lit("@"), F.col("category"), F.lit("_12" if only_12 else ""))
+    return cat.select(
+        F.col("feature_name").alias("feature"), "category",
+        (F.col("year_03") & F.lit(not only_12)).alias("y03"), F.col("year_12").alias("y12"),
+        F.translate(name, " .,/()", "____").alias("feature_category"))
+
+
+def valid_table(df: DataFrame, table: DataFrame) -> DataFrame:
+    """The scenarios ``df`` can take: the feature is there and the category is of its columns' types."""
+    types, by_type = dict(df.dtypes), {}
+    for c, t in types.items():
+        if c.endswith(WAVES):
+            by_type.setdefault(t, set()).add(c[:-3])
+    fits = [F.when(F.col("feature").isin(sorted(names)), F.col("category").try_cast(t).isNotNull()) for t, names in sorted(by_type.items())]
+    if not fits:
+        return table.where(F.lit(False))
+    known = F.col("feature").isin(sorted(set().union(*by_type.values())))
+    return table.where(known & ~F.exists(F.array(*fits), lambda f: ~F.coalesce(f, F.lit(True))))
+
+
+def _as_table(df: DataFrame, scenarios: Sequence[Scenario] | DataFrame, only_12: bool) -> DataFrame:
+    if isinstance(scenarios, DataFrame):
+        return scenarios
+    return df.sparkSession.createDataFrame(
+        [(s.feature, s.category, s.year_03 and not only_12, s.year_12, s.ident(only_12)) for s in scenarios], TABLE)
+
+
+def _changes(df: DataFrame, feature: str) -> list[tuple[str, Column, Column]]:
+    """(column, is overridden, value) of the feature's waves in rows that have met their scenario as ``_s``."""
+    types, out = dict(df.dtypes), []
+    for wave, flag in zip(WAVES, ("y03", "y12")):
+        c = f"{feature}{wave}"
+        if c in types:
+            hit = (F.col("_s.feature") == feature) & F.col(f"_s.{flag}") & F.col(f"`{c}`").isNotNull()
+            out.append((c, hit, F.col("_s.category").try_cast(types[c])))
+    return out
+
+
+def override(df: DataFrame, scenarios: Sequence[Scenario] | DataFrame, only_12: bool = False, changed: bool = False) -> DataFrame:
+    """Row × scenario table: the scenario's feature is set to its category where not NULL.
+
+    ``scenarios`` is a list or a table (``scenario_table``; ``only_12`` is then that
+    table's). ``changed`` gives only rows whose values differ from the scenario's. No
+    scenario gives no rows; a feature ``df`` does not have changes nothing.
+    """
+    table = _as_table(df, scenarios, only_12).select(*[c.split()[0] for c in TABLE.split(", ")])
+    features = sorted(r[0] for r in table.select("feature").distinct().collect())  # names of columns
+    if not features:
         return df.where(F.lit(False)).withColumn("feature_category", F.lit(None).cast("string"))
-    types = dict(df.dtypes)
-    arr = F.array(*[F.struct(F.lit(s.feature).alias("f"), F.lit(s.category).alias("cat"),
-                             F.lit(s.year_03 and not only_12).alias("y03"), F.lit(s.year_12).alias("y12"),
-                             F.lit(s.ident(only_12)).alias("id")) for s in scenarios])
-    x = df.select("*", F.explode(arr).alias("_s"))
-    exprs = {}
-    for s_base in sorted({s.feature for s in scenarios}):
-        for wave, flag in (("_03", "y03"), ("_12", "y12")):
-            c = f"{s_base}{wave}"
-            if c not in df.columns:
-                continue
-            hit = (F.col("_s.f") == s_base) & F.col(f"_s.{flag}") & F.col(c).isNotNull()
-            exprs[c] = F.when(hit, F.col("_s.cat").try_cast(types[c])).otherwise(F.col(c))
-    return x.withColumns(exprs).withColumn("feature_category", F.col("_s.id")).drop("_s")
+    rows = df.withColumn("_feature", F.explode(F.array(*[F.lit(f) for f in features])))
+    met = table.select(F.col("feature").alias("_on"), F.struct("*").alias("_s"))
+    if table.limit(BROADCAST_SCENARIOS + 1).count() <= BROADCAST_SCENARIOS:
+        x = rows.join(F.broadcast(met), F.col("_feature") == F.col("_on"))
+    else:
+        rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS)))
+        met = met.withColumn("_at", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        x = rows.join(met, (F.col("_feature") == F.col("_on")) & (F.col("_salt") == F.col("_at")))
+    changes = [c for f in features for c in _changes(df, f)]
+    if changed:
+        differs = [hit & ~value.eqNullSafe(F.col(f"`{c}`")) for c, hit, value in changes]
+        x = x.where(F.exists(F.array(F.lit(False), *[F.coalesce(d, F.lit(False)) for d in differs]), lambda d: d))
+    exprs = {c: F.when(hit, value).otherwise(F.col(f"`{c}`")) for c, hit, value in changes}
+    return x.withColumns(exprs).withColumn("feature_category", F.col("_s.feature_category")).select(*[F.col(f"`{c}`") for c in df.columns if c != "feature_category"], "feature_category")
+
+
+def delta_means(rows: DataFrame, scenarios: Sequence[Scenario] | DataFrame, score: Callable[[DataFrame], DataFrame],
+                by: str = "year", only_12: bool = False) -> DataFrame:
+    """Mean score of every scenario and ``by``, scoring only rows that a scenario changes.
+
+    ``score`` adds ``prediction`` to rows, row by row. A mean is the baseline's sum and
+    what the changed rows add to it. Returns (feature_category, by, n, n_scored,
+    mean_predicted); a null prediction counts in ``n`` and not in the mean.
+    """
+    table = _as_table(rows, scenarios, only_12)
+    base = checkpoint(score(rows).select(*[F.col(f"`{c}`") for c in rows.columns], F.col("prediction").alias("_base")))
+    known = lambda c: F.count(c).cast("long")
+    totals = base.groupBy(by).agg(F.count(F.lit(1)).alias("n"), known("_base").alias("_k"), F.sum("_base").alias("_sum"))
+    moved = score(override(base, table, changed=True)).groupBy("feature_category", by).agg(
+        F.count(F.lit(1)).alias("n_scored"), (known("prediction") - known("_base")).alias("_dk"),
+        F.sum(F.coalesce("prediction", F.lit(0.0)) - F.coalesce("_base", F.lit(0.0))).alias("_d"))
+    # every scenario has a row for every value of ``by``, which are few: they come as one list beside it
+    listed = totals.agg(F.collect_list(F.struct(by, "n", "_k", "_sum")).alias("_t")).first()["_t"]
+    if not listed:
+        return totals.select(F.lit("").alias("feature_category"), by, "n", F.col("n").alias("n_scored"), F.col("_sum").alias("mean_predicted"))
+    each = F.explode(F.array(*[F.struct(*[F.lit(r[c]).cast(totals.schema[c].dataType).alias(c) for c in totals.columns]) for r in listed]))
+    out = table.select("feature_category", each.alias("_t")).select("feature_category", "_t.*")
+    out = out.alias("o").join(moved.alias("m"), (F.col("o.feature_category") == F.col("m.feature_category"))
+                              & F.col(f"o.{by}").eqNullSafe(F.col(f"m.{by}")), "left")
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    return out.select("o.feature_category", f"o.{by}", "n", zero("n_scored").alias("n_scored"),
+                      ((zero("_sum") + zero("_d")) / F.nullif(F.col("_k") + zero("_dk"), F.lit(0))).alias("mean_predicted"))
 
 
 def median_shift(df: DataFrame, features: Sequence[str] = INCOME_FEATURES) -> DataFrame:

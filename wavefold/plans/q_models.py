@@ -222,11 +222,15 @@ def score_scenarios(spark, sf_dir):
     model = mo.fit_pipeline(train, stages, mo.make_regressor("forest", {"numTrees": 10}, 42))
     cat = sc.filter_catalogue(sc.catalogue(raw.select("uid", "glob_hlth_03", "glob_hlth_12", "edu_gru_12"),
                                            "uid"), ("age",), 100)
-    # the join by key comes before the expansion: scenarios change no key
-    rows = sc.override(lab.select("uid", "year").join(raw, "uid"), sc.split_valid(raw, sc.scenarios_from(cat))[0])
-    scored = model.transform(mo.prepare_inputs(encoded_features(rows), NUMERIC, CATEGORICAL))
-    return scored.groupBy("feature_category", "year").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("prediction").alias("mean_predicted"))
+    # the join by key comes before the scenarios, which change no key; only rows that a scenario changes are scored again
+    rows, table = lab.select("uid", "year").join(raw, "uid"), sc.valid_table(raw, sc.scenario_table(cat))
+
+    def score(x):
+        scored = model.transform(mo.prepare_inputs(encoded_features(
+            x.withColumns({f"_raw_{c}": F.col(c) for c in raw.columns})), NUMERIC, CATEGORICAL))
+        return scored.withColumns({c: F.col(f"_raw_{c}") for c in raw.columns})
+
+    return sc.delta_means(rows, table, score)
 
 
 @register("stream_score_scenarios")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from ..functions.exprs import round_doubles
 from ..operators import scenarios as sc
@@ -59,9 +60,41 @@ FROM f_features f, keep k""", "f_features"))
 def scenario_override(spark, sf_dir):
     """Every kept (feature, category) scenario applied to every row."""
     cat = sc.filter_catalogue(_catalogue(spark, sf_dir), ("age", "hincome"), 100)
-    scen = sc.scenarios_from(cat)
     f = fixture(spark, sf_dir, "f_features").select(*CAT_COLS)
-    return sc.override(f, scen)
+    return sc.override(f, sc.scenario_table(cat))
+
+
+# a score that SQL can state, of every feature a scenario changes
+@register("scenario_delta", with_fixtures(f"""
+WITH {CATALOGUE_SQL},
+keep AS (SELECT * FROM cat WHERE greatest(count_03, count_12) > 100),
+r AS (SELECT l.year, f.* FROM f_labels l JOIN f_features f ON l.uid = f.uid),
+x AS (SELECT {_clean_sql("k.feature_name || '@' || k.category")} AS feature_category, r.year,
+  glob_hlth_03 AS h3, glob_hlth_12 AS h12, edu_gru_12 AS e12, bmi_12 AS b12, n_orders_03 AS n3, n_orders_12 AS n12,
+  CASE WHEN k.feature_name = 'glob_hlth' AND r.glob_hlth_03 IS NOT NULL THEN k.category ELSE r.glob_hlth_03 END AS t3,
+  CASE WHEN k.feature_name = 'glob_hlth' AND r.glob_hlth_12 IS NOT NULL THEN k.category ELSE r.glob_hlth_12 END AS t12,
+  CASE WHEN k.feature_name = 'edu_gru' AND r.edu_gru_12 IS NOT NULL THEN k.category ELSE r.edu_gru_12 END AS u12,
+  CASE WHEN k.feature_name = 'bmi' AND r.bmi_12 IS NOT NULL THEN TRY_CAST(k.category AS INTEGER) ELSE r.bmi_12 END AS c12,
+  CASE WHEN k.feature_name = 'n_orders' AND r.n_orders_03 IS NOT NULL THEN TRY_CAST(k.category AS BIGINT) ELSE r.n_orders_03 END AS o3,
+  CASE WHEN k.feature_name = 'n_orders' AND r.n_orders_12 IS NOT NULL THEN TRY_CAST(k.category AS BIGINT) ELSE r.n_orders_12 END AS o12
+  FROM r, keep k)
+SELECT feature_category, year, count(*) AS n,
+  count(*) FILTER (h3 IS DISTINCT FROM t3 OR h12 IS DISTINCT FROM t12 OR e12 IS DISTINCT FROM u12 OR b12 IS DISTINCT FROM c12
+                   OR n3 IS DISTINCT FROM o3 OR n12 IS DISTINCT FROM o12) AS n_scored,
+  round(avg(CAST(7 * length(t3) + coalesce(length(t12), 0) * o12 + 3 * length(u12) - c12 + 5 * o3 AS DOUBLE)), 6) AS mean_predicted
+FROM x GROUP BY feature_category, year""", "f_features", "f_labels"))
+def scenario_delta(spark, sf_dir):
+    """Means of every scenario by a stated score, of which only changed rows are computed."""
+    table = sc.scenario_table(sc.filter_catalogue(_catalogue(spark, sf_dir), (), 100))
+    rows = fixture(spark, sf_dir, "f_labels").select("uid", F.col("year").cast("int").alias("year")).join(
+        fixture(spark, sf_dir, "f_features").select(*CAT_COLS), "uid")
+
+    def score(x):
+        return x.withColumn("prediction", (
+            7 * F.length("glob_hlth_03") + F.coalesce(F.length("glob_hlth_12"), F.lit(0)) * F.col("n_orders_12")
+            + 3 * F.length("edu_gru_12") - F.col("bmi_12") + 5 * F.col("n_orders_03")).cast("double"))
+
+    return round_doubles(sc.delta_means(rows, sc.valid_table(rows, table), score))
 
 
 @register("scenario_median_shift", with_fixtures("""
