@@ -126,3 +126,36 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(df).collect() == []
     assert simhash.keep_first(df).collect() == []
+
+
+def _linked(points, links):
+    root = {p: p for p in points}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    return {p: find(p) for p in points}
+
+
+@pytest.mark.parametrize("shape", ["spread", "ball"])
+def test_large_leaves_are_split_again(spark, shape):
+    rng = np.random.default_rng(11)
+    one = lambda n: np.uint64(1) << rng.integers(0, 64, n, dtype=np.uint64)
+    if shape == "spread":
+        far = rng.integers(0, 2**64, 1500, dtype=np.uint64)
+        points = np.unique(np.concatenate([far, far[:700] ^ one(700), far[:300] ^ one(300) ^ one(300)]))
+    else:  # no vantage point parts points that are all six bits apart or closer
+        points = np.unique(np.uint64(12345) ^ one(1500) ^ one(1500) ^ one(1500))
+    df = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fp long")
+    shards = simhash.shards_of(df, 2, shard_points=16, tree_sample=32, leaf_points=200).groupBy("shard").count().collect()
+    assert max(r["count"] for r in shards) <= (200 if shape == "spread" else 260) and len(shards) > len(points) / 200
+    links = simhash.link_fingerprints(df, 2, shard_points=16, tree_sample=32, leaf_points=200).collect()
+    near = np.bitwise_count(points[:, None] ^ points[None, :]) <= 2
+    signed = [int(p) for p in points.view(np.int64)]
+    pairs = [(signed[i], signed[j]) for i, j in zip(*np.nonzero(near)) if i > j]
+    assert _linked(signed, [(r.a, r.b) for r in links]) == _linked(signed, pairs)

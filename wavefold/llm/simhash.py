@@ -47,6 +47,8 @@ from wavefold.session import checkpoint
 TREE_SAMPLE = 16_384
 #: Points wanted in a shard, and in a block that is compared pair by pair.
 SHARD_POINTS, BLOCK_POINTS = 2_048, 512
+#: A leaf of more than so many shards' points is split again, by a tree fitted on some LEAF_SAMPLE of them.
+LEAF_SHARDS, LEAF_SAMPLE = 32, 4_096
 #: Pairs of fingerprints compared at once.
 COMPARE_CELLS = 2_000_000
 #: Shingles whose bits are counted at once.
@@ -184,11 +186,16 @@ def stars(points: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return both[0], both[1]
 
 
-def link_fingerprints(points: DataFrame, bits: int, shard_points: int = SHARD_POINTS) -> DataFrame:
-    """Star links ``(a, b)``, b < a as unsigned numbers mapped to longs, over distinct ``fp`` values."""
-    spark = points.sparkSession
+def shards_of(points: DataFrame, bits: int, shard_points: int = SHARD_POINTS, tree_sample: int = TREE_SAMPLE,
+              leaf_points: int | None = None) -> DataFrame:
+    """``(shard, fp)``: every link of ``bits`` among distinct ``fp`` values has both its ends in some shard.
+
+    No shard has more than ``leaf_points`` rows (LEAF_SHARDS times ``shard_points``), give or take
+    a hash's spread over the pieces of a leaf that cannot be parted.
+    """
+    bound = leaf_points or LEAF_SHARDS * shard_points
     total = points.count()
-    take = min(TREE_SAMPLE, total // 8)
+    take = min(tree_sample, total // 8)
     sample = [r.fp for r in points.orderBy(F.xxhash64("fp"), "fp").limit(take).collect()] if take else []
     tree = VantageTree(np.array(sample, np.int64).view(np.uint64), total, bits, shard_points)
 
@@ -196,14 +203,61 @@ def link_fingerprints(points: DataFrame, bits: int, shard_points: int = SHARD_PO
         for batch in batches:
             fps = batch.column(0).to_numpy(zero_copy_only=False)
             for leaf, at in tree.leaves_of(fps.view(np.uint64)):
-                yield pa.RecordBatch.from_pydict({"shard": pa.array(np.full(len(at), leaf, np.int32)), "fp": pa.array(fps[at])})
+                yield pa.RecordBatch.from_pydict({"shard": pa.array([str(leaf)] * len(at)), "fp": pa.array(fps[at])})
+
+    def split(part: pa.Table) -> pa.Table:
+        # a salt's rows of one leaf, and the leaf's sample, which is the same for every salt
+        fps = np.ascontiguousarray(part.column("fp").to_numpy())
+        drawn = part.column("drawn").to_numpy(zero_copy_only=False).astype(bool)
+        here = VantageTree(np.sort(fps[drawn]).view(np.uint64), part.column("n")[0].as_py(), bits, shard_points)
+        old, mine = part.column("shard")[0].as_py(), fps[~drawn]
+        found = [(leaf, mine[at]) for leaf, at in here.leaves_of(mine.view(np.uint64))]
+        names = [f"{old}.{leaf}" for leaf, at in found for _ in range(len(at))]
+        return pa.table({"shard": pa.array(names, pa.string()), "fp": pa.array(np.concatenate([mine[:0], *(at for _, at in found)])),
+                         "whole": pa.array([here.leaves == 1] * len(names), pa.bool_())})
+
+    done, level = [], 0
+    sent = stored(points.select("fp").mapInArrow(send, "shard string, fp long"), "simhash-sent").withColumn("whole", F.lit(False))
+    while True:
+        sizes = stored(sent.groupBy("shard", "whole").agg(F.count("*").alias("n")).filter(F.col("n") > bound), "simhash-large")
+        if sizes.isEmpty():
+            return _all([*done, sent.select("shard", "fp")])
+        done.append(sent.join(sizes, ["shard", "whole"], "left_anti").select("shard", "fp"))
+        large = sent.join(sizes, ["shard", "whole"])
+        # pieces of half the bound: any two of them are one shard
+        piece, pieces = F.xxhash64("fp", F.lit(-1)), F.ceil(F.col("n") * 2 / bound).cast("int")
+        ball = large.filter("whole").withColumn("p", F.pmod(piece, pieces).cast("int")).withColumn(
+            "o", F.explode(F.sequence(F.lit(0), pieces - 1)))
+        done.append(ball.select(F.concat_ws("|", "shard", F.least("p", "o"), F.greatest("p", "o")).alias("shard"), "fp"))
+        level += 1
+        salts = F.ceil(F.col("n") / bound).cast("int")
+        rows = large.filter("not whole").select("shard", "fp", "n", salts.alias("salts"))
+        wanted = float(min(LEAF_SAMPLE, max(64, tree_sample)) << 30)
+        chance = F.pmod(F.xxhash64("fp", F.lit(level)), F.lit(1 << 30)).cast("double") * F.col("n")
+        drawn = rows.filter(chance < wanted).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        salted = rows.withColumn("salt", F.pmod(F.xxhash64("fp", F.lit(-level)), "salts").cast("int"))
+        both = salted.select("shard", "salt", "fp", "n", F.lit(False).alias("drawn")).unionByName(
+            drawn.select("shard", "salt", "fp", "n", F.lit(True).alias("drawn")))
+        sent = stored(both.groupBy("shard", "salt").applyInArrow(split, "shard string, fp long, whole boolean"), "simhash-sent")
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def link_fingerprints(points: DataFrame, bits: int, shard_points: int = SHARD_POINTS, tree_sample: int = TREE_SAMPLE,
+                      leaf_points: int | None = None) -> DataFrame:
+    """Star links ``(a, b)``, b < a as unsigned numbers mapped to longs, over distinct ``fp`` values."""
 
     def compare(shard: pa.Table) -> pa.Table:
         fps = np.ascontiguousarray(shard.column("fp").to_numpy()).view(np.uint64)
         a, b = stars(fps, bits)
         return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
-    sent = points.select("fp").mapInArrow(send, "shard int, fp long")
+    sent = shards_of(points, bits, shard_points, tree_sample, leaf_points)
     return sent.groupBy("shard").applyInArrow(compare, "a long, b long")
 
 
