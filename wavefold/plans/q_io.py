@@ -30,6 +30,27 @@ def csv_roundtrip(spark, sf_dir):
     return round_doubles(io.read_survey_csv(spark, path, FEATURE_SCHEMA))
 
 
+# lines of the wide table, of which some have a field too many or too few, or a word where a number should be
+@register("csv_rejected", with_fixtures("""
+WITH r AS (SELECT CASE uid % 10 WHEN 3 THEN 'width' WHEN 4 THEN 'width' WHEN 7 THEN 'type: bmi_12' WHEN 8 THEN 'type: bmi_12, n_orders_03'
+                  ELSE 'good' END AS reason, bmi_12 FROM f_features)
+SELECT reason, count(*) AS n, CAST(sum(CASE WHEN reason = 'good' THEN bmi_12 END) AS BIGINT) AS sum_bmi FROM r GROUP BY reason""", "f_features"))
+def csv_rejected(spark, sf_dir):
+    """Lines of the wrong width or type go to a side table, the others are typed."""
+    path, kind = _scratch(spark, "lines"), F.col("uid") % 10
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("NA"))
+    line = F.concat_ws(",", text("uid"), F.when(kind == 7, F.lit("tall")).when(kind == 8, F.lit("1x")).otherwise(text("bmi_12")),
+                       F.when(kind != 3, text("hincome_12")), F.when(kind == 8, F.lit("two")).otherwise(text("n_orders_03")),
+                       F.when(kind == 4, F.lit("more")))
+    # one column whose name is the header; without quotes, as it is several fields to a reader
+    lines = fixture(spark, sf_dir, "f_features").select(line.alias("uid,bmi_12,hincome_12,n_orders_03"))
+    lines.write.option("header", True).option("sep", "\t").option("quote", "\u0000").csv(path)
+    good, rejected = io.read_checked_csv(spark, path, "uid bigint, bmi_12 int, hincome_12 double, n_orders_03 bigint")
+    return good.select(F.lit("good").alias("reason"), F.col("bmi_12").cast("long").alias("b")).unionByName(
+        rejected.select("reason", F.lit(None).cast("long").alias("b"))).groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("b").alias("sum_bmi"))
+
+
 @register("tagged_scan", with_fixtures("""
 SELECT uid, year, seed, round(predicted_score, 6) AS predicted_score, model AS source_tag FROM f_predictions""",
                                        "f_predictions"))
