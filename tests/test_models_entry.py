@@ -99,3 +99,46 @@ def test_names_roundtrip_and_schema_difference(spark):
     keep = [r["c"] for r in cl.lookup(df, "c", {"k": "K"}, keep_unmatched=True).collect()]
     drop = [r["c"] for r in cl.lookup(df, "c", {"k": "K"}, keep_unmatched=False).collect()]
     assert keep == ["K", "z"] and drop == ["K", None]
+
+
+def _vectors(spark, extra=""):
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = [(i // 2 if i < 20 else i, i % 3 + 1, float(i % 7), float(i * 13 % 11), float(i % 5), "x" * 5) for i in range(60)]
+    df = spark.createDataFrame(rows, "uid long, fold int, a double, b double, label double, extra string")
+    return VectorAssembler(inputCols=["a", "b"], outputCol=mo.FEATURES).transform(df)
+
+
+def test_fold_models_score_unseen_rows_in_one_pass(spark):
+    x = _vectors(spark)
+    est = mo.make_regressor("forest", {"numTrees": 3}, 1)
+    got = mo.fold_average_predict(x, x, est, "fold", ["uid"])
+    assert "Union" not in got._jdf.queryExecution().optimizedPlan().toString()
+    models = [est.fit(x.where(F.col("fold") != k)) for k in (1, 2, 3)]
+    parts = [m.transform(x).select("uid", "prediction") for m in models]
+    want = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("uid").agg(F.avg("prediction").alias("p"))
+    both = got.join(want, "uid").collect()
+    assert len(both) == got.count() == 50 and all(abs(r["predicted_score"] - r["p"]) < 1e-9 for r in both)
+
+
+def test_search_fits_each_trial_and_fold_once(spark, monkeypatch):
+    from pyspark.ml.regression import GBTRegressor
+
+    fits, fit = [], GBTRegressor._fit
+    monkeypatch.setattr(GBTRegressor, "_fit", lambda self, df: fits.append(df.columns) or fit(self, df))
+    space = mo.Space(ints={"maxDepth": (1, 3)})
+    best, table = mo.random_search(_vectors(spark), "gbt_shallow", space, "fold", 2, 1, params={"maxIter": 2})
+    assert len(fits) == 6 and all("extra" not in columns for columns in fits)
+    scores = [r["score"] for r in table.orderBy("trial").collect()]
+    trials = [space.sample(rng) for rng in [__import__("random").Random(1)] for _ in range(2)]
+    assert best == trials[scores.index(min(scores))]
+
+
+def test_out_of_fold_fits_read_only_their_columns(spark, monkeypatch):
+    from pyspark.ml.regression import RandomForestRegressor
+
+    fits, fit = [], RandomForestRegressor._fit
+    monkeypatch.setattr(RandomForestRegressor, "_fit", lambda self, df: fits.append(df.columns) or fit(self, df))
+    oof = mo.oof_predict(_vectors(spark), mo.make_regressor("forest", {"numTrees": 2}, 1), "fold", ["uid"])
+    assert oof.count() == 60
+    assert len(fits) == 3 and all(sorted(c) == ["features", "fold", "label", "uid"] for c in fits)

@@ -80,19 +80,20 @@ def multi_seed_predictions(spark, sf_dir):
 @register("change_model")
 def change_model(spark, sf_dir):
     """Relative change predictor (M7): OOF for keys with both labels, full fit for the rest."""
-    lab = fixture(spark, sf_dir, "f_labels")
+    lab = checkpoint(fixture(spark, sf_dir, "f_labels"))
     pairs = cl.complete_pairs(lab)
     target = rs.pivot_change(lab).select("uid", F.col("composite_score_diff").alias("label"))
     f = encoded_features(fixture(spark, sf_dir, "f_features"))
     num = [c for c in NUMERIC if c != "year"]
-    x = mo.prepare_inputs(f.join(target, "uid", "left"), num, CATEGORICAL)
+    # materialise the joined rows once, as in `model_table`
+    x = checkpoint(mo.prepare_inputs(f.join(target, "uid", "left"), num, CATEGORICAL))
     stages, _ = mo.assembler_stages(x, num, CATEGORICAL)
-    x = Pipeline(stages=stages).fit(x).transform(x)
-    train = fo.kfold(cl.semi_join(x, pairs).where(F.col("label").isNotNull()), "uid", 5, 42, out="fold1")
+    x = Pipeline(stages=stages).fit(x).transform(x).select("uid", "label", mo.FEATURES)
+    train = checkpoint(fo.kfold(cl.semi_join(x, pairs).where(F.col("label").isNotNull()), "uid", 5, 42, out="fold1"))
     est = mo.make_regressor("gbt_shallow", {"maxIter": 10}, 42)
-    oof = mo.oof_predict(train, est, "fold1", ["uid"], out="composite_score_diff")
+    oof, model = mo.oof_and_full(train, est, "fold1", ["uid"], out="composite_score_diff")
     rest = cl.anti_join(x, train.select("uid"))
-    full = est.fit(train).transform(rest).select(
+    full = model.transform(rest).select(
         "uid", F.lit(0).alias("fold1"), F.lit(None).cast("double").alias("label"),
         F.col("prediction").alias("composite_score_diff"))
     return oof.unionByName(full)
@@ -266,12 +267,11 @@ def fold_average_unseen(spark, sf_dir):
     x, _ = model_table(spark, sf_dir)
     _, _, test_f, test_keys = fixture_inputs(spark, sf_dir)
     unseen = test_keys.join(encoded_features(test_f), "uid")
-    unseen = mo.prepare_inputs(unseen, NUMERIC, CATEGORICAL)
+    # the joins run once, before the models; nothing of them is left in the stage that scores and averages
+    unseen = checkpoint(mo.prepare_inputs(unseen, NUMERIC, CATEGORICAL))
     stages, _ = mo.assembler_stages(unseen, NUMERIC, CATEGORICAL)
     # the assembler's imputation medians come from the training rows
-    prep = Pipeline(stages=stages).fit(mo.prepare_inputs(
-        fixture(spark, sf_dir, "f_labels").join(encoded_features(fixture(spark, sf_dir, "f_features")), "uid", "left"),
-        NUMERIC, CATEGORICAL))
+    prep = Pipeline(stages=stages).fit(x.select(*NUMERIC, *[f"{c}__str" for c in CATEGORICAL]))
     est = mo.make_regressor("forest", {"numTrees": 10}, 42)
     return mo.fold_average_predict(x, prep.transform(unseen), est, "fold", KEYS)
 
