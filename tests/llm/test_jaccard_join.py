@@ -119,3 +119,26 @@ def test_empty_table(spark):
 
 def test_query_is_registered(spark):
     assert "op11_jaccard_join" in queries.QUERIES
+
+
+def test_parities_differ_in_no_more_places_than_the_sets():
+    rng = np.random.default_rng(3)
+    for n, apart in ((0, 5), (40, 0), (40, 7), (300, 60), (5000, 900)):
+        both, a, b = (np.unique(rng.integers(0, 1 << 63, m, dtype=np.uint64)) for m in (n, apart, apart))
+        x, y = (jaccard_join.parities(np.concatenate((both, one))) for one in (a, b))
+        differ = sum(int(v).bit_count() for v in np.bitwise_xor(x, y).view(np.uint64))
+        assert len(x) == 8 and differ <= len(a) + len(b) and (apart or differ == 0)
+
+
+def test_pairs_that_differ_too_much_are_not_compared(spark, monkeypatch):
+    # 40 texts share a passage that makes up too little of each: every list of it used to be compared pair by pair
+    rng, seen = random.Random(4), []
+    passage = " ".join(f"p{i}" for i in range(20))
+    own = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(25)) for _ in range(40)]
+    rows = [(i, f"{passage} {text}", "x", 1) for i, text in enumerate([*own, own[0] + " end"])]
+    plain = jaccard_join.compared
+    monkeypatch.setattr(jaccard_join, "compared", lambda pairs, *a: seen.append(pairs.count()) or plain(pairs, *a))
+    monkeypatch.setattr(jaccard_join, "boundary", lambda sizes, percent: 0)
+    got = jaccard_join.components(spark.createDataFrame(rows, SCHEMA), k=5, percent=80)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, 5, 80)
+    assert sum(seen) < 40

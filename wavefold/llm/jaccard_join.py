@@ -19,7 +19,8 @@ Method (heavy-light):
 4. Lists are not paired out. Every list has a pivot that all its other sets are compared with; what
    links is one component from then on. Only lists that still join several components go on, with
    PIVOTS_GROW times as many pivots in each round, until every pair of one list that
-   is not in one component has been compared. Comparisons are exact, on the texts' whole sets.
+   is not in one component has been compared. A pair whose sets differ in too many places, by the parities of their
+   shingles in PARITIES bits, is passed over; all others are compared exactly, on the texts' whole sets.
 5. The boundary between small and large is the size with the lowest cost: subsets listed, or
    shingles listed and compared (a set's own and its pivot's), over the corpus's histogram of sizes.
 
@@ -54,6 +55,8 @@ from wavefold.llm.words import Vocabulary, chained, mix
 MOST_SMALL = 32
 #: Counters of the sketch, and counters in a row of it (rows of one block are added up in one task).
 SKETCH, SKETCH_ROW = 1 << 20, 1 << 10
+#: Bits of a set's parities.
+PARITIES = 512
 #: Shingles compared with one pivot in a task's stretch of rows.
 CHUNK_SHINGLES = 200_000
 #: Pivots of a list grow by this factor with every round.
@@ -119,12 +122,19 @@ def shingle_sets(texts: list[str | bytes], k: int) -> list[np.ndarray]:
     return out
 
 
-def _key(shingles: np.ndarray) -> str:
-    return xxhash.xxh3_128_hexdigest(shingles.astype("<u8").tobytes())
+def _key(shingles: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(shingles.astype("<u8").tobytes())
 
 
-def _row_hash(doc_id: int | None, key: str) -> np.uint64:
-    return np.uint64(xxhash.xxh64_intdigest(f"{doc_id},{key}"))
+def _row_hash(doc_id: int | None, key: bytes) -> np.uint64:
+    return np.uint64(xxhash.xxh64_intdigest(f"{doc_id},".encode() + key))
+
+
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """PARITIES bits as longs: whether an odd number of the shingles falls on each. Two sets' bits differ in no more
+    places than the sets differ in shingles."""
+    odd = np.bincount((shingles >> np.uint64(40)).astype(np.int64) % PARITIES, minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
 def _signed(hashes) -> pa.Array:
@@ -141,7 +151,7 @@ def _wide(counts: bytes) -> np.ndarray:
 
 
 def described(rows: DataFrame, k: int) -> tuple[DataFrame, Broadcast]:
-    """``(doc_id, n, key, row_hash)`` of every row, and the counters of how often shingles occur."""
+    """``(doc_id, n, key, row_hash, bits)`` of every row (bits: its set's parities), and the counters of how often shingles occur."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_worker_state()
@@ -152,26 +162,28 @@ def described(rows: DataFrame, k: int) -> tuple[DataFrame, Broadcast]:
             keys = [_key(one) for one in sets]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": pa.array(ids, pa.int64()), "n": pa.array([len(one) for one in sets], pa.int64()),
-                "key": pa.array(keys, pa.string()), "row_hash": _signed([_row_hash(i, x) for i, x in zip(ids, keys)]),
+                "key": pa.array(keys, pa.binary()), "row_hash": _signed([_row_hash(i, x) for i, x in zip(ids, keys)]),
+                "bits": pa.array([parities(one) for one in sets], pa.list_(pa.int64())),
                 "block": pa.nulls(len(ids), pa.int32()), "counts": pa.nulls(len(ids), pa.binary())})
         blocks = counters.reshape(-1, SKETCH_ROW)
         full = np.flatnonzero(blocks.any(axis=1))
         yield pa.RecordBatch.from_pydict({
             "doc_id": pa.nulls(len(full), pa.int64()), "n": pa.nulls(len(full), pa.int64()),
-            "key": pa.nulls(len(full), pa.string()), "row_hash": pa.nulls(len(full), pa.int64()),
+            "key": pa.nulls(len(full), pa.binary()), "row_hash": pa.nulls(len(full), pa.int64()),
+            "bits": pa.nulls(len(full), pa.list_(pa.int64())),
             "block": pa.array(full.astype(np.int32)), "counts": pa.array([_narrow(blocks[i]) for i in full], pa.binary())})
 
     def added(block: pa.Table) -> pa.Table:
         total = sum(_wide(x) for x in block.column("counts").to_pylist())
         return pa.table({"block": block.column("block")[:1], "counts": pa.array([_narrow(total)], pa.binary())})
 
-    both = stored(rows.mapInArrow(run, "doc_id long, n long, key string, row_hash long, block int, counts binary"), "jaccard-sets")
+    both = stored(rows.mapInArrow(run, "doc_id long, n long, key binary, row_hash long, bits array<long>, block int, counts binary"), "jaccard-sets")
     totals = (both.filter("block IS NOT NULL").select("block", "counts").groupBy("block")
               .applyInArrow(added, "block int, counts binary"))
     counters = np.zeros((SKETCH // SKETCH_ROW, SKETCH_ROW), np.int64)
     for row in totals.toLocalIterator():
         counters[row.block] = _wide(bytes(row.counts))
-    return (both.filter("block IS NULL").select("doc_id", "n", "key", "row_hash"),
+    return (both.filter("block IS NULL").select("doc_id", "n", "key", "row_hash", "bits"),
             rows.sparkSession.sparkContext.broadcast(counters.ravel()))
 
 
@@ -212,15 +224,15 @@ def listings(rows: DataFrame, chosen: Broadcast, often: Broadcast, k: int, perce
                 own = np.concatenate(own)
                 yield pa.RecordBatch.from_pydict({
                     "token": _signed(np.concatenate(tokens)), "o": pa.array(np.concatenate(os), pa.int32()),
-                    "key": pa.array(keys, pa.string()).take(pa.array(own)),
+                    "key": pa.array(keys, pa.binary()).take(pa.array(own)),
                     "n": pa.array(np.array([len(one) for one in sets], np.int64)[own]),
                     "place": pa.array(np.concatenate(places), pa.int64())})
 
-    return rows.mapInArrow(run, "token long, o int, key string, n long, place long")
+    return rows.mapInArrow(run, "token long, o int, key binary, n long, place long")
 
 
 def _shared(postings: DataFrame) -> DataFrame:
-    """The listings of tokens that several sets have, each once, with the number of sets."""
+    """The listings of tokens that several sets have, each once; ``members``: how many listings that were at most."""
     tokens = stored(postings.groupBy("token", "o").agg(F.count("*").alias("members")).filter("members > 1"), "jaccard-tokens")
     bits = hash_bits(tokens.select("token"))
 
@@ -229,7 +241,7 @@ def _shared(postings: DataFrame) -> DataFrame:
             own = batch.column(batch.schema.get_field_index("token")).to_numpy(zero_copy_only=False).view(np.uint64)
             yield batch.filter(pa.array(hit(bits.value, own)))
 
-    some = postings.mapInArrow(run, postings.schema).join(tokens.select("token", "o"), ["token", "o"]).distinct()
+    some = postings.mapInArrow(run, postings.schema).join(tokens, ["token", "o"]).distinct()
     return stored(some, "jaccard-lists")
 
 
@@ -251,6 +263,15 @@ def _pairs(lists: DataFrame, pivots: DataFrame, percent: int, *more: str) -> Dat
             .select(F.col("key").alias("a"), "n", F.col("p_key").alias("b")).distinct())
 
 
+def _near(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """The pairs but those whose parities show that their sets differ in too many shingles to link."""
+    a = points.select(F.col("key").alias("a"), F.col("bits").alias("a_bits"))
+    b = points.select(F.col("key").alias("b"), F.col("n").alias("p_n"), F.col("bits").alias("b_bits"))
+    differ = F.aggregate(F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda n, x: n + x)
+    shared = F.expr(f"({percent} * (n + p_n) + {99 + percent}) div {100 + percent}")  # `needed`
+    return pairs.join(a, "a").join(b, "b").filter(differ <= F.col("n") + F.col("p_n") - 2 * shared).select("a", "n", "b")
+
+
 def _some(texts: DataFrame, keys: DataFrame) -> DataFrame:
     """``(key, packed)`` once for each key of ``keys``: others are passed over before the shuffle."""
     bits = hash_bits(keys.select(F.xxhash64("key").alias("h")))
@@ -260,7 +281,7 @@ def _some(texts: DataFrame, keys: DataFrame) -> DataFrame:
             h = batch.column(batch.schema.get_field_index("h")).to_numpy(zero_copy_only=False).view(np.uint64)
             yield batch.filter(pa.array(hit(bits.value, h))).select(["key", "packed"])
 
-    near = texts.withColumn("h", F.xxhash64("key")).mapInArrow(run, "key string, packed binary")
+    near = texts.withColumn("h", F.xxhash64("key")).mapInArrow(run, "key binary, packed binary")
     return near.groupBy("key").agg(F.first("packed").alias("packed"))
 
 
@@ -272,7 +293,7 @@ def compared(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
             .select("b", "stretch", "key", "packed"))
     pivots = (dealt.select(F.col("b").alias("key"), "stretch").distinct()
               .join(_some(texts, pairs.select(F.col("b").alias("key")).distinct()), "key")
-              .select(F.col("key").alias("b"), "stretch", F.lit(None).cast("string").alias("key"), "packed"))
+              .select(F.col("key").alias("b"), "stretch", F.lit(None).cast("binary").alias("key"), "packed"))
     laid = sets.unionByName(pivots).repartition("b", "stretch").sortWithinPartitions("b", "stretch", F.asc_nulls_first("key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,10 +308,10 @@ def compared(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
                 both = len(np.intersect1d(pivot, one, assume_unique=True))
                 if 100 * both >= percent * (len(pivot) + len(one) - both):
                     found.append((key, b))
-            yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.string()),
-                                              "b": pa.array([b for _, b in found], pa.string())})
+            yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.binary()),
+                                              "b": pa.array([b for _, b in found], pa.binary())})
 
-    return laid.mapInArrow(run, "a string, b string")
+    return laid.mapInArrow(run, "a binary, b binary")
 
 
 def _texts_of(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -307,15 +328,15 @@ def _texts_of(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             keys = [_key(one) for one in shingle_sets(texts, k)] if texts else []
             chosen = hit(by_row.value, np.array([_row_hash(i, x) for i, x in zip(ids, keys)], np.uint64)).tolist()
             some = [(key, pack(text.encode())) for key, text in {x: t for x, t, ok in zip(keys, texts, chosen) if ok}.items()]
-            yield pa.RecordBatch.from_pydict({"key": pa.array([x for x, _ in some], pa.string()),
+            yield pa.RecordBatch.from_pydict({"key": pa.array([x for x, _ in some], pa.binary()),
                                               "packed": pa.array([x for _, x in some], pa.binary())})
 
-    return stored(rows.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(run, "key string, packed binary"),
+    return stored(rows.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(run, "key binary, packed binary"),
                   "jaccard-texts")
 
 
 def linked_sets(rows: DataFrame, points: DataFrame, often: Broadcast, k: int, percent: int) -> DataFrame:
-    """``(node, root)`` of every linked set's key but the roots. ``points``: (key, n, doc_id, row_hash) of each set."""
+    """``(node, root)`` of every linked set's key but the roots. ``points``: (key, n, doc_id, row_hash, bits) of each set."""
     sizes = {r.n: r["count"] for r in points.filter(F.col("n").between(1, MOST_SMALL)).groupBy("n").count().collect()}
     most_small = boundary(sizes, percent)
     chosen = hash_bits(points.select("row_hash"))
@@ -323,11 +344,13 @@ def linked_sets(rows: DataFrame, points: DataFrame, often: Broadcast, k: int, pe
     lists = _shared(postings)
     links = stored(_stars(lists, percent), "jaccard-links")
     lists = lists.filter("o = 0").drop("o")
-    wanted = points.join(lists.select("key").distinct(), "key", "left_semi")
-    texts = _texts_of(rows, wanted, k)
     first = lists.groupBy("token").agg(F.min(F.struct("key", "n", "place")).alias("one")).select("token", "one.*")
     tried = stored(_pairs(lists, first, percent), "jaccard-pairs")
-    fresh = stored(compared(tried, texts, k, percent), "jaccard-links")
+    near = stored(_near(tried, points, percent), "jaccard-near")
+    lists = lists.filter("members > 2").drop("members")  # of two sets one is the other's pivot
+    keys = near.select(F.col("a").alias("key")).unionByName(near.select(F.col("b").alias("key"))).unionByName(lists.select("key"))
+    texts = _texts_of(rows, points.join(keys.distinct(), "key", "left_semi"), k)
+    fresh = stored(compared(near, texts, k, percent), "jaccard-links")
     roots, pivots_of_list = connected(links.unionByName(fresh)), 1
     while True:
         marked = lists.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("root", "key")).drop("root")
@@ -343,7 +366,8 @@ def linked_sets(rows: DataFrame, points: DataFrame, often: Broadcast, k: int, pe
         pairs = _pairs(marked, marked.filter(low).drop("members"), percent, "component != p_component")
         fresh_pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
         tried = tried.unionByName(fresh_pairs)
-        fresh = stored(compared(fresh_pairs, texts, k, percent), "jaccard-links")
+        near = stored(_near(fresh_pairs, points, percent), "jaccard-near")
+        fresh = stored(compared(near, texts, k, percent), "jaccard-links")
         if not fresh.isEmpty():  # stars so far and the new links between them
             roots = connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(fresh))
 
@@ -353,8 +377,8 @@ def components(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col: str =
     rows = id_text(docs, id_col, text_col)
     sets, often = described(rows, k)
     points = stored(sets.filter("n > 0").groupBy("key").agg(
-        F.first("n").alias("n"), F.min(F.struct("doc_id", "row_hash")).alias("row"), F.min("doc_id").alias("smallest"))
-        .select("key", "n", "row.doc_id", "row.row_hash", "smallest"), "jaccard-points")
+        F.first("n").alias("n"), F.first("bits").alias("bits"), F.min(F.struct("doc_id", "row_hash")).alias("row"), F.min("doc_id").alias("smallest"))
+        .select("key", "n", "bits", "row.doc_id", "row.row_hash", "smallest"), "jaccard-points")
     roots = linked_sets(rows, points, often, k, percent)
     rooted = points.join(roots.withColumnRenamed("node", "key"), "key", "left").select(
         "key", F.coalesce("root", "key").alias("root"), "smallest")
