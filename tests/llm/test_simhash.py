@@ -159,3 +159,14 @@ def test_large_leaves_are_split_again(spark, shape):
     signed = [int(p) for p in points.view(np.int64)]
     pairs = [(signed[i], signed[j]) for i, j in zip(*np.nonzero(near)) if i > j]
     assert _linked(signed, [(r.a, r.b) for r in links]) == _linked(signed, pairs)
+
+
+def test_star_joins_store_few_files_however_many_shuffle_partitions(spark):
+    links = spark.createDataFrame([Row(a=i + 1, b=i) for i in range(20)])
+    wide = spark.newSession()
+    wide.conf.set("spark.sql.shuffle.partitions", "61")
+    wide.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    wide.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    found = simhash.connected(wide.createDataFrame(links.collect()), links.count())
+    assert {r.node: r.root for r in found.collect()} == {i: 0 for i in range(1, 21)}
+    assert found.rdd.getNumPartitions() <= wide.sparkContext.defaultParallelism

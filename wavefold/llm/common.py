@@ -48,6 +48,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that are worth a partition of their own, where rows are short.
+PARTITION_ROWS = 100_000
+
+
+def gathered(df: DataFrame, rows: int, each: int = PARTITION_ROWS) -> DataFrame:
+    """``df``, of about so many short rows, in as many partitions as they fill (all cores get one at least).
+
+    Every partition that is stored or checkpointed is a file, and every file costs an executor time and a
+    process; without this a handful of rows would be as many files as the session has shuffle partitions.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // each)))
+
+
 def worker_state(key: str, build: Callable[[], object]) -> object:
     """One object per Python worker process, built at first use.
 

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wavefold.llm.common import drop_worker_state, id_text, rows_of, slices, stored
+from wavefold.llm.common import drop_worker_state, gathered, id_text, rows_of, slices, stored
 from wavefold.session import checkpoint
 
 #: The tree is fitted on at most so many points, and at most an eighth of all.
@@ -261,10 +261,11 @@ def link_fingerprints(points: DataFrame, bits: int, shard_points: int = SHARD_PO
     return sent.groupBy("shard").applyInArrow(compare, "a long, b long")
 
 
-def connected(links: DataFrame) -> DataFrame:
+def connected(links: DataFrame, rows: int | None = None) -> DataFrame:
     """``(node, root)`` of every linked node but the roots, by alternating star joins.
 
-    Roots are the smallest node of their component in the order of ``long``.
+    Roots are the smallest node of their component in the order of ``long``. ``rows``: about how many links
+    there are, if that is known.
     Each round is checkpointed; rounds grow with the logarithm of the longest chain.
     """
 
@@ -274,7 +275,8 @@ def connected(links: DataFrame) -> DataFrame:
     def mark(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    edges = checkpoint(smaller_first(links))
+    links = smaller_first(links)
+    edges = checkpoint(links if rows is None else gathered(links, rows))
     seen = mark(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -284,7 +286,7 @@ def connected(links: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))))
-        edges = checkpoint(smaller_first(small))
+        edges = checkpoint(gathered(smaller_first(small), 2 * seen[0]))  # no more than an edge and a root for each of them
         now = mark(edges)
         if now == seen:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -296,9 +298,9 @@ def components(fps: DataFrame, max_bits: int = 2, shard_points: int = SHARD_POIN
 
     component_id is the smallest doc_id of the component.
     """
-    points = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-points")
+    points = stored(gathered(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), fps.count()), "simhash-points")
     links = link_fingerprints(points, max_bits, shard_points)
-    rooted = points.join(connected(links).withColumnRenamed("node", "fp"), "fp", "left").select(
+    rooted = points.join(connected(links, points.count()).withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "first_id")
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return rooted.join(smallest, "root").select("fp", "root", "component_id")
@@ -308,8 +310,8 @@ def near_duplicates(docs: DataFrame, *, k: int = 3, max_bits: int = 2, id_col: s
                     shard_points: int = SHARD_POINTS) -> DataFrame:
     """Per document row: doc_id, fingerprint (16 hexadecimal digits) and component_id."""
     fps = stored(fingerprints(docs, k, id_col, text_col), "simhash-fps")
-    return fps.join(components(fps, max_bits, shard_points), "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return gathered(fps.join(components(fps, max_bits, shard_points), "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"), fps.count())
 
 
 def keep_first(docs: DataFrame, *, k: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text",
