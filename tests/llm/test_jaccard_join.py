@@ -6,6 +6,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 
+from wavefold.llm.bitmaps import hash_bits, hit
 from wavefold.llm import jaccard_join, queries
 
 SCHEMA = "doc_id long, text string, key string, n long"
@@ -142,3 +143,17 @@ def test_pairs_that_differ_too_much_are_not_compared(spark, monkeypatch):
     got = jaccard_join.components(spark.createDataFrame(rows, SCHEMA), k=5, percent=80)
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, 5, 80)
     assert sum(seen) < 40
+
+
+def test_a_bitmap_comes_in_one_job_however_many_shuffle_partitions(spark):
+    wide = spark.newSession()
+    wide.conf.set("spark.sql.shuffle.partitions", "61")
+    wide.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    group = "bitmap-jobs"
+    wide.sparkContext.setJobGroup(group, group)
+    bits = hash_bits(wide.range(500).selectExpr("xxhash64(id) AS h")).value
+    jobs = wide.sparkContext.statusTracker().getJobIdsForGroup(group)
+    wide.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    hashes = np.array([r.h for r in spark.range(500).selectExpr("xxhash64(id) AS h").collect()], np.int64).view(np.uint64)
+    assert hit(bits, hashes).all()
+    assert len(jobs) < 10

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: Bits for each hash, and the least and most bits of a bitmap (64 MB). Beyond that more non-members pass.
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 18, 1 << 29
+#: Bits that come to the driver at once: every part is a job of its own.
+PART_BITS = 1 << 25
 
 
 def hash_bits(hashes: DataFrame) -> Broadcast:
@@ -22,7 +24,7 @@ def hash_bits(hashes: DataFrame) -> Broadcast:
     blocks = (hashes.select(F.bitmap_bucket_number(at).alias("block"), F.bitmap_bit_position(at).alias("bit"))
               .groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits")))
     bits = np.zeros(n // 8, np.uint8)
-    for row in blocks.toLocalIterator():
+    for row in blocks.coalesce(-(-n // PART_BITS)).toLocalIterator():
         own = np.frombuffer(bytes(row.bits), np.uint8)
         start = (row.block - 1) * len(own)
         bits[start:start + len(own)] = own[:max(0, len(bits) - start)]

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wavefold.llm.bitmaps import hash_bits, hit
-from wavefold.llm.common import drop_worker_state, id_text, rows_of, slices, stored
+from wavefold.llm.common import drop_worker_state, gathered, id_text, rows_of, slices, stored
 from wavefold.llm.simhash import connected
 from wavefold.llm.words import Vocabulary, chained, mix
 
@@ -59,6 +59,8 @@ SKETCH, SKETCH_ROW = 1 << 20, 1 << 10
 PARITIES = 512
 #: Shingles compared with one pivot in a task's stretch of rows.
 CHUNK_SHINGLES = 200_000
+#: Pairs that are worth a partition of their own.
+PAIRS_EACH = 5_000
 #: Pivots of a list grow by this factor with every round.
 PIVOTS_GROW = 64
 
@@ -181,7 +183,7 @@ def described(rows: DataFrame, k: int) -> tuple[DataFrame, Broadcast]:
     totals = (both.filter("block IS NOT NULL").select("block", "counts").groupBy("block")
               .applyInArrow(added, "block int, counts binary"))
     counters = np.zeros((SKETCH // SKETCH_ROW, SKETCH_ROW), np.int64)
-    for row in totals.toLocalIterator():
+    for row in totals.collect():  # SKETCH counters; an iterator would run a job for every partition
         counters[row.block] = _wide(bytes(row.counts))
     return (both.filter("block IS NULL").select("doc_id", "n", "key", "row_hash", "bits"),
             rows.sparkSession.sparkContext.broadcast(counters.ravel()))
@@ -233,7 +235,8 @@ def listings(rows: DataFrame, chosen: Broadcast, often: Broadcast, k: int, perce
 
 def _shared(postings: DataFrame) -> DataFrame:
     """The listings of tokens that several sets have, each once; ``members``: how many listings that were at most."""
-    tokens = stored(postings.groupBy("token", "o").agg(F.count("*").alias("members")).filter("members > 1"), "jaccard-tokens")
+    rows = postings.count()
+    tokens = stored(gathered(postings.groupBy("token", "o").agg(F.count("*").alias("members")).filter("members > 1"), rows), "jaccard-tokens")
     bits = hash_bits(tokens.select("token"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,7 +245,7 @@ def _shared(postings: DataFrame) -> DataFrame:
             yield batch.filter(pa.array(hit(bits.value, own)))
 
     some = postings.mapInArrow(run, postings.schema).join(tokens, ["token", "o"]).distinct()
-    return stored(some, "jaccard-lists")
+    return stored(gathered(some, rows), "jaccard-lists")
 
 
 def _stars(lists: DataFrame, percent: int) -> DataFrame:
@@ -311,7 +314,7 @@ def compared(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
             yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.binary()),
                                               "b": pa.array([b for _, b in found], pa.binary())})
 
-    return laid.mapInArrow(run, "a binary, b binary")
+    return gathered(laid.mapInArrow(run, "a binary, b binary"), pairs.count(), PAIRS_EACH)
 
 
 def _texts_of(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -342,21 +345,22 @@ def linked_sets(rows: DataFrame, points: DataFrame, often: Broadcast, k: int, pe
     chosen = hash_bits(points.select("row_hash"))
     postings = stored(listings(rows, chosen, often, k, percent, most_small), "jaccard-postings")
     lists = _shared(postings)
-    links = stored(_stars(lists, percent), "jaccard-links")
+    rows_of_lists = lists.count()
+    links = stored(gathered(_stars(lists, percent), rows_of_lists), "jaccard-links")
     lists = lists.filter("o = 0").drop("o")
     first = lists.groupBy("token").agg(F.min(F.struct("key", "n", "place")).alias("one")).select("token", "one.*")
-    tried = stored(_pairs(lists, first, percent), "jaccard-pairs")
-    near = stored(_near(tried, points, percent), "jaccard-near")
+    tried = stored(gathered(_pairs(lists, first, percent), rows_of_lists), "jaccard-pairs")
+    near = stored(gathered(_near(tried, points, percent), tried.count()), "jaccard-near")
     lists = lists.filter("members > 2").drop("members")  # of two sets one is the other's pivot
     keys = near.select(F.col("a").alias("key")).unionByName(near.select(F.col("b").alias("key"))).unionByName(lists.select("key"))
     texts = _texts_of(rows, points.join(keys.distinct(), "key", "left_semi"), k)
     fresh = stored(compared(near, texts, k, percent), "jaccard-links")
-    roots, pivots_of_list = connected(links.unionByName(fresh)), 1
+    roots, pivots_of_list = connected(links.unionByName(fresh), links.count() + fresh.count()), 1
     while True:
         marked = lists.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("root", "key")).drop("root")
         still = (marked.groupBy("token").agg(F.count("*").alias("members"), F.min("component").alias("x"), F.max("component").alias("y"))
                  .filter(f"x != y AND members > 2 AND members > {pivots_of_list}").select("token", "members"))
-        marked = stored(marked.join(still, "token"), "jaccard-open")
+        marked = stored(gathered(marked.join(still, "token"), rows_of_lists), "jaccard-open")
         if marked.isEmpty():
             return roots
         pivots_of_list *= PIVOTS_GROW
@@ -366,19 +370,19 @@ def linked_sets(rows: DataFrame, points: DataFrame, often: Broadcast, k: int, pe
         pairs = _pairs(marked, marked.filter(low).drop("members"), percent, "component != p_component")
         fresh_pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
         tried = tried.unionByName(fresh_pairs)
-        near = stored(_near(fresh_pairs, points, percent), "jaccard-near")
+        near = stored(gathered(_near(fresh_pairs, points, percent), fresh_pairs.count()), "jaccard-near")
         fresh = stored(compared(near, texts, k, percent), "jaccard-links")
         if not fresh.isEmpty():  # stars so far and the new links between them
-            roots = connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(fresh))
+            roots = connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(fresh), roots.count() + fresh.count())
 
 
 def components(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document row: doc_id, n_shingles and component_id (the smallest doc_id that links reach)."""
     rows = id_text(docs, id_col, text_col)
     sets, often = described(rows, k)
-    points = stored(sets.filter("n > 0").groupBy("key").agg(
+    points = stored(gathered(sets.filter("n > 0").groupBy("key").agg(
         F.first("n").alias("n"), F.first("bits").alias("bits"), F.min(F.struct("doc_id", "row_hash")).alias("row"), F.min("doc_id").alias("smallest"))
-        .select("key", "n", "bits", "row.doc_id", "row.row_hash", "smallest"), "jaccard-points")
+        .select("key", "n", "bits", "row.doc_id", "row.row_hash", "smallest"), sets.count()), "jaccard-points")
     roots = linked_sets(rows, points, often, k, percent)
     rooted = points.join(roots.withColumnRenamed("node", "key"), "key", "left").select(
         "key", F.coalesce("root", "key").alias("root"), "smallest")
@@ -386,4 +390,4 @@ def components(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col: str =
     named = rooted.join(ids, "root").select("key", "component_id")
     full = sets.filter("n > 0").join(named, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     empty = sets.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return full.unionByName(empty)
+    return gathered(full.unionByName(empty), sets.count())
