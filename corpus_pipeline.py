@@ -46,7 +46,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # workers that have run four other stages keep some of their memory: the transducer gets less of it
     return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
-                               keep_ids=True, memory=0.6)
+                               keep_ids=True, memory=0.3)
 
 
 STAGES = [

@@ -142,3 +142,13 @@ def test_byte_bpe_query_and_odd_rows(spark, encoding):
     rows = byte_bpe.round_trip(df, RANKS, public_tokenizers.PATTERN, keep_ids=True).collect()
     assert all(r.n_tokens == len(r["ids"]) for r in rows) and np.sum([r.n_tokens for r in rows]) > 40_000
     assert byte_bpe.round_trip(df.limit(0), RANKS, public_tokenizers.PATTERN).collect() == []
+
+
+def test_memory_bounds_all_that_a_coder_remembers(encoding):
+    small = byte_bpe.Coder(RANKS, public_tokenizers.PATTERN, 0.0005).encoder
+    rng = random.Random(5)
+    text = " ".join("".join(rng.choice(PARTS) for _ in range(6)) for _ in range(400))
+    assert small.encode(text) == encoding.encode(text, disallowed_special=())
+    assert small.transducer.arrows <= 200
+    assert len(small.transducer.pairs.known) <= 200
+    assert len(small.memo.known) + len(small.memo.older) <= 200

@@ -50,13 +50,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Lazily determinised transducer of a rank file."""
 
-    def __init__(self, ranks: dict[bytes, int], most_arrows: int | None = None):
-        self.most_arrows = MEMO_ARROWS if most_arrows is None else most_arrows
+    def __init__(self, ranks: dict[bytes, int], memory: float = 1.0):
+        self.most_arrows = int(MEMO_ARROWS * memory)
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("every single byte needs a rank")
         self.ranks = ranks
         self.begins = {t[:k] for t in ranks for k in range(1, len(t))}
-        self.pairs = Pairs(lambda a, b: ranks.get(a + b), MEMO_PAIRS)
+        self.pairs = Pairs(lambda a, b: ranks.get(a + b), int(MEMO_PAIRS * memory))
         self.states: dict[tuple, dict] = {}
         self.arrows = 0
         self.start = self._state(((b"", b"", ()),))  # the one place before the first byte
@@ -117,7 +117,7 @@ class Encoder:
     def __init__(self, path: str, pattern: str, memory: float = 1.0):
         self.ranks = read_ranks(path)
         self.split = regex.compile(pattern)
-        self.transducer = Transducer(self.ranks, int(MEMO_ARROWS * memory))
+        self.transducer = Transducer(self.ranks, memory)
         self.memo = Memo(int(MEMO_PIECES * memory))
 
     def _piece(self, piece: str) -> bytes:

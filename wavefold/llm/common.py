@@ -12,6 +12,7 @@ import types
 import uuid
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +84,7 @@ def drop_worker_state() -> None:
     if home is not None and home.__dict__.get("value") is not None:
         home.key = home.value = None
         gc.collect()
+        pa.default_memory_pool().release_unused()
 
 
 #: Bytes of an Arrow batch that are turned into Python objects at once.
