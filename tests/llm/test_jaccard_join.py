@@ -8,6 +8,7 @@ import pytest
 
 from wavefold.llm.bitmaps import hash_bits, hit
 from wavefold.llm import jaccard_join, queries
+from wavefold.llm.words import word_hashes
 
 SCHEMA = "doc_id long, text string, key string, n long"
 
@@ -157,3 +158,32 @@ def test_a_bitmap_comes_in_one_job_however_many_shuffle_partitions(spark):
     hashes = np.array([r.h for r in spark.range(500).selectExpr("xxhash64(id) AS h").collect()], np.int64).view(np.uint64)
     assert hit(bits, hashes).all()
     assert len(jobs) < 10
+
+
+def test_later_rounds_make_only_pairs_that_may_link(spark, monkeypatch):
+    # texts that share a passage nobody else has are in its lists, but too far apart: all members times all pivots were made
+    rng, made_pairs, fetched = random.Random(9), [], []
+    passage, pool = " ".join(f"p{i}" for i in range(10)), [f"w{i}" for i in range(150)]
+    rows = [(i, (f"{passage} " if i < 60 else "") + " ".join(rng.sample(pool, 60)), None, None) for i in range(160)]
+    rows += [(200 + i, rows[i][1] + " end", None, None) for i in range(5)]
+    plain = jaccard_join._pairs
+    monkeypatch.setattr(jaccard_join, "_pairs", lambda *a: (lambda p: made_pairs.append(p.count()) or p)(plain(*a)))
+    texts_of = jaccard_join._texts_of
+    monkeypatch.setattr(jaccard_join, "_texts_of", lambda rows, wanted, k: fetched.append(wanted.count()) or texts_of(rows, wanted, k))
+    monkeypatch.setattr(jaccard_join, "boundary", lambda sizes, percent: 0)
+    got = jaccard_join.components(spark.createDataFrame(rows, SCHEMA), k=1, percent=80)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, 1, 80)
+    assert len(made_pairs) > 1 and sum(made_pairs[1:]) < 100
+    assert sum(fetched) < 40  # texts of what is compared, not of all the lists
+
+
+def test_word_hashes_are_those_of_the_words():
+    rng = random.Random(11)
+    texts = ["", " \t\n\x0b\x0c\r", "a", "x" * 64, "x" * 65 + " y", "x" * 200, "a\x00 a a\x00\x00", "\x1c b", "éa é", "aaaaaaaa aaaaaaaaa " * 3]
+    texts = [t.encode() for t in texts + ["".join(rng.choice(" ab\t\x00é") for _ in range(rng.randrange(60))) for _ in range(300)] + [""]]
+    h, n_words = word_hashes(texts)
+    words = [w for t in texts for w in t.split()]
+    assert n_words.tolist() == [len(t.split()) for t in texts] and len(h) == len(words)
+    said = dict(zip(words, h.tolist()))
+    assert [said[w] for w in words] == h.tolist() and len(set(said.values())) == len(said)
+    assert [len(x) for x in word_hashes([])] == [0, 0]

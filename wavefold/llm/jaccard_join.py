@@ -20,7 +20,8 @@ Method (heavy-light):
    links is one component from then on. Only lists that still join several components go on, with
    PIVOTS_GROW times as many pivots in each round, until every pair of one list that
    is not in one component has been compared. A pair whose sets differ in too many places, by the parities of their
-   shingles in PARITIES bits, is passed over; all others are compared exactly, on the texts' whole sets.
+   shingles in PARITIES bits, is passed over, from the second round on where the two meet in a list; all others are
+   compared exactly, on the texts' whole sets.
 5. The boundary between small and large is the size with the lowest cost: subsets listed, or
    shingles listed and compared (a set's own and its pivot's), over the corpus's histogram of sizes.
 
@@ -49,7 +50,7 @@ from pyspark.sql import functions as F
 from wavefold.llm.bitmaps import hash_bits, hit
 from wavefold.llm.common import drop_worker_state, gathered, id_text, rows_of, slices, stored
 from wavefold.llm.simhash import connected
-from wavefold.llm.words import Vocabulary, chained, mix
+from wavefold.llm.words import chained, mix, word_hashes
 
 #: The largest size that is ever weighed as small (its subsets are counted in the millions beyond).
 MOST_SMALL = 32
@@ -102,22 +103,21 @@ def least_listed(most: int, percent: int) -> int:
 
 def shingle_sets(texts: list[str | bytes], k: int) -> list[np.ndarray]:
     """Every text's set as sorted unsigned 64-bit hashes."""
-    vocabulary = Vocabulary()
-    laid = [vocabulary.numbers((t.encode() if isinstance(t, str) else t).lower().split()) for t in texts]
-    spelled = vocabulary.hashes()
-    ends = np.cumsum([len(x) for x in laid])
-    h = spelled[np.concatenate(laid)] if len(spelled) else np.zeros(0, np.uint64)
+    h, n_words = word_hashes([(t.encode() if isinstance(t, str) else t).lower() for t in texts])
     whole = h
     for j in range(1, k):
         whole = chained(whole[:-1], h[j:]) if len(h) > j else whole[:0]
-    out = []
-    for x, end in zip(laid, ends.tolist()):
-        if len(x) >= k:
-            out.append(np.unique(whole[end - len(x):end - k + 1]))
-        elif len(x):
-            one = spelled[x[:1]]
-            for at in x[1:]:
-                one = chained(one, spelled[at:at + 1])
+    out, end = [], 0
+    for n in n_words.tolist():
+        start, end = end, end + n
+        if n >= k:
+            one = np.sort(whole[start:end - k + 1])
+            fresh = one[1:] != one[:-1]
+            out.append(one if fresh.all() else one[np.concatenate(([True], fresh))])
+        elif n:
+            one = h[start:start + 1]
+            for at in range(start + 1, end):
+                one = chained(one, h[at:at + 1])
             out.append(one)
         else:
             out.append(h[:0])
@@ -266,13 +266,24 @@ def _pairs(lists: DataFrame, pivots: DataFrame, percent: int, *more: str) -> Dat
             .select(F.col("key").alias("a"), "n", F.col("p_key").alias("b")).distinct())
 
 
+def _may_link(percent: int, bits: str, p_bits: str) -> str:
+    """Whether the parities of two sets of n and p_n shingles differ in few enough places for a link."""
+    differ = " + ".join(f"bit_count({bits}[{i}] ^ {p_bits}[{i}])" for i in range(PARITIES // 64))
+    shared = f"(({percent} * (n + p_n) + {99 + percent}) div {100 + percent})"  # `needed`
+    return f"{differ} <= n + p_n - 2 * {shared}"
+
+
 def _near(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """The pairs but those whose parities show that their sets differ in too many shingles to link."""
     a = points.select(F.col("key").alias("a"), F.col("bits").alias("a_bits"))
     b = points.select(F.col("key").alias("b"), F.col("n").alias("p_n"), F.col("bits").alias("b_bits"))
-    differ = F.aggregate(F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda n, x: n + x)
-    shared = F.expr(f"({percent} * (n + p_n) + {99 + percent}) div {100 + percent}")  # `needed`
-    return pairs.join(a, "a").join(b, "b").filter(differ <= F.col("n") + F.col("p_n") - 2 * shared).select("a", "n", "b")
+    return pairs.join(a, "a").join(b, "b").filter(_may_link(percent, "a_bits", "b_bits")).select("a", "n", "b")
+
+
+def _ends(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """The points of the pairs' sets."""
+    keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    return points.join(keys, "key", "left_semi")
 
 
 def _some(texts: DataFrame, keys: DataFrame) -> DataFrame:
@@ -350,10 +361,9 @@ def linked_sets(rows: DataFrame, points: DataFrame, often: Broadcast, k: int, pe
     lists = lists.filter("o = 0").drop("o")
     first = lists.groupBy("token").agg(F.min(F.struct("key", "n", "place")).alias("one")).select("token", "one.*")
     tried = stored(gathered(_pairs(lists, first, percent), rows_of_lists), "jaccard-pairs")
-    near = stored(gathered(_near(tried, points, percent), tried.count()), "jaccard-near")
+    near = done = stored(gathered(_near(tried, points, percent), tried.count()), "jaccard-near")
     lists = lists.filter("members > 2").drop("members")  # of two sets one is the other's pivot
-    keys = near.select(F.col("a").alias("key")).unionByName(near.select(F.col("b").alias("key"))).unionByName(lists.select("key"))
-    texts = _texts_of(rows, points.join(keys.distinct(), "key", "left_semi"), k)
+    texts = _texts_of(rows, _ends(near, points), k)
     fresh = stored(compared(near, texts, k, percent), "jaccard-links")
     roots, pivots_of_list = connected(links.unionByName(fresh), links.count() + fresh.count()), 1
     while True:
@@ -367,10 +377,14 @@ def linked_sets(rows: DataFrame, points: DataFrame, often: Broadcast, k: int, pe
         # a list's pivots are its sets with the lowest hashes of their keys: about so many of its members
         low = f"CAST(pmod(xxhash64(key), 1000003) AS BIGINT) * members < {pivots_of_list} * 1000003L"
         lists = marked.drop("component", "members")
-        pairs = _pairs(marked, marked.filter(low).drop("members"), percent, "component != p_component")
-        fresh_pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
-        tried = tried.unionByName(fresh_pairs)
-        near = stored(gathered(_near(fresh_pairs, points, percent), fresh_pairs.count()), "jaccard-near")
+        # parities are looked at where a member meets a pivot: only pairs that may link are made
+        marked = marked.join(points.select("key", "bits"), "key")
+        pairs = _pairs(marked, marked.filter(low).drop("members"), percent, "component != p_component", _may_link(percent, "bits", "p_bits"))
+        near = stored(pairs.join(done, ["a", "b"], "left_anti"), "jaccard-near")
+        if near.isEmpty():
+            continue
+        done = done.unionByName(near)
+        texts = texts.unionByName(_texts_of(rows, _ends(near, points).join(texts.select("key"), "key", "left_anti"), k))
         fresh = stored(compared(near, texts, k, percent), "jaccard-links")
         if not fresh.isEmpty():  # stars so far and the new links between them
             roots = connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(fresh), roots.count() + fresh.count())
